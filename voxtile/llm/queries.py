@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_byte_bpe
+from .repetition import op7_suffix_repetition
 
-QUERIES = {"op6_byte_bpe": op6_byte_bpe}
+QUERIES = {"op6_byte_bpe": op6_byte_bpe, "op7_suffix_repetition": op7_suffix_repetition}
 ORACLES: dict[str, str] = {}
