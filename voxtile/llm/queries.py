@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .bpe import op6_byte_bpe
+from .langid import op1_kneser_ney
 from .repetition import op7_suffix_repetition
 
-QUERIES = {"op6_byte_bpe": op6_byte_bpe, "op7_suffix_repetition": op7_suffix_repetition}
+QUERIES = {"op1_kneser_ney": op1_kneser_ney, "op6_byte_bpe": op6_byte_bpe, "op7_suffix_repetition": op7_suffix_repetition}
 ORACLES: dict[str, str] = {}
