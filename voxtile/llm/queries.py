@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from .bpe import op6_byte_bpe
 from .langid import op1_kneser_ney
+from .order_minhash import op8_order_minhash
 from .repetition import op7_suffix_repetition
 
-QUERIES = {"op1_kneser_ney": op1_kneser_ney, "op6_byte_bpe": op6_byte_bpe, "op7_suffix_repetition": op7_suffix_repetition}
+QUERIES = {
+    "op1_kneser_ney": op1_kneser_ney,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op7_suffix_repetition": op7_suffix_repetition,
+    "op8_order_minhash": op8_order_minhash,
+}
 ORACLES: dict[str, str] = {}
