@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_byte_bpe
+from .jaccard_join import op10_jaccard_join
 from .langid import op1_kneser_ney
 from .order_minhash import op8_order_minhash
 from .repetition import op7_suffix_repetition
@@ -12,5 +13,6 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_suffix_repetition": op7_suffix_repetition,
     "op8_order_minhash": op8_order_minhash,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
