@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op6_byte_bpe
 from .jaccard_join import op10_jaccard_join
 from .langid import op1_kneser_ney
+from .mixing import op5_pivotal_mix
 from .order_minhash import op8_order_minhash
 from .passages import op4_repeated_passages
 from .repetition import op7_suffix_repetition
@@ -12,6 +13,7 @@ from .repetition import op7_suffix_repetition
 QUERIES = {
     "op1_kneser_ney": op1_kneser_ney,
     "op4_repeated_passages": op4_repeated_passages,
+    "op5_pivotal_mix": op5_pivotal_mix,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_suffix_repetition": op7_suffix_repetition,
     "op8_order_minhash": op8_order_minhash,
