@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_byte_bpe
+from .html_crf import op9_html_crf
 from .jaccard_join import op10_jaccard_join
 from .langid import op1_kneser_ney
 from .mixing import op5_pivotal_mix
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_suffix_repetition": op7_suffix_repetition,
     "op8_order_minhash": op8_order_minhash,
+    "op9_html_crf": op9_html_crf,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
