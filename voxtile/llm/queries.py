@@ -10,9 +10,11 @@ from .mixing import op5_pivotal_mix
 from .order_minhash import op8_order_minhash
 from .passages import op4_repeated_passages
 from .repetition import op7_suffix_repetition
+from .toxicity import op3_ordinal_toxicity
 
 QUERIES = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_pivotal_mix": op5_pivotal_mix,
     "op6_byte_bpe": op6_byte_bpe,
