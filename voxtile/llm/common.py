@@ -21,7 +21,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 2_000_000
 
 
+#: Rows of an Arrow batch between Spark and Python at most; texts may be long.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches to ``BATCH_ROWS`` rows in this session unless they are smaller already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -59,7 +71,7 @@ def map_blocks(
 
 def hash_words(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
     """64-bit hashes of words (xxh3, equal in every process); ``cache`` holds those seen and is emptied when large."""
-    if len(cache) > 400_000:
+    if len(cache) > 150_000:
         cache.clear()
     from xxhash import xxh3_64_intdigest as digest
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_blocks
+from .common import map_blocks, small_batches
 
 # What HTML's own rules say about elements.
 BLOCK_TAGS = frozenset(
@@ -350,5 +350,6 @@ def extract(df: DataFrame, html_column: str = "html", chain: Chain | None = None
 
 def op9_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    small_batches(spark)
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -6,6 +6,7 @@ from .bpe import op6_byte_bpe
 from .html_crf import op9_html_crf
 from .jaccard_join import op10_jaccard_join
 from .langid import op1_kneser_ney
+from .lm import op2_gru_lm
 from .mixing import op5_pivotal_mix
 from .order_minhash import op8_order_minhash
 from .passages import op4_repeated_passages
@@ -14,6 +15,7 @@ from .toxicity import op3_ordinal_toxicity
 
 QUERIES = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op2_gru_lm": op2_gru_lm,
     "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_pivotal_mix": op5_pivotal_mix,
