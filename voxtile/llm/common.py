@@ -6,6 +6,8 @@ UTF-8 keeps these characters as single bytes, so ``bytes.split()`` finds words.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -118,22 +120,32 @@ def windows(h: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> np.nda
     return mix(out)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A copy in ``spark.checkpoint.dir`` (a folder that all executors share), without lineage.
-
-    A local session without that setting, as in tests, gets a folder of its own.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which all executors share; a local session without it, as in tests, gets one of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="voxtile-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
 
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="voxtile-"))
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable copy of ``df`` in the shared folder, without lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def crc32_fold(column: str, folds: int):
     """crc32 of a value's text, modulo ``folds``; null counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(folds))

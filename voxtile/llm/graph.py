@@ -50,8 +50,8 @@ def bitmap(keys: DataFrame, key: str) -> np.ndarray:
     return out
 
 
-def maybe_in(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose key may be among the bitmap's keys; an exact join on the key should follow."""
+def maybe_in(df: DataFrame, key: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
+    """Rows whose key may be among the bitmap's keys, for an exact join on the key; or else (``inside`` false) those whose key is not."""
     sent = df.sparkSession.sparkContext.broadcast(bits)
     df = df.withColumn("_bit", F.pmod(F.xxhash64(F.lit(11), key), F.lit(BITS)))
 
@@ -59,7 +59,7 @@ def maybe_in(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
         words = sent.value
         for batch in batches:
             bit = batch.column("_bit").to_numpy()
-            yield batch.filter(pa.array((words[bit >> 6] >> (bit & 63)) & 1 == 1))
+            yield batch.filter(pa.array((words[bit >> 6] >> (bit & 63)) & 1 == int(inside)))
 
     return df.mapInArrow(run, df.schema).drop("_bit")
 

@@ -240,11 +240,17 @@ def count_words(joined):
 
 
 def remove_passages(df: DataFrame, text: str = "text", width: int = WINDOW) -> DataFrame:
-    """``df`` with recurring passages taken out of ``text``, and n_removed added; texts without any stay as they are."""
+    """``df`` with recurring passages taken out of ``text``, and n_removed added; texts without any stay as they are.
+
+    Only rows that a bitmap of the changed texts lets through are shuffled to them.
+    """
     found = checkpointed(recurring_passages(df, text, width).select("text_hash", F.col("n_removed").alias("_removed"), F.col("kept").alias("_kept")))
-    out = df.withColumn("_hash", F.xxhash64(text)).join(found.withColumnRenamed("text_hash", "_hash"), "_hash", "left")
-    columns = [F.coalesce("_kept", text).alias(text) if c == text else F.col(c) for c in df.columns if c != "n_removed"]
-    return out.select(*columns, F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"))
+    keyed = df.drop("n_removed").withColumn("_hash", F.xxhash64(text))
+    bits = bitmap(found, "text_hash")
+    near = maybe_in(keyed, "_hash", bits).join(found.withColumnRenamed("text_hash", "_hash"), "_hash", "left")
+    columns = [c for c in df.columns if c != "n_removed"]
+    changed = near.select(*[F.coalesce("_kept", text).alias(c) if c == text else F.col(c) for c in columns], F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"))
+    return changed.union(maybe_in(keyed, "_hash", bits, inside=False).select(*columns, F.lit(0).cast("long").alias("n_removed")))
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
