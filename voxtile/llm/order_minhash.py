@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, map_blocks, mix, windows
+from .common import as_bytes, documents, map_blocks, mix, windows
 
 #: Characters of a k-mer, k-mers of a tuple, bins of a fingerprint.
 K, TUPLE, BINS = 8, 2, 64
@@ -69,25 +70,51 @@ def signatures(texts: list[str | None], k: int = K, size: int = TUPLE, bins: int
     return out
 
 
-def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
+def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", packed: str | None = None) -> DataFrame:
     """Add the packed signature of each whole text as ``out`` (binary, two bytes a bin).
 
     Null and empty texts give zeros.  Equal texts give equal fingerprints, in any row, file or process.
-    A column of that name is replaced.
+    A column of that name is replaced.  With ``packed``, a column of that name holds the compressed text in
+    place of the text, for a shuffle; see ``edit_tails``.
     """
     df = df.drop(out)
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType(), False)])
+    fields = [T.StructField(packed, T.BinaryType(), False) if packed and f.name == text else f for f in df.schema.fields]
+    schema = T.StructType([*fields, T.StructField(out, T.BinaryType(), False)])
 
     def make():
+        press = zstandard.ZstdCompressor(level=3)
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            columns, names = list(batch.columns), batch.schema.names
             rows = [x.tobytes() for x in signatures(batch.column(text).to_pylist())]
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.binary())], [*batch.schema.names, out])
+            if packed:
+                columns[names.index(text)] = pa.array([press.compress(x) for x in as_bytes(batch.column(text))], pa.binary())
+            return pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.binary())], [packed if packed and x == text else x for x in names] + [out])
 
         return step
 
     return map_blocks(df, text, make, schema)
 
 
+def edit_tails(df: DataFrame, packed: str = "packed", following: str = "next_packed") -> DataFrame:
+    """Replace two compressed texts by n_chars and ``edited``: the last quarter of the first text (rounded down) gives way to as much of the start of the other."""
+    rest = [f for f in df.schema.fields if f.name not in (packed, following)]
+    schema = T.StructType([*rest, T.StructField("n_chars", T.LongType(), False), T.StructField("edited", T.StringType(), False)])
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            counts, edited = [], []
+            for a, b in zip(batch.column(packed).to_pylist(), batch.column(following).to_pylist()):
+                x, y = unpack.decompress(a).decode(), unpack.decompress(b).decode()
+                quarter = len(x) // 4
+                counts.append(len(x))
+                edited.append(x[: len(x) - quarter] + y[:quarter])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), pa.array(counts, pa.int64()), pa.array(edited, pa.string())], schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
     """Share of the bins, filled in either hexadecimal fingerprint, that agree; 1 for equal ones."""
     at = F.sequence(F.lit(0), F.lit(bins - 1))
@@ -97,19 +124,22 @@ def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
     return F.when(a == b, 1.0).otherwise(agree / F.greatest(either, F.lit(1)))
 
 
-def with_next(df: DataFrame, key: str, columns: list[str], buckets: int | None = None) -> DataFrame:
+def with_next(df: DataFrame, key: str, columns: list[str], keys: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """Add next_{c} for each column: the values of the row with the next key; after the last row those of the first.
 
     Rows go to ranges of the key, bounded by quantiles; the first row of a range is also sent to the range before
     it, so no task sees more than its range.  Null keys come first; equal keys are ordered by the columns' values.
+    ``keys`` may give the keys of ``df`` more cheaply than ``df`` does.
     """
     session = df.sparkSession
+    keys = df.select(key) if keys is None else keys.select(key)
     buckets = buckets or 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
-    edges = sorted(set(df.select(key).approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
+    edges = sorted(set(keys.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
     above = F.filter(F.array(*[F.lit(float(x)) for x in edges]), lambda x: x <= F.col(key))
     bucket = F.when(F.col(key).isNull(), 0).otherwise(F.size(above)) if edges else F.lit(0)
     dealt = df.withColumn("_bucket", bucket)
-    heads = [(r[0], r[1]) for r in dealt.groupBy("_bucket").agg(F.min(F.struct(F.col(key).isNotNull().alias("a"), F.col(key).alias("k"))).alias("m")).select("_bucket", "m.k").orderBy("_bucket").collect()]
+    ranges = keys.withColumn("_bucket", bucket)
+    heads = [(r[0], r[1]) for r in ranges.groupBy("_bucket").agg(F.min(F.struct(F.col(key).isNotNull().alias("a"), F.col(key).alias("k"))).alias("m")).select("_bucket", "m.k").orderBy("_bucket").collect()]
     if not heads:
         return df.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(f"next_{c}") for c in columns])
     before = {b: heads[i - 1][0] for i, (b, _) in enumerate(heads)}
@@ -127,10 +157,8 @@ def with_next(df: DataFrame, key: str, columns: list[str], buckets: int | None =
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and their likeness to each other and to the next text."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(fingerprint(docs), "doc_id", ["text", "fingerprint"])
-    n = F.char_length("text")
-    quarter = F.floor(n / 4).cast("int")
-    edited = pairs.select("doc_id", n.cast("long").alias("n_chars"), F.concat(F.left("text", n - quarter), F.left("next_text", quarter)).alias("edited"), "fingerprint", "next_fingerprint")
+    pairs = with_next(fingerprint(docs, packed="packed"), "doc_id", ["packed", "fingerprint"], keys=docs)
+    edited = edit_tails(pairs)
     out = fingerprint(edited, "edited", "edited_fingerprint").withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")})
     return out.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
