@@ -1,10 +1,590 @@
-"""Queries by name, and the SQL that gives the same rows."""
+"""Queries by name over the driver's tables, and the SQL that gives the same rows.
+
+Objects are line items: the stain is the return flag, the region the supplier's nation, the size the quantity.  Vectors stand for positions
+in space (their first dimensions), customers for subjects of a study, events for intensities.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.expressions import affine, hex_channel, norm, path_entity, rgb_hex, slug, sphere_radius, threshold_mask
+from ..functions.predicate import filter_rows
+from ..functions.seg_method import parse_method
+from ..operators import aggregates as agg
+from ..operators import graph, regions, spatial, stats, volume
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a query by its function's name, with its SQL if SQL can express it."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r4(c: Column | str) -> Column:
+    return F.round(c, 4)
+
+
+# --- regions ---------------------------------------------------------------------------------------------------------------------------------
+
+OBJECTS_SQL = """WITH o AS (SELECT l_returnflag AS stain, n_nationkey AS "index", n_name AS name, l_quantity AS nvoxels, l_extendedprice AS price
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey) """
+
+
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice")
+    where = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(labels(spark, sf_dir), F.col("s_nationkey") == F.col("index"))
+    return items.join(where, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_returnflag").alias("stain"), "index", "name", F.col("l_quantity").alias("nvoxels"), F.col("l_extendedprice").alias("price"))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("index"), F.col("n_name").alias("name"))
+
+
+def fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("index")).agg(F.avg("c_acctbal").alias("fieldfrac"), F.count(F.lit(1)).cast("double").alias("volume"))
+    return c.join(labels(spark, sf_dir), "index").select("index", "name", "fieldfrac", "volume")
+
+
+@query(OBJECTS_SQL + """, a AS (SELECT "index", name, sum(nvoxels) AS nvoxels, avg(price) AS price, count(*) AS c FROM o GROUP BY 1, 2),
+f AS (SELECT n_nationkey AS "index", n_name AS name, avg(c_acctbal) AS ff, CAST(count(*) AS DOUBLE) AS volume FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)
+SELECT "index", name, round(coalesce(nvoxels, 0), 4) AS nvoxels, round(coalesce(price, 0), 4) AS price, CAST(coalesce(c, 0) AS DOUBLE) AS count, round(coalesce(ff, 0), 4) AS fieldfrac, volume,
+round(coalesce(c, 0) / volume, 4) AS density FROM a FULL JOIN f USING ("index", name)""")
+def region_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects, counts and field fractions merged on region keys and collapsed to a row a region."""
+    own = objects(spark, sf_dir).select("index", "name", "nvoxels", "price")
+    out = regions.region_statistics(own, regions.count_per_region(own), fractions(spark, sf_dir))
+    return out.select("index", "name", *[r4(c).alias(c) for c in ("nvoxels", "price", "count", "fieldfrac", "volume", "density")])
+
+
+@query("""WITH c AS (SELECT c_nationkey AS "index", count(*) AS customers, sum(c_acctbal) AS balance, avg(c_acctbal) AS volume FROM customer WHERE c_acctbal > 0 AND c_nationkey < 15 GROUP BY 1),
+s AS (SELECT s_nationkey AS "index", count(*) AS suppliers, sum(s_acctbal) AS balance FROM supplier WHERE s_nationkey > 5 GROUP BY 1)
+SELECT "index", coalesce(customers, 0) AS customers, round(volume, 4) AS volume, coalesce(suppliers, 0) AS suppliers FROM c FULL JOIN s USING ("index")""")
+def merge_regions_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full outer merge; the column that both tables have (balance) is dropped, missing numbers but volume become 0."""
+    c = table(spark, sf_dir, "customer").where("c_acctbal > 0 and c_nationkey < 15").groupBy(F.col("c_nationkey").alias("index")).agg(F.count(F.lit(1)).alias("customers"), F.sum("c_acctbal").alias("balance"), r4(F.avg("c_acctbal")).alias("volume"))
+    s = table(spark, sf_dir, "supplier").where("s_nationkey > 5").groupBy(F.col("s_nationkey").alias("index")).agg(F.count(F.lit(1)).alias("suppliers"), F.sum("s_acctbal").alias("balance"))
+    return regions.fill_zero(regions.merge_outer([c, s], ("index",)))
+
+
+@query(OBJECTS_SQL + """SELECT "index", name, """ + ", ".join(
+    f"""nullif(count(*) FILTER (stain = '{s}'), 0) AS "{s}+count", round(sum(nvoxels) FILTER (stain = '{s}'), 4) AS "{s}+nvoxels", round(avg(price) FILTER (stain = '{s}'), 4) AS "{s}+price\"""" for s in "ANR") + " FROM o GROUP BY 1, 2")
+def merge_stains_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a region, one group of columns a stain, in a single aggregation."""
+    metrics = {"count": F.count("nvoxels"), "nvoxels": r4(F.sum("nvoxels")), "price": r4(F.avg("price"))}
+    return regions.wide_by_stain(objects(spark, sf_dir), ["A", "N", "R"], metrics)
+
+
+@query(OBJECTS_SQL + """, p AS (SELECT "index", name, count(*) AS c, avg(price) AS v FROM o WHERE stain = 'A' GROUP BY 1, 2), q AS (SELECT "index", name, count(*) AS c, avg(price) AS v FROM o WHERE stain = 'R' AND "index" < 12 GROUP BY 1, 2)
+SELECT "index", name, p.c AS "A+count", round(p.v, 4) AS "A+price", q.c AS "coloc+count", round(q.v, 4) AS "coloc+price" FROM p FULL JOIN q USING ("index", name)""")
+def merge_tables_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region tables of single stains and of pairs side by side, from separate tables."""
+    o = objects(spark, sf_dir)
+    one = lambda df: df.groupBy("index", "name").agg(F.count(F.lit(1)).alias("count"), r4(F.avg("price")).alias("price"))
+    return regions.wide_from_tables({"A": one(o.where("stain = 'A'"))}, one(o.where("stain = 'R' and index < 12")))
+
+
+@query("""SELECT n_nationkey AS "index", 'left ' || n_name AS name, substr(n_name, 1, 3) || '-L' AS abbreviation FROM nation
+UNION ALL SELECT n_nationkey + 10000, 'right ' || n_name, substr(n_name, 1, 3) || '-R' FROM nation""")
+def lateralize_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.lateralized(labels(spark, sf_dir).withColumn("abbreviation", F.substring("name", 1, 3)))
+
+
+@query("""SELECT n_nationkey AS "index", n_name AS name FROM nation WHERE n_nationkey % 5 = n_regionkey
+UNION ALL SELECT n_nationkey, 'left ' || n_name FROM nation WHERE n_nationkey % 5 <> n_regionkey
+UNION ALL SELECT n_nationkey - n_nationkey % 5 + n_regionkey, 'right ' || n_name FROM nation WHERE n_nationkey % 5 <> n_regionkey""")
+def split_union_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").select("n_name", F.col("n_nationkey").alias("l"), (F.col("n_nationkey") - F.col("n_nationkey") % 5 + F.col("n_regionkey")).alias("r"))
+    return regions.split_hemispheres(n, "n_name", "l", "r")
+
+
+_REQUESTS = ("3", "FRANCE", "CHI", "nowhere", "17", "NATION_4", "NAT")
+
+
+@query(f"""SELECT DISTINCT n_nationkey AS "index" FROM nation WHERE CAST(n_nationkey AS VARCHAR) IN {_REQUESTS} OR n_name IN {_REQUESTS} OR substr(n_name, 1, 3) IN {_REQUESTS}""")
+def resolve_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = spark.createDataFrame([(x,) for x in _REQUESTS], "label string")
+    return regions.resolve_labels(labels(spark, sf_dir).withColumn("abbreviation", F.substring("name", 1, 3)), requests)
+
+
+@query("""SELECT n_nationkey AS "index", n_name AS name, count(c_custkey) AS count FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) ON c_nationkey = n_nationkey GROUP BY 1, 2""")
+def region_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of each region; regions without any count 0."""
+    c = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("index"))
+    return regions.count_per_region(c, labels(spark, sf_dir))
+
+
+# --- cohorts and predicates ------------------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT o_orderkey, o_custkey AS participant_id, round(o_totalprice, 4) AS value, c_mktsegment AS treatment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""")
+def cohort_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cohort = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("participant_id"), F.col("c_mktsegment").alias("treatment"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("participant_id"), r4("o_totalprice").alias("value"))
+    return regions.with_cohort(o, cohort).select("o_orderkey", "participant_id", "value", "treatment")
+
+
+@query("""SELECT DISTINCT o_custkey AS participant_id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def unmatched_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cohort = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("participant_id"))
+    return regions.unmatched(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("participant_id")), cohort)
+
+
+@query("""SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND NOT (c_acctbal < 1000 OR c_nationkey >= 20)""")
+def where_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "c_mktsegment in ['BUILDING', 'MACHINERY'] and not (c_acctbal < 1000 or c_nationkey >= 20)"
+    return filter_rows(table(spark, sf_dir, "customer"), text, check_empty=False).select("c_custkey", "c_mktsegment", "c_acctbal")
+
+
+@query("""WITH l AS (SELECT DISTINCT c_mktsegment AS level FROM customer) SELECT 'c_mktsegment' AS factor, a.level AS level_a, b.level AS level_b FROM l a JOIN l b ON a.level < b.level""")
+def contrast_enumeration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.contrast_table(table(spark, sf_dir, "customer"), "c_mktsegment")
+
+
+@query("""WITH l AS (SELECT DISTINCT o_orderpriority AS level FROM orders), s AS (SELECT DISTINCT o_orderstatus FROM orders)
+SELECT 'o_orderpriority' AS factor, a.level AS level_a, b.level AS level_b, o_orderstatus FROM l a JOIN l b ON a.level < b.level CROSS JOIN s""")
+def contrast_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.contrast_table(table(spark, sf_dir, "orders"), "o_orderpriority", ("o_orderstatus",))
+
+
+@query("""SELECT channels, count(*) AS n_subjects FROM (SELECT o_custkey, string_agg(DISTINCT o_orderstatus, '|' ORDER BY o_orderstatus) AS channels FROM orders GROUP BY 1) GROUP BY 1""")
+def channel_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.same_channels(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus")
+
+
+# --- group statistics ------------------------------------------------------------------------------------------------------------------------
+
+
+def study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderpriority").alias("region"), F.lit("price").alias("metric"), F.col("o_totalprice").alias("value"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"), F.col("o_orderstatus").alias("status"))
+
+
+_STUDY = """WITH d AS (SELECT o_orderpriority AS region, o_totalprice AS v, c_mktsegment AS level, c_acctbal AS x, o_orderstatus AS status FROM orders JOIN customer ON o_custkey = c_custkey),
+g AS (SELECT region, level, count(*) AS n, avg(v) AS m, coalesce(var_samp(v), 0) AS s2, avg(x) AS mx FROM d GROUP BY 1, 2),
+p AS (SELECT region, sum((n - 1) * s2) AS rest, CAST(sum(n - 1) AS BIGINT) AS df FROM g GROUP BY 1) """
+
+
+@query(_STUDY + """SELECT a.region, a.level AS level_a, b.level AS level_b, a.n AS n_a, b.n AS n_b, round(a.m, 4) AS mean_a, round(b.m, 4) AS mean_b, df,
+CASE WHEN a.n > 1 AND b.n > 1 THEN round((a.m - b.m) / sqrt(rest / df * (1 / a.n + 1 / b.n)), 6) END AS tstat,
+CASE WHEN a.n > 1 AND b.n > 1 THEN round((a.m - b.m) / sqrt(((a.n - 1) * a.s2 + (b.n - 1) * b.s2) / (a.n + b.n - 2)), 6) END AS cohensd
+FROM g a JOIN g b ON a.region = b.region AND a.level < b.level JOIN p ON p.region = a.region""")
+def group_contrast_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """t and Cohen's d of all pairs of levels in closed form, with built-in functions only."""
+    d = study(spark, sf_dir)
+    out = stats.two_level_tests(d, ["region"], "segment", stats.contrast_table(table(spark, sf_dir, "customer"), "c_mktsegment"))
+    return out.select("region", "level_a", "level_b", "n_a", "n_b", r4("mean_a").alias("mean_a"), r4("mean_b").alias("mean_b"), "df", F.round("tstat", 6).alias("tstat"), F.round("cohensd", 6).alias("cohensd"))
+
+
+@query(_STUDY + """, w AS (SELECT d.region, sum((x - mx) * (v - m)) AS sxy, sum((x - mx) * (x - mx)) AS sxx, sum((v - m) * (v - m)) AS syy, count(*) AS nobs, count(DISTINCT d.level) AS k FROM d JOIN g ON g.region = d.region AND g.level = d.level GROUP BY 1)
+SELECT a.region, 'segment+' || a.level || 'vs' || b.level AS contrast, a.n AS n_a, b.n AS n_b, nobs,
+round(((a.m - b.m) - sxy / sxx * (a.mx - b.mx)) / sqrt((syy - sxy * sxy / sxx) / (nobs - k - 1) * (1 / a.n + 1 / b.n + (a.mx - b.mx) * (a.mx - b.mx) / sxx)), 5) AS tstat
+FROM g a JOIN g b ON a.region = b.region AND a.level < b.level JOIN w ON w.region = a.region""")
+def group_ols_covariate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A least-squares fit with a covariate in each region; the SQL removes the covariate within levels first."""
+    wanted = stats.contrasts(table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "segment"), "segment")
+    out = stats.fitted_contrasts(study(spark, sf_dir), ["region"], "metric ~ C(segment) + balance", wanted)
+    return out.select("region", "contrast", "n_a", "n_b", "nobs", F.round("tstat", 5).alias("tstat"))
+
+
+@query()
+def group_ols_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contrasts within strata of a model with an interaction: t, p, Cohen's d and R squared."""
+    d = study(spark, sf_dir)
+    wanted = stats.contrasts(d.select("segment", "status"), "segment", ("status",))
+    return stats.fitted_contrasts(d, ["region"], "metric ~ C(segment)*C(status) + balance", wanted)
+
+
+@query("""WITH d AS (SELECT o_orderpriority AS region, o_totalprice AS value, c_acctbal AS balance, c_mktsegment AS segment FROM orders JOIN customer ON o_custkey = c_custkey),
+c AS (SELECT region, segment, row_number() OVER (PARTITION BY region ORDER BY count(*) DESC, segment) AS r FROM d GROUP BY 1, 2)
+SELECT d.region, round(avg(value), 4) AS value, round(avg(balance), 4) AS balance, min(c.segment) AS segment FROM d JOIN c ON c.region = d.region AND c.r = 1 GROUP BY 1""")
+def marginal_reference_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stats.reference_row(study(spark, sf_dir), ["region"], ["value", "balance", "segment"])
+    return out.select("region", r4("value").alias("value"), r4("balance").alias("balance"), "segment")
+
+
+@query(_STUDY + """, t AS (SELECT a.region, a.m AS ma, b.m AS mb, a.n AS na, b.n AS nb, (a.m - b.m) / sqrt(rest / df * (1 / a.n + 1 / b.n)) AS t FROM g a JOIN g b ON a.region = b.region AND a.level = 'AUTOMOBILE' AND b.level = 'BUILDING' JOIN p ON p.region = a.region)
+SELECT region, na AS "n_AUTOMOBILE", nb AS "n_BUILDING", round(ma, 4) AS "price_mean_AUTOMOBILE", round(mb, 4) AS "price_mean_BUILDING", round(t, 5) AS price_tstat FROM t""")
+def group_stats_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of one contrast as one row a region."""
+    fitted = stats.fitted_contrasts(study(spark, sf_dir), ["region"], "metric ~ C(segment)", [stats.Contrast("segment", "AUTOMOBILE", "BUILDING")]).withColumn("metric", F.lit("price"))
+    wide = stats.widened(fitted, ["region"], ["price"], "AUTOMOBILE", "BUILDING")
+    return wide.select("region", "n_AUTOMOBILE", "n_BUILDING", r4("price_mean_AUTOMOBILE").alias("price_mean_AUTOMOBILE"), r4("price_mean_BUILDING").alias("price_mean_BUILDING"), F.round("price_tstat", 5).alias("price_tstat"))
+
+
+@query(_STUDY + """, t AS (SELECT a.region, a.level AS level_a, b.level AS level_b, (a.m - b.m) / sqrt(rest / df * (1 / a.n + 1 / b.n)) AS t FROM g a JOIN g b ON a.region = b.region AND a.level < b.level JOIN p ON p.region = a.region)
+SELECT region, level_a, level_b, round(coalesce(t, 0), 6) AS t_value, round(max(abs(coalesce(t, 0))) OVER (), 6) AS t_bound FROM t""")
+def heatmap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """t matrix of regions by contrasts with its symmetric bound."""
+    out = stats.two_level_tests(study(spark, sf_dir), ["region"], "segment", stats.contrast_table(table(spark, sf_dir, "customer"), "c_mktsegment"))
+    m = stats.heatmap_matrix(out.withColumn("pval", F.lit(None).cast("double")))
+    return m.select("region", "level_a", "level_b", F.round("t_value", 6).alias("t_value"), F.round("t_bound", 6).alias("t_bound"))
+
+
+# --- space -----------------------------------------------------------------------------------------------------------------------------------
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    return v.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"pos_{a}") for i, a in enumerate("xyz")])
+
+
+_V = """WITH v AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings) """
+_RADIUS = 0.05
+
+
+@query(_V + f"""SELECT a.vec_id AS id_a, b.vec_id AS id_b, a.label AS label_a, b.label AS label_b, round(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)), 6) AS distance
+FROM v a JOIN v b ON a.label < b.label WHERE sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) <= {_RADIUS}""")
+def coloc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of objects of different stains within a radius: an equi-join on grid cells, then the exact test."""
+    v = vectors(spark, sf_dir).withColumn("radius", F.lit(_RADIUS))
+    pairs = spatial.radius_pairs(v, v, "radius", cell=_RADIUS).where("a.label < b.label")
+    return pairs.select(F.col("a.vec_id").alias("id_a"), F.col("b.vec_id").alias("id_b"), F.col("a.label").alias("label_a"), F.col("b.label").alias("label_b"), F.round("distance", 6).alias("distance"))
+
+
+@query(_V + """, r AS (SELECT *, 0.01 * (1 + vec_id % 7) AS rad FROM v)
+SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(1 - sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) / (a.rad + b.rad), 6) AS overlapratio, round((a.x + b.x) / 2, 6) AS pos_coloc_x
+FROM r a JOIN r b ON a.label = 0 AND b.label = 1 WHERE sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) <= a.rad AND 1 - sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) / (a.rad + b.rad) > 0""")
+def coloc_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping objects of two stains whose radii differ: a grid for each octave of radii."""
+    v = vectors(spark, sf_dir).withColumns({"stain": F.concat(F.lit("s"), F.col("label")), "object_id": F.col("vec_id"), "radius": 0.01 * (1 + F.col("vec_id") % 7), "nvoxels": F.lit(1), **{f"template_{a}": F.col(f"pos_{a}") for a in "xyz"}})
+    pairs = spatial.colocalized(v, ["s0", "s1"])
+    return pairs.select(F.col("object_id_a").alias("id_a"), F.col("object_id_b").alias("id_b"), F.round("overlapratio", 6).alias("overlapratio"), F.round("pos_coloc_x", 6).alias("pos_coloc_x"))
+
+
+@query("""SELECT p_partkey, round(cbrt(3.0 * p_size / (4 * pi())), 6) AS radius, round(log10(p_size + 1), 6) AS log_size FROM part""")
+def object_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(sphere_radius(F.col("p_size")), 6).alias("radius"), F.round(F.log10(F.col("p_size") + 1), 6).alias("log_size"))
+
+
+_GRID = [[0.1, 0, 0, -0.5], [0, 0.1, 0, -0.5], [0, 0, 0.1, -0.5], [0, 0, 0, 1]]
+_SHAPE = (11, 11, 11)
+
+
+@query(_V + """SELECT vx, vy, vz, count(*) AS count FROM (SELECT CAST(floor((x + 0.5) / 0.1 + 0.5) AS BIGINT) AS vx, CAST(floor((y + 0.5) / 0.1 + 0.5) AS BIGINT) AS vy, CAST(floor((z + 0.5) / 0.1 + 0.5) AS BIGINT) AS vz FROM v)
+WHERE vx BETWEEN 0 AND 10 AND vy BETWEEN 0 AND 10 AND vz BETWEEN 0 AND 10 GROUP BY 1, 2, 3""")
+def points_to_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.points_to_grid(vectors(spark, sf_dir), _GRID, _SHAPE)
+
+
+def _label_grid(spark: SparkSession) -> DataFrame:
+    v = spark.range(1331).select((F.col("id") % 11).alias("vx"), (F.floor(F.col("id") / 11) % 11).alias("vy"), F.floor(F.col("id") / 121).alias("vz"))
+    return v.withColumn("index", ((F.col("vx") + 2 * F.col("vy") + 3 * F.col("vz")) % 26 - 1).cast("int")).where("index >= 0")
+
+
+@query(_V + """, p AS (SELECT vec_id, CAST(floor((x + 0.5) / 0.1 + 0.5) AS BIGINT) AS vx, CAST(floor((y + 0.5) / 0.1 + 0.5) AS BIGINT) AS vy, CAST(floor((z + 0.5) / 0.1 + 0.5) AS BIGINT) AS vz FROM v),
+l AS (SELECT vec_id, CASE WHEN vx BETWEEN 0 AND 10 AND vy BETWEEN 0 AND 10 AND vz BETWEEN 0 AND 10 AND (vx + 2 * vy + 3 * vz) % 26 >= 1 THEN CAST((vx + 2 * vy + 3 * vz) % 26 - 1 AS INTEGER) ELSE 0 END AS "index" FROM p)
+SELECT vec_id, l."index", n_name AS name FROM l LEFT JOIN nation ON n_nationkey = l."index\"""")
+def point_in_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label and name of the voxel that holds each point."""
+    return spatial.label_points(vectors(spark, sf_dir), _label_grid(spark), _GRID, labels(spark, sf_dir)).select("vec_id", "index", "name")
+
+
+@query(_V + """, f AS (SELECT vec_id, (x + 0.5) / 0.1 AS x, (y + 0.5) / 0.1 AS y, (z + 0.5) / 0.1 AS z FROM v)
+SELECT vec_id, round(x + 2 * y - z, 5) AS value FROM f""")
+def scalar_sample_trilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear interpolation of a grid at points; the grid's values are linear, so interpolation gives their formula."""
+    grid = spark.range(41**3).select((F.col("id") % 41 - 15).alias("vx"), (F.floor(F.col("id") / 41) % 41 - 15).alias("vy"), (F.floor(F.col("id") / 1681) - 15).alias("vz"))
+    grid = grid.withColumn("value", (F.col("vx") + 2 * F.col("vy") - F.col("vz")).cast("double"))
+    return spatial.sample_linear(vectors(spark, sf_dir), "vec_id", grid, ["value"], _GRID).select("vec_id", F.round("value", 5).alias("value"))
+
+
+@query(_V + """SELECT vec_id, round(x + 0.5 * x, 5) AS template_x, round(y - 0.25, 5) AS template_y, round(z, 5) AS template_z FROM v""")
+def transform_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points moved by a displacement field on a grid."""
+    field = spark.range(41**3).select((F.col("id") % 41 - 15).alias("vx"), (F.floor(F.col("id") / 41) % 41 - 15).alias("vy"), (F.floor(F.col("id") / 1681) - 15).alias("vz"))
+    field = field.withColumns({"dx": (F.col("vx") * 0.1 - 0.5) * 0.5, "dy": F.lit(-0.25), "dz": F.lit(0.0)})
+    return spatial.transform_points(vectors(spark, sf_dir), "vec_id", field, _GRID).select("vec_id", *[F.round(f"template_{a}", 5).alias(f"template_{a}") for a in "xyz"])
+
+
+@query(_V + """SELECT round(avg(m), 6) AS mean, round(stddev_pop(m), 6) AS std, round(max(m), 6) AS max FROM (SELECT sqrt(x*x + y*y + z*z) AS m FROM v)""")
+def warp_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spatial.magnitude_summary(vectors(spark, sf_dir).withColumnsRenamed({f"pos_{a}": f"d{a}" for a in "xyz"}))
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@query("""WITH v AS (SELECT label, CAST(floor(embedding[1] * 10) AS BIGINT) AS vx, CAST(floor(embedding[2] * 10) AS BIGINT) AS vy, CAST(floor(embedding[3] * 10) AS BIGINT) AS vz FROM embeddings),
+b AS (SELECT label, count(*) AS nvoxels, CAST(count(*) AS DOUBLE) / ((max(vx) - min(vx) + 1) * (max(vy) - min(vy) + 1) * (max(vz) - min(vz) + 1)) AS extent, min(vx) AS min_x, max(vx) AS max_x FROM v GROUP BY 1)
+SELECT label, nvoxels, round(extent, 6) AS extent, min_x, max_x FROM b WHERE extent >= 0.15""")
+def bbox_extent_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of the labels whose box is filled enough to be kept."""
+    v = table(spark, sf_dir, "embeddings").select("label", *[F.floor(F.col("embedding")[i] * 10).alias(f"v{a}") for i, a in enumerate("xyz")])
+    return spatial.bounding_boxes(volume.cleaned(v)).select("label", "nvoxels", F.round("extent", 6).alias("extent"), "min_x", "max_x")
+
+
+@query(_V + """SELECT vec_id, 's' || label || '_' || (row_number() OVER (ORDER BY 's' || label, z, y, x, vec_id % 50 + 1) - 1) AS object_id, round(cbrt(3.0 * (vec_id % 50 + 1) * pow(0.002, 3) / (4 * pi())), 8) AS radius FROM v""")
+def object_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Radius and a stable id of every object, numbered by stain, position and size."""
+    v = vectors(spark, sf_dir).withColumn("stain", F.concat(F.lit("s"), F.col("label"))).withColumn("nvoxels", F.col("vec_id") % 50 + 1)
+    return spatial.with_object_ids(v).select("vec_id", "object_id", F.round("radius", 8).alias("radius"))
+
+
+@query()
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of 200 objects by a seeded hash: the limit is the operator."""
+    return spatial.seeded_sample(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 200)
+
+
+# --- intensities -----------------------------------------------------------------------------------------------------------------------------
+
+
+_HIST = """WITH b AS (SELECT unnest(range(50)) AS bin), c AS (SELECT CAST(least(floor(value / 10.0), 49) AS BIGINT) AS bin, count(*) AS count FROM events WHERE value BETWEEN 0 AND 500 GROUP BY 1),
+h AS (SELECT CAST(b.bin AS INTEGER) AS bin, b.bin * 10.0 AS lo, (b.bin + 1) * 10.0 AS hi, coalesce(c.count, 0) AS count FROM b LEFT JOIN c ON c.bin = b.bin) """
+
+
+def _events_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.histogram(table(spark, sf_dir, "events"), "value", 0.0, 500.0, 50)
+
+
+@query(_HIST + "SELECT bin, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, count FROM h")
+def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events_histogram(spark, sf_dir)
+
+
+@query(_HIST + "SELECT bin, CAST(sum(count) OVER (ORDER BY bin) AS BIGINT) AS cum_count, round(sum(count) OVER (ORDER BY bin) / sum(count) OVER (), 6) AS ecdf FROM h")
+def histogram_ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.with_ecdf(_events_histogram(spark, sf_dir)).select("bin", "cum_count", F.round("ecdf", 6).alias("ecdf"))
+
+
+@query(_HIST + """, e AS (SELECT *, (lo + hi) / 2 AS center, sum(count) OVER (ORDER BY bin) / sum(count) OVER () AS ecdf FROM h)
+SELECT round(CAST(sum(center * count) / sum(count) AS DOUBLE), 4) AS mean, round(CAST(100.0 * max(count) FILTER (bin = 49) / sum(count) AS DOUBLE), 6) AS saturation_pct, CAST(min(center) FILTER (ecdf >= 0.5) AS DOUBLE) AS q50, CAST(min(center) FILTER (ecdf >= 0.9) AS DOUBLE) AS q90, CAST(min(center) FILTER (ecdf >= 0.99) AS DOUBLE) AS q99 FROM e""")
+def hist_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = agg.histogram_summary(_events_histogram(spark, sf_dir))
+    return out.select(r4("mean").alias("mean"), F.round("saturation_pct", 6).alias("saturation_pct"), "q50", "q90", "q99")
+
+
+_AT = (1, 5, 25, 50, 75, 95, 99)
+
+
+@query("SELECT " + ", ".join(f"round(quantile_cont(l_extendedprice, {a / 100}), 4) AS p{a}" for a in _AT) + " FROM lineitem")
+def percentiles_7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = agg.percentiles(table(spark, sf_dir, "lineitem").select("l_extendedprice"), "l_extendedprice", _AT)
+    return out.select(*[r4(c).alias(c) for c in out.columns])
+
+
+@query("""SELECT l_returnflag, round(min(l_extendedprice), 4) AS min, round(max(l_extendedprice), 4) AS max, round(avg(l_extendedprice), 4) AS mean, round(stddev_pop(l_extendedprice), 4) AS std,
+round(stddev_pop(l_extendedprice) / avg(l_extendedprice), 6) AS cv FROM lineitem GROUP BY 1""")
+def moments_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = agg.moments(table(spark, sf_dir, "lineitem"), "l_extendedprice", ("l_returnflag",))
+    return out.select("l_returnflag", *[F.round(c, 6 if c == "cv" else 4).alias(c) for c in ("min", "max", "mean", "std", "cv")])
+
+
+@query("""SELECT CAST(day(ts) AS INTEGER) AS z, round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std FROM events GROUP BY 1""")
+def slice_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = agg.slice_profile(table(spark, sf_dir, "events").select(F.dayofmonth("ts").alias("z"), "value"), "z", "value")
+    return out.select("z", r4("mean").alias("mean"), r4("std").alias("std"))
+
+
+@query("""WITH p AS (SELECT n_nationkey AS x, CAST(n_nationkey * n_nationkey AS DOUBLE) AS v FROM nation), i AS (SELECT unnest(range(49)) AS i)
+SELECT CAST(i AS BIGINT) AS i, round(a.v + (i / 2.0 - a.x) * (b.v - a.v), 6) AS value FROM i JOIN p a ON a.x = floor(i / 2.0) JOIN p b ON b.x = least(floor(i / 2.0) + 1, 24)""")
+def profile_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey") * F.col("n_nationkey")).cast("double").alias("v"))
+    return agg.resampled(p, "n_nationkey", "v", 49).select("i", F.round("value", 6).alias("value"))
+
+
+@query("""SELECT l_returnflag AS stain, count(*) AS count, round(avg(l_quantity), 4) AS mean, round(median(l_quantity), 4) AS median, round(max(l_quantity), 4) AS max, round(sum(l_quantity), 4) AS total,
+round(avg(cbrt(3 * l_quantity / (4 * pi()))), 6) AS mean_radius, round(median(cbrt(3 * l_quantity / (4 * pi()))), 6) AS median_radius FROM lineitem GROUP BY 1""")
+def object_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("stain"), "l_quantity")
+    out = agg.object_summary(items, "l_quantity", sphere_radius(F.col("l_quantity")), ("stain",))
+    return out.select("stain", "count", *[r4(c).alias(c) for c in ("mean", "median", "max", "total")], *[F.round(c, 6).alias(c) for c in ("mean_radius", "median_radius")])
+
+
+@query(OBJECTS_SQL + """, r AS (SELECT stain, "index", name, sum(nvoxels) AS nvoxels FROM o WHERE "index" > 0 GROUP BY 1, 2, 3), k AS (SELECT *, row_number() OVER (PARTITION BY stain ORDER BY nvoxels DESC, "index") AS rank FROM r)
+SELECT stain, "index", name, round(nvoxels, 4) AS nvoxels, CAST(rank AS INTEGER) AS rank FROM k WHERE rank <= 20""")
+def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty regions with most voxels of each stain, without the background: the limit is the operator."""
+    r = objects(spark, sf_dir).where("index > 0").groupBy("stain", "index", "name").agg(F.sum("nvoxels").alias("nvoxels"))
+    return regions.top_n(r, "nvoxels", 20, ("stain",)).select("stain", "index", "name", r4("nvoxels").alias("nvoxels"), "rank")
+
+
+@query("""SELECT event_type, count(*) AS count FROM events GROUP BY 1""")
+def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").groupBy("event_type").count().orderBy(F.desc("count"), "event_type")
+
+
+@query("""SELECT event_id, CASE WHEN value > 100 THEN 100 ELSE 0 END AS mask FROM events""")
+def threshold_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", threshold_mask(F.col("value"), 100).alias("mask"))
+
+
+_EVENT_VOXELS = """WITH e AS (SELECT CAST(day(ts) AS BIGINT) AS vx, user_id % 20 AS vy, avg(CASE WHEN value > 100 THEN 100.0 ELSE 0.0 END) AS value, max(value) AS top FROM events GROUP BY 1, 2) """
+
+
+def _event_voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.dayofmonth("ts").cast("long").alias("vx"), (F.col("user_id") % 20).alias("vy"), "value")
+    return e.groupBy("vx", "vy").agg(F.avg(threshold_mask(F.col("value"), 100).cast("double")).alias("value"), F.max("value").alias("top"))
+
+
+@query(_EVENT_VOXELS + "SELECT CAST(floor(vx / 4) AS BIGINT) AS vx, CAST(floor(vy / 4) AS BIGINT) AS vy, round(avg(value), 4) AS value FROM e GROUP BY 1, 2")
+def block_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field fraction of blocks of 4 by 4 voxels."""
+    return agg.block_mean(_event_voxels(spark, sf_dir), 4, "value", ("vx", "vy")).select("vx", "vy", r4("value").alias("value"))
+
+
+@query(_EVENT_VOXELS + "SELECT vx, round(max(top), 4) AS top FROM e GROUP BY 1")
+def max_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return agg.projection(_event_voxels(spark, sf_dir), ("vx",), "top").select("vx", r4("top").alias("top"))
+
+
+@query(_EVENT_VOXELS + """SELECT CAST((vx + vy) % 5 AS INTEGER) AS "index", round(avg(value), 4) AS fieldfrac, round(count(*) * 0.5, 4) AS volume FROM e GROUP BY 1""")
+def zonal_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _event_voxels(spark, sf_dir).withColumn("index", ((F.col("vx") + F.col("vy")) % 5).cast("int"))
+    return regions.zonal_mean(v, "value", 0.5).select("index", r4("fieldfrac").alias("fieldfrac"), "volume")
+
+
+@query("""SELECT event_type AS label, count(*) FILTER (value > 30) AS n_in, count(*) FILTER (NOT value > 30) AS n_out FROM events GROUP BY 1 HAVING count(*) FILTER (value > 30) > count(*) FILTER (NOT value > 30)""")
+def class_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.class_vote(table(spark, sf_dir, "events").select(F.col("event_type").alias("label"), (F.col("value") > 30).alias("inside")), "inside")
+
+
+@query(OBJECTS_SQL + """, f AS (SELECT "index", avg(price) AS feature FROM o WHERE "index" < 10 GROUP BY 1)
+SELECT o_orderkey, CAST(o_orderkey % 26 AS INTEGER) AS "index", round(coalesce(feature, 0), 4) AS value FROM orders LEFT JOIN f ON f."index" = o_orderkey % 26""")
+def feature_paint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Voxels painted with a statistic of their label; labels without one become 0."""
+    f = objects(spark, sf_dir).where("index < 10").groupBy("index").agg(F.avg("price").alias("feature"))
+    v = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 26).cast("int").alias("index"))
+    return volume.painted(v, f, "feature").select("o_orderkey", "index", r4("value").alias("value"))
+
+
+@query(_EVENT_VOXELS + "SELECT vx, vy, CASE WHEN vx < 15 THEN round(value, 4) ELSE 0 END AS value FROM e")
+def hemisphere_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = volume.half_zeroed(_event_voxels(spark, sf_dir), 31, "left")
+    return v.select("vx", "vy", r4("value").alias("value"))
+
+
+@query("""WITH q AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.995) AS hi FROM events)
+SELECT event_id, round_even(least(1, greatest(0, (value - lo) / (hi - lo))) * 255, 0) AS scaled FROM events, q""")
+def normalise_uint8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intensities between two percentiles on a scale of 0 to 255."""
+    return agg.stretched(table(spark, sf_dir, "events").select("event_id", "value"), "value").select("event_id", "scaled")
+
+
+@query("""SELECT event_type, count(*) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS q25, round(quantile_cont(value, 0.5), 4) AS q50, round(quantile_cont(value, 0.75), 4) AS q75, round(max(value), 4) AS max FROM events GROUP BY 1""")
+def summary_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = agg.described(table(spark, sf_dir, "events"), "value", "event_type")
+    return out.select("event_type", "count", *[r4(c).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+@query(_V + f"""SELECT label, count(*) AS n_objects, CAST(count(DISTINCT m.id) AS BIGINT) AS n_matched, round(100.0 * count(DISTINCT m.id) / count(DISTINCT v.vec_id), 4) AS pct_matched FROM v LEFT JOIN (SELECT DISTINCT a.vec_id AS id FROM v a JOIN v b ON a.label < b.label
+WHERE sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) <= {_RADIUS}) m ON m.id = v.vec_id GROUP BY 1""")
+def match_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of each stain's objects that lie close to an object of a later stain."""
+    matched = coloc_pairs(spark, sf_dir).select(F.col("id_a").alias("vec_id")).distinct().withColumn("_m", F.lit(1))
+    out = vectors(spark, sf_dir).select("vec_id", "label").join(matched, "vec_id", "left").groupBy("label").agg(F.count(F.lit(1)).alias("n_objects"), F.count("_m").alias("n_matched"))
+    return out.withColumn("pct_matched", r4(100.0 * F.col("n_matched") / F.col("n_objects")))
+
+
+@query()
+def chosen_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds of three methods from one histogram of all values."""
+    e = table(spark, sf_dir, "events").select("value")
+    rows = [(m, float(volume.choose_threshold(e, "value", parse_method(m), 0.0, 500.0, 1.0))) for m in ("th40", "otsu+k3i1", "gmm+n3k1")]
+    return spark.createDataFrame(rows, "method string, threshold double")
+
+
+# --- graphs ----------------------------------------------------------------------------------------------------------------------------------
+
+
+_SKELETON = """WITH s AS (SELECT DISTINCT CAST(l_linenumber % 2 AS BIGINT) AS channel, CAST(l_partkey % 12 AS BIGINT) AS x, CAST(l_suppkey % 12 AS BIGINT) AS y, CAST(l_orderkey % 12 AS BIGINT) AS z FROM lineitem WHERE l_orderkey % 8 = 3),
+e AS (SELECT a.channel, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS b_y, b.z AS bz, (a.x + a.y) % 5 AS ra, (b.x + b.y) % 5 AS rb, sqrt((b.x-a.x)*(b.x-a.x)*4 + (b.y-a.y)*(b.y-a.y)*9 + (b.z-a.z)*(b.z-a.z)*16) AS len
+FROM s a JOIN s b ON a.channel = b.channel AND abs(a.x-b.x) <= 1 AND abs(a.y-b.y) <= 1 AND abs(a.z-b.z) <= 1 AND (a.x, a.y, a.z) < (b.x, b.y, b.z)) """
+_SPACING = [[2.0, 0, 0, 10], [0, 3.0, 0, 20], [0, 0, 4.0, 30], [0, 0, 0, 1]]
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "lineitem").where("l_orderkey % 8 = 3").select((F.col("l_linenumber") % 2).cast("long").alias("channel"), *[(F.col(c) % 12).alias(f"vox_{a}") for a, c in (("x", "l_partkey"), ("y", "l_suppkey"), ("z", "l_orderkey"))]).distinct()
+    return graph.skeleton_edges(s.withColumn("radius", (-(F.col("vox_x") + F.col("vox_y")) % 5).cast("double")), _SPACING)
+
+
+@query(_SKELETON + "SELECT channel, ax AS src_vox_x, ay AS src_vox_y, az AS src_vox_z, bx AS dst_vox_x, b_y AS dst_vox_y, bz AS dst_vox_z, round(len, 6) AS edge_length, CAST(ra AS DOUBLE) AS src_radius FROM e")
+def edge_list_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of a skeleton between touching voxels, each once.  (The filter makes the voxel set; it isn't a sample of a result.)"""
+    return graph.distinct_edges(_edges(spark, sf_dir)).select("channel", *[f"{e}_{v}" for e in ("src", "dst") for v in graph.VOXEL], F.round("edge_length", 6).alias("edge_length"), "src_radius")
+
+
+@query(_SKELETON + """, n AS (SELECT DISTINCT channel, x, y, z, r FROM (SELECT channel, ax AS x, ay AS y, az AS z, ra AS r FROM e UNION ALL SELECT channel, bx, b_y, bz, rb FROM e))
+SELECT row_number() OVER (ORDER BY channel, z, y, x) - 1 AS node_id, channel, x AS vox_x, y AS vox_y, z AS vox_z, round(CAST(2 * x + 10 AS DOUBLE), 4) AS x, round(CAST(r AS DOUBLE), 4) AS radius FROM n""")
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.nodes_of(_edges(spark, sf_dir)).select("node_id", "channel", *graph.VOXEL, r4("x").alias("x"), r4("radius").alias("radius"))
+
+
+@query(_SKELETON + """, n AS (SELECT *, row_number() OVER (ORDER BY channel, z, y, x) - 1 AS id FROM (SELECT channel, ax AS x, ay AS y, az AS z FROM e UNION SELECT channel, bx, b_y, bz FROM e))
+SELECT row_number() OVER (ORDER BY e.channel, p.id, q.id) - 1 AS edge_id, e.channel, p.id AS src_node_id, q.id AS dst_node_id, round(len, 6) AS edge_length
+FROM e JOIN n p ON p.channel = e.channel AND p.x = ax AND p.y = ay AND p.z = az JOIN n q ON q.channel = e.channel AND q.x = bx AND q.y = b_y AND q.z = bz""")
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _edges(spark, sf_dir)
+    return graph.edges_with_nodes(e, graph.nodes_of(e)).select("edge_id", "channel", "src_node_id", "dst_node_id", F.round("edge_length", 6).alias("edge_length"))
+
+
+def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(*[(F.col(c) % 16).alias(f"v{a}") for a, c in (("x", "l_partkey"), ("y", "l_suppkey"), ("z", "l_orderkey"))]).where("(vx + vy * 3 + vz * 5) % 4 = 0").distinct()
+
+
+_MASK = "SELECT DISTINCT l_partkey % 16 AS x, l_suppkey % 16 AS y, l_orderkey % 16 AS z FROM lineitem WHERE l_quantity > 45 AND (l_partkey % 16 + l_suppkey % 16 * 3 + l_orderkey % 16 * 5) % 4 = 0"
+
+
+@query(f"""WITH RECURSIVE m AS ({_MASK}), e AS (SELECT a.x * 256 + a.y * 16 + a.z AS a, b.x * 256 + b.y * 16 + b.z AS b FROM m a JOIN m b ON abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) <= 1),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), l AS (SELECT a, min(b) AS label FROM r GROUP BY 1)
+SELECT round(2 * avg(a // 256) + 10, 6) AS pos_x, round(3 * avg(a // 16 % 16) + 20, 6) AS pos_y, round(4 * avg(a % 16) + 30, 6) AS pos_z, count(*) AS nvoxels FROM l GROUP BY label""")
+def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects from a mask: voxels that share faces, their mean position and size."""
+    out = graph.component_objects(graph.voxel_components(_mask(spark, sf_dir), 6), _SPACING)
+    return out.select(*[F.round(f"pos_{a}", 6).alias(f"pos_{a}") for a in "xyz"], "nvoxels")
+
+
+@query(f"""WITH m AS ({_MASK}),
+b AS (SELECT i % 16 AS x, i // 16 % 16 AS y, i // 256 AS z FROM (SELECT unnest(range(4096)) AS i)), o AS (SELECT b.* FROM b ANTI JOIN m USING (x, y, z)),
+p AS (SELECT b.x, b.y, b.z, min((b.x-m.x)*(b.x-m.x)*4 + (b.y-m.y)*(b.y-m.y)*9 + (b.z-m.z)*(b.z-m.z)*16) AS d FROM b CROSS JOIN m GROUP BY 1, 2, 3), q AS (SELECT b.x, b.y, b.z, min((b.x-o.x)*(b.x-o.x)*4 + (b.y-o.y)*(b.y-o.y)*9 + (b.z-o.z)*(b.z-o.z)*16) AS d FROM b CROSS JOIN o GROUP BY 1, 2, 3)
+SELECT p.x AS vx, p.y AS vy, p.z AS vz, round(sqrt(p.d) - sqrt(q.d), 6) AS sdt FROM p JOIN q USING (x, y, z)""")
+def signed_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact signed distances of a box of voxels to a mask."""
+    return volume.signed_distance(_mask(spark, sf_dir), (16, 16, 16), (2.0, 3.0, 4.0)).select("vx", "vy", "vz", F.round("sdt", 6).alias("sdt"))
+
+
+# --- text and metadata -----------------------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT page_id, nullif(regexp_extract(url, '(?:^|/)(blog[^/]*)', 1), '') AS participant_id FROM pages""")
+def path_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", path_entity(F.col("url"), "blog").alias("participant_id"))
+
+
+@query("""SELECT p_partkey, printf('%02x%02x%02x', CAST(p_size AS INTEGER), CAST(p_partkey % 256 AS INTEGER), CAST(p_partkey * 7 % 256 AS INTEGER)) AS color, CAST(p_partkey % 256 AS INTEGER) AS green,
+CASE WHEN length(trim(regexp_replace(p_name, '[^a-zA-Z0-9]+', '_', 'g'), '_')) > 0 THEN trim(regexp_replace(p_name, '[^a-zA-Z0-9]+', '_', 'g'), '_') ELSE 'idx' || p_partkey END AS slug FROM part""")
+def lut_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colours to and from hexadecimal digits, and labels as file names."""
+    p = table(spark, sf_dir, "part")
+    color = rgb_hex(F.col("p_size"), F.col("p_partkey") % 256, F.col("p_partkey") * 7 % 256)
+    return p.select("p_partkey", color.alias("color"), hex_channel(color, 1).alias("green"), slug(F.col("p_name"), F.concat(F.lit("idx"), F.col("p_partkey").cast("string"))).alias("slug"))
+
+
+@query("""SELECT event_id, json_extract_string(props, '$.' || json_keys(props)[1]) AS first_value FROM events""")
+def sidecar_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first setting of each JSON object."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", F.map_values(F.from_json("props", "map<string,string>"))[0].alias("first_value"))
+
+
+@query(_V + "SELECT vec_id, round(0.1 * x - 0.5, 6) AS x, round(sqrt(x * x + y * y), 5) AS size FROM v")
+def affine_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = vectors(spark, sf_dir)
+    x, _, _ = affine(_GRID, F.col("pos_x"), F.col("pos_y"), F.col("pos_z"))
+    return v.select("vec_id", F.round(x, 6).alias("x"), F.round(norm(F.col("pos_x"), F.col("pos_y")), 5).alias("size"))
