@@ -444,7 +444,7 @@ def max_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.projection(_event_voxels(spark, sf_dir), ("vx",), "top").select("vx", r4("top").alias("top"))
 
 
-@query(_EVENT_VOXELS + """SELECT CAST((vx + vy) % 5 AS INTEGER) AS "index", round(avg(value), 4) AS fieldfrac, round(count(*) * 0.5, 4) AS volume FROM e GROUP BY 1""")
+@query(_EVENT_VOXELS + """SELECT CAST((vx + vy) % 5 AS INTEGER) AS "index", round(avg(value), 4) AS fieldfrac, CAST(count(*) * 0.5 AS DOUBLE) AS volume FROM e GROUP BY 1""")
 def zonal_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _event_voxels(spark, sf_dir).withColumn("index", ((F.col("vx") + F.col("vy")) % 5).cast("int"))
     return regions.zonal_mean(v, "value", 0.5).select("index", r4("fieldfrac").alias("fieldfrac"), "volume")
