@@ -500,6 +500,60 @@ def chosen_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "method string, threshold double")
 
 
+@query(_EVENT_VOXELS + "SELECT vx, vy, CASE WHEN (vx + vy) % 3 = 0 THEN round(value, 4) ELSE 0 END AS value FROM e")
+def mask_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image times mask; voxels that the mask lacks become 0."""
+    v = _event_voxels(spark, sf_dir).withColumn("vz", F.lit(0))
+    m = v.where("(vx + vy) % 3 = 0").select("vx", "vy", "vz", F.lit(1).alias("mask"))
+    return volume.masked(v.withColumn("value", r4("value")), m).select("vx", "vy", "value")
+
+
+@query(_EVENT_VOXELS + """, c AS (SELECT * FROM (VALUES (1, 5, 5), (2, 30, 19), (3, 12, 2)) t(patch_id, cx, cy))
+SELECT patch_id, vx - cx + 4 AS vx, vy - cy + 4 AS vy, round(top, 4) AS top FROM e JOIN c ON vx >= cx - 4 AND vx < cx + 4 AND vy >= cy - 4 AND vy < cy + 4""")
+def patch_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of a fixed size around centres; those at the edge have fewer voxels."""
+    centers = spark.createDataFrame([(1, 5, 5, 0), (2, 30, 19, 0), (3, 12, 2, 0)], "patch_id int, cx long, cy long, cz long")
+    v = _event_voxels(spark, sf_dir).select("vx", "vy", F.lit(0).cast("long").alias("vz"), r4("top").alias("top"))
+    return volume.crops(v, centers, (8, 8, 1)).select("patch_id", "vx", "vy", "top")
+
+
+@query(_EVENT_VOXELS + """, f AS (SELECT floor(vx / 4) AS bx, floor(vy / 4) AS b_y, avg(top) AS f FROM e GROUP BY 1, 2)
+SELECT vx, vy, round(top / f, 6) AS value FROM e JOIN f ON bx = floor(vx / 4) AND b_y = floor(vy / 4)""")
+def bias_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values divided by a coarse field, here their own block means."""
+    v = _event_voxels(spark, sf_dir).select("vx", "vy", F.lit(0).cast("long").alias("vz"), F.col("top").alias("value"))
+    return volume.bias_corrected(v, agg.block_mean(v, 4, "value"), 4).select("vx", "vy", F.round("value", 6).alias("value"))
+
+
+@query("""SELECT CAST(day(ts) AS BIGINT) AS vx, user_id % 20 AS vy, round(sum(value), 4) AS value FROM events GROUP BY 1, 2""")
+def accumulate_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the images of all event types, voxel by voxel."""
+    e = table(spark, sf_dir, "events").groupBy("event_type", F.dayofmonth("ts").cast("long").alias("vx"), (F.col("user_id") % 20).alias("vy")).agg(F.sum("value").alias("value"))
+    return agg.accumulated(e, "value", ("vx", "vy")).select("vx", "vy", r4("value").alias("value"))
+
+
+@query("""SELECT DISTINCT c_mktsegment AS stain, c_mktsegment IN ('BUILDING', 'MACHINERY', 'NOWHERE') AS requested FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""")
+def stain_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stains that are there, without the ignored ones, and whether they were asked for."""
+    one = lambda *x: spark.createDataFrame([(v,) for v in x], "stain string")
+    there = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("stain")).distinct().join(one("HOUSEHOLD"), "stain", "left_anti")
+    return there.join(one("BUILDING", "MACHINERY", "NOWHERE").withColumn("_r", F.lit(True)), "stain", "left").select("stain", F.coalesce("_r", F.lit(False)).alias("requested"))
+
+
+@query("""SELECT c_nationkey, arg_min(c_mktsegment, CASE c_mktsegment WHEN 'MACHINERY' THEN 1 WHEN 'BUILDING' THEN 2 END) AS stain FROM customer WHERE c_mktsegment IN ('MACHINERY', 'BUILDING') GROUP BY 1""")
+def first_available(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first stain of a list of preferences that each subject has."""
+    rank = F.array_position(F.array(F.lit("MACHINERY"), F.lit("BUILDING")), F.col("c_mktsegment"))
+    return table(spark, sf_dir, "customer").withColumn("rank", rank).where("rank > 0").groupBy("c_nationkey").agg(F.min_by("c_mktsegment", "rank").alias("stain"))
+
+
+@query()
+def smoothed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A separable Gaussian mean of an image over the voxels that are there."""
+    v = _event_voxels(spark, sf_dir).select("vx", "vy", F.lit(0).cast("long").alias("vz"), "value")
+    return volume.gaussian_smoothed(v, 1.5).select("vx", "vy", F.round("value", 6).alias("value"))
+
+
 # --- graphs ----------------------------------------------------------------------------------------------------------------------------------
 
 
