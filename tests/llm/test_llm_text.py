@@ -101,6 +101,16 @@ def test_passages_random(spark):
         assert got[i] == len({j for k in range(len(w) - 34) if seen[tuple(w[k : k + 35])] > 1 for j in range(k, k + 35)})
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 15, 20, 27, 34, 35, 36])
+def test_passages_of_a_small_slice(spark, n):
+    """A slice may have fewer words than a window, or hardly more."""
+    text = " ".join(f"w{i}" for i in range(n))
+    got = passages.remove_passages(make(spark, [text, "a b c"]).coalesce(1)).collect()
+    assert all(r["n_removed"] == 0 for r in got)
+    anchor, whole, of, first = passages._window_hashes([text.encode().split()], {}, 35, 8)
+    assert len(anchor) == len(whole) == len(of) == len(first) == max(0, n - 34)
+
+
 def components_of(texts):
     sets = []
     for x in texts:

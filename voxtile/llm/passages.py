@@ -32,6 +32,8 @@ _GAP = r"[\x20\x09-\x0D]+"
 def _window_hashes(words: list[list[bytes]], cache: dict[bytes, int], width: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all windows of all texts: anchor, hash, number of the text, first word."""
     length = np.array([len(x) for x in words], np.int64)
+    if length.sum() < width:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     h = hash_words([w for x in words for w in x], cache)
     whole = windows(h, width, 0xD6E8FEB86659FD93)
     least = windows(h, run)
