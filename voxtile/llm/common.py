@@ -146,6 +146,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def most_frequent(df: DataFrame, bound: int, n: str = "n") -> DataFrame:
+    """The rows with the largest counts, at most ``bound`` of them: those from some count on.
+
+    The count comes from a histogram with four bins to a power of two, so that no task sends its own largest rows to the driver.
+    """
+    bin_of = F.floor(4 * F.log2(F.col(n)))
+    sizes = sorted(df.where(F.col(n) > 0).groupBy(bin_of.alias("b")).agg(F.count(F.lit(1)).alias("m")).collect(), reverse=True)
+    total, least = 0, None
+    for b, m in sizes:
+        total += m
+        if total > bound:
+            break
+        least = b
+    return df.where((F.col(n) > 0) & (bin_of >= least)) if least is not None else df.limit(0)
+
+
 def crc32_fold(column: str, folds: int):
     """crc32 of a value's text, modulo ``folds``; null counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
