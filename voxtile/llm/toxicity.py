@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc32_fold, documents, map_blocks
+from .common import checkpointed, crc32_fold, documents, map_blocks
 
 #: Bounds of the sample the model is learned from (texts of either label) and of the features kept.
 TOXIC_DOCS, CLEAN_DOCS, MAX_FEATURES = 2_500, 5_000, 20_000
-#: A feature is kept if so many toxic texts have it and its share among them is so many times that among the others.
-LEAST_TEXTS, LEAST_LIFT = 4, 4.0
+#: A feature is kept if so many toxic texts, and such a share of them, have it, and that share is so many times the one among the others.
+LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT = 4, 0.015, 4.0
 GRADES = 3
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -72,7 +72,7 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - margin[:, None], -40, 40)))
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, size: int, rounds: int = 400, rate: float = 0.1, decay: float = 5e-5) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, size: int, rounds: int = 1000, rate: float = 0.1, decay: float = 5e-6) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds that maximise the likelihood of the grades, by full-batch Adam."""
     n, k = len(grades), GRADES - 1
     w, raw = np.zeros(size), np.concatenate([[1.0], np.zeros(k - 1)])  # first threshold, logs of the steps to the next
@@ -125,7 +125,7 @@ def train(df: DataFrame, text: str = "text", toxic: str = "toxic", toxic_docs: i
     seen = map_blocks(sample, "text", make, "feature string, clean long, bad long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")).where(f"bad >= {LEAST_TEXTS} or feature = ''")
     size = {y: min(n, m) for (y, n), m in zip(sorted(counts.items()), (clean_docs, toxic_docs))}
     share_bad, share_clean = F.col("bad") / max(size[1], 1), (F.col("clean") + 0.5) / max(size[0], 1)
-    best = seen.where(F.col("feature") != "").where(share_bad >= LEAST_LIFT * share_clean).orderBy(F.desc(share_bad - share_clean), "feature").limit(MAX_FEATURES)
+    best = seen.where(F.col("feature") != "").where((share_bad >= LEAST_LIFT * share_clean) & (share_bad >= LEAST_SHARE)).orderBy(F.desc(share_bad - share_clean), "feature").limit(MAX_FEATURES)
     names = [r[0] for r in best.select("feature").collect()]
     model = Ordinal({x: i for i, x in enumerate(names)}, np.zeros(len(names)), np.zeros(GRADES - 1))
     sent = df.sparkSession.sparkContext.broadcast(model)
@@ -180,9 +180,18 @@ def severity(df: DataFrame, model: Ordinal | None, text: str = "text") -> DataFr
     return map_blocks(df, text, make, schema)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", toxic: str = "toxic", toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> DataFrame:
+    """Labelled texts for ``train``: the labels are sampled first, to a bounded number, and sent to the documents, which stay where they are."""
+    known = labels.select(key, F.col(toxic).cast("int").alias(toxic)).where(f"{toxic} in (0, 1)")
+    counts = {r[0]: r[1] for r in known.groupBy(toxic).count().collect()}
+    share = F.when(F.col(toxic) == 1, toxic_docs / counts.get(1, 1)).otherwise(clean_docs / counts.get(0, 1))
+    sample = known.where(F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * (toxic_docs + clean_docs))
+    return checkpointed(docs.join(F.broadcast(sample), key))
+
+
 def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, severity, p_toxic, grade, toxic_pred of every whole text; learned from labels where crc32(doc_id) mod 5 is not 1."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    model = train(docs.join(labels, "doc_id").where(crc32_fold("doc_id", 5) != 1))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(crc32_fold("doc_id", 5) != 1)
+    model = train(labelled_sample(docs, labels))
     return severity(docs, model).select("doc_id", (crc32_fold("doc_id", 5) == 1).alias("held_out"), "severity", "p_toxic", "grade", "toxic_pred")
