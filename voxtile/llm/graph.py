@@ -21,19 +21,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     Each round is two aggregations and joins on nodes; the edges are checkpointed after it.
     Null ends and self links are ignored.
     """
-    edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    edges = checkpointed(edges)
+    edges = checkpointed(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    state = None
     for _ in range(most_rounds):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = edges.join(least.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = large.join(least, "u")
         small = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(pairs.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        new = checkpointed(small)
-        state = [x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (edges, new)]
-        edges = new
-        if state[0] == state[1]:
+        edges, before = checkpointed(small), state
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
             break
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -6,8 +6,10 @@ n - T + 1 short lists are merged and counted, and a pair goes on when its count
 make up for; the long ones are probed by binary search in the partner's sorted set.  Lists of the shingles found most
 often count as the longest, so they are merged only for sets that have hardly any others.
 
-Before that, each class is compared with one centre for each of its smallest hashes.  The groups linked by then need no
-pairs among themselves, so a group of near copies of any size costs as many comparisons as it has members.
+Before that, each class is compared with up to ``CENTRES`` others: of each short list the two classes whose lists are longest
+on average are its centres, and a class goes to the centres that most of its lists have.  An original is in all the lists of
+its copies, so it becomes their centre.  The groups linked by then need no pairs among themselves, so a group of near copies of any
+size costs a few comparisons for each member.
 """
 
 from __future__ import annotations
@@ -18,13 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, windows
+from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, most_frequent, windows
 from .graph import bitmap, components, maybe_in
 
 #: Words of a shingle, and the least similarity as a ratio of integers.
 SHINGLE, SIMILAR = 5, (75, 100)
-#: Smallest hashes that give a class its centres; shingles that are put last as the most frequent (a bound of what is broadcast).
-CENTRES, FREQUENT = 3, 65_536
+#: Centres a class is compared with, and the share of its short lists that must have one; shingles that are put last as the most frequent (a bound of what is broadcast).
+CENTRES, VOTES, FREQUENT = 3, 0.1, 65_536
 #: A shingle is counted towards the frequent ones where a slice of texts has it so often.
 OFTEN = 4
 
@@ -53,8 +55,28 @@ def _signature(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    """Shingles in each 256th of the hash space, 255 at most: the overlap of two sets is not above the sum of the smaller counts."""
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def _may_link(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) that their sketches don't rule out; exact, as the bound is, and far smaller than the sets."""
+    up, low = similar
+    both = pairs.join(sketches.withColumnsRenamed({"node": "a", "sketch": "sketch_a"}), "a").join(sketches.withColumnsRenamed({"node": "b", "sketch": "sketch_b"}), "b")
+
+    def bound(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int64) for c in ("sketch_a", "sketch_b"))
+            common = np.minimum(x, y).sum(axis=1)
+            keep = low * common >= up * (x.sum(axis=1) + y.sum(axis=1) - common)
+            yield batch.filter(pa.array(keep | ((x == 255) | (y == 255)).any(axis=1))).select(["a", "b"])
+
+    return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(bound, "a long, b long")
+
+
 def _summaries(df: DataFrame) -> DataFrame:
-    """A row for each text: hash of the text, signature and size of its set, smallest hashes; and rows of counts of shingles a slice has often."""
+    """A row for each text: hash of the text, signature, size and sketch of its set; and rows of counts of shingles a slice has often."""
 
     def make():
         cache: dict[bytes, int] = {}
@@ -71,15 +93,15 @@ def _summaries(df: DataFrame) -> DataFrame:
                 pa.concat_arrays([batch.column("text_hash"), pa.nulls(k, pa.int64())]),
                 pa.array([_signature(s) if len(s) else None for s in sets] + often.view(np.int64).tolist(), pa.int64()),
                 pa.array([len(s) for s in sets] + count.tolist(), pa.int64()),
-                pa.array([s[:CENTRES].view(np.int64).tolist() for s in sets] + [None] * k, pa.list_(pa.int64())),
                 pa.array([False] * len(sets) + [True] * k, pa.bool_()),
+                pa.array([_sketch(s) if len(s) else None for s in sets] + [None] * k, pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["row_id", "text_hash", "node", "n", "least", "is_count"])
+            return pa.RecordBatch.from_arrays(columns, ["row_id", "text_hash", "node", "n", "is_count", "sketch"])
 
         return step
 
     id_type = df.schema["row_id"].dataType.simpleString()
-    return map_blocks(df, "text", make, f"row_id {id_type}, text_hash long, node long, n long, least array<long>, is_count boolean")
+    return map_blocks(df, "text", make, f"row_id {id_type}, text_hash long, node long, n long, is_count boolean, sketch binary")
 
 
 def _prefix_rows(df: DataFrame, frequent: np.ndarray, similar: tuple[int, int]) -> DataFrame:
@@ -167,35 +189,41 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
     up, low = similar
     df = df.select(F.col(row_id).alias("row_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     found = checkpointed(_summaries(df))
-    rows = found.where("not is_count").drop("is_count")
-    classes = checkpointed(rows.where("n > 0").groupBy("node", "n").agg(F.min("row_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.min("least").alias("least")))
+    rows = found.where("not is_count").drop("is_count", "sketch")
+    sketches = found.where("n > 0 and not is_count").groupBy("node").agg(F.min("sketch").alias("sketch"))
+    classes = checkpointed(rows.where("n > 0").groupBy("node", "n").agg(F.min("row_id").alias("first_id"), F.min("text_hash").alias("text_hash")))
+
+    # short lists of two classes or more
+    counted = most_frequent(found.where("is_count").groupBy("node").agg(F.sum("n").alias("n")), FREQUENT).toPandas().sort_values(["n", "node"])
+    frequent = counted["node"].to_numpy(np.int64).view(np.uint64)  # the most frequent one last
+    same = Window.partitionBy("shingle")
+    lists = _prefix_rows(df, frequent, similar).withColumns({"lo": F.min("node").over(same), "hi": F.max("node").over(same)}).where("lo < hi")
+    lists = checkpointed(lists.select("shingle", "node", "n").distinct().withColumn("size", F.count(F.lit(1)).over(same)))
 
     # centres
-    marks = classes.select("node", "n", F.explode("least").alias("mark"))
-    centre = marks.groupBy("mark").agg(F.min(F.struct("node", "n")).alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
     fits = lambda x, y: (low * F.least(x, y) >= up * F.greatest(x, y))
-    star = marks.join(centre.select("mark", F.col("centre.node").alias("b"), F.col("centre.n").alias("nb")), "mark").where((F.col("node") != F.col("b")) & fits(F.col("n"), F.col("nb")))
-    star = checkpointed(star.select(F.col("node").alias("a"), "b").distinct())
+    short = F.col("n") - F.ceil(F.lit(up / low) * F.col("n")) + 1
+    popular = lists.groupBy("node").agg((F.sum("size") / F.max(short)).alias("popularity"))
+    place = F.row_number().over(same.orderBy(F.desc("popularity"), "node"))
+    centres = lists.join(popular, "node").withColumn("place", place).where("place <= 2").select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"))
+    votes = lists.join(centres, "shingle").where((F.col("node") != F.col("b")) & fits(F.col("n"), F.col("nb"))).groupBy("node", "n", "b").agg(F.count(F.lit(1)).alias("votes"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "b"))
+    star = votes.where(F.col("votes") >= VOTES * short).withColumn("place", place).where(F.col("place") <= CENTRES)
+    star = checkpointed(_may_link(star.select(F.col("node").alias("a"), "b"), sketches, similar))
     links = checkpointed(_linked(star, classes, df, similar))
     groups = checkpointed(components(links))
 
     # T-occurrence search between groups
-    counted = found.where("is_count").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).toPandas()
-    frequent = counted["node"].to_numpy(np.int64).view(np.uint64)[::-1]  # the most frequent one last
-    prefix = _prefix_rows(df, frequent, similar)
-    same = Window.partitionBy("shingle")
-    shared = prefix.withColumns({"lo": F.min("node").over(same), "hi": F.max("node").over(same)}).where("lo < hi").select("shingle", "node", "n")
-    shared = shared.join(groups, "node", "left").select("shingle", "node", "n", F.coalesce("component", "node").alias("component"))
-    shared = checkpointed(shared.distinct())
-    ends = shared.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
-    lists = shared.join(ends, "shingle")
+    shared = lists.join(groups, "node", "left").select("shingle", "node", "n", F.coalesce("component", "node").alias("component"))
+    ends = {"lo": F.min("component").over(same), "hi": F.max("component").over(same)}
+    lists = checkpointed(shared.withColumns(ends).where("lo < hi").select("shingle", "node", "n", "component"))
     other = lists.withColumnsRenamed({"node": "b", "n": "nb", "component": "cb"})
     a, b = F.col("n"), F.col("nb")
     met = lists.join(other, "shingle").where((F.col("component") != F.col("cb")) & ((a < b) | ((a == b) & (F.col("node") < F.col("b")))) & fits(a, b))
     counts = met.groupBy(F.col("node").alias("a"), "b", a.alias("na"), "nb").agg(F.count(F.lit(1)).alias("merged"))
     required = F.ceil(up * (F.col("na") + F.col("nb")) / F.lit(float(up + low)))
     skipped = F.ceil(F.lit(up / low) * F.greatest("na", "nb")) - 1
-    cross = checkpointed(counts.where(F.col("merged") >= required - skipped).select("a", "b"))
+    cross = checkpointed(_may_link(counts.where(F.col("merged") >= required - skipped).select("a", "b"), sketches, similar))
     links = links.union(_linked(cross, classes, df, similar))
     groups = checkpointed(components(links))
 
