@@ -346,3 +346,17 @@ def test_digest_of_kept_words(spark):
     df = make(spark, ["a  b c", None, "  "]).withColumn("j", passages.words_joined("text"))
     got = [(r["c"], r["s"]) for r in df.select(passages.count_words(F.col("j")).alias("c"), F.sha2(F.col("j").cast("binary"), 256).alias("s")).collect()]
     assert got == [(n, hashlib.sha256(x.encode()).hexdigest()) for n, x in ((2, "a b c"), (0, ""), (0, ""))]
+
+
+@pytest.mark.parametrize(
+    "between, want",
+    [
+        ("<svg class='i'/>", []), ("<SVG\n/>", []), ("<math/>", []), ("<object data='x'>", []), ("<noscript>", []), ("<template>", []), ("<svg/><p>mid</p><svg>no</svg>", ["mid"]),
+        ("<noscript><p>mid</p><noscript>no</noscript>", ["mid"]), ("<svg><svg/><svg>no</svg>no</svg>", []), ("<svg a=b/>no</svg>", []),
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", ["x=2"]), ("<object data='x'>fallback</object>", ["fallback"]), ("<script>var a;</script>", []),
+    ],
+)
+def test_html_hidden_elements(between, want):
+    """Self-closed and unclosed hidden elements take nothing else of the page with them."""
+    blocks = html_crf.leaf_blocks(f"<body><article><p>First.</p>{between}<p>Last.</p></article></body>")
+    assert [b.text for b in blocks] == ["First.", *want, "Last."]

@@ -21,7 +21,9 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose content is text that is not shown.
-HIDDEN_TAGS = ("script", "style", "template", "noscript", "iframe", "object", "svg", "math", "head", "title")
+HIDDEN_TAGS = ("script", "style", "template", "noscript", "iframe", "svg", "head", "title")
+#: Those that hide the rest of the page without an end tag, and those that have an end tag of their own each.
+RAW_TAGS, PAIRED_TAGS = ("script", "style"), ("template", "noscript", "svg")
 #: An open tag of the key ends open elements of the value, unless a table or list is in between.
 IMPLIED_ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 #: Block elements that end an open paragraph.
@@ -50,6 +52,26 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_CLOSES = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in HIDDEN_TAGS}
+_PAIRS = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.I) for tag in PAIRED_TAGS}
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+/\Z")
+
+
+def self_closed(attributes: str) -> bool:
+    """Whether a tag ends in a slash that isn't the end of an unquoted value."""
+    return attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
+
+
+def paired_ends(page: str, tag: str) -> dict[int, int]:
+    """Where the content of each element of that name begins and where its own end tag ends, in one pass; unclosed ones are left out."""
+    opened, out = [], {}
+    for m in _PAIRS[tag].finditer(page):
+        if m[1]:
+            if opened:
+                out[opened.pop()] = m.end()
+        elif not (tag == "svg" and self_closed(m[2])):
+            opened.append(m.end())
+    return out
 
 
 def zone(tag: str, attributes: str) -> str | None:
@@ -74,12 +96,15 @@ class Block:
 def leaf_blocks(page: str) -> list[Block]:
     """Runs of shown text between block-level tags, in page order: text, open elements, their zones, characters in links.
 
-    Character references are decoded, white space becomes one space.  Unclosed elements, comments and tags are ended by the page.
+    Character references are decoded, white space becomes one space.  Unclosed elements, comments and tags are ended by the page;
+    unclosed hidden elements end at their own tag, but for scripts and styles.
     """
     out: list[Block] = []
     stack: list[tuple[str, str | None]] = []
     parts: list[str] = []
     linked = at = anchors = 0
+    pairs: dict[str, dict[int, int]] = {}
+    unclosed: set[str] = set()
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -124,8 +149,19 @@ def leaf_blocks(page: str) -> list[Block]:
                 del stack[depth:]
             continue
         if tag in HIDDEN_TAGS:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = close.end() if close else (at if tag == "head" else end)
+            if tag == "svg" and self_closed(attributes):
+                continue
+            if tag in PAIRED_TAGS:
+                if tag not in pairs:
+                    pairs[tag] = paired_ends(page, tag)
+                at = pairs[tag].get(at, at)
+                continue
+            close = None if tag in unclosed else _CLOSES[tag].search(page, at)
+            if close:
+                at = close.end()
+            else:
+                unclosed.add(tag)
+                at = end if tag in RAW_TAGS else at
             continue
         if tag == "hr":
             continue
