@@ -360,3 +360,44 @@ def test_html_hidden_elements(between, want):
     """Self-closed and unclosed hidden elements take nothing else of the page with them."""
     blocks = html_crf.leaf_blocks(f"<body><article><p>First.</p>{between}<p>Last.</p></article></body>")
     assert [b.text for b in blocks] == ["First.", *want, "Last."]
+
+
+def test_language_id_learns_every_language(spark):
+    rng = np.random.default_rng(8)
+    stems = {f"l{k:02d}": ["".join(rng.choice(list("abcdefghijklmnop"), 4)) for _ in range(6)] for k in range(40)}
+    say = lambda k, n: " ".join("".join(rng.choice(stems[k], rng.integers(1, 3))) for _ in range(n))
+    rows = [(say(k, 40), k) for i, k in enumerate(stems) for _ in range(8 + i // 4)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == sorted(stems) and len(model.groups) == 2
+    got = langid.score(spark.createDataFrame([(say(k, 20), k) for k in stems for _ in range(2)], "text string, want string"), model).collect()
+    assert all(r["lang_pred"] == r["want"] and not r["rejected"] for r in got)
+
+
+def test_kneser_ney_counts_before_pruning(spark):
+    rng = np.random.default_rng(9)
+    rows = [(" ".join("".join(rng.choice(list("abcdefgh"), 4, p=np.arange(1, 9) / 36)) for _ in range(30)), x) for x in ("x", "y") for _ in range(20)]
+    grams = langid.count_grams(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", 3)
+    counts = grams.toPandas()
+    whole, pruned = langid.fit(counts, 3), langid.fit(counts, 3, 40)
+    assert len(pruned.grams[2].hashes) < len(whole.grams[2].hashes)
+    at = whole.grams[0].find(pruned.grams[0].hashes)  # single characters are all kept: the same continuation counts and discounts
+    assert np.allclose(pruned.grams[0].rows, whole.grams[0].rows[at], atol=1e-5) and np.allclose(pruned.unknown, whole.unknown, atol=1e-5)
+    pair = langid.learn(grams, 3, 40, 1)
+    assert pair.languages == ["x", "y"] and [len(m.languages) for m in pair.groups] == [1, 1]
+    texts = [r[0] for r in rows[:3]] + ["zz top", "\u65e5", ""]
+    assert np.allclose(pair.cross_entropy(texts)[0], pruned.cross_entropy(texts)[0], atol=1e-4)
+    for m in (whole, pruned):  # every distribution sums to one over the alphabet and one unknown character
+        for context in ("ab", "hg", "zz", " a"):
+            p = sum(np.exp(_log_p(m, context + c)) for c in [*"abcdefgh ", "?"])
+            assert np.allclose(p, 1, atol=1e-3)
+
+
+def _log_p(m, gram):
+    line, log = np.array([ord(c) for c in gram], np.uint64), 0.0
+    for n in range(len(gram), 0, -1):
+        at = m.grams[n - 1].find(langid.gram_hashes(line, np.array([len(gram) - 1]), n))[0]
+        if at >= 0:
+            return log + m.grams[n - 1].rows[at].astype(float)
+        if n > 1 and (at := m.backoff[n - 2].find(langid.gram_hashes(line, np.array([len(gram) - 2]), n - 1))[0]) >= 0:
+            log = log + m.backoff[n - 2].rows[at].astype(float)
+    return log + m.unknown.astype(float)

@@ -3,6 +3,7 @@
 Characters are lower-cased; runs of anything but letters become one space.  A model holds, for
 each order, the sorted 64-bit hashes of the n-grams seen in any language and one row of log
 probabilities per n-gram, one column per language, with the interpolation already carried out.
+Languages are learned in groups, a model each; the models share the alphabet, so their scores compare.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc32_fold, documents, map_blocks, mix
+from .common import checkpointed, crc32_fold, documents, map_blocks, mix
 
-#: Bounds of the model: order, texts a language is learned from and calibrated on, n-grams a language keeps, languages.
-ORDER, FIT_DOCS, CALIBRATION_DOCS, MAX_NGRAMS, MAX_LANGUAGES = 4, 1500, 500, 60_000, 32
+#: Bounds of the model: order, texts a language is learned from and calibrated on, n-grams of an order that a language keeps, languages of a group.
+ORDER, FIT_DOCS, CALIBRATION_DOCS, MAX_NGRAMS, GROUP_LANGUAGES = 4, 1500, 500, 60_000, 32
 #: A text is rejected if its cross-entropy is more than so many deviations above its language's mean, plus so many nats.
 REJECT_DEVIATIONS, REJECT_SLACK = 6.0, 0.5
 #: Characters that count at most towards the posterior behind ``score``.
@@ -109,7 +110,6 @@ class Model:
     grams: list[HashTable]  # by order, from 1
     backoff: list[HashTable]  # by order of the n-gram whose context it is, from 2
     unknown: np.ndarray
-    limit: np.ndarray | None = None
 
     def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nats a character by text and language; characters; letters."""
@@ -141,37 +141,74 @@ def _hash_strings(grams: pd.Series, order: int) -> np.ndarray:
     return gram_hashes(points.ravel(), np.arange(len(points)) * order + order - 1, order)
 
 
-def fit(counts: pd.DataFrame, order: int = ORDER) -> Model:
-    """Model from the columns lang, gram (``order`` characters) and n.
+@dataclass
+class Models:
+    """Models of groups of languages, side by side."""
+
+    groups: list[Model]
+    limit: np.ndarray | None = None
+
+    @property
+    def languages(self) -> list[str]:
+        return [x for m in self.groups for x in m.languages]
+
+    def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nats a character by text and language of all groups; characters; letters."""
+        each = [m.cross_entropy(texts) for m in self.groups]
+        return np.concatenate([x[0] for x in each], axis=1), each[0][1], each[0][2]
+
+
+def fit(counts: pd.DataFrame, order: int = ORDER, max_ngrams: int | None = None) -> Model:
+    """Model from the columns lang, gram (``order`` characters) and n; ``max_ngrams`` of each order and language are kept.
 
     Below the highest order an n-gram counts once for each character seen before it; every
     order takes one discount off each count, n1 / (n1 + 2 n2), and gives it to the next order.
+    Counts, totals and discounts are those of all n-grams.
     """
-    languages = sorted(counts["lang"].unique())
     tables: list[pd.Series] = [counts.groupby(["lang", "gram"])["n"].sum()]
     for _ in range(order - 1):
         higher = tables[0].index.to_frame(index=False)
         tables.insert(0, higher.assign(gram=higher["gram"].str[1:]).groupby(["lang", "gram"]).size())
-    alphabet = len({g for _, g in tables[0].index}) + 1
+    kept, discounts = [], {}
+    for n, table in enumerate(tables, 1):
+        own = table.rename("n").reset_index().assign(size=n)
+        own["total"] = own.groupby(["lang", own["gram"].str[:-1].rename("context")])["n"].transform("sum")
+        discounts |= {(n, lang): discount(int((c == 1).sum()), int((c == 2).sum())) for lang, c in own.groupby("lang")["n"]}
+        own = own.sort_values(["n", "gram"], ascending=[False, True])
+        kept.append(own if max_ngrams is None else own.groupby("lang").head(max_ngrams))
+    return build(pd.concat(kept), discounts, len({g for _, g in tables[0].index}) + 1, order)
+
+
+def discount(ones: int, twos: int) -> float:
+    return min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
+
+
+def build(kept: pd.DataFrame, discounts: dict[tuple[int, str], float], alphabet: int, order: int = ORDER) -> Model:
+    """Model from the n-grams that are kept: size, lang, gram, n and total, the sum of n over all n-grams of the context.
+
+    What the n-grams of a context that are not kept would have goes to the next order, so a distribution sums to one.
+    """
+    languages = sorted(kept["lang"].unique())
+    tables = [kept[kept["size"] == n].set_index(["lang", "gram"]) for n in range(1, order + 1)]
+    names: list[set[str]] = [set(t.index.get_level_values("gram")) for t in tables]
+    for n in range(order - 1, 0, -1):  # the next order has a row for the end of each n-gram
+        names[n - 1] |= {g[1:] for g in names[n]}
     lower: dict[str, pd.Series] = {}
-    weight: list[dict[str, pd.Series]] = []
     grams, backoff, unknown = [], [], np.zeros(len(languages), np.float32)
     for n in range(1, order + 1):
-        everywhere = pd.Index(sorted(set(tables[n - 1].index.get_level_values("gram"))), dtype=object)
+        everywhere = pd.Index(sorted(names[n - 1]), dtype=object)
         contexts = pd.Index(sorted(set(everywhere.str[:-1])), dtype=object)
         logs, weights = np.zeros((len(everywhere), len(languages)), np.float32), np.zeros((len(contexts), len(languages)), np.float32)
         current = {}
         for k, lang in enumerate(languages):
-            own = tables[n - 1].loc[lang]
-            ones, twos = int((own == 1).sum()), int((own == 2).sum())
-            discount = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.05), 0.95)
-            context = pd.Series(own.index.str[:-1], index=own.index)
-            total, kinds = own.groupby(context.values).sum(), own.groupby(context.values).size()
-            share = discount * kinds / total
+            own, less = tables[n - 1].loc[lang], discounts[n, lang]
+            by = own.groupby(own.index.str[:-1])
+            total = by["total"].first()
+            share = 1 - (by["n"].sum() - less * by.size()) / total
             in_all = pd.Series(everywhere.str[:-1])
             back = in_all.map(share).fillna(1.0).to_numpy()
             base = np.full(len(everywhere), 1 / alphabet) if n == 1 else pd.Series(everywhere.str[1:]).map(lower[lang]).to_numpy()
-            seen = (own.reindex(everywhere).fillna(0).to_numpy() - discount).clip(0) / in_all.map(total).fillna(1).to_numpy()
+            seen = (own["n"].reindex(everywhere).fillna(0).to_numpy() - less).clip(0) / in_all.map(total).fillna(1).to_numpy()
             p = seen + back * base
             current[lang] = pd.Series(p, index=everywhere)
             logs[:, k] = np.log(p)
@@ -213,27 +250,47 @@ def _upto(df: DataFrame, lang: str, counts: dict[str, int], bound: int, salt: in
     return df.where(place < limits[F.col(lang)])
 
 
+def learn(grams: DataFrame, order: int, max_ngrams: int, group: int) -> Models | None:
+    """Models from lang, gram, n of the highest order: counts, totals and discounts of all n-grams, then the most frequent of each order and language."""
+    tables = [checkpointed(grams)]
+    for n in range(order - 1, 0, -1):
+        tables.append(tables[-1].groupBy("lang", F.substring("gram", 2, n).alias("gram")).agg(F.count(F.lit(1)).alias("n")))
+    every = tables[0].select(F.lit(order).alias("size"), "lang", "gram", "n")
+    for n, table in zip(range(order - 1, 0, -1), tables[1:]):
+        every = every.union(table.select(F.lit(n).alias("size"), "lang", "gram", "n"))
+    every = checkpointed(every)
+    some = every.groupBy("size", "lang").agg(F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))).collect()
+    discounts = {(r[0], r[1]): discount(r[2], r[3]) for r in some}
+    languages = sorted({r[1] for r in some})
+    if not languages:
+        return None
+    alphabet = every.where("size = 1").select("gram").distinct().count() + 1
+    total = F.sum("n").over(Window.partitionBy("size", "lang", F.expr("substring(gram, 1, size - 1)")))
+    rank = F.row_number().over(Window.partitionBy("size", "lang").orderBy(F.desc("n"), "gram"))
+    kept = every.withColumn("total", total).withColumn("rank", rank).where(F.col("rank") <= max_ngrams).drop("rank")
+    parts = [languages[i : i + group] for i in range(0, len(languages), group)]
+    if len(parts) > 1:
+        kept = checkpointed(kept)
+    return Models([build((kept.where(F.col("lang").isin(own)) if len(parts) > 1 else kept).toPandas(), discounts, alphabet, order) for own in parts])
+
+
 def train(
     df: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIBRATION_DOCS,
-    max_ngrams: int = MAX_NGRAMS, max_languages: int = MAX_LANGUAGES,
-) -> Model | None:
-    """Learn from the rows with a language and a text; None if there is none.
+    max_ngrams: int = MAX_NGRAMS, group: int = GROUP_LANGUAGES,
+) -> Models | None:
+    """Learn every language from the rows with a language and a text; None if there is none.
 
     The sample of a language is bounded (``fit_docs`` and ``calibration_docs`` texts on average, drawn
-    by hash, the two apart), and so is the model (``max_ngrams`` of each of ``max_languages``), which is broadcast.
+    by hash, the two apart), and so is its part of a model (``max_ngrams`` of each order), which is broadcast.
     """
     known = df.select(text, lang).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).collect()}
+    counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     if not counts:
         return None
     fit_part = F.pmod(F.xxhash64(F.lit(7), text), F.lit(5)) > 0
-    known = known.where(F.col(lang).isin(list(counts)))
-    sample = count_grams(_upto(known.where(fit_part), lang, counts, fit_docs * 5 // 4, 1), text, lang, order)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    table = sample.withColumn("rank", rank).where(F.col("rank") <= max_ngrams).drop("rank").toPandas()
-    if not len(table):
+    model = learn(count_grams(_upto(known.where(fit_part), lang, counts, fit_docs * 5 // 4, 1), text, lang, order), order, max_ngrams, group)
+    if model is None:
         return None
-    model = fit(table, order)
     scored = score(_upto(known.where(~fit_part), lang, counts, calibration_docs * 5, 2), model, text, rejecting=False)
     own = scored.where((F.col(lang) == F.col("lang_pred")) & (F.col("n_letters") >= 20)).groupBy(lang).agg(F.avg("cross_entropy"), F.coalesce(F.stddev_samp("cross_entropy"), F.lit(0.0)))
     spread = {r[0]: r[1] + REJECT_DEVIATIONS * r[2] + REJECT_SLACK for r in own.collect()}
@@ -241,7 +298,7 @@ def train(
     return model
 
 
-def score(df: DataFrame, model: Model | None, text: str = "text", rejecting: bool = True) -> DataFrame:
+def score(df: DataFrame, model: Models | None, text: str = "text", rejecting: bool = True) -> DataFrame:
     """Add lang_pred, score, cross_entropy (nats a character), n_letters and rejected to every row.
 
     The language with the lowest cross-entropy over the whole text wins, ties by name.  ``score`` is its
