@@ -401,3 +401,14 @@ def _log_p(m, gram):
         if n > 1 and (at := m.backoff[n - 2].find(langid.gram_hashes(line, np.array([len(gram) - 2]), n - 1))[0]) >= 0:
             log = log + m.backoff[n - 2].rows[at].astype(float)
     return log + m.unknown.astype(float)
+
+
+def test_toxicity_of_many_rare_words(spark):
+    """A lexicon whose words are each in fewer than 1.5 % of the toxic texts."""
+    rng = np.random.default_rng(6)
+    clean = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(150)]
+    bad = ["".join(rng.choice(list("qrstuvwxyz"), 7)) for _ in range(80)]
+    say = lambda i: " ".join([*rng.choice(clean, 20), *([bad[i // 3 % 80]] if i % 3 == 0 else [])])
+    df = spark.createDataFrame([(i, say(i), int(i % 3 == 0)) for i in range(2400)], "doc_id long, text string, toxic int")
+    got = toxicity.severity(spark.createDataFrame([(i, say(i)) for i in range(480)], "i long, text string"), toxicity.train(df)).collect()
+    assert sum(r["toxic_pred"] == (r["i"] % 3 == 0) for r in got) >= 475

@@ -22,8 +22,9 @@ from .common import checkpointed, crc32_fold, documents, map_blocks
 
 #: Bounds of the sample the model is learned from (texts of either label) and of the features kept.
 TOXIC_DOCS, CLEAN_DOCS, MAX_FEATURES = 2_500, 5_000, 20_000
-#: A feature is kept if so many toxic texts, and such a share of them, have it, and that share is so many times the one among the others.
-LEAST_TEXTS, LEAST_SHARE, LEAST_LIFT = 4, 0.015, 4.0
+#: A feature is kept if its share of toxic texts is so many times the one of the others, and the log-likelihood ratio of the two counts against
+#: equal shares is so large (chi-squared with one degree of freedom, p = 0.01); how rare it is otherwise doesn't matter.
+LEAST_LIFT, LEAST_RATIO = 4.0, 6.63
 GRADES = 3
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -122,10 +123,13 @@ def train(df: DataFrame, text: str = "text", toxic: str = "toxic", toxic_docs: i
 
         return step
 
-    seen = map_blocks(sample, "text", make, "feature string, clean long, bad long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")).where(f"bad >= {LEAST_TEXTS} or feature = ''")
+    seen = map_blocks(sample, "text", make, "feature string, clean long, bad long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
     size = {y: min(n, m) for (y, n), m in zip(sorted(counts.items()), (clean_docs, toxic_docs))}
     share_bad, share_clean = F.col("bad") / max(size[1], 1), (F.col("clean") + 0.5) / max(size[0], 1)
-    best = seen.where(F.col("feature") != "").where((share_bad >= LEAST_LIFT * share_clean) & (share_bad >= LEAST_SHARE)).orderBy(F.desc(share_bad - share_clean), "feature").limit(MAX_FEATURES)
+    both, whole = F.col("bad") + F.col("clean"), size[0] + size[1]
+    excess = lambda n, k: F.when(n > 0, n * F.log(n * whole / (both * max(size[k], 1)))).otherwise(0.0)
+    ratio = 2 * (excess(F.col("bad"), 1) + excess(F.col("clean"), 0))
+    best = seen.where((F.col("feature") != "") & (F.col("bad") > 0)).where((share_bad >= LEAST_LIFT * share_clean) & (ratio >= LEAST_RATIO)).orderBy(F.desc(ratio), "feature").limit(MAX_FEATURES)
     names = [r[0] for r in best.select("feature").collect()]
     model = Ordinal({x: i for i, x in enumerate(names)}, np.zeros(len(names)), np.zeros(GRADES - 1))
     sent = df.sparkSession.sparkContext.broadcast(model)
