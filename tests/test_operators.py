@@ -238,3 +238,27 @@ def test_stream_of_objects(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {tuple(r) for r in spark.table("totals").collect()} == {(1, "a", 2, 5), (3, "c", 1, 4)}
+
+
+def test_fit_from_sums_equals_a_fit_of_rows(spark, monkeypatch):
+    """Covariates and interactions; only a row for each combination of levels reaches the fit of a region."""
+    import pandas as pd
+
+    from voxtile.functions.formula import Design, least_squares
+
+    rng = np.random.default_rng(4)
+    rows = [("r", f"g{rng.integers(3)}", f"s{rng.integers(2)}", float(rng.normal(50, 9)), float(rng.normal(7, 2)) if i % 11 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "region string, g string, s string, b double, value double")
+    formula, wanted = "metric ~ C(g)*C(s) + b + C(g):b", [stats.Contrast("g", "g0", "g2", {"s": "s1"})]
+    out = stats.fitted_contrasts(df, ["region"], formula, wanted)
+    frame = df.toPandas()
+    good = frame.dropna()
+    _, intercept, terms = parse(formula)
+    design = Design(good, intercept, terms)
+    beta, spread, variance, dof = least_squares(design.matrix(good), good["value"].to_numpy())
+    ends = pd.DataFrame([{"g": x, "s": "s1", "b": frame["b"].mean()} for x in ("g0", "g2")])
+    step = np.subtract(*design.matrix(ends))
+    got = out.first()
+    assert got["tstat"] == pytest.approx(step @ beta / np.sqrt(variance * (step @ spread @ step)), rel=1e-8) and got["nobs"] == len(good)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("FlatMapGroupsInPandas") < plan.index("partial_")  # rows are summed before they are grouped

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import col, minus_log10
-from ..functions.formula import Design, least_squares, parse, t_two_sided, variables
+from ..functions.formula import Design, parse, t_two_sided, variables
 
 
 @dataclass(frozen=True)
@@ -79,51 +79,106 @@ def two_level_tests(long: DataFrame, keys: list[str], factor: str, pairs: DataFr
 _FIT = "contrast string, n_a long, n_b long, mean_a double, mean_b double, tstat double, pval double, cohensd double, nobs long, r2 double"
 
 
+def _solved(xx: np.ndarray, xy: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Coefficients, (X'X)+ and rank from X'X and X'y."""
+    if not len(xx):
+        return np.zeros(0), xx, 0
+    scale = np.sqrt(np.where(np.diag(xx) > 0, np.diag(xx), 1.0))
+    even = xx / np.outer(scale, scale)
+    rank = int(np.linalg.matrix_rank(even, tol=1e-11 * len(xx), hermitian=True))
+    spread = np.linalg.inv(even) / np.outer(scale, scale) if rank == len(xx) else np.linalg.pinv(xx, rcond=1e-13, hermitian=True)
+    return spread @ xy, spread, rank
+
+
 def fitted_contrasts(long: DataFrame, keys: list[str], formula: str, wanted: list[Contrast], response: str = "metric") -> DataFrame:
     """Fit ``formula`` in each group of ``keys`` once and evaluate every contrast on it.
 
     ``long`` has the keys, value and the model's columns.  Covariates stand at their mean and other factors at their mode (smallest of
     ties) over the group's rows.  Rows with a missing variable are left out of the fit; levels compare as text.  Statistics are NULL where a
-    level has fewer than two values or the fit fails.  A group is one region and metric over the subjects of a study.
+    level has fewer than two values or the fit fails.  Rows are summed by group and combination of levels, with sums of products of the
+    covariates and the value; only these sums meet in one task, where the normal equations of a group are solved.
     """
     left, intercept, terms = parse(formula)
     kinds = variables(terms)
-    used = sorted(set(kinds) | {c for x in wanted for c in (x.factor, *x.strata)})
+    numbers = [c for c, cat in kinds.items() if not cat]
+    factors = sorted({c for c, cat in kinds.items() if cat} | {c for x in wanted for c in (x.factor, *x.strata)})
+    powers = sorted({(0,) * len(numbers), *(tuple(sum(c in (p, f"Q('{c}')", f'Q("{c}")', f"Q({c})") for p in term) for c in numbers) for term in terms)})
     schema = T.StructType([*[long.schema[k] for k in keys], *T._parse_datatype_string(_FIT).fields])
 
+    real = lambda c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double"))
+    flat = long.select(*[col(k).alias(f"_k{i}") for i, k in enumerate(keys)], real("value").alias("_v"), *[col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(factors)], *[real(c).alias(f"_q{i}") for i, c in enumerate(numbers)])
+    v, q = F.col("_v"), [F.col(f"_q{i}") for i in range(len(numbers))]
+    good = v.isNotNull()
+    for x in [*q, *(F.col(f"_f{i}") for i, c in enumerate(factors) if c in kinds)]:
+        good = good & x.isNotNull()
+    part = []
+    for p in powers:
+        m = F.lit(1.0)
+        for x, k in zip(q, p):
+            for _ in range(k):
+                m = m * x
+        part.append(m)
+    total = lambda x: F.coalesce(F.sum(F.when(good, x)), F.lit(0.0))
+    sums = [total(part[i] * part[j]).alias(f"_xx{i}_{j}") for i in range(len(part)) for j in range(i, len(part))] + [total(m * v).alias(f"_xy{i}") for i, m in enumerate(part)]
+    sums += [total(v * v).alias("_yy"), F.count(F.when(good, v)).alias("_good"), F.count(F.lit(1)).alias("_rows"), F.count(v).alias("_n"), F.avg(v).alias("_mean"), F.var_pop(v).alias("_var")]
+    sums += [x for i, c in enumerate(q) for x in (F.count(c).alias(f"_qn{i}"), F.sum(c).alias(f"_qs{i}"))]
+    heads = [f"_k{i}" for i in range(len(keys))]
+    cells = flat.groupBy(*heads, *[f"_f{i}" for i in range(len(factors))]).agg(*sums)
+
+    def moments(pdf: pd.DataFrame) -> tuple[int, float, float]:
+        """n, mean and sum of squares about the mean of the values of some cells."""
+        pdf = pdf[pdf["_n"] > 0]
+        n = int(pdf["_n"].sum())
+        mean = float((pdf["_n"] * pdf["_mean"]).sum() / n) if n else math.nan
+        return n, mean, float((pdf["_n"] * (pdf["_var"] + (pdf["_mean"] - mean) ** 2)).sum())
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = {k: pdf[k].iloc[0] for k in keys}
-        levels = {c: pdf[c].map(lambda x: None if pd.isna(x) else str(x)) for c in {x for w in wanted for x in (w.factor, *w.strata)}}
-        good = pdf.dropna(subset=["value", *kinds])
+        head = {k: pdf[h].iloc[0] for k, h in zip(keys, heads)}
+        pdf = pdf.rename(columns={f"_f{i}": c for i, c in enumerate(factors)})
+        rows_of = pdf[pdf["_good"] > 0]
         result = None
-        if len(good):
-            design = Design(good, intercept, terms)
-            x, y = design.matrix(good), good["value"].to_numpy(float)
-            beta, spread, variance, df = least_squares(x, y)
-            total = float(((y - y.mean()) ** 2).sum())
-            result = (design, beta, spread, variance, df, len(good), 1 - float(((y - x @ beta) ** 2).sum()) / total if total > 0 else math.nan)
-        reference = {c: (pdf[c].mode(dropna=True).iloc[0] if len(pdf[c].dropna()) else None) if cat else pd.to_numeric(pdf[c]).mean() for c, cat in kinds.items()}
+        if len(rows_of):
+            design = Design(rows_of, intercept, terms)
+            one = design.matrix(rows_of.assign(**{c: 1.0 for c in numbers}))
+            height = np.abs(one).max(axis=0, initial=0)
+            power = [np.round(np.log2(np.where(height > 0, np.abs(design.matrix(rows_of.assign(**{x: 2.0 if x == c else 1.0 for x in numbers}))).max(axis=0, initial=0), 1))).astype(int) for c in numbers]
+            of = [powers.index(tuple(int(p[j]) for p in power)) if height[j] > 0 else 0 for j in range(one.shape[1])]
+            at = lambda i, j: rows_of[f"_xx{min(i, j)}_{max(i, j)}"].to_numpy(float)
+            size = one.shape[1]
+            xx = np.array([[float((one[:, a] * one[:, b] * at(of[a], of[b])).sum()) for b in range(size)] for a in range(size)]).reshape(size, size)
+            xy = np.array([float((one[:, a] * rows_of[f"_xy{of[a]}"].to_numpy(float)).sum()) for a in range(size)])
+            beta, spread, rank = _solved(xx, xy)
+            n, yy, y = int(rows_of["_good"].sum()), float(rows_of["_yy"].sum()), float(rows_of[f"_xy{powers.index((0,) * len(numbers))}"].sum())
+            rest, whole, df = max(yy - float(beta @ xy), 0.0), yy - y * y / n, n - rank
+            if rest <= 1e-13 * yy:
+                rest = 0.0
+            result = (design, beta, spread, rest / df if df > 0 else math.nan, df, n, 1 - rest / whole if whole > 1e-13 * yy else math.nan)
+        reference = {}
+        for i, c in enumerate(numbers):
+            reference[c] = float(pdf[f"_qs{i}"].sum() / pdf[f"_qn{i}"].sum()) if pdf[f"_qn{i}"].sum() else math.nan
+        for c in (c for c, cat in kinds.items() if cat):
+            many = pdf.dropna(subset=[c]).groupby(c)["_rows"].sum()
+            reference[c] = min(many[many == many.max()].index) if len(many) else None
         rows = []
         for c in wanted:
             stratum = np.ones(len(pdf), bool)
-            for k, v in c.strata.items():
-                stratum &= (levels[k] == v).to_numpy()
-            a, b = (pdf["value"][stratum & (levels[c.factor] == x).to_numpy()].dropna().to_numpy(float) for x in (c.level_a, c.level_b))
-            row = head | {"contrast": c.label, "n_a": len(a), "n_b": len(b), "mean_a": a.mean() if len(a) else None, "mean_b": b.mean() if len(b) else None}
-            if len(a) > 1 and len(b) > 1 and result:
+            for k, x in c.strata.items():
+                stratum &= (pdf[k] == x).to_numpy()
+            (na, ma, sa), (nb, mb, sb) = (moments(pdf[stratum & (pdf[c.factor] == x).to_numpy()]) for x in (c.level_a, c.level_b))
+            row = head | {"contrast": c.label, "n_a": na, "n_b": nb, "mean_a": ma if na else None, "mean_b": mb if nb else None}
+            if na > 1 and nb > 1 and result:
                 design, beta, spread, variance, df, n, r2 = result
-                ends = pd.DataFrame([reference | c.strata | {c.factor: x} for x in (c.level_a, c.level_b)])
-                d = design.matrix(ends)
+                d = design.matrix(pd.DataFrame([reference | c.strata | {c.factor: x} for x in (c.level_a, c.level_b)]))
                 step = d[0] - d[1]
                 error = math.sqrt(max(variance * float(step @ spread @ step), 0.0)) if df > 0 else 0.0
-                pooled = math.sqrt(((len(a) - 1) * a.var(ddof=1) + (len(b) - 1) * b.var(ddof=1)) / (len(a) + len(b) - 2))
+                pooled = math.sqrt((sa + sb) / (na + nb - 2))
                 t = float(step @ beta) / error if error > 0 else math.nan
-                row |= {"tstat": t, "pval": t_two_sided(t, df), "cohensd": (a.mean() - b.mean()) / pooled if pooled > 0 else None, "nobs": n, "r2": r2}
+                row |= {"tstat": t, "pval": t_two_sided(t, df), "cohensd": (ma - mb) / pooled if pooled > 0 else None, "nobs": n, "r2": r2}
             rows.append(row)
         out = pd.DataFrame(rows, columns=[f.name for f in schema.fields])
         return out.astype(object).where(out.notna(), None)
 
-    return long.select(*[col(k) for k in keys], "value", *[col(c) for c in used if c not in keys and c != "value"]).groupBy(*[col(k) for k in keys]).applyInPandas(fit, schema)
+    return cells.groupBy(*heads).applyInPandas(fit, schema)
 
 
 def widened(stats: DataFrame, keys: list[str], metrics: list[str], level_a: str, level_b: str) -> DataFrame:
