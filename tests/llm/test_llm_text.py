@@ -412,3 +412,30 @@ def test_toxicity_of_many_rare_words(spark):
     df = spark.createDataFrame([(i, say(i), int(i % 3 == 0)) for i in range(2400)], "doc_id long, text string, toxic int")
     got = toxicity.severity(spark.createDataFrame([(i, say(i)) for i in range(480)], "i long, text string"), toxicity.train(df)).collect()
     assert sum(r["toxic_pred"] == (r["i"] % 3 == 0) for r in got) >= 475
+
+
+def test_lm_trains_on_every_text(spark, tmp_path, monkeypatch):
+    """Each training text is among those that the tasks' copies learn from."""
+    texts = [f"w{i} " * (1 + i % 3) for i in range(90)]
+    log = tmp_path / "log"
+    log.mkdir()
+    whole = gru.train
+
+    def noted(p, v, documents, *args, **kwargs):
+        if kwargs.get("rate") == 0.003:
+            import uuid
+
+            (log / uuid.uuid4().hex).write_text("".join(f"{v.words[d[0]].decode()}\n" for d in documents))
+        return whole(p, v, documents, *args, **kwargs)
+
+    from pyspark import cloudpickle
+
+    monkeypatch.setattr(lm, "gru", type("G", (), {**{k: getattr(gru, k) for k in ("NAMES", "initial", "END")}, "train": staticmethod(noted)}))
+    monkeypatch.setattr(lm, "SEED_ROUNDS", 1)
+    cloudpickle.register_pickle_by_value(lm)
+    words = [f"w{i}".encode() for i in range(90)]
+    try:
+        lm.train(spark.createDataFrame([(x,) for x in texts], "text string").repartition(3), gru.Vocabulary(words, [1] * 90))
+    finally:
+        cloudpickle.unregister_pickle_by_value(lm)
+    assert sorted("".join(f.read_text() for f in log.iterdir()).split()) == sorted(w.decode() for w in words)

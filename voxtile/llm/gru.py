@@ -170,7 +170,7 @@ def run_window(p: dict[str, np.ndarray], v: Vocabulary, table: np.ndarray, input
         dflat = np.zeros_like(flat)
         dflat[some] = dx
         dstates = dflat.reshape(states.shape)
-        dh, dtable = np.zeros((width, s), np.float32), np.zeros_like(table)
+        dh, added = np.zeros((width, s), np.float32), np.empty((steps, width, table.shape[1]), table.dtype)
         for t in range(steps - 1, -1, -1):
             dh = dh + dstates[t]
             (z, r, n, gn), h0 = gates[t], before[t]
@@ -178,9 +178,14 @@ def run_window(p: dict[str, np.ndarray], v: Vocabulary, table: np.ndarray, input
             dn = dh * (1 - z) * (1 - n * n)
             da = np.concatenate([dz, dn * gn * r * (1 - r), dn], axis=1)
             dg = np.concatenate([da[:, : 2 * s], dn * r], axis=1)
-            np.add.at(dtable, inputs[t], da)
+            added[t] = da
             grads["hidden"] += h0.T @ dg
             dh = np.where(begins[t][:, None], np.float32(0), dh * z + dg @ u.T)
+        token = inputs.ravel()
+        by = np.argsort(token, kind="stable")
+        first = np.flatnonzero(np.diff(token[by], prepend=-1))
+        dtable = np.zeros_like(table)
+        dtable[token[by[first]]] = np.add.reduceat(added.reshape(-1, table.shape[1])[by], first, axis=0)
         grads["embed"], grads["input"], grads["bias"] = dtable @ p["input"].T, p["embed"].T @ dtable, dtable.sum(axis=0)
     return out.reshape(steps, width), h, grads
 

@@ -2,8 +2,8 @@
 
 The counts cover every training text; they hold the words by value and are joined by shuffle, but for the ``HEAD`` most
 frequent ones, a bounded table, which all tasks get.  So no task sees all rows of a frequent word.
-The network's first weights come from a bounded sample on the driver (``SEED_DOCS`` texts); then every task trains a copy on a
-fixed share (one text in ``SHARE``) of its training texts, and the copies are averaged by tokens in a shuffle on weight numbers.
+The network's first weights come from a bounded sample on the driver (``SEED_DOCS`` texts); then every task trains a copy on all
+of its training texts, and the copies are averaged by tokens in a shuffle on weight numbers.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from . import gru
 from .common import as_bytes, checkpointed, crc32_fold, documents, map_blocks, most_frequent
 
-#: Words whose counts are broadcast; texts of the first weights; one training text in so many takes part in training.
-HEAD, SEED_DOCS, SEED_ROUNDS, SHARE = 65_536, 300, 3, 16
+#: Words whose counts are broadcast; texts and rounds of the first weights; tokens and lanes of a task's training at once.
+HEAD, SEED_DOCS, SEED_ROUNDS, TRAIN_TOKENS, TRAIN_LANES = 65_536, 300, 3, 240_000, 256
 _COUNT_BYTES, _SCORE_BYTES = 6_000_000, 5_000_000
 
 
@@ -44,7 +44,7 @@ def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
     return map_blocks(df.select(text), text, make, "word binary, n long", _COUNT_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, vocabulary: gru.Vocabulary, text: str = "text", seed_docs: int = SEED_DOCS, share: int = SHARE) -> dict[str, np.ndarray]:
+def train(df: DataFrame, vocabulary: gru.Vocabulary, text: str = "text", seed_docs: int = SEED_DOCS) -> dict[str, np.ndarray]:
     """Weights learned from the texts of ``df``."""
     place = F.pmod(F.xxhash64(F.lit(5), text), F.lit(1 << 30))
     known = df.select(text).where(F.col(text).isNotNull())
@@ -66,17 +66,16 @@ def train(df: DataFrame, vocabulary: gru.Vocabulary, text: str = "text", seed_do
             for x in as_bytes(batch.column(text)):
                 pending.append(np.array(v.ids(tokens(x), cache), np.int32))
                 size += len(pending[-1]) + 1
-                if size >= 60_000:
-                    memory, seen, pending, size = gru.train(p, v, pending, memory, rate=0.003, width=64), seen + size, [], 0
+                if size >= TRAIN_TOKENS:
+                    memory, seen, pending, size = gru.train(p, v, pending, memory, rate=0.003, width=TRAIN_LANES), seen + size, [], 0
         if pending:
-            gru.train(p, v, pending, memory, rate=0.003, width=64)
+            gru.train(p, v, pending, memory, rate=0.003, width=TRAIN_LANES)
             seen += size
         if seen:
             flat = np.concatenate([p[k].ravel() for k in gru.NAMES]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen, np.int64))], ["i", "x", "tokens"])
 
-    part = known.where(F.pmod(place, F.lit(share)) == 0)
-    mean = part.mapInArrow(local, "i long, x double, tokens long").groupBy("i").agg((F.sum("x") / F.sum("tokens")).alias("x")).toPandas()
+    mean = known.mapInArrow(local, "i long, x double, tokens long").groupBy("i").agg((F.sum("x") / F.sum("tokens")).alias("x")).toPandas()
     if len(mean):
         flat = mean.sort_values("i")["x"].to_numpy(np.float32)
         at = 0
