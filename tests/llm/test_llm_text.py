@@ -414,6 +414,33 @@ def test_toxicity_of_many_rare_words(spark):
     assert sum(r["toxic_pred"] == (r["i"] % 3 == 0) for r in got) >= 475
 
 
+def test_lm_weights_dont_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(lm, "SUMMED", 2)
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, " ".join(rng.choice(["a", "b", "c", "dd"], 12))) for i in range(150)], "i long, text string")
+    v = gru.Vocabulary([b"a", b"b", b"c"], [3, 2, 1])
+    one, other = (lm.train(df.repartition(n, "text"), v, 1950, 150, seed_docs=20) for n in (2, 7))
+    assert all(np.allclose(one[k], other[k], atol=1e-6) for k in gru.NAMES)
+
+
+def test_lm_columns_of_any_name(spark):
+    """Names that the operator uses itself, an empty table, repeated rows and null texts."""
+    names = ["own", "row", "known", "base", "model", "tail", "at", "word", "real", "first", "found", "n"]
+    rows = [(*range(12), "a b zz"), (*range(12), "a b zz"), (*range(12), None), (*range(12), "")]
+    df = spark.createDataFrame(rows, ", ".join(f"{x} long" for x in names) + ", text string")
+    counts = lm.corpus_counts(df)
+    v = gru.Vocabulary([b"a"], [2])
+    args = (counts, gru.initial(v), v, [(gru.END, 4), (b"a", 2)], 10, 4)
+    got = lm.score(df, *args)
+    assert got.columns == [*names, "n_tokens", "n_known", "base_score", "score"]
+    got = got.orderBy("n_tokens").collect()
+    assert [(r["n_tokens"], r["n_known"], r["tail"]) for r in got] == [(1, 1, 5), (1, 1, 5), (4, 4, 5), (4, 4, 5)]
+    base = np.log10(np.array([2.5, 2.5, 2.5, 4.5]) / 12.5).sum()
+    assert abs(got[-1]["base_score"] - base) < 1e-9
+    assert lm.score(df.limit(0), *args).count() == 0
+
+
 def test_lm_trains_on_every_text(spark, tmp_path, monkeypatch):
     """Each training text is among those that the tasks' copies learn from."""
     texts = [f"w{i} " * (1 + i % 3) for i in range(90)]
@@ -435,7 +462,7 @@ def test_lm_trains_on_every_text(spark, tmp_path, monkeypatch):
     cloudpickle.register_pickle_by_value(lm)
     words = [f"w{i}".encode() for i in range(90)]
     try:
-        lm.train(spark.createDataFrame([(x,) for x in texts], "text string").repartition(3), gru.Vocabulary(words, [1] * 90))
+        lm.train(spark.createDataFrame([(x,) for x in texts], "text string").repartition(3), gru.Vocabulary(words, [1] * 90), 270, 90)
     finally:
         cloudpickle.unregister_pickle_by_value(lm)
     assert sorted("".join(f.read_text() for f in log.iterdir()).split()) == sorted(w.decode() for w in words)

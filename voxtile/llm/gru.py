@@ -7,14 +7,15 @@ belong to open classes, by a hash of their first characters; within those a word
 
 from __future__ import annotations
 
+import heapq
 import zlib
 
 import numpy as np
 
 #: Sizes: words of the vocabulary, classes they are dealt to, members of a class at most, open classes, embedding, state.
 VOCABULARY, CLASSES, CLASS_WORDS, OPEN_CLASSES, EMBED, STATE = 1024, 24, 64, 32, 16, 16
-#: Steps of truncated backpropagation, and sequences that run side by side.
-STEPS, LANES = 20, 128
+#: Steps of truncated backpropagation, sequences that run side by side, and tokens after which training begins a new state.
+STEPS, LANES, PIECE = 20, 128, 1000
 
 END = b"\n"  # no word is a line feed
 
@@ -77,36 +78,35 @@ def initial(vocabulary: Vocabulary, seed: int = 3) -> dict[str, np.ndarray]:
     }
 
 
-def lanes(documents: list[np.ndarray], width: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Deal whole documents to lanes, longest first to the shortest lane.
+def lanes(documents: list[np.ndarray], width: int = LANES, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Deal documents to lanes, longest first to the shortest lane: whole, or in pieces of at most ``most`` tokens.
 
-    Returns inputs and targets (step, lane; -1 beyond the lane's end), where a document begins, and the document of each cell.
-    A document's inputs start with the end mark, its targets finish with it.
+    Returns inputs and targets (step, lane; -1 beyond the lane's end), where a state begins, and the document of each cell.
+    A document's inputs start with the end mark, its targets finish with it.  A later piece begins with the token before it and a new state.
     """
-    width = max(1, min(width, len(documents)))
-    order = sorted(range(len(documents)), key=lambda i: (-len(documents[i]), i))
-    import heapq
-
+    pieces = [(i, a, min(a + (most or len(d) + 1), len(d) + 1)) for i, d in enumerate(documents) for a in range(0, len(d) + 1, most or len(d) + 1)]
+    width = max(1, min(width, len(pieces)))
     heap = [(0, k) for k in range(width)]
-    dealt: list[list[int]] = [[] for _ in range(width)]
-    for i in order:
+    dealt: list[list[tuple[int, int, int]]] = [[] for _ in range(width)]
+    for i, a, b in sorted(pieces, key=lambda x: (x[1] - x[2], x)):
         length, k = heapq.heappop(heap)
-        dealt[k].append(i)
-        heapq.heappush(heap, (length + len(documents[i]) + 1, k))
-    dealt.sort(key=lambda own: -sum(len(documents[i]) + 1 for i in own))
-    steps = sum(len(documents[i]) + 1 for i in dealt[0])
+        dealt[k].append((i, a, b))
+        heapq.heappush(heap, (length + b - a, k))
+    size = lambda own: sum(b - a for _, a, b in own)
+    dealt.sort(key=lambda own: -size(own))
+    steps = size(dealt[0])
     inputs, targets = np.zeros((steps, width), np.int32), np.full((steps, width), -1, np.int32)
     begins, of = np.zeros((steps, width), bool), np.full((steps, width), -1, np.int32)
     for k, own in enumerate(dealt):
         at = 0
-        for i in own:
-            n = len(documents[i])
-            inputs[at + 1 : at + n + 1, k] = documents[i]
-            targets[at : at + n, k] = documents[i]
-            targets[at + n, k] = 0
+        for i, a, b in own:
+            d, n = documents[i], b - a
+            inputs[at + (a == 0) : at + n, k] = d[max(a - 1, 0) : b - 1]
+            targets[at : at + n, k] = 0
+            targets[at : at + min(b, len(d)) - a, k] = d[a:b]
             begins[at, k] = True
-            of[at : at + n + 1, k] = i
-            at += n + 1
+            of[at : at + n, k] = i
+            at += n
     return inputs, targets, begins, of
 
 
@@ -196,14 +196,14 @@ def input_table(p: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def train(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.ndarray], memory: dict | None = None, rate: float = 0.01, width: int = LANES, steps: int = STEPS) -> dict:
-    """One pass of truncated backpropagation over whole documents; states run on from window to window, gradients don't.
+    """One pass of truncated backpropagation over whole documents; states run on from window to window of a piece, gradients don't.
 
     Changes ``p`` by Adam and returns the optimiser's memory.
     """
     memory = memory if memory is not None else {"step": 0, "m": {k: np.zeros_like(a) for k, a in p.items()}, "s": {k: np.zeros_like(a) for k, a in p.items()}}
     if not documents:
         return memory
-    inputs, targets, begins, _ = lanes(documents, width)
+    inputs, targets, begins, _ = lanes(documents, width, PIECE)
     h = np.zeros((inputs.shape[1], STATE), np.float32)
     for t in range(0, len(inputs), steps):
         live = int((targets[t] >= 0).sum())

@@ -2,8 +2,8 @@
 
 The counts cover every training text; they hold the words by value and are joined by shuffle, but for the ``HEAD`` most
 frequent ones, a bounded table, which all tasks get.  So no task sees all rows of a frequent word.
-The network's first weights come from a bounded sample on the driver (``SEED_DOCS`` texts); then every task trains a copy on all
-of its training texts, and the copies are averaged by tokens in a shuffle on weight numbers.
+The network's first weights come from a bounded sample on the driver (``SEED_DOCS`` texts); then every training text goes, as
+packed ids, to a shard of about ``SHARD_TOKENS`` tokens, each shard trains a copy, and a tree of sums averages the copies by tokens.
 """
 
 from __future__ import annotations
@@ -14,15 +14,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import gru
 from .common import as_bytes, checkpointed, crc32_fold, documents, map_blocks, most_frequent
 
-#: Words whose counts are broadcast; texts and rounds of the first weights; tokens and lanes of a task's training at once.
-HEAD, SEED_DOCS, SEED_ROUNDS, TRAIN_TOKENS, TRAIN_LANES = 65_536, 300, 3, 240_000, 256
+#: Words whose counts are broadcast; texts and rounds of the first weights; tokens of a shard; tokens and lanes of its training at once; copies that one task adds up.
+HEAD, SEED_DOCS, SEED_ROUNDS, SHARD_TOKENS, TRAIN_TOKENS, TRAIN_LANES, SUMMED = 65_536, 300, 3, 1_000_000, 250_000, 256, 64
 _COUNT_BYTES, _SCORE_BYTES = 6_000_000, 5_000_000
 
 
+_FIELDS = (("n_tokens", T.LongType()), ("known", T.LongType()), ("base", T.DoubleType()), ("model", T.DoubleType()), ("tail", T.ArrayType(T.BinaryType())))
+
+
 def tokens(text: bytes) -> list[bytes]:
     """Words with A-Z in lower case; the end is not among them."""
     return text.lower().split()
@@ -44,54 +48,93 @@ def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
     return map_blocks(df.select(text), text, make, "word binary, n long", _COUNT_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, vocabulary: gru.Vocabulary, text: str = "text", seed_docs: int = SEED_DOCS) -> dict[str, np.ndarray]:
-    """Weights learned from the texts of ``df``."""
-    place = F.pmod(F.xxhash64(F.lit(5), text), F.lit(1 << 30))
-    known = df.select(text).where(F.col(text).isNotNull())
-    total = max(known.count(), 1)
-    first = [r[0].encode() for r in known.where(place < F.lit(int((1 << 30) * min(1.0, seed_docs / total)))).collect()]
+def train(df: DataFrame, vocabulary: gru.Vocabulary, tokens_in_all: int, texts: int, text: str = "text", seed_docs: int = SEED_DOCS) -> dict[str, np.ndarray]:
+    """Weights learned from every text of ``df``, of about ``texts`` rows with ``tokens_in_all`` tokens; null texts teach nothing.
+
+    A hash of a row's columns deals it to a shard and gives its place there, so the weights don't depend on how rows are partitioned.
+    Copies of a text are dealt apart by their other columns; fully repeated rows share a shard.
+    """
+    session = df.sparkSession
+    known = df.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(F.lit(5), *df.columns).alias("place"))
+    part = int((1 << 30) * min(1.0, seed_docs / max(texts, 1)))
+    first = known.where(F.pmod("place", F.lit(1 << 30)) < part).limit(4 * seed_docs).collect()
     weights = gru.initial(vocabulary)
     memory, cache = None, {}
-    ids = [np.array(vocabulary.ids(tokens(x), cache), np.int32) for x in sorted(first)]
+    ids = [np.array(vocabulary.ids(tokens(r["text"].encode()), cache), np.int32) for r in sorted(first, key=lambda r: r["place"])]
     for k in range(SEED_ROUNDS):
         memory = gru.train(weights, vocabulary, ids, memory, rate=0.012 / (1 + k), width=48)
-    sent = df.sparkSession.sparkContext.broadcast((vocabulary, weights))
-    shapes = [(k, weights[k].shape) for k in gru.NAMES]
+    sent = session.sparkContext.broadcast((vocabulary, weights))
+    shards = max(1, -(-tokens_in_all // SHARD_TOKENS))
+
+    def make():
+        cache: dict[bytes, int] = {}
+        v = sent.value[0]
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            packed = [np.array(v.ids(tokens(x), cache), "<u2").tobytes() for x in as_bytes(batch.column("text"))]
+            return pa.RecordBatch.from_arrays([batch.column("place"), pa.array(packed, pa.binary())], ["place", "ids"])
+
+        return step
 
     def local(batches):
         v, start = sent.value
-        p = {k: a.copy() for k, a in start.items()}
-        memory, cache, pending, size, seen = None, {}, [], 0, 0
+        shard, p, memory, pending, size, seen = None, None, None, [], 0, 0
+
+        def learned():
+            nonlocal memory, pending, size, seen
+            memory, seen, pending, size = gru.train(p, v, pending, memory, rate=0.003, width=TRAIN_LANES), seen + size, [], 0
+
+        def result():
+            if pending:
+                learned()
+            sums = np.concatenate([p[k].ravel() for k in gru.NAMES]).astype(np.float64) * seen
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([sums.tobytes()], pa.binary()), pa.array([seen], pa.int64())], ["shard", "sums", "tokens"])
+
         for batch in batches:
-            for x in as_bytes(batch.column(text)):
-                pending.append(np.array(v.ids(tokens(x), cache), np.int32))
+            for own, packed in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
+                if own != shard:
+                    if shard is not None:
+                        yield result()
+                    shard, p, memory, seen = own, {k: a.copy() for k, a in start.items()}, None, 0
+                pending.append(np.frombuffer(packed, "<u2").astype(np.int32))
                 size += len(pending[-1]) + 1
                 if size >= TRAIN_TOKENS:
-                    memory, seen, pending, size = gru.train(p, v, pending, memory, rate=0.003, width=TRAIN_LANES), seen + size, [], 0
-        if pending:
-            gru.train(p, v, pending, memory, rate=0.003, width=TRAIN_LANES)
-            seen += size
-        if seen:
-            flat = np.concatenate([p[k].ravel() for k in gru.NAMES]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen, np.int64))], ["i", "x", "tokens"])
-
-    mean = known.mapInArrow(local, "i long, x double, tokens long").groupBy("i").agg((F.sum("x") / F.sum("tokens")).alias("x")).toPandas()
-    if len(mean):
-        flat = mean.sort_values("i")["x"].to_numpy(np.float32)
+                    learned()
+        if shard is not None:
+            yield result()
+
+    def added(batches):
+        rows = sorted((r for batch in batches for r in batch.to_pylist()), key=lambda r: r["shard"])
+        if rows:
+            sums = sum(np.frombuffer(r["sums"], np.float64) for r in rows)
+            yield pa.RecordBatch.from_pylist([{"shard": rows[0]["shard"], "sums": sums.tobytes(), "tokens": sum(r["tokens"] for r in rows)}], pa.schema([("shard", pa.int64()), ("sums", pa.binary()), ("tokens", pa.int64())]))
+
+    schema = "shard long, sums binary, tokens long"
+    dealt = map_blocks(known, "text", make, "place long, ids binary", _COUNT_BYTES).withColumn("shard", F.pmod("place", F.lit(shards)))
+    copies = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place", "ids").select("shard", "ids").mapInArrow(local, schema)
+    while shards > SUMMED:
+        shards = -(-shards // SUMMED)
+        copies = checkpointed(copies).repartition(shards, F.pmod("shard", F.lit(shards))).mapInArrow(added, schema)
+    rows = sorted(copies.collect(), key=lambda r: r["shard"])
+    if rows:
+        flat = (sum(np.frombuffer(r["sums"], np.float64) for r in rows) / sum(r["tokens"] for r in rows)).astype(np.float32)
         at = 0
-        for k, shape in shapes:
-            n = int(np.prod(shape))
-            weights[k] = flat[at : at + n].reshape(shape)
+        for k in gru.NAMES:
+            n = weights[k].size
+            weights[k] = flat[at : at + n].reshape(weights[k].shape)
             at += n
+    sent.destroy()
     return weights
 
 
 def score(df: DataFrame, counts: DataFrame, weights: dict[str, np.ndarray] | None, vocabulary: gru.Vocabulary, head: list[tuple[bytes, int]], total: int, distinct: int, text: str = "text") -> DataFrame:
     """``df`` without ``text``, with n_tokens, n_known, base_score and score (log10) of each row's whole text.
 
-    Null and empty texts are scored as one end.  ``counts`` is word, n; ``head`` its most frequent words.
+    Null and empty texts are scored as one end.  Repeated rows are scored each by itself; ties of words by count are ordered by value.
+    ``counts`` is word, n; ``head`` has the end and its most frequent words.  An empty table gives no rows.
     """
     others = [c for c in df.columns if c not in (text, "n_tokens", "n_known", "base_score", "score")]
+    own = F.struct(*([F.col(f"`{c}`") for c in others] or [F.lit(0).alias("none")]))
     in_head = dict(head)
     of = F.pmod(F.crc32(F.substring("word", 1, 3)), F.lit(gru.OPEN_CLASSES))
     mass, kinds = np.zeros(gru.OPEN_CLASSES), np.zeros(gru.OPEN_CLASSES)
@@ -104,8 +147,7 @@ def score(df: DataFrame, counts: DataFrame, weights: dict[str, np.ndarray] | Non
     open_total = np.log10(mass + 0.5 * (kinds + 1))
     whole = np.log10(total + 0.5 * (distinct + 1))
     sent = df.sparkSession.sparkContext.broadcast((vocabulary, weights, head, open_total))
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    fields = "n_tokens long, known long, base double, model double"
+    keyed = df.select(F.col(text).alias("text"), own.alias("own"), F.monotonically_increasing_id().alias("row"))
 
     def make():
         v, p, frequent, totals = sent.value
@@ -117,7 +159,7 @@ def score(df: DataFrame, counts: DataFrame, weights: dict[str, np.ndarray] | Non
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             documents_, tails, n_tokens, known, base, open_part = [], [], [], [], [], []
-            for x in as_bytes(batch.column(text)):
+            for x in as_bytes(batch.column("text")):
                 words = tokens(x)
                 at = np.array([index.get(w, -1) for w in words], np.int32) if words else np.empty(0, np.int32)
                 rest = np.flatnonzero(at < 0)
@@ -135,27 +177,27 @@ def score(df: DataFrame, counts: DataFrame, weights: dict[str, np.ndarray] | Non
                 open_part.append(log_c[at[opened & (at >= 0)]].sum() - totals[ids[opened] - v.size].sum())
             model = np.array(open_part) + (gru.log_likelihoods(p, v, documents_) / np.log(10) if p is not None else 0.0)
             columns = [pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()), pa.array(tails, pa.list_(pa.binary()))]
-            kept = [batch.column(c) for c in [*others, "_row"]]
-            return pa.RecordBatch.from_arrays([*kept, *columns], [*others, "_row", "n_tokens", "known", "base", "model", "tail"])
+            return pa.RecordBatch.from_arrays([batch.column("own"), batch.column("row"), *columns], ["own", "row", "n_tokens", "known", "base", "model", "tail"])
 
         return step
 
     in_head_end = in_head.get(gru.END, 0)
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.select(*others, "_row").schema)
-    each = map_blocks(keyed, text, make, f"{own}, {fields}, tail array<binary>", _SCORE_BYTES)
-    names = [*others, "n_tokens", "known", "base", "model"]
-    opened = each.select(*names, "_row", F.posexplode_outer("tail").alias("_at", "word"))
+    schema = T.StructType([keyed.schema["own"], T.StructField("row", T.LongType()), *(T.StructField(k, t) for k, t in _FIELDS)])
+    each = map_blocks(keyed, "text", make, schema, _SCORE_BYTES)
+    names = ["own", "n_tokens", "known", "base", "model"]
+    opened = each.select(*names, "row", F.posexplode_outer("tail").alias("at", "word"))
     # a text's columns travel with its first word; a text without such words gets a key that no word has
-    first = F.when(F.coalesce("_at", F.lit(0)) == 0, F.struct(*names))
-    key = F.coalesce("word", F.concat(F.lit("\n"), F.col("_row").cast("string")).cast("binary"))
-    rows = opened.select("_row", first.alias("_own"), key.alias("word"), F.col("word").isNotNull().alias("_real"))
+    first = F.when(F.coalesce("at", F.lit(0)) == 0, F.struct(*names))
+    key = F.coalesce("word", F.concat(F.lit("\n"), F.col("row").cast("string")).cast("binary"))
+    rows = opened.select("row", first.alias("first"), key.alias("word"), F.col("word").isNotNull().alias("real"))
     joined = rows.join(counts, "word", "left")
-    summed = joined.groupBy("_row").agg(
-        F.max("_own").alias("_own"), F.sum(F.when(F.col("_real"), F.log10(F.coalesce("n", F.lit(0)) + 0.5)).otherwise(0.0)).alias("_tail"), F.sum((F.col("n") > 0).cast("long")).alias("_known"))
-    base = F.col("_own.base") + F.col("_tail") - F.col("_own.n_tokens") * float(whole)
+    tail, found = F.sum(F.when(F.col("real"), F.log10(F.coalesce("n", F.lit(0)) + 0.5)).otherwise(0.0)), F.sum((F.col("n") > 0).cast("long"))
+    # the one row with the columns: max_by orders by a number, as columns such as maps have no order
+    summed = joined.groupBy("row").agg(F.max_by("first", F.col("first").isNotNull().cast("int")).alias("first"), tail.alias("tail"), found.alias("found"))
+    base = F.col("first.base") + F.col("tail") - F.col("first.n_tokens") * float(whole)
     return summed.select(
-        *[F.col(f"_own.{c}").alias(c) for c in others], F.col("_own.n_tokens").alias("n_tokens"), (F.col("_own.known") + F.coalesce("_known", F.lit(0))).alias("n_known"), base.alias("base_score"),
-        (F.col("_own.model") + F.col("_tail") if weights is not None else base).alias("score"),
+        *[F.col("first.own")[c].alias(c) for c in others], F.col("first.n_tokens").alias("n_tokens"), (F.col("first.known") + F.coalesce("found", F.lit(0))).alias("n_known"), base.alias("base_score"),
+        (F.col("first.model") + F.col("tail") if weights is not None else base).alias("score"),
     )
 
 
@@ -165,9 +207,11 @@ def op2_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = docs.where(crc32_fold("doc_id", 5) != 1)
     counts = checkpointed(corpus_counts(learned))
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    head = sorted(((bytes(r[0]), r[1]) for r in most_frequent(counts, HEAD).collect()), key=lambda x: (-x[1], x[0]))
-    words = [(w, n) for w, n in head if w != gru.END][: gru.VOCABULARY]
+    end = F.col("word") == F.lit(gru.END)
+    ends = counts.where(end).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    head = [(gru.END, ends), *sorted(((bytes(r[0]), r[1]) for r in most_frequent(counts.where(~end), HEAD).collect()), key=lambda x: (-x[1], x[0]))]
+    words = head[1 : gru.VOCABULARY + 1]
     vocabulary = gru.Vocabulary([w for w, _ in words], [n for _, n in words])
-    weights = train(learned, vocabulary) if total else None
+    weights = train(learned, vocabulary, total, ends) if total else None
     out = score(docs, counts, weights, vocabulary, head, total, distinct)
     return out.select("doc_id", (crc32_fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
