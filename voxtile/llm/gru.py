@@ -111,7 +111,20 @@ def lanes(documents: list[np.ndarray], width: int = LANES, most: int | None = No
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """The logistic function, in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def softmax(score: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Shares by row, in place: large arrays cost more to allocate than to fill."""
+    score += bias
+    score -= score.max(axis=1, keepdims=True)
+    np.exp(score, out=score)
+    score /= score.sum(axis=1, keepdims=True)
+    return score
 
 
 def run_window(p: dict[str, np.ndarray], v: Vocabulary, table: np.ndarray, inputs, targets, begins, h: np.ndarray, learn: bool):
@@ -135,10 +148,7 @@ def run_window(p: dict[str, np.ndarray], v: Vocabulary, table: np.ndarray, input
     x, y = flat[some], goal[some]
     rows = np.arange(len(y))
     label = v.class_of[y]
-    score = x @ p["to_class"] + p["class_bias"]
-    score -= score.max(axis=1, keepdims=True)
-    share = np.exp(score)
-    share /= share.sum(axis=1, keepdims=True)
+    share = softmax(x @ p["to_class"], p["class_bias"])
     log_p = np.log(np.maximum(share[rows, label], 1e-30))
     grads, dx = None, None
     if learn:
@@ -152,10 +162,7 @@ def run_window(p: dict[str, np.ndarray], v: Vocabulary, table: np.ndarray, input
         own = by[edge[k] : edge[k + 1]]
         if len(own) and len(m) > 1:
             w = p["to_word"][m]
-            score = x[own] @ w.T + p["word_bias"][m]
-            score -= score.max(axis=1, keepdims=True)
-            part = np.exp(score)
-            part /= part.sum(axis=1, keepdims=True)
+            part = softmax(x[own] @ w.T, p["word_bias"][m])
             slot = v.slot[y[own]]
             at = np.arange(len(own))
             log_p[own] += np.log(np.maximum(part[at, slot], 1e-30))

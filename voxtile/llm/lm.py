@@ -20,7 +20,7 @@ from . import gru
 from .common import as_bytes, checkpointed, crc32_fold, documents, map_blocks, most_frequent
 
 #: Words whose counts are broadcast; texts and rounds of the first weights; tokens of a shard; tokens and lanes of its training at once; copies that one task adds up.
-HEAD, SEED_DOCS, SEED_ROUNDS, SHARD_TOKENS, TRAIN_TOKENS, TRAIN_LANES, SUMMED = 65_536, 300, 3, 1_000_000, 250_000, 256, 64
+HEAD, SEED_DOCS, SEED_ROUNDS, SHARD_TOKENS, TRAIN_TOKENS, TRAIN_LANES, SUMMED = 65_536, 300, 3, 1_000_000, 400_000, 400, 64
 _COUNT_BYTES, _SCORE_BYTES = 6_000_000, 5_000_000
 
 
