@@ -1,19 +1,25 @@
 """N-gram Jaccard join by T-occurrence search, and the groups it links.
 
 A text's set holds the hashes of its distinct word shingles.  Sets that are equal form a class; only classes are compared.
-DivideSkip splits the inverted lists of a set with n shingles: with a required overlap of at least T = ceil(s n), the
-n - T + 1 short lists are merged and counted, and a pair goes on when its count reaches what the skipped long lists can't
-make up for; the long ones are probed by binary search in the partner's sorted set.  Lists of the shingles found most
-often count as the longest, so they are merged only for sets that have hardly any others.
-
-Before that, each class is compared with up to ``CENTRES`` others: of each short list the two classes whose lists are longest
-on average are its centres, and a class goes to the centres that most of its lists have.  An original is in all the lists of
-its copies, so it becomes their centre.  The groups linked by then need no pairs among themselves, so a group of near copies of any
-size costs a few comparisons for each member.
+Two sets of n and m shingles must share at least T = ceil(s (n + m) / (1 + s)); a set's n - ceil(s n) + 1 rarest shingles are its
+lists, and what the other shingles can add to an overlap is bounded by their number (``rest``).
+
+1. Of each list the two classes whose lists are longest on average are its centres, and a class is compared with up to ``CENTRES`` of
+   those that most of its lists have.  An original is in all the lists of its copies, so it becomes their centre.
+2. A centre with many classes is their home c.  Their sets are told by what differs from c, D = set xor c: two of them link
+   if |D_x xor D_y| = |set_x xor set_y| is small enough, so they must share part of their differences, and differences are rarely
+   shared by many.  So a group of near copies, linked or not, isn't paired within the lists that it has in common.
+3. T-occurrence search of what is left: between homes by the lists of the sets, within a home by the lists of the differences.
+   A task gets the lists that meet a block of sets of one home.  DivideSkip takes the longest L of a set's lists, L being what the least threshold
+   allows, merges the others with a heap, and probes the long ones by binary search for those that reach the threshold less L.
+   Pairs that reach the threshold are tested on the whole sets, after an exact bound by counts of shingles in 256 parts of the hash space.
 """
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,8 +31,10 @@ from .graph import bitmap, components, maybe_in
 
 #: Words of a shingle, and the least similarity as a ratio of integers.
 SHINGLE, SIMILAR = 5, (75, 100)
-#: Centres a class is compared with, and the share of its short lists that must have one; shingles that are put last as the most frequent (a bound of what is broadcast).
+#: Centres a class is compared with, and the share of its lists that must have one; shingles that are put last as the most frequent (a bound of what is broadcast).
 CENTRES, VOTES, FREQUENT = 3, 0.1, 65_536
+#: Classes from which on a centre is a home, sets of a block, and entries of a part of a list, on average.
+HOME, BLOCK, PART = 16, 512, 4096
 #: A shingle is counted towards the frequent ones where a slice of texts has it so often.
 OFTEN = 4
 
@@ -155,8 +163,29 @@ def _sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_blocks(near, "text", make, "node long, shingles binary").dropDuplicates(["node"])
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, df: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b, na, nb) whose sets are similar enough: the shingles of one are probed in the sorted other."""
+def differences(x: np.ndarray, c: np.ndarray, linked: bool, similar: tuple[int, int]) -> tuple[int, np.ndarray]:
+    """Size of x xor c, and its lists towards the other sets compared with c: what c lacks comes first.
+
+    Two sets that both link with c need no test of each other.  If x links with c, its partners don't, and if not, they may be any.
+    In both cases the least overlap of differences follows from the sizes; what is above it has to be listed, plus one.
+    """
+    up, low = similar
+    q, r = low + up, low - up
+    own, lost = np.setdiff1d(x, c, assume_unique=True), np.setdiff1d(c, x, assume_unique=True)
+    d, n, m = len(own) + len(lost), len(x), len(c)
+    if linked:
+        least = (q * d + r * (m - n)) // (2 * q) + 1
+    else:
+        other = max(0, -(-(q * d - r * (n + m)) // (q + r)))  # the partner's difference at least
+        least = max(1, -(-(q * d + (q - r) * other - r * (n + m)) // (2 * q)))
+    return d, np.concatenate([own, lost])[: max(0, d - least + 1)]
+
+
+def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """For pairs (a, b, at_home): a, b, linked, n, d, lists; the shingles of one set are probed in the other.
+
+    With at_home, d and lists (packed) tell the difference of a from b; they are null otherwise.
+    """
     up, low = similar
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = checkpointed(classes.join(ends, "node").select("text_hash"))
@@ -165,16 +194,163 @@ def _linked(pairs: DataFrame, classes: DataFrame, df: DataFrame, similar: tuple[
 
     def probe(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
+            linked, n, d, lists = [], [], [], []
+            for x, y, home in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), batch.column("at_home").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                p, q = (x, y) if len(x) <= len(y) else (y, x)
                 common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
-                keep.append(low * common >= up * (len(p) + len(q) - common))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+                linked.append(low * common >= up * (len(p) + len(q) - common))
+                n.append(len(x))
+                size, own = differences(x, y, linked[-1], similar) if home else (None, None)
+                d.append(size)
+                lists.append(own.tobytes() if home else None)
+            columns = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(n, pa.int32()), pa.array(d, pa.int32()), pa.array(lists, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "n", "d", "lists"])
+
+    return both.select("a", "b", "at_home", "set_a", "set_b").mapInArrow(probe, "a long, b long, linked boolean, n int, d int, lists binary")
+
+
+def _unpacked(told: DataFrame) -> DataFrame:
+    """key, node, n, d, rest, home, inner for each difference that is listed; the key holds the home."""
+
+    def run(batches):
+        for batch in batches:
+            lists = [np.frombuffer(x, np.uint64) for x in batch.column("lists").to_pylist()]
+            size = np.array([len(x) for x in lists], np.int64)
+            col = lambda c, t: np.repeat(batch.column(c).to_numpy().astype(t), size)
+            home, d = col("b", np.int64), col("d", np.int32)
+            with np.errstate(over="ignore"):
+                key = mix(np.concatenate([*lists, np.empty(0, np.uint64)]) + mix(home.view(np.uint64)))
+            columns = [key.view(np.int64), col("a", np.int64), col("n", np.int32), d, d - np.repeat(size, size).astype(np.int32), home]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "node", "n", "d", "rest", "home"])
+
+    return told.where("d is not null").select("a", "b", "n", "d", "lists").mapInArrow(run, "key long, node long, n int, d int, rest int, home long").withColumn("inner", F.lit(True))
+
+
+_FIELDS = ("node", "component", "home", "n", "d", "rest")
+
+
+def divide_skip(lists: list[list[int]], needed: dict[int, int]) -> list[int]:
+    """The ids that as many of the sorted lists hold as ``needed`` asks for, at least one; ids without an entry there are not sought.
+
+    With the least number asked for, t, the t - 1 longest lists are not merged: an id is in one of the others at least, and is then
+    looked up in the long ones.
+    """
+    least = min(needed.values())
+    lists = sorted(lists, key=len)
+    cut = max(0, len(lists) - least + 1)
+    short, long = lists[:cut], lists[cut:]
+    out, last, count = [], -1, 0
+
+    def settle() -> None:
+        total, most = count, needed.get(last)
+        if most is None or total + len(long) < most:
+            return
+        for own in long:
+            at = bisect_left(own, last)
+            total += at < len(own) and own[at] == last
+        if total >= most:
+            out.append(last)
+
+    for x in heapq.merge(*short):
+        if x == last:
+            count += 1
+        else:
+            settle()
+            last, count = x, 1
+    settle()
+    return out
+
+
+def searched(inner: np.ndarray, sets: list[dict[str, np.ndarray]], lists: list[dict[str, np.ndarray]], similar: tuple[int, int]) -> tuple[list[int], list[int]]:
+    """Pairs (a, b) that reach the threshold: for each list that meets the block, the block's sets in it and all of its sets.
+
+    Pairs of one component are not sought, nor those of one home outside its own (``inner``) lists; of other pairs the smaller set searches.
+    """
+    up, low = similar
+    q, r = low + up, low - up
+    a_out: list[int] = []
+    b_out: list[int] = []
+    for kind in (False, True):
+        rows = np.flatnonzero(inner == kind)
+        if not len(rows):
+            continue
+        every = {k: np.concatenate([lists[i][k] for i in rows]) for k in _FIELDS}
+        nodes, first = np.unique(every["node"], return_index=True)
+        component, home, n, d, rest = (every[k][first].astype(np.int64) for k in _FIELDS[1:])
+        own = {k: np.concatenate([sets[i][k] for i in rows]) for k in _FIELDS}
+        of = np.repeat(rows, [len(sets[i]["node"]) for i in rows])
+        by = np.argsort(own["node"], kind="stable")
+        cut = np.flatnonzero(np.diff(own["node"][by])) + 1
+        ids: dict[int, list[int]] = {}
+        for group in np.split(by, cut):
+            node, c, h, size, diff, left = (int(own[k][group[0]]) for k in _FIELDS)
+            ok = (component != c) & ((home == h) == kind) & ((n > size) | ((n == size) & (nodes > node)))
+            ok &= up * np.maximum(n, size) <= low * np.minimum(n, size)
+            some = np.flatnonzero(ok)
+            if len(some):
+                needed = -(-(q * (d[some] + diff) - r * (n[some] + size)) // (2 * q)) - np.maximum(rest[some], left)
+                near = needed <= len(group)
+                some, needed = some[near], np.maximum(needed[near], 1)
+            if len(some):
+                at = of[group].tolist()
+                for i in at:
+                    if i not in ids:
+                        ids[i] = np.sort(np.searchsorted(nodes, lists[i]["node"])).tolist()
+                hits = divide_skip([ids[i] for i in at], dict(zip(some.tolist(), needed.tolist())))
+                a_out += [node] * len(hits)
+                b_out += nodes[hits].tolist()
+    return a_out, b_out
+
+
+def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Candidate pairs (a, b) from list entries (key, inner, and the fields of a set); lists of one component, or of one home and not inner, are left out."""
+    ends = entries.groupBy("key", "inner").agg(
+        F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"), F.count(F.lit(1)).alias("size")
+    )
+    open_ = ends.where("c0 < c1 and (inner or h0 < h1)").select("key", "inner", "size")
+    entries = checkpointed(entries.join(open_, ["key", "inner"]))
+    most, sets = entries.agg(F.coalesce(F.max("size"), F.lit(0)), F.approx_count_distinct("node")).first()
+    slices = 1 << max(0, (most // PART).bit_length())
+    spread = lambda seed, c, n: F.pmod(F.xxhash64(F.lit(seed), c), n)
+    single = F.col("home") == F.col("node")
+    members = entries.where(~single).groupBy("home").agg(F.approx_count_distinct("node").alias("members"))
+    blocks = F.lit(max(1, sets // BLOCK))
+    placed = entries.join(members, "home", "left").withColumn(
+        "block", F.when(F.col("members").isNull(), spread(21, "node", blocks)).otherwise(F.xxhash64("home", spread(22, "node", F.ceil(F.col("members") / BLOCK))))
+    )
+    fields = F.struct(*_FIELDS)
+    queries = placed.groupBy("key", "inner", "block").agg(F.collect_list(fields).alias("sets"))
+    lists = entries.groupBy("key", "inner", spread(23, "node", F.lit(slices)).alias("slice")).agg(F.collect_list(fields).alias("list"))
+    met = queries.join(lists, ["key", "inner"]).select("block", "slice", "inner", "sets", "list")
+    dealt = met.repartition("block", "slice").sortWithinPartitions("block", "slice")
+
+    def unpacked(column: pa.ListArray) -> list[dict[str, np.ndarray]]:
+        flat = column.flatten()
+        edge = column.offsets.to_numpy() - column.offsets[0].as_py()
+        parts = {k: flat.field(k).to_numpy(zero_copy_only=False) for k in _FIELDS}
+        return [{k: v[a:b] for k, v in parts.items()} for a, b in zip(edge, edge[1:])]
+
+    def run(batches):
+        key, inner, sets_, lists_ = None, [], [], []
+
+        def result():
+            a, b = searched(np.array(inner), sets_, lists_, similar)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for own, kind, x, y in zip(zip(batch.column("block").to_pylist(), batch.column("slice").to_pylist()), batch.column("inner").to_pylist(), unpacked(batch.column("sets")), unpacked(batch.column("list"))):
+                if own != key and key is not None:
+                    yield result()
+                    inner, sets_, lists_ = [], [], []
+                key = own
+                inner.append(kind)
+                sets_.append(x)
+                lists_.append(y)
+        if key is not None:
+            yield result()
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(probe, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -200,31 +376,30 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
     lists = _prefix_rows(df, frequent, similar).withColumns({"lo": F.min("node").over(same), "hi": F.max("node").over(same)}).where("lo < hi")
     lists = checkpointed(lists.select("shingle", "node", "n").distinct().withColumn("size", F.count(F.lit(1)).over(same)))
 
-    # centres
+    # centres and homes
     fits = lambda x, y: (low * F.least(x, y) >= up * F.greatest(x, y))
-    short = F.col("n") - F.ceil(F.lit(up / low) * F.col("n")) + 1
+    rest = F.ceil(F.lit(up) * F.col("n") / F.lit(low)) - 1
+    short = F.col("n") - rest
     popular = lists.groupBy("node").agg((F.sum("size") / F.max(short)).alias("popularity"))
     place = F.row_number().over(same.orderBy(F.desc("popularity"), "node"))
     centres = lists.join(popular, "node").withColumn("place", place).where("place <= 2").select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"))
     votes = lists.join(centres, "shingle").where((F.col("node") != F.col("b")) & fits(F.col("n"), F.col("nb"))).groupBy("node", "n", "b").agg(F.count(F.lit(1)).alias("votes"))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "b"))
-    star = votes.where(F.col("votes") >= VOTES * short).withColumn("place", place).where(F.col("place") <= CENTRES)
-    star = checkpointed(_may_link(star.select(F.col("node").alias("a"), "b"), sketches, similar))
-    links = checkpointed(_linked(star, classes, df, similar))
+    star = checkpointed(votes.where(F.col("votes") >= VOTES * short).withColumn("place", place).where(F.col("place") <= CENTRES).select(F.col("node").alias("a"), "b", "place"))
+    hosts = star.where("place = 1").groupBy("b").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= HOME).select("b")
+    at_home = star.where("place = 1").join(hosts, "b").join(hosts.select(F.col("b").alias("a")), "a", "left_anti").select("a", "b")
+    others = _may_link(star.join(at_home, ["a", "b"], "left_anti").select("a", "b"), sketches, similar)
+    told = checkpointed(_compared(at_home.withColumn("at_home", F.lit(True)).union(others.withColumn("at_home", F.lit(False))), classes, df, similar))
+    links = told.where("linked").select("a", "b")
     groups = checkpointed(components(links))
 
     # T-occurrence search between groups
-    shared = lists.join(groups, "node", "left").select("shingle", "node", "n", F.coalesce("component", "node").alias("component"))
-    ends = {"lo": F.min("component").over(same), "hi": F.max("component").over(same)}
-    lists = checkpointed(shared.withColumns(ends).where("lo < hi").select("shingle", "node", "n", "component"))
-    other = lists.withColumnsRenamed({"node": "b", "n": "nb", "component": "cb"})
-    a, b = F.col("n"), F.col("nb")
-    met = lists.join(other, "shingle").where((F.col("component") != F.col("cb")) & ((a < b) | ((a == b) & (F.col("node") < F.col("b")))) & fits(a, b))
-    counts = met.groupBy(F.col("node").alias("a"), "b", a.alias("na"), "nb").agg(F.count(F.lit(1)).alias("merged"))
-    required = F.ceil(up * (F.col("na") + F.col("nb")) / F.lit(float(up + low)))
-    skipped = F.ceil(F.lit(up / low) * F.greatest("na", "nb")) - 1
-    cross = checkpointed(_may_link(counts.where(F.col("merged") >= required - skipped).select("a", "b"), sketches, similar))
-    links = links.union(_linked(cross, classes, df, similar))
+    homes = told.where("d is not null").select(F.col("a").alias("node"), F.col("b").alias("home"))
+    of_sets = lists.select(F.col("shingle").alias("key"), "node", "n", F.col("n").alias("d"), rest.cast("int").alias("rest"), F.lit(False).alias("inner")).join(homes, "node", "left")
+    of_sets = of_sets.withColumn("home", F.coalesce("home", "node"))
+    every = of_sets.unionByName(_unpacked(told)).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    cross = checkpointed(_may_link(_search(every, similar), sketches, similar))
+    links = links.union(_compared(cross.withColumn("at_home", F.lit(False)), classes, df, similar).where("linked").select("a", "b"))
     groups = checkpointed(components(links))
 
     ids = classes.select("node", "n", "first_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
