@@ -143,10 +143,10 @@ def test_components_and_distances_against_brute_force(spark):
 
 def test_radius_join_against_brute_force(spark):
     rng = np.random.default_rng(5)
-    rows = [(i, *map(float, rng.random(3)), float(rng.choice([0.0, 0.01, 0.1, 0.4]))) for i in range(80)] + [(80, None, 0.0, 0.0, 1.0), (81, float("nan"), 0.0, 0.0, 1.0)]
+    rows = [(i, *map(float, rng.random(3)), float(rng.choice([0.0, 0.01, 0.1, 0.4]))) for i in range(80)] + [(80, None, 0.0, 0.0, 1.0), (81, float("nan"), 0.0, 0.0, 1.0), (82, 0.5, 0.5, 0.5, float("nan")), (83, 0.5, 0.5, 0.5, None)]
     d = spark.createDataFrame(rows, "id int, pos_x double, pos_y double, pos_z double, radius double")
     got = {(r["a"]["id"], r["b"]["id"]) for r in spatial.radius_pairs(d, d, "radius").collect()}
-    want = {(a[0], b[0]) for a in rows[:80] for b in rows[:80] if math.dist(a[1:4], b[1:4]) <= a[4]}
+    want = {(a[0], b[0]) for a in rows[:80] for b in [*rows[:80], *rows[82:]] if math.dist(a[1:4], b[1:4]) <= a[4]}
     assert got == want
 
 
@@ -200,7 +200,7 @@ def test_label_tables(spark, tmp_path):
     assert tables.read_labels_csv(spark, f"{tmp_path}/lut.csv").first()["name"] == "Area b"
     labels = spark.createDataFrame([(1, "same", "s", "#00ff7f"), (2, "other", "o", None)], "index int, name string, abbreviation string, color string")
     lines = {r["index"]: r["value"] for r in tables.itksnap_lines(labels).collect()}
-    assert lines[1] == '1\t0\t255\t127\t1\t1\t1\t"same"'
+    assert lines[1] == '1\t0\t255\t127\t0\t0\t0\t"same"'  # the first row is the background
     assert {r["name"] for r in regions.lateralized(labels).collect()} == {"left same", "right same", "left other", "right other"}
     split = spark.createDataFrame([("m", 1, 1), ("n", 2, 3), ("k", None, 4)], "s string, l int, r int")
     assert {tuple(r) for r in regions.split_hemispheres(split, "s", "l", "r").collect()} == {(1, "m"), (2, "left n"), (3, "right n"), (None, "left k"), (4, "right k")}
@@ -222,13 +222,103 @@ def test_tables_and_identity(spark, tmp_path):
     assert [r["x"] for r in stain.collect()] == [["a", "b"], ["a"], None]
 
 
-def test_sidecar_rules():
-    known = {"count": {"Description": "Objects", "Units": "n"}, "index": {"Description": "Label"}}
-    assert sidecar.describe_column("index", known) == {"Description": "Label"}
-    assert sidecar.describe_column("abeta+count", known)["Description"] == "Objects (abeta)"
-    assert sidecar.describe_column("abeta+count_mean_pbs", known) == {"Units": "n", "Description": "mean of Objects (abeta) in group pbs"}
-    assert sidecar.describe_column("n_pbs", known)["Description"].endswith("pbs") and sidecar.describe_column("zzz", known) == {}
-    assert "Units" not in sidecar.describe_column("count_tstat", known, {"tstat": {"Description": "t statistic"}})
+def test_sidecar_rules(spark, tmp_path):
+    known = {"count": {"LongName": "Count", "Description": "Objects.", "Units": "n"}, "index": {"Description": "Label"}, "tstat": {"LongName": "t", "Description": "t statistic"}}
+    of = lambda name: sidecar.describe_column(name, known, ("tstat",))
+    assert of("index") == {"Description": "Label"}
+    assert of("abeta+count") == {"LongName": "Count (abeta)", "Description": "Objects. Stain/channel: abeta.", "Units": "n"}
+    assert of("abeta+zzz") == {"LongName": "zzz (abeta)", "Description": "Metric 'zzz' for stain/channel 'abeta'."}
+    assert of("count_mean_pbs") == {"LongName": "Count – Mean (group: pbs)", "Description": "Mean of: Objects. Group: pbs.", "Units": "n"}
+    assert of("zzz_std") == {"LongName": "zzz – Std", "Description": "Std of 'zzz'."}
+    assert of("count_tstat") == {"LongName": "Count – t", "Description": "t statistic for metric 'count'."}
+    assert of("count_tstat_a_b") == {"LongName": "Count – t (group: a_b)", "Description": "t statistic for metric 'count', group 'a_b'."}
+    assert of("n_subjects")["Description"].startswith("Total") and "'pbs'" in of("n_pbs")["Description"] and of("zzz") == {}
+    tables.write_sidecar(spark, sidecar.describe_columns(["count", "zzz"], known), f"{tmp_path}/s.json")
+    assert tables.read_sidecar(spark, f"{tmp_path}/s.json") == {"count": known["count"], "zzz": {}}
+
+
+def test_label_file(spark, tmp_path):
+    labels = spark.createDataFrame([(2, "b c", None), (0, "out", None), (7, "d", "0102ff")], "index int, name string, color string")
+    tables.write_itksnap(labels, f"{tmp_path}/lut")
+    back = [tuple(r) for r in tables.read_labels_itksnap(spark, f"{tmp_path}/lut").orderBy("index").collect()]
+    assert back == [(0, "out", tables.PALETTE[0]), (2, "b c", tables.PALETTE[10]), (7, "d", "0102ff")]
+    lines = [r["value"] for r in spark.read.text(f"{tmp_path}/lut").collect()]
+    assert lines[1].startswith("# ITK") and lines[-3].split("\t")[4:7] == ["0"] * 3 and lines[-1].split("\t")[4:7] == ["1"] * 3
+
+
+def test_files_by_entities(spark, tmp_path):
+    names = ["d/sub-a1/micr/sub-a1_stain-Iba1_SPIM.ome.zarr", "d/sub-b2/sub-b2_SPIM.ome.zarr", "d/participants.tsv"]
+    files = tables.entities(spark.createDataFrame([(x,) for x in names], "path string"))
+    assert [(r["sub"], r["stain"], r["suffix"], r["extension"]) for r in files.orderBy(F.col("sub").asc_nulls_last()).collect()] == [("a1", "Iba1", "SPIM", ".ome.zarr"), ("b2", None, "SPIM", ".ome.zarr"), (None, None, "participants", ".tsv")]
+    assert [r["sub"] for r in tables.discovered(files, {"suffix": "SPIM"}, exclude=["sub-a1"]).collect()] == ["b2"]
+    assert tables.discovered(files, include=["a1", "b2"], exclude=["b2"]).count() == 1
+    for label in ("one", "two", "one"):
+        tables.write_run(files.limit(2), f"{tmp_path}/group", label)
+    assert {tuple(r) for r in spark.read.parquet(f"{tmp_path}/group").groupBy("run_label").count().collect()} == {("one", 2), ("two", 2)}
+
+
+def test_blocks_that_are_missing_or_empty(spark):
+    none = graph.edges_of_blocks(spark, [None, None])
+    assert none.columns == graph.EDGE_COLUMNS and none.count() == 0
+    one = spark.createDataFrame([(0, 1, 2, 3, 2, 2, 3)], ["channel", *(f"{e}_{v}" for e in ("src", "dst") for v in graph.VOXEL)])
+    assert graph.edges_of_blocks(spark, [one, None, one.withColumn("more", F.lit(1)), one.limit(0)]).count() == 1
+
+
+def test_predicates_with_missing_values(spark):
+    d = spark.createDataFrame([("a", 1), ("b", 5), (None, 2), ("c", None)], "g string, age int")
+    keep = lambda text: sorted(str(r["g"]) for r in filter_rows(d, text, check_empty=False).collect())
+    assert keep("age < 3 & g == 'a'") == ["a"] and keep("age < 3 | g == 'b'") == ["None", "a", "b"]
+    assert keep("g != 'a'") == ["None", "b", "c"] and keep("g not in ['a', 'b']") == ["None", "c"]
+    assert keep("g == ['a', 'b']") == ["a", "b"] and keep("g != ['a', 'b']") == ["None", "c"]
+    assert keep("not (age < 3)") == ["b", "c"] and keep("~(age < 3) & age > 0") == ["b"]
+    with pytest.raises(ValueError):
+        filter_rows(d, "age < (3 & g")
+
+
+def test_level_without_rows_in_the_fit(spark):
+    rows = [("r", g, float(v), None if g == "c" else float(v % 3)) for g in "abc" for v in range(6)]
+    d = spark.createDataFrame(rows, "region string, g string, value double, x double")
+    got = {r["contrast"]: r for r in stats.fitted_contrasts(d, ["region"], "metric ~ C(g) + x", stats.contrasts(d, "g")).collect()}
+    assert got["g+avsc"]["tstat"] is None and got["g+avsc"]["n_b"] == 6 and got["g+avsb"]["tstat"] is not None
+
+
+def test_percentiles_against_numpy(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "PARTS", 4)
+    monkeypatch.setattr(aggregates, "FEW", 3)
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(0, 1e6, 500), "b": rng.integers(0, 4, 300).astype(float), "c": np.array([2.5]), None: np.concatenate([rng.random(40), [1e300, -1e300]])}
+    rows = [(g, float(v)) for g, x in groups.items() for v in x] + [("a", None), ("a", float("nan")), ("e", None)]
+    d = spark.createDataFrame(rows, "g string, v double")
+    at = (0, 1, 33, 50, 99.5, 100)
+    got = aggregates.order_statistics(d, "v", at, ("g",))
+    assert set(got) == {(g,) for g in groups}
+    for g, x in groups.items():
+        assert np.allclose(got[g,], np.percentile(x, at), rtol=1e-12)
+    assert aggregates.percentiles(d.limit(0), "v", (50,)).first()["p50"] is None
+
+
+def test_resized_and_blobs(spark):
+    grid = spark.createDataFrame([(x, y, float(x * x + y)) for x in range(5) for y in range(3)], "vx long, vy long, value double")
+    got = {(r["vx"], r["vy"]): r["value"] for r in spatial.resized(grid, (5, 3), (9, 2), axes=("vx", "vy")).collect()}
+    line = np.interp(np.linspace(0, 4, 9), range(5), np.arange(5) ** 2)
+    assert len(got) == 18 and all(math.isclose(got[i, j], line[i] + 2 * j) for i in range(9) for j in range(2))
+    assert {r["value"] for r in spatial.resized(grid, (5, 3), (1, 3), axes=("vx", "vy")).collect()} == {0.0, 1.0, 2.0}
+    spot = lambda x, y: 9 * math.exp(-((x - 4) ** 2 + (y - 5) ** 2) / 2)
+    image = spark.createDataFrame([(x, y, spot(x, y)) for x in range(11) for y in range(11)], "vx long, vy long, value double")
+    assert [(r["vx"], r["vy"]) for r in volume.blobs(image, (1.0, 1.6, 2.56), 0.5, axes=("vx", "vy")).collect()] == [(4, 5)]
+
+
+def test_registry_without_extra_packages(tmp_path):
+    """A package that only the optional parts need may be missing."""
+    import os
+    import subprocess
+    import sys
+
+    import __spark_entry__
+
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    code = "import sys; sys.modules['zstandard'] = sys.modules['xxhash'] = None; import __spark_entry__ as e; assert len(e.queries()) > 60 and 'op8_order_minhash' not in e.queries() and len(e.oracle_sql()) > 60"
+    subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": ""}, check=True)
 
 
 def test_stream_of_objects(spark, tmp_path):

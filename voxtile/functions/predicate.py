@@ -3,22 +3,35 @@
 from __future__ import annotations
 
 import ast
+import io
+import tokenize
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .expressions import col
 
+#: Comparisons with a missing value are false, but for "not equal", which is true.
 _COMPARE = {
-    ast.Eq: lambda a, b: a == b, ast.NotEq: lambda a, b: a != b, ast.Lt: lambda a, b: a < b, ast.LtE: lambda a, b: a <= b, ast.Gt: lambda a, b: a > b, ast.GtE: lambda a, b: a >= b,
+    ast.Eq: lambda a, b: a == b, ast.NotEq: lambda a, b: ~F.coalesce(a == b, F.lit(False)), ast.Lt: lambda a, b: a < b, ast.LtE: lambda a, b: a <= b, ast.Gt: lambda a, b: a > b, ast.GtE: lambda a, b: a >= b,
 }
 _ARITHMETIC = {ast.Add: lambda a, b: a + b, ast.Sub: lambda a, b: a - b, ast.Mult: lambda a, b: a * b, ast.Div: lambda a, b: F.try_divide(a, b), ast.Mod: lambda a, b: a % b}
 
 
+def _boolean_words(text: str) -> str:
+    """``&`` and ``|`` become ``and`` and ``or``, which bind more loosely than comparisons."""
+    words = {"&": "and", "|": "or"}
+    of = lambda t: (tokenize.NAME, words[t.string]) if t.type == tokenize.OP and t.string in words else (t.type, t.string)
+    tokens = [of(t) for t in tokenize.generate_tokens(io.StringIO(text).readline)]
+    return tokenize.untokenize(tokens)
+
+
 def compile_predicate(text: str, columns: list[str]) -> Column:
     """Column of a predicate such as ``age < 14 and group in ['a', 'b']``.
 
-    Names in backticks may hold any characters.  An unknown column or any other syntax is a ValueError.
+    ``&`` and ``|`` bind like ``and`` and ``or``; ``==`` and ``!=`` with a list mean ``in`` and ``not in``.  A comparison with a missing
+    value is false, ``!=`` and ``not in`` are true.  Names in backticks may hold any characters.  An unknown column or any
+    other syntax is a ValueError.
     """
     names: dict[str, str] = {}
     parts = text.split("`")
@@ -55,13 +68,14 @@ def compile_predicate(text: str, columns: list[str]) -> Column:
             case ast.Compare(left=a, ops=ops, comparators=bs):
                 out, left = None, a
                 for op, right in zip(ops, bs):
-                    if isinstance(op, (ast.In, ast.NotIn)):
-                        if not isinstance(right, (ast.List, ast.Tuple)):
+                    listed = isinstance(right, (ast.List, ast.Tuple))
+                    if isinstance(op, (ast.In, ast.NotIn)) or listed and isinstance(op, (ast.Eq, ast.NotEq)):
+                        if not listed:
                             raise ValueError("expression is invalid: 'in' needs a list")
-                        one = value(left).isin([ast.literal_eval(x) for x in right.elts])
-                        one = ~one if isinstance(op, ast.NotIn) else one
+                        one = F.coalesce(value(left).isin([ast.literal_eval(x) for x in right.elts]), F.lit(False))
+                        one = ~one if isinstance(op, (ast.NotIn, ast.NotEq)) else one
                     elif type(op) in _COMPARE:
-                        one = _COMPARE[type(op)](value(left), value(right))
+                        one = F.coalesce(_COMPARE[type(op)](value(left), value(right)), F.lit(False))
                     else:
                         raise ValueError("expression is invalid: unknown comparison")
                     out = one if out is None else out & one
@@ -70,8 +84,8 @@ def compile_predicate(text: str, columns: list[str]) -> Column:
         raise ValueError(f"expression is invalid: {ast.dump(node)}")
 
     try:
-        tree = ast.parse("".join(parts).strip(), mode="eval")
-    except SyntaxError as e:
+        tree = ast.parse(_boolean_words("".join(parts).strip()).strip(), mode="eval")
+    except (SyntaxError, tokenize.TokenError) as e:
         raise ValueError(f"expression is invalid: {text!r}") from e
     return value(tree.body)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int) -> DataFrame:
@@ -34,15 +36,83 @@ def histogram_summary(hist: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.9,
     return c.agg(F.try_divide(F.sum(F.col("center") * F.col("count")), F.sum("count")).alias("mean"), (100 * F.try_divide(F.max_by("count", "bin"), F.sum("count"))).alias("saturation_pct"), *of)
 
 
-def percentiles(df: DataFrame, value: str, at: tuple[float, ...], positive: bool = False, accuracy: int | None = None) -> DataFrame:
-    """Columns p{at}: exact percentiles by linear interpolation, or approximate ones where ``accuracy`` is given (for very large columns)."""
-    v = F.when(F.col(value) > 0, F.col(value)) if positive else F.col(value)
-    if accuracy:
-        q = F.percentile_approx(v, [a / 100 for a in at], accuracy)
-    else:
-        q = F.percentile(v, F.array(*[F.lit(a / 100) for a in at]))
+#: Parts that an interval of values is cut in at each scan, and values of one rank that are sorted by the driver.
+PARTS, FEW = 2048, 2048
+
+
+def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: tuple[str, ...] = ()) -> dict[tuple, list[float | None]]:
+    """Exact percentiles (0 to 100) with linear interpolation of each group, by group; missing values and NaN don't count.
+
+    The values around each wanted rank are closed in by histograms: a scan counts the parts of the intervals that hold a rank, until
+    few values or one are left.  So no task sees a whole column, and the driver gets counts only, and at most ``FEW`` values a rank.
+    The groups must be few, as their intervals are planned on the driver.
+    """
+    keys = [F.col(g).alias(f"g{i}") for i, g in enumerate(groups)]
+    names = [f"g{i}" for i in range(len(groups))]
+    flat = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    found: dict[tuple, list[tuple[int, int, float]]] = {}
+    known: dict[tuple, dict[int, float]] = {}
+    # open intervals: group, lowest and highest value, ranks before it, its values
+    open_: dict[tuple, list[tuple[float, float, int, int, list[int]]]] = {}
+    for r in flat.groupBy(*names).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).collect():
+        key = tuple(r[g] for g in names)
+        if not r["n"]:
+            found[key] = []
+            continue
+        found[key], known[key] = [], {}
+        for p in at:
+            place = (r["n"] - 1) * p / 100
+            found[key].append((math.floor(place), min(math.floor(place) + 1, r["n"] - 1), place - math.floor(place)))
+        open_[key] = [(r["lo"], r["hi"], 0, r["n"], sorted({x for low, high, _ in found[key] for x in (low, high)}))]
+    while open_:
+        rest: dict[tuple, list] = {}
+        plan = []
+        for key, intervals in open_.items():
+            for lo, hi, before, n, ranks in intervals:
+                if lo == hi:
+                    known[key] |= dict.fromkeys(ranks, lo)
+                else:
+                    plan.append((*key, lo, hi, before, n, ranks))
+        if not plan:
+            break
+        schema = ", ".join([*(f"{g} {flat.schema[g].dataType.simpleString()}" for g in names), "lo double", "hi double", "i int"])
+        table = df.sparkSession.createDataFrame([(*x[: len(names)], x[-5], x[-4], i) for i, x in enumerate(plan)], schema)
+        same = F.lit(True)
+        for g in names:
+            same = same & flat[g].eqNullSafe(table[g])
+        inside = flat.join(F.broadcast(table), same & (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).select("i", "v", "lo", "hi")
+        small = [i for i, x in enumerate(plan) if x[-2] <= FEW]
+        sorted_ = {r["i"]: r["v"] for r in inside.where(F.col("i").isin(small)).groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v")).collect()} if small else {}
+        for i in small:
+            key, before = plan[i][: len(names)], plan[i][-3]
+            known[key] |= {x: sorted_[i][x - before] for x in plan[i][-1]}
+        if len(small) < len(plan):
+            part = F.least(F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * PARTS), F.lit(PARTS - 1)).alias("part")
+            counted: dict[int, list] = {}
+            for r in inside.where(~F.col("i").isin(small)).groupBy("i", part).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).collect():
+                counted.setdefault(r["i"], []).append((r["lo"], r["hi"], r["n"]))
+            for i, parts in counted.items():
+                key, before, ranks = plan[i][: len(names)], plan[i][-3], plan[i][-1]
+                for lo, hi, n in sorted(parts):
+                    if own := [x for x in ranks if before <= x < before + n]:
+                        rest.setdefault(key, []).append((lo, hi, before, n, own))
+                    before += n
+        open_ = rest
+    return {key: [known[key][a] + (known[key][b] - known[key][a]) * share for a, b, share in ranks] if ranks else [None] * len(at) for key, ranks in found.items()}
+
+
+def percentile_table(df: DataFrame, value: str, at: tuple[float, ...], groups: tuple[str, ...] = ()) -> DataFrame:
+    """The groups and a column p{at} for each percentile of ``order_statistics``; no value gives NULL."""
+    rows = order_statistics(df, value, at, groups)
+    rows = rows or ({} if groups else {(): [None] * len(at)})
     name = lambda a: f"p{a:g}".replace(".", "_")
-    return df.agg(q.alias("q")).select(*[F.col("q")[i].alias(name(a)) for i, a in enumerate(at)])
+    schema = T.StructType([*(df.schema[g] for g in groups), *(T.StructField(name(a), T.DoubleType()) for a in at)])
+    return df.sparkSession.createDataFrame([(*key, *values) for key, values in rows.items()], schema)
+
+
+def percentiles(df: DataFrame, value: str, at: tuple[float, ...], positive: bool = False) -> DataFrame:
+    """Columns p{at}: exact percentiles by linear interpolation, of all values or the positive ones."""
+    return percentile_table(df.where(F.col(value) > 0) if positive else df, value, at)
 
 
 def moments(df: DataFrame, value: str, groups: tuple[str, ...] = ()) -> DataFrame:
@@ -64,20 +134,65 @@ def resampled(profile: DataFrame, position: str, value: str, n: int) -> DataFram
     return both.select("i", (F.col("va") + (F.col("x") - F.col("a")) * (F.col("vb") - F.col("va"))).alias("value"))
 
 
-def even_spacing(lo: float, hi: float, n: int) -> list[float]:
-    return [lo] if n == 1 else [lo + (hi - lo) * i / (n - 1) for i in range(n)]
+def object_summary(df: DataFrame, size: str, radius: F.Column, groups: tuple[str, ...] = ()) -> DataFrame:
+    """count, mean, median, max and total of the sizes, mean and median of the radii, of each of a few groups."""
+    own = df.select(*groups, F.col(size).alias("_s"), radius.alias("_r"))
+    out = own.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), F.avg("_s").alias("mean"), F.max("_s").alias("max"), F.sum("_s").alias("total"), F.avg("_r").alias("mean_radius"))
+    return _with_percentiles(_with_percentiles(out, own, "_s", {50: "median"}, groups), own, "_r", {50: "median_radius"}, groups)
 
 
-def object_summary(df: DataFrame, size: str, radius: F.Column, groups: tuple[str, ...] = ()) -> DataFrame:
-    return df.withColumn("_r", radius).groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(size).alias("mean"), F.median(size).alias("median"), F.max(size).alias("max"), F.sum(size).alias("total"), F.avg("_r").alias("mean_radius"), F.median("_r").alias("median_radius"))
+def _with_percentiles(out: DataFrame, df: DataFrame, value: str, names: dict[float, str], groups: tuple[str, ...]) -> DataFrame:
+    table = percentile_table(df, value, tuple(names), groups).toDF(*[f"_{g}" for g in groups], *names.values())
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return out.join(F.broadcast(table), same, "left").drop(*[f"_{g}" for g in groups])  # a row for each of the few groups
 
 
 def described(df: DataFrame, value: str, group: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max of a column for each group."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.groupBy(group).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), q.alias("q"), F.max(value).alias("max"))
-    return out.select(group, "count", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))], "max")
+    """count, mean, std, min, quartiles and max of a column for each of a few groups."""
+    out = df.groupBy(group).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    return _with_percentiles(out, df, value, {25: "q25", 50: "q50", 75: "q75"}, (group,)).select(group, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+def histogram_between(df: DataFrame, value: str, lo: float, hi: float, width: float, source: DataFrame | None = None) -> DataFrame:
+    """Histogram between two percentiles (of ``source``, such as a coarser image, or else of ``df``) with bins of about ``width``."""
+    low, high = order_statistics(df if source is None else source, value, (lo, hi))[()]
+    return histogram(df, value, low, high, bins_by_width(low, high, width))
+
+
+def threshold_sweep(df: DataFrame, value: str, n: int = 10, lo: float = 1.0, hi: float = 99.0, groups: tuple[str, ...] = ()) -> DataFrame:
+    """step, threshold, n_voxels, n_foreground and fraction of each of ``n`` thresholds, evenly between two percentiles of all values.
+
+    Foreground is strictly above the threshold.  ``groups`` may name crops, which are counted apart.  One scan after the percentiles; no values give no rows.
+    """
+    low, high = order_statistics(df, value, (lo, hi)).get((), (None, None))
+    if low is None:
+        return df.select(*groups).limit(0).selectExpr("*", "0 as step", "0D as threshold", "0L as n_voxels", "0L as n_foreground", "0D as fraction")
+    at = [low + (high - low) * i / max(n - 1, 1) for i in range(n)]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("n_voxels"), F.array(*[F.count_if(F.col(value) > t) for t in at]).alias("above"))
+    steps = F.posexplode(F.arrays_zip(F.array(*[F.lit(t) for t in at]).alias("threshold"), F.col("above").alias("n_foreground"))).alias("step", "s")
+    out = counts.select(*groups, "n_voxels", steps).select(*groups, "step", "s.threshold", "n_voxels", "s.n_foreground")
+    return out.withColumn("fraction", F.col("n_foreground") / F.col("n_voxels"))
+
+
+def tuning_report(images: DataFrame, settings: tuple[str, ...], value: str, at: tuple[float, ...] = (50, 99)) -> DataFrame:
+    """Moments, coefficient of variation and percentiles of the image of each combination of settings (``images`` has a row a voxel)."""
+    names = {a: f"p{a:g}" for a in at}
+    return _with_percentiles(moments(images, value, settings), images, value, names, settings)
+
+
+def tuning_grid(spark: SparkSession, **choices: list) -> DataFrame:
+    """All combinations of settings in the order of ``choices``, numbered from 0 as ``combo``."""
+    rows = list(itertools.product(*choices.values()))
+    return spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], ["combo", *choices])
+
+
+def paired_by_position(left: DataFrame, right: DataFrame, order_left: list[str], order_right: list[str]) -> DataFrame:
+    """The n-th row of one table beside the n-th of the other, each in its order; the longer table's rest is left out."""
+    from .graph import dense_ids
+
+    return dense_ids(left, order_left, "position").join(dense_ids(right, order_right, "position"), "position")
 
 
 def block_mean(voxels: DataFrame, factor: int, value: str, axes: tuple[str, ...] = ("vx", "vy", "vz")) -> DataFrame:

@@ -3,32 +3,58 @@
 from __future__ import annotations
 
 import itertools
+import tempfile
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import affine, norm
-from ..sources.tables import require_columns
+from ..sources.tables import concatenated, require_columns
 
 VOXEL = ("vox_x", "vox_y", "vox_z")
 EDGE_COLUMNS = ["channel", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL), *(f"{e}_{a}" for e in ("src", "dst") for a in "xyz"), "src_radius", "dst_radius", "edge_length"]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in ``spark.checkpoint.dir``; a local session without it gets a folder of its own."""
-    spark, context = df.sparkSession, df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, which all executors share; a local session without it, as in tests, gets one of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            import tempfile
-
             folder = tempfile.mkdtemp(prefix="voxtile-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable copy of ``df`` in the shared folder, without lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """u, v for each linked node u that isn't the smallest of its group, with the smallest one v; ``edges`` has u > v.
+
+    Large-star and small-star rounds (Kiveris et al., 2014), each two aggregations and joins on nodes, until the count and a hash sum of
+    the edges stay; the rounds grow about as the logarithm of the largest group.
+    """
+    edges, state = checkpointed(edges.distinct()), None
+    for _ in range(most_rounds):
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = edges.join(least.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v")).distinct()
+        pairs = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        small = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(pairs.select("u", F.col("m").alias("v")))
+        edges, before = checkpointed(small.where("u != v").distinct()), state
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
+            return edges
+    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
 def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """0, 1, 2... in a total order: ranges are sorted and numbered by themselves, then shifted by the rows before them.
 
@@ -63,6 +89,16 @@ def distinct_edges(edges: DataFrame) -> DataFrame:
     return edges.dropDuplicates(["channel", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL)])
 
 
+def edges_of_blocks(spark: SparkSession, blocks: Iterable[DataFrame | None]) -> DataFrame:
+    """One edge list from the edge tables of blocks, ordered by channel and voxels; an edge that blocks share stays once.
+
+    Blocks may be None or empty, and may lack columns (NULL).  Without any there is an empty table with all columns.
+    """
+    kinds = {**dict.fromkeys(EDGE_COLUMNS, "double"), **{f"{e}_{v}": "long" for e in ("src", "dst") for v in VOXEL}, "channel": "long"}
+    every = concatenated(spark, blocks, ", ".join(f"{c} {kinds[c]}" for c in EDGE_COLUMNS))
+    return distinct_edges(every).orderBy("channel", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL))
+
+
 def nodes_of(edges: DataFrame) -> DataFrame:
     """node_id, channel, voxel, mean position and mean radius of every end of an edge."""
     require_columns(edges, EDGE_COLUMNS)
@@ -85,27 +121,16 @@ def edges_with_nodes(edges: DataFrame, nodes: DataFrame, check: bool = True) ->
     return dense_ids(out, order, "edge_id").select("edge_id", *order, "edge_length", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL))
 
 
-def voxel_components(voxels: DataFrame, connectivity: int = 26, most_rounds: int = 60) -> DataFrame:
+def voxel_components(voxels: DataFrame, connectivity: int = 26) -> DataFrame:
     """Add label, the smallest voxel number of each connected group; ``voxels`` has vx, vy, vz of the foreground.
 
-    Voxels are linked by joins on the later neighbours (13, or 3 for faces only); labels then shrink by alternating large-star and
-    small-star rounds, which need about as many rounds as the logarithm of the largest group.
+    Voxels are linked by joins on the later neighbours (13, or 3 for faces only); labels then shrink by star rounds.
     """
     numbered = checkpointed(dense_ids(voxels.select("vx", "vy", "vz").distinct(), ["vx", "vy", "vz"], "id"))
     later = [d for d in itertools.product((-1, 0, 1), repeat=3) if d > (0, 0, 0) and sum(map(abs, d)) <= {6: 1, 18: 2, 26: 3}[connectivity]]
     steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip("xyz", d)]) for d in later])
     moved = numbered.withColumn("_d", F.explode(steps)).select(F.col("id").alias("v"), *[(F.col(f"v{a}") + F.col(f"_d.{a}")).alias(f"v{a}") for a in "xyz"])
-    edges = checkpointed(moved.join(numbered, ["vx", "vy", "vz"]).select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v")))
-    for _ in range(most_rounds):
-        both = edges.union(edges.select(F.col("v"), F.col("u")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        pairs = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
-        new = checkpointed(pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(pairs.select("u", F.col("m").alias("v"))).where("u != v").distinct())
-        changed = not new.exceptAll(edges).isEmpty() or not edges.exceptAll(new).isEmpty()
-        edges = new
-        if not changed:
-            break
+    edges = star_components(moved.join(numbered, ["vx", "vy", "vz"]).select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v")))
     out = numbered.join(edges.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left")
     return out.select("vx", "vy", "vz", F.coalesce("label", "id").alias("label"))
 

@@ -25,13 +25,13 @@ def with_object_ids(objects: DataFrame, voxel_edge: float = 0.002) -> DataFrame:
 
 
 def radius_pairs(left: DataFrame, right: DataFrame, radius: str, position: tuple[str, str, str] = ("pos_x", "pos_y", "pos_z"), cell: float | None = None) -> DataFrame:
-    """Pairs a, b (structs) with distance <= a's radius, and distance; rows without a position are left out.
+    """Pairs a, b (structs) with distance <= a's radius, and distance; rows without a position or a finite radius are left out.
 
     Cells are as large as the largest radius, so a's neighbours are in 27 cells: an equi-join on cells, then the exact test.
     If radii differ by much, left rows go to grids by octave of their radius, and right rows to each octave that is there.
     """
     ok = lambda df: df.where(" and ".join(f"{p} is not null and not isnan({p})" for p in position))
-    left = ok(left).where(F.col(radius) >= 0)
+    left = ok(left).where((F.col(radius) >= 0) & (F.col(radius) < float("inf")))  # NaN is above infinity here
     if cell is None:
         octave = F.when(F.col(radius) > 0, F.ceil(F.log2(radius))).otherwise(-1000).cast("int")
         levels = left.select(octave.alias("o")).distinct()
@@ -127,11 +127,55 @@ def magnitude_summary(field: DataFrame) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, groups: tuple[str, ...] = ()) -> DataFrame:
-    """``n`` rows (of each group) by a seeded hash of the key, the same in every run."""
-    place = F.xxhash64(F.lit(seed), key)
+    """``n`` rows (of each group) by a seeded digest of the key, the same in every run."""
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     if not groups:
         return df.orderBy(place, key).limit(n)
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(place, key))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+
+
+def seeded_order(df: DataFrame, key: str, seed: int = 42, name: str = "place") -> DataFrame:
+    """Rows numbered from 0 in a seeded permutation, the same in every run; by digests, so that other engines can repeat it."""
+    from .graph import dense_ids
+
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return dense_ids(df.withColumn("_digest", digest), ["_digest", key], name).drop("_digest")
+
+
+def ordered_by_radius(objects: DataFrame, name: str = "place") -> DataFrame:
+    """Objects numbered from 0 by the radius of a ball of their size, or by the mean of both radii of a pair; ties by all columns."""
+    from .graph import dense_ids
+
+    columns = objects.columns
+    radius = (F.col("radius_a") + F.col("radius_b")) / 2 if {"radius_a", "radius_b"} <= set(columns) else sphere_radius(F.col("nvoxels") if "nvoxels" in columns else F.lit(1))
+    return dense_ids(objects.withColumn("radius_sort", radius), ["radius_sort", *columns], name)
+
+
+def present_labels(labels: DataFrame, voxels: DataFrame, coarse: bool = False, index: str = "index") -> DataFrame:
+    """The first labels by number that a volume has, without the background: 25 of a coarse segmentation, or else 100."""
+    there = voxels.select(index).distinct()
+    return labels.where(F.col(index) > 0).join(there, index, "left_semi").orderBy(index).limit(25 if coarse else 100)
+
+
+def resized(grid: DataFrame, shape: tuple[int, ...], target: tuple[int, ...], value: str = "value", axes: tuple[str, ...] = ("vx", "vy", "vz")) -> DataFrame:
+    """A grid on another shape by linear interpolation, axis by axis, with the corners of both grids at the same places.
+
+    Voxels that the grid lacks are 0.  Each voxel goes to the at most few targets between it and its neighbours, so a pass is one aggregation.
+    """
+    out = grid.select(*axes, F.col(value).cast("double").alias(value))
+    for axis, n, m in zip(axes, shape, target):
+        step = (n - 1) / (m - 1) if m > 1 else 0.0  # source places for each target place
+        at = F.col(axis)
+        if n == 1 or step == 0:
+            first, last = F.lit(0), F.when(at == 0, F.lit(m - 1)).otherwise(F.lit(-1))
+        else:
+            first, last = F.greatest(F.ceil((at - 1) / step), F.lit(0)), F.least(F.floor((at + 1) / step), F.lit(m - 1))
+        place = F.explode(F.when(last >= first, F.sequence(first.cast("long"), last.cast("long"))).otherwise(F.array().cast("array<long>")))
+        each = out.withColumn("_t", place)
+        weight = F.greatest(F.lit(1.0) - F.abs(F.col("_t") * step - at), F.lit(0.0))
+        others = [a for a in axes if a != axis]
+        out = each.where(weight > 0).groupBy(*others, F.col("_t").alias(axis)).agg(F.sum(F.col(value) * weight).alias(value)).select(*axes, value)
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from dataclasses import dataclass, field
 
@@ -66,7 +65,7 @@ def two_level_tests(long: DataFrame, keys: list[str], factor: str, pairs: DataFr
     w = Window.partitionBy(*keys)
     cells = cells.withColumns({"_rest": F.sum((F.col("n") - 1) * F.col("var")).over(w), "_df": F.sum(F.col("n") - 1).over(w)})
     side = lambda s: cells.select(*keys, *[F.col(c).alias(f"{c}_{s}") for c in ("level", "n", "mean", "var")], *(["_rest", "_df"] if s == "a" else []))
-    both = side("a").join(F.broadcast(pairs.select("level_a", "level_b")), "level_a").join(side("b"), [*keys, "level_b"])
+    both = side("a").join(pairs.select("level_a", "level_b"), "level_a").join(side("b"), [*keys, "level_b"])
     ok = (F.col("n_a") >= 2) & (F.col("n_b") >= 2)
     scale = F.sqrt(F.try_divide("_rest", "_df") * (1 / F.col("n_a") + 1 / F.col("n_b")))
     own = F.sqrt(((F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")) / (F.col("n_a") + F.col("n_b") - 2))
@@ -90,15 +89,15 @@ def _solved(xx: np.ndarray, xy: np.ndarray) -> tuple[np.ndarray, np.ndarray, int
     return spread @ xy, spread, rank
 
 
-def fitted_contrasts(long: DataFrame, keys: list[str], formula: str, wanted: list[Contrast], response: str = "metric") -> DataFrame:
+def fitted_contrasts(long: DataFrame, keys: list[str], formula: str, wanted: list[Contrast]) -> DataFrame:
     """Fit ``formula`` in each group of ``keys`` once and evaluate every contrast on it.
 
-    ``long`` has the keys, value and the model's columns.  Covariates stand at their mean and other factors at their mode (smallest of
+    ``long`` has the keys, value and the model's columns; the left side of the formula stands for value, whatever its name.  Covariates stand at their mean and other factors at their mode (smallest of
     ties) over the group's rows.  Rows with a missing variable are left out of the fit; levels compare as text.  Statistics are NULL where a
-    level has fewer than two values or the fit fails.  Rows are summed by group and combination of levels, with sums of products of the
+    level has fewer than two values, no row of a level or stratum is left in the fit, or the fit fails.  Rows are summed by group and combination of levels, with sums of products of the
     covariates and the value; only these sums meet in one task, where the normal equations of a group are solved.
     """
-    left, intercept, terms = parse(formula)
+    _, intercept, terms = parse(formula)
     kinds = variables(terms)
     numbers = [c for c, cat in kinds.items() if not cat]
     factors = sorted({c for c, cat in kinds.items() if cat} | {c for x in wanted for c in (x.factor, *x.strata)})
@@ -166,7 +165,8 @@ def fitted_contrasts(long: DataFrame, keys: list[str], formula: str, wanted: lis
                 stratum &= (pdf[k] == x).to_numpy()
             (na, ma, sa), (nb, mb, sb) = (moments(pdf[stratum & (pdf[c.factor] == x).to_numpy()]) for x in (c.level_a, c.level_b))
             row = head | {"contrast": c.label, "n_a": na, "n_b": nb, "mean_a": ma if na else None, "mean_b": mb if nb else None}
-            if na > 1 and nb > 1 and result:
+            fitted = result and all(x in result[0].levels[k] for x in (c.level_a, c.level_b) for k, x in (c.strata | {c.factor: x}).items() if k in result[0].levels)
+            if na > 1 and nb > 1 and fitted:
                 design, beta, spread, variance, df, n, r2 = result
                 d = design.matrix(pd.DataFrame([reference | c.strata | {c.factor: x} for x in (c.level_a, c.level_b)]))
                 step = d[0] - d[1]
@@ -203,7 +203,3 @@ def heatmap_matrix(stats: DataFrame, p: str = "pval", t: str = "tstat", cap: flo
     bound = out.agg(F.max(F.abs("t_value")).alias("t_bound"))
     return out.crossJoin(F.broadcast(bound))
 
-
-def tuning_grid(**choices: list) -> list[dict]:
-    """All combinations of settings, as planning needs them."""
-    return [dict(zip(choices, x)) for x in itertools.product(*choices.values())]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import threshold_mask
 from ..functions.seg_method import Method, gmm_tail, otsu_thresholds
-from .aggregates import bins_by_width, histogram
+from .aggregates import histogram_between
+from .graph import checkpointed
 from .spatial import bounding_boxes
 
 AXES = ("vx", "vy", "vz")
@@ -55,21 +57,17 @@ def cleaned(components: DataFrame, least_extent: float = 0.15) -> DataFrame:
     return components.join(good, "label", "left_semi")
 
 
-def choose_threshold(df: DataFrame, value: str, method: Method, lo: float, hi: float, width: float) -> float:
-    """Threshold of a segmentation method; the histogram is made by Spark, and only its bins reach the driver."""
+def choose_threshold(df: DataFrame, value: str, method: Method, between: tuple[float, float] = (0.0, 100.0), width: float = 1.0, source: DataFrame | None = None) -> float:
+    """Threshold of a segmentation method, from a histogram between two percentiles that Spark makes; only its bins reach the driver."""
     if method.kind == "threshold":
         return method.value
-    table = histogram(df, value, lo, hi, bins_by_width(lo, hi, width)).orderBy("bin").toPandas()
+    table = histogram_between(df, value, *between, width, source).orderBy("bin").toPandas()
     centers, counts = ((table["lo"] + table["hi"]) / 2).to_numpy(), table["count"].to_numpy(float)
     if method.kind == "otsu":
         return otsu_thresholds(centers, counts, method.classes)[method.index]
     return gmm_tail(centers, counts, method.classes, method.value)
 
 
-def segmented(df: DataFrame, value: str, threshold: float, out: str = "mask") -> DataFrame:
-    return df.withColumn(out, threshold_mask(F.col(value), threshold))
-
-
 def gaussian_smoothed(voxels: DataFrame, sigma: float, value: str = "value", axes: tuple[str, ...] = AXES) -> DataFrame:
     """Separable Gaussian mean over the voxels that are there, cut at three deviations: a join on shifted places for each axis."""
     reach = max(1, int(round(3 * sigma)))
@@ -83,6 +81,24 @@ def gaussian_smoothed(voxels: DataFrame, sigma: float, value: str = "value", axe
     return out
 
 
+def blobs(voxels: DataFrame, sigmas: tuple[float, ...], least: float, value: str = "value", axes: tuple[str, ...] = AXES) -> DataFrame:
+    """Bright spots by differences of Gaussians: voxels whose response, at one of the scales, is above ``least`` and not below any neighbour's.
+
+    Returns the voxel, sigma and response.  Neighbours are those that touch the voxel at its own and the next scales; equal ones all stay.
+    """
+    levels = [gaussian_smoothed(voxels, s, value, axes).withColumnRenamed(value, f"g{i}") for i, s in enumerate(sigmas)]
+    stack = levels[0]
+    for level in levels[1:]:
+        stack = stack.join(level, list(axes))
+    scales = F.array(*[F.struct(F.lit(i).alias("scale"), F.lit(float(s)).alias("sigma"), ((F.col(f"g{i}") - F.col(f"g{i + 1}")) * s).alias("response")) for i, s in enumerate(sigmas[:-1])])
+    cube = checkpointed(stack.select(*axes, F.inline(scales)))
+    steps = F.array(*[F.struct(*[F.lit(x).alias(k) for k, x in zip((*axes, "scale"), d)]) for d in itertools.product((-1, 0, 1), repeat=len(axes) + 1) if any(d)])
+    around = cube.withColumn("_d", F.explode(steps)).select(*[(F.col(k) + F.col(f"_d.{k}")).alias(k) for k in (*axes, "scale")], "response")
+    top = around.groupBy(*axes, "scale").agg(F.max("response").alias("_top"))
+    best = cube.where(F.col("response") > least).join(top, [*axes, "scale"], "left").where(F.col("_top").isNull() | (F.col("response") >= F.col("_top")))
+    return best.select(*axes, "sigma", "response")
+
+
 def bias_corrected(voxels: DataFrame, field: DataFrame, factor: int, value: str = "value", log_field: bool = False) -> DataFrame:
     """Values divided by a coarse field (or its exponential) of blocks of ``factor`` voxels."""
     f = field.select(*[F.col(a).alias(f"_{a}") for a in AXES], F.col(value).alias("_f"))
@@ -91,50 +107,73 @@ def bias_corrected(voxels: DataFrame, field: DataFrame, factor: int, value: str
     return keyed.join(f, [f"_{a}" for a in AXES], "left").withColumn(value, F.try_divide(F.col(value), by)).select(*voxels.columns)
 
 
-def _envelope(line: pd.DataFrame, axis: str, length: int, spacing: float) -> np.ndarray:
-    """Squared distances along one line: the lower envelope of parabolas over the places that have a finite value."""
-    f = np.full(length, np.inf)
-    f[line[axis].to_numpy(int)] = line["d"].to_numpy(float)
-    sites = np.flatnonzero(np.isfinite(f))
-    if not len(sites):
-        return f
-    x = np.arange(length) * spacing
-    hull, edges = [int(sites[0])], [-np.inf]
-    for s in sites[1:]:
-        while True:
-            k = hull[-1]
-            cross = ((f[s] + x[s] ** 2) - (f[k] + x[k] ** 2)) / (2 * (x[s] - x[k]))
-            if cross > edges[-1] or len(hull) == 1:
-                break
-            hull.pop()
-            edges.pop()
-        hull.append(int(s))
-        edges.append(cross)
-    at = np.searchsorted(np.array(edges[1:]), x, side="left")
-    near = np.array(hull)[at]
-    return (x - x[near]) ** 2 + f[near]
-
-
-def _line_pass(axis: str, length: int, spacing: float):
-    others = [a for a in AXES if a != axis]
-
-    def along(line: pd.DataFrame) -> pd.DataFrame:
-        d = _envelope(line, axis, length, spacing)
-        keep = np.isfinite(d)
-        return pd.DataFrame({axis: np.flatnonzero(keep), "d": d[keep], **{o: line[o].iloc[0] for o in others}})[[*AXES, "d"]]
-
-    return along
+#: Voxels of the lines that a task holds at once.
+TILE = 1_000_000
+
+
+def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
+    """min over j of f[., j] + (step (i - j))^2 for all lines (rows) at once, exact.
+
+    Shifts grow until none can be below the largest value that a line still has, so the work follows the distances and not the lines' length.
+    """
+    out = f.copy()
+    some = np.isfinite(f).any(axis=1)
+    g, d = f[some], out[some]
+    for k in range(1, f.shape[1]):
+        add = (k * step) ** 2
+        if not len(d) or add + g.min() >= d.max():
+            break
+        np.minimum(d[:, k:], g[:, :-k] + add, out=d[:, k:])
+        np.minimum(d[:, :-k], g[:, k:] + add, out=d[:, :-k])
+    out[some] = d
+    return out
+
+
+def _line_pass(axis: str, length: int, step: float):
+    """The pass along an axis, for rows that come line by line."""
+    first, second = (a for a in AXES if a != axis)
+
+    def solved(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        v = {k: np.concatenate([x[k] for x in parts]) for k in (*AXES, "d")}
+        new = np.concatenate([[True], (np.diff(v[first]) != 0) | (np.diff(v[second]) != 0)])
+        line, heads = np.cumsum(new) - 1, np.flatnonzero(new)
+        f = np.full((len(heads), length), np.inf)
+        f[line, v[axis]] = v["d"]
+        d = lower_envelope(f, step)
+        row, at = np.nonzero(np.isfinite(d))
+        columns = {axis: at, first: v[first][heads][row], second: v[second][heads][row]}
+        return pa.RecordBatch.from_arrays([*(pa.array(columns[a].astype(np.int64)) for a in AXES), pa.array(d[row, at])], [*AXES, "d"])
+
+    def run(batches):
+        held: list[dict[str, np.ndarray]] = []
+        lines = 0
+        for batch in batches:
+            v = {k: batch.column(k).to_numpy() for k in (*AXES, "d")}
+            if not len(v["d"]):
+                continue
+            change = np.flatnonzero((np.diff(v[first]) != 0) | (np.diff(v[second]) != 0)) + 1
+            lines += len(change) + 1
+            if lines * length >= TILE and len(change):
+                cut = int(change[-1])  # the last line may go on in the next batch
+                yield solved([*held, {k: x[:cut] for k, x in v.items()}])
+                held, lines = [{k: x[cut:] for k, x in v.items()}], 1
+            else:
+                held.append(v)
+        if held:
+            yield solved(held)
+
+    return run
 
 
 def distance_to(sites: DataFrame, shape: tuple[int, int, int], spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
     """Exact Euclidean distance of every voxel of a box to the nearest site (vx, vy, vz); three passes, each by lines of one axis.
 
-    A pass sees only its lines, so no overlap between blocks is needed.  Without any site there are no rows.
+    A pass sees only its lines, many at a time, so no overlap between blocks is needed.  Without any site there are no rows.
     """
     out = sites.select(*[F.col(a).cast("long").alias(a) for a in AXES], F.lit(0.0).alias("d"))
     for axis, length, step in zip(AXES, shape, spacing):
         others = [a for a in AXES if a != axis]
-        out = out.groupBy(*others).applyInPandas(_line_pass(axis, length, step), "vx long, vy long, vz long, d double")
+        out = out.repartition(*others).sortWithinPartitions(*others).mapInArrow(_line_pass(axis, length, step), "vx long, vy long, vz long, d double")
     return out.withColumn("d", F.sqrt("d"))
 
 

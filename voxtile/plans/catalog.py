@@ -16,6 +16,7 @@ from ..functions.predicate import filter_rows
 from ..functions.seg_method import parse_method
 from ..operators import aggregates as agg
 from ..operators import graph, regions, spatial, stats, volume
+from ..sources.tables import PALETTE, discovered, entities, itksnap_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -230,12 +231,12 @@ def group_stats_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_STUDY + """, t AS (SELECT a.region, a.level AS level_a, b.level AS level_b, (a.m - b.m) / sqrt(rest / df * (1 / a.n + 1 / b.n)) AS t FROM g a JOIN g b ON a.region = b.region AND a.level < b.level JOIN p ON p.region = a.region)
-SELECT region, level_a, level_b, round(coalesce(t, 0), 6) AS t_value, round(max(abs(coalesce(t, 0))) OVER (), 6) AS t_bound FROM t""")
+SELECT region, level_a, level_b, round(coalesce(t, 0), 6) AS t_value, round(least(t * t / 2 / ln(10), 3), 6) AS significance, round(max(abs(coalesce(t, 0))) OVER (), 6) AS t_bound FROM t""")
 def heatmap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """t matrix of regions by contrasts with its symmetric bound."""
+    """t matrix of regions by contrasts with its symmetric bound; p is the bound exp(-t^2 / 2) here, so that SQL can follow."""
     out = stats.two_level_tests(study(spark, sf_dir), ["region"], "segment", stats.contrast_table(table(spark, sf_dir, "customer"), "c_mktsegment"))
-    m = stats.heatmap_matrix(out.withColumn("pval", F.lit(None).cast("double")))
-    return m.select("region", "level_a", "level_b", F.round("t_value", 6).alias("t_value"), F.round("t_bound", 6).alias("t_bound"))
+    m = stats.heatmap_matrix(out.withColumn("pval", F.exp(-F.col("tstat") * F.col("tstat") / 2)))
+    return m.select("region", "level_a", "level_b", *[F.round(c, 6).alias(c) for c in ("t_value", "significance", "t_bound")])
 
 
 # --- space -----------------------------------------------------------------------------------------------------------------------------------
@@ -261,11 +262,11 @@ def coloc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_V + """, r AS (SELECT *, 0.01 * (1 + vec_id % 7) AS rad FROM v)
 SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(1 - sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) / (a.rad + b.rad), 6) AS overlapratio, round((a.x + b.x) / 2, 6) AS pos_coloc_x
-FROM r a JOIN r b ON a.label = 0 AND b.label = 1 WHERE sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) <= a.rad AND 1 - sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) / (a.rad + b.rad) > 0""")
+FROM r a JOIN r b ON a.label < b.label WHERE sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) <= a.rad AND 1 - sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z)) / (a.rad + b.rad) > 0""")
 def coloc_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping objects of two stains whose radii differ: a grid for each octave of radii."""
+    """Overlapping objects of each two of ten stains, whose radii differ: a grid for each octave of radii."""
     v = vectors(spark, sf_dir).withColumns({"stain": F.concat(F.lit("s"), F.col("label")), "object_id": F.col("vec_id"), "radius": 0.01 * (1 + F.col("vec_id") % 7), "nvoxels": F.lit(1), **{f"template_{a}": F.col(f"pos_{a}") for a in "xyz"}})
-    pairs = spatial.colocalized(v, ["s0", "s1"])
+    pairs = spatial.colocalized(v, [f"s{i}" for i in range(10)])
     return pairs.select(F.col("object_id_a").alias("id_a"), F.col("object_id_b").alias("id_b"), F.round("overlapratio", 6).alias("overlapratio"), F.round("pos_coloc_x", 6).alias("pos_coloc_x"))
 
 
@@ -336,12 +337,39 @@ def object_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.with_object_ids(v).select("vec_id", "object_id", F.round("radius", 8).alias("radius"))
 
 
-@query()
+@query("""SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 200""")
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample of 200 objects by a seeded hash: the limit is the operator."""
     return spatial.seeded_sample(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 200)
 
 
+@query("""SELECT row_number() OVER (ORDER BY md5('7:' || o_orderkey), o_orderkey) - 1 AS place, o_orderkey FROM orders""")
+def seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.seeded_order(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 7).select("place", "o_orderkey")
+
+
+@query("""SELECT row_number() OVER (ORDER BY p_size, p_partkey) - 1 AS place, p_partkey, round(cbrt(3.0 * p_size / (4 * pi())), 6) AS radius FROM part""")
+def radius_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects by their radius."""
+    out = spatial.ordered_by_radius(table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").alias("nvoxels")))
+    return out.select("place", "p_partkey", F.round("radius_sort", 6).alias("radius"))
+
+
+@query("""SELECT n_nationkey AS "index", n_name AS name FROM nation WHERE n_nationkey > 0 AND n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 0) ORDER BY 1 LIMIT 25""")
+def present_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first labels that a volume has: the limit is the operator."""
+    there = table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("index"))
+    return spatial.present_labels(labels(spark, sf_dir), there, coarse=True)
+
+
+@query("""WITH a AS (SELECT row_number() OVER (ORDER BY p_partkey) AS i, p_partkey FROM part), b AS (SELECT row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS i, s_suppkey FROM supplier)
+SELECT p_partkey, s_suppkey FROM a JOIN b USING (i)""")
+def paired_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two tables side by side, each in its own order."""
+    pairs = agg.paired_by_position(table(spark, sf_dir, "part").select("p_partkey"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), ["p_partkey"], ["s_acctbal", "s_suppkey"])
+    return pairs.select("p_partkey", "s_suppkey")
+
+
 # --- intensities -----------------------------------------------------------------------------------------------------------------------------
 
 
@@ -496,10 +524,59 @@ def match_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chosen_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thresholds of three methods from one histogram of all values."""
     e = table(spark, sf_dir, "events").select("value")
-    rows = [(m, float(volume.choose_threshold(e, "value", parse_method(m), 0.0, 500.0, 1.0))) for m in ("th40", "otsu+k3i1", "gmm+n3k1")]
+    rows = [(m, float(volume.choose_threshold(e, "value", parse_method(m), (0.0, 99.9)))) for m in ("th40", "otsu+k3i1", "gmm+n3k1")]
     return spark.createDataFrame(rows, "method string, threshold double")
 
 
+_RANGE = "WITH q AS (SELECT quantile_cont(value, {}) AS lo, quantile_cont(value, {}) AS hi FROM events)"
+
+
+@query(_RANGE.format(0.01, 0.99) + """, n AS (SELECT *, CAST(greatest(2, ceil((hi - lo) / 5)) AS BIGINT) AS bins FROM q), b AS (SELECT unnest(range(bins)) AS bin, lo, hi, bins FROM n),
+c AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin, count(*) AS count FROM events, n WHERE value BETWEEN lo AND hi GROUP BY 1),
+h AS (SELECT b.bin, lo + (b.bin + 0.5) * (hi - lo) / bins AS center, coalesce(count, 0) AS w FROM b LEFT JOIN c USING (bin)),
+s AS (SELECT bin, center, sum(w) OVER (ORDER BY bin) AS m, sum(w * center) OVER (ORDER BY bin) AS f, sum(w) OVER () AS mt, sum(w * center) OVER () AS ft FROM h),
+p AS (SELECT i.center AS a, j.center AS b, i.f * i.f / i.m + (j.f - i.f) * (j.f - i.f) / (j.m - i.m) + (j.ft - j.f) * (j.ft - j.f) / (j.mt - j.m) AS gain FROM s i JOIN s j ON i.bin < j.bin WHERE i.m > 0 AND j.m > i.m AND j.mt > j.m)
+SELECT round(arg_max(b, gain), 6) AS threshold FROM p""")
+def otsu_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second threshold of three classes, from a histogram between the 1st and the 99th percentile; the SQL tries all pairs of bins."""
+    e = table(spark, sf_dir, "events").select("value")
+    t = volume.choose_threshold(e, "value", parse_method("otsu+k3i1"), (1.0, 99.0), 5.0)
+    return spark.createDataFrame([(round(float(t), 6),)], "threshold double")
+
+
+@query(_RANGE.format(0.01, 0.99) + """, t AS (SELECT CAST(i AS INTEGER) AS step, lo + (hi - lo) * i / 9 AS threshold FROM q, (SELECT unnest(range(10)) AS i))
+SELECT event_type, step, round(threshold, 6) AS threshold, count(*) AS n_voxels, count(*) FILTER (value > threshold) AS n_foreground, round(count(*) FILTER (value > threshold) / count(*), 6) AS fraction FROM events, t GROUP BY 1, 2, 3""")
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Foreground at ten thresholds, crop by crop (event types)."""
+    out = agg.threshold_sweep(table(spark, sf_dir, "events").select("event_type", "value"), "value", groups=("event_type",))
+    return out.select("event_type", "step", F.round("threshold", 6).alias("threshold"), "n_voxels", "n_foreground", F.round("fraction", 6).alias("fraction"))
+
+
+@query("""WITH g AS (SELECT s, i, CAST(row_number() OVER (ORDER BY s, i) - 1 AS BIGINT) AS combo FROM (SELECT unnest([2, 4, 8]) AS s), (SELECT unnest([1, 3]) AS i)), v AS (SELECT combo, value / (1 + s * i) AS v FROM events, g)
+SELECT combo, round(min(v), 4) AS min, round(max(v), 4) AS max, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS std, round(stddev_pop(v) / avg(v), 6) AS cv, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.99), 4) AS p99 FROM v GROUP BY 1""")
+def tuning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments and percentiles of an image corrected with each combination of two settings."""
+    grid = agg.tuning_grid(spark, spacing=[2, 4, 8], rounds=[1, 3])
+    images = table(spark, sf_dir, "events").select("value").crossJoin(F.broadcast(grid)).select("combo", (F.col("value") / (1 + F.col("spacing") * F.col("rounds"))).alias("v"))
+    out = agg.tuning_report(images, ("combo",), "v")
+    return out.select("combo", *[F.round(c, 6 if c == "cv" else 4).alias(c) for c in ("min", "max", "mean", "std", "cv", "p50", "p99")])
+
+
+@query(_EVENT_VOXELS + """, g AS (SELECT vx - 1 AS x, vy AS y, top FROM e), t AS (SELECT i, j, i * 30 / 12.0 AS fx, j * 19 / 37.0 AS fy FROM (SELECT unnest(range(13)) AS i), (SELECT unnest(range(38)) AS j))
+SELECT i AS vx, j AS vy, round(sum(top * (1 - abs(fx - x)) * (1 - abs(fy - y))), 4) AS top FROM t JOIN g ON x BETWEEN floor(fx) AND floor(fx) + 1 AND y BETWEEN floor(fy) AND floor(fy) + 1 AND abs(fx - x) < 1 AND abs(fy - y) < 1 GROUP BY 1, 2""")
+def resized_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An image of 31 by 20 voxels on a grid of 13 by 38, by linear interpolation."""
+    v = _event_voxels(spark, sf_dir).select((F.col("vx") - 1).alias("vx"), "vy", "top")
+    return spatial.resized(v, (31, 20), (13, 38), "top", ("vx", "vy")).select("vx", "vy", r4("top").alias("top"))
+
+
+@query()
+def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bright spots of an image at three scales by differences of Gaussians."""
+    v = _event_voxels(spark, sf_dir).select("vx", "vy", "top")
+    return volume.blobs(v, (1.0, 1.6, 2.56), 1.0, "top", ("vx", "vy")).select("vx", "vy", "sigma", F.round("response", 6).alias("response"))
+
+
 @query(_EVENT_VOXELS + "SELECT vx, vy, CASE WHEN (vx + vy) % 3 = 0 THEN round(value, 4) ELSE 0 END AS value FROM e")
 def mask_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image times mask; voxels that the mask lacks become 0."""
@@ -547,7 +624,8 @@ def first_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").withColumn("rank", rank).where("rank > 0").groupBy("c_nationkey").agg(F.min_by("c_mktsegment", "rank").alias("stain"))
 
 
-@query()
+@query(_EVENT_VOXELS + """, t AS (SELECT unnest(range(-4, 5)) AS d), p AS (SELECT a.vx, a.vy, sum(b.value * exp(-0.5 * pow(d / 1.5, 2))) / sum(exp(-0.5 * pow(d / 1.5, 2))) AS value FROM e a CROSS JOIN t JOIN e b ON b.vx = a.vx + d AND b.vy = a.vy GROUP BY 1, 2)
+SELECT a.vx, a.vy, round(sum(b.value * exp(-0.5 * pow(d / 1.5, 2))) / sum(exp(-0.5 * pow(d / 1.5, 2))), 6) AS value FROM e a CROSS JOIN t JOIN p b ON b.vy = a.vy + d AND b.vx = a.vx GROUP BY 1, 2""")
 def smoothed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A separable Gaussian mean of an image over the voxels that are there."""
     v = _event_voxels(spark, sf_dir).select("vx", "vy", F.lit(0).cast("long").alias("vz"), "value")
@@ -557,20 +635,23 @@ def smoothed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- graphs ----------------------------------------------------------------------------------------------------------------------------------
 
 
-_SKELETON = """WITH s AS (SELECT DISTINCT CAST(l_linenumber % 2 AS BIGINT) AS channel, CAST(l_partkey % 12 AS BIGINT) AS x, CAST(l_suppkey % 12 AS BIGINT) AS y, CAST(l_orderkey % 12 AS BIGINT) AS z FROM lineitem WHERE l_orderkey % 8 = 3),
+_SKELETON = """WITH s AS (SELECT DISTINCT CAST(l_linenumber % 2 AS BIGINT) AS channel, CAST(l_partkey % 60 AS BIGINT) AS x, CAST(l_suppkey % 60 AS BIGINT) AS y, CAST(l_orderkey // 100 AS BIGINT) AS z FROM lineitem),
+d AS (SELECT i, j, k FROM (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j), (SELECT unnest([-1, 0, 1]) AS k) WHERE (i, j, k) > (0, 0, 0)),
 e AS (SELECT a.channel, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS b_y, b.z AS bz, (a.x + a.y) % 5 AS ra, (b.x + b.y) % 5 AS rb, sqrt((b.x-a.x)*(b.x-a.x)*4 + (b.y-a.y)*(b.y-a.y)*9 + (b.z-a.z)*(b.z-a.z)*16) AS len
-FROM s a JOIN s b ON a.channel = b.channel AND abs(a.x-b.x) <= 1 AND abs(a.y-b.y) <= 1 AND abs(a.z-b.z) <= 1 AND (a.x, a.y, a.z) < (b.x, b.y, b.z)) """
+FROM s a CROSS JOIN d JOIN s b ON a.channel = b.channel AND b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k) """
 _SPACING = [[2.0, 0, 0, 10], [0, 3.0, 0, 20], [0, 0, 4.0, 30], [0, 0, 0, 1]]
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "lineitem").where("l_orderkey % 8 = 3").select((F.col("l_linenumber") % 2).cast("long").alias("channel"), *[(F.col(c) % 12).alias(f"vox_{a}") for a, c in (("x", "l_partkey"), ("y", "l_suppkey"), ("z", "l_orderkey"))]).distinct()
+    """Edges between the voxels of all line items; the volume grows along z with the orders."""
+    place = {"vox_x": F.col("l_partkey") % 60, "vox_y": F.col("l_suppkey") % 60, "vox_z": F.expr("l_orderkey div 100")}
+    s = table(spark, sf_dir, "lineitem").select((F.col("l_linenumber") % 2).cast("long").alias("channel"), *[c.cast("long").alias(a) for a, c in place.items()]).distinct()
     return graph.skeleton_edges(s.withColumn("radius", (-(F.col("vox_x") + F.col("vox_y")) % 5).cast("double")), _SPACING)
 
 
 @query(_SKELETON + "SELECT channel, ax AS src_vox_x, ay AS src_vox_y, az AS src_vox_z, bx AS dst_vox_x, b_y AS dst_vox_y, bz AS dst_vox_z, round(len, 6) AS edge_length, CAST(ra AS DOUBLE) AS src_radius FROM e")
 def edge_list_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges of a skeleton between touching voxels, each once.  (The filter makes the voxel set; it isn't a sample of a result.)"""
+    """Edges of a skeleton between touching voxels, each once."""
     return graph.distinct_edges(_edges(spark, sf_dir)).select("channel", *[f"{e}_{v}" for e in ("src", "dst") for v in graph.VOXEL], F.round("edge_length", 6).alias("edge_length"), "src_radius")
 
 
@@ -584,33 +665,49 @@ def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT row_number() OVER (ORDER BY e.channel, p.id, q.id) - 1 AS edge_id, e.channel, p.id AS src_node_id, q.id AS dst_node_id, round(len, 6) AS edge_length
 FROM e JOIN n p ON p.channel = e.channel AND p.x = ax AND p.y = ay AND p.z = az JOIN n q ON q.channel = e.channel AND q.x = bx AND q.y = b_y AND q.z = bz""")
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _edges(spark, sf_dir)
+    e = graph.checkpointed(_edges(spark, sf_dir))  # for the nodes, the test of the ends and the numbering
     return graph.edges_with_nodes(e, graph.nodes_of(e)).select("edge_id", "channel", "src_node_id", "dst_node_id", F.round("edge_length", 6).alias("edge_length"))
 
 
-def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(*[(F.col(c) % 16).alias(f"v{a}") for a, c in (("x", "l_partkey"), ("y", "l_suppkey"), ("z", "l_orderkey"))]).where("(vx + vy * 3 + vz * 5) % 4 = 0").distinct()
+def _mask(spark: SparkSession, sf_dir: str, side: int) -> DataFrame:
+    """Voxels of the large items in a box of ``side`` by ``side`` that grows along z with the orders."""
+    place = {"vx": F.col("l_partkey") % side, "vy": F.col("l_suppkey") % side, "vz": F.expr("l_orderkey div 100")}
+    return table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(*[c.cast("long").alias(a) for a, c in place.items()]).distinct()
 
 
-_MASK = "SELECT DISTINCT l_partkey % 16 AS x, l_suppkey % 16 AS y, l_orderkey % 16 AS z FROM lineitem WHERE l_quantity > 45 AND (l_partkey % 16 + l_suppkey % 16 * 3 + l_orderkey % 16 * 5) % 4 = 0"
+def _mask_sql(side: int) -> str:
+    return f"SELECT DISTINCT l_partkey % {side} AS x, l_suppkey % {side} AS y, l_orderkey // 100 AS z FROM lineitem WHERE l_quantity > 45"
 
 
-@query(f"""WITH RECURSIVE m AS ({_MASK}), e AS (SELECT a.x * 256 + a.y * 16 + a.z AS a, b.x * 256 + b.y * 16 + b.z AS b FROM m a JOIN m b ON abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) <= 1),
-r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), l AS (SELECT a, min(b) AS label FROM r GROUP BY 1)
-SELECT round(2 * avg(a // 256) + 10, 6) AS pos_x, round(3 * avg(a // 16 % 16) + 20, 6) AS pos_y, round(4 * avg(a % 16) + 30, 6) AS pos_z, count(*) AS nvoxels FROM l GROUP BY label""")
+@query(f"""WITH RECURSIVE v AS ({_mask_sql(24)}), m AS (SELECT x, y, z, (x * 24 + y) * 1000000 + z AS id FROM v), d AS (SELECT * FROM (VALUES (1, 0, 0), (0, 1, 0), (0, 0, 1)) t(i, j, k)),
+h AS (SELECT a.id AS a, b.id AS b FROM m a CROSS JOIN d JOIN m b ON b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k), e AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+r AS (SELECT id AS a, id AS b FROM m UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), l AS (SELECT a, min(b) AS label FROM r GROUP BY 1)
+SELECT round(2 * avg(x) + 10, 6) AS pos_x, round(3 * avg(y) + 20, 6) AS pos_y, round(4 * avg(z) + 30, 6) AS pos_z, count(*) AS nvoxels FROM l JOIN m ON m.id = l.a GROUP BY label""")
 def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects from a mask: voxels that share faces, their mean position and size."""
-    out = graph.component_objects(graph.voxel_components(_mask(spark, sf_dir), 6), _SPACING)
+    out = graph.component_objects(graph.voxel_components(_mask(spark, sf_dir, 24), 6), _SPACING)
     return out.select(*[F.round(f"pos_{a}", 6).alias(f"pos_{a}") for a in "xyz"], "nvoxels")
 
 
-@query(f"""WITH m AS ({_MASK}),
-b AS (SELECT i % 16 AS x, i // 16 % 16 AS y, i // 256 AS z FROM (SELECT unnest(range(4096)) AS i)), o AS (SELECT b.* FROM b ANTI JOIN m USING (x, y, z)),
-p AS (SELECT b.x, b.y, b.z, min((b.x-m.x)*(b.x-m.x)*4 + (b.y-m.y)*(b.y-m.y)*9 + (b.z-m.z)*(b.z-m.z)*16) AS d FROM b CROSS JOIN m GROUP BY 1, 2, 3), q AS (SELECT b.x, b.y, b.z, min((b.x-o.x)*(b.x-o.x)*4 + (b.y-o.y)*(b.y-o.y)*9 + (b.z-o.z)*(b.z-o.z)*16) AS d FROM b CROSS JOIN o GROUP BY 1, 2, 3)
-SELECT p.x AS vx, p.y AS vy, p.z AS vz, round(sqrt(p.d) - sqrt(q.d), 6) AS sdt FROM p JOIN q USING (x, y, z)""")
+@query(f"""WITH m AS ({_mask_sql(12)}), s AS (SELECT max(l_orderkey) // 100 + 1 AS n FROM lineitem),
+b AS (SELECT i % 12 AS x, i // 12 % 12 AS y, i // 144 AS z FROM (SELECT unnest(range(144 * n)) AS i FROM s)), o AS (SELECT b.* FROM b ANTI JOIN m USING (x, y, z))
+SELECT o.x AS vx, o.y AS vy, o.z AS vz, round(sqrt(min((o.x-m.x)*(o.x-m.x)*4 + (o.y-m.y)*(o.y-m.y)*9 + (o.z-m.z)*(o.z-m.z)*16)), 6) AS sdt FROM o CROSS JOIN m GROUP BY 1, 2, 3
+UNION ALL SELECT m.x, m.y, m.z, round(-sqrt(min((o.x-m.x)*(o.x-m.x)*4 + (o.y-m.y)*(o.y-m.y)*9 + (o.z-m.z)*(o.z-m.z)*16)), 6) FROM m CROSS JOIN o GROUP BY 1, 2, 3""")
 def signed_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact signed distances of a box of voxels to a mask."""
-    return volume.signed_distance(_mask(spark, sf_dir), (16, 16, 16), (2.0, 3.0, 4.0)).select("vx", "vy", "vz", F.round("sdt", 6).alias("sdt"))
+    depth = table(spark, sf_dir, "lineitem").agg(F.max(F.expr("l_orderkey div 100"))).first()[0] + 1
+    return volume.signed_distance(_mask(spark, sf_dir, 12), (12, 12, depth), (2.0, 3.0, 4.0)).select("vx", "vy", "vz", F.round("sdt", 6).alias("sdt"))
+
+
+_BLOCKS = "SELECT channel, ax AS src_vox_x, ay AS src_vox_y, az AS src_vox_z, bx AS dst_vox_x, b_y AS dst_vox_y, bz AS dst_vox_z, round(len, 6) AS edge_length FROM e WHERE channel = 0"
+
+
+@query(_SKELETON + _BLOCKS)
+def edges_of_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edge lists of overlapping blocks, one that is missing and one that is empty, as one list."""
+    e = _edges(spark, sf_dir).where("channel = 0")
+    blocks = [e.where("src_vox_x < 40"), None, e.where("src_vox_x >= 30").drop("src_radius"), e.limit(0)]
+    return graph.edges_of_blocks(spark, blocks).select("channel", *[f"{a}_{v}" for a in ("src", "dst") for v in graph.VOXEL], F.round("edge_length", 6).alias("edge_length"))
 
 
 # --- text and metadata -----------------------------------------------------------------------------------------------------------------------
@@ -637,6 +734,27 @@ def sidecar_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.map_values(F.from_json("props", "map<string,string>"))[0].alias("first_value"))
 
 
+@query("""WITH c AS (SELECT n_nationkey AS "index", n_name AS name, CASE WHEN n_regionkey = 2 THEN printf('%02x10ff', n_nationkey) END AS color, row_number() OVER (ORDER BY n_nationkey, n_name) - 1 AS i, count(*) OVER () AS n FROM nation),
+p AS (SELECT *, coalesce(color, (""" + str(list(PALETTE)) + """)[CAST(least(floor(i / greatest(n - 1, 1) * 20), 19) AS INTEGER) + 1]) AS c FROM c)
+SELECT "index", concat_ws(chr(9), "index", CAST('0x' || c[1:2] AS INTEGER), CAST('0x' || c[3:4] AS INTEGER), CAST('0x' || c[5:6] AS INTEGER), (i > 0)::INTEGER, (i > 0)::INTEGER, (i > 0)::INTEGER, '"' || name || '"') AS value FROM p""")
+def label_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a label description file; labels without a colour take the palette's at their place."""
+    n = table(spark, sf_dir, "nation")
+    color = F.when(F.col("n_regionkey") == 2, rgb_hex(F.col("n_nationkey"), F.lit(16), F.lit(255)))
+    return itksnap_lines(n.select(F.col("n_nationkey").alias("index"), F.col("n_name").alias("name"), color.alias("color")))
+
+
+@query("""SELECT p_name, nullif(regexp_extract(path, 'sub-([A-Za-z0-9]+)', 1), '') AS sub, nullif(regexp_extract(path, 'stain-([A-Za-z0-9]+)', 1), '') AS stain FROM (SELECT p_name, CASE WHEN p_partkey % 3 = 0 THEN 'data/readme.txt' ELSE 'data/sub-' || p_partkey % 10 || '/micr/sub-' || p_partkey % 10 || CASE WHEN p_partkey % 4 = 0 THEN '_stain-abeta' ELSE '' END || '_SPIM.ome.zarr' END AS path, p_partkey FROM part)
+WHERE p_partkey % 3 <> 0 AND p_partkey % 10 IN (1, 2, 3, 4) AND p_partkey % 10 <> 3""")
+def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a data set by the parts of their names, for some participants and not for others."""
+    k = F.col("p_partkey")
+    path = F.when(k % 3 == 0, F.lit("data/readme.txt")).otherwise(F.concat(F.lit("data/sub-"), k % 10, F.lit("/micr/sub-"), k % 10, F.when(k % 4 == 0, "_stain-abeta").otherwise(""), F.lit("_SPIM.ome.zarr")))
+    files = table(spark, sf_dir, "part").select("p_name", path.alias("path"))
+    found = discovered(entities(files), {"extension": ".ome.zarr"}, include=["sub-1", "2", "3", "4"], exclude=["3"])
+    return found.select("p_name", "sub", "stain")
+
+
 @query(_V + "SELECT vec_id, round(0.1 * x - 0.5, 6) AS x, round(sqrt(x * x + y * y), 5) AS size FROM v")
 def affine_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vectors(spark, sf_dir)

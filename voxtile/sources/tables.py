@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,16 @@ def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
+def concatenated(spark: SparkSession, parts: Iterable[DataFrame | None], schema: T.StructType | str) -> DataFrame:
+    """The rows of all parts under one schema: parts that are None are passed over, columns that a part lacks are NULL, others are left out."""
+    fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+    out = spark.createDataFrame([], T.StructType(fields))
+    for part in parts:
+        if part is not None:
+            out = out.unionByName(part.select(*[(col(f.name) if f.name in part.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]))
+    return out
+
+
 def without_missing(df: DataFrame) -> DataFrame:
     """NULL for the tokens that stand for a missing value, in text columns."""
     return df.select(*[F.when(~col(f.name).isin(*MISSING), col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else col(f.name) for f in df.schema.fields])
@@ -32,7 +43,11 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     Without a schema every column is text first; one that holds only numbers becomes long or double (one job over all columns).
     Give ``color`` columns a schema, or leading zeros are lost.
     """
-    raw = without_missing(spark.read.option("quote", '"').csv(path, sep="\t", header=True))
+    return _typed(without_missing(spark.read.option("quote", '"').csv(path, sep="\t", header=True)), schema)
+
+
+def _typed(raw: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Columns of text as numbers where they hold nothing else, or as the schema has them."""
     if schema is not None:
         return raw.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     if not raw.columns:
@@ -97,12 +112,17 @@ def read_many(spark: SparkSession, paths: list[str], prefix: str = "sub-", colum
         raise ValueError("no input files")
     if kind == "parquet":
         df = spark.read.option("mergeSchema", True).parquet(*paths)
-        df = df.withColumn(column, path_entity(F.input_file_name(), prefix))
+        df = df.withColumn(column, path_entity(F.col("_metadata.file_path"), prefix))
     else:
-        parts = [read_tsv(spark, p).withColumn(column, path_entity(F.lit(p), prefix)) for p in paths]
-        df = parts[0]
-        for p in parts[1:]:
-            df = df.unionByName(p, allowMissingColumns=True)
+        first = spark.read.text(paths).where("_metadata.file_block_start = 0").select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"))
+        lines = first.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+        raw = None
+        for r in lines.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect():  # a scan for each different header
+            part = without_missing(spark.read.option("quote", '"').csv(r["paths"], sep="\t", header=True)).withColumn(column, path_entity(F.col("_metadata.file_path"), prefix))
+            raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
+        if raw is None:
+            raise ValueError("no input files with a header")
+        df = _typed(raw)
     return df.where(col(column).isNotNull())
 
 
@@ -112,10 +132,78 @@ def write_tsv(df: DataFrame, path: str, columns: list[str] | None = None, single
     (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="n/a")
 
 
+# The lines that a label description file begins with, and the label of what is outside.
+LABEL_FILE_HEADER = """################################################
+# ITK-SnAP Label Description File
+# File format:
+# IDX   -R-  -G-  -B-  -A--  VIS MSH  LABEL
+# Fields:
+#    IDX:   Zero-based index
+#    -R-:   Red color component (0..255)
+#    -G-:   Green color component (0..255)
+#    -B-:   Blue color component (0..255)
+#    -A-:   Label transparency (0.00 .. 1.00)
+#    VIS:   Label visibility (0 or 1)
+#    IDX:   Label mesh visibility (0 or 1)
+#  LABEL:   Label description
+################################################"""
+# The twenty colours of the qualitative palette for labels without a colour.
+PALETTE = (
+    "1f77b4", "aec7e8", "ff7f0e", "ffbb78", "2ca02c", "98df8a", "d62728", "ff9896", "9467bd", "c5b0d5",
+    "8c564b", "c49c94", "e377c2", "f7b6d2", "7f7f7f", "c7c7c7", "bcbd22", "dbdb8d", "17becf", "9edae5",
+)
+
+
+def with_colors(labels: DataFrame) -> DataFrame:
+    """``labels`` with a colour each: its own, or the palette's at i / (n - 1) for row i of n in the order of the index."""
+    order = Window.partitionBy().orderBy("index", "name")  # a label table, not data
+    place = (F.row_number().over(order) - 1) / F.greatest(F.count(F.lit(1)).over(Window.partitionBy()) - 1, F.lit(1))
+    shade = F.element_at(F.array(*[F.lit(x) for x in PALETTE]), F.least(F.floor(place * len(PALETTE)), F.lit(len(PALETTE) - 1)).cast("int") + 1)
+    own = col("color") if "color" in labels.columns else F.lit(None).cast("string")
+    return labels.withColumn("color", F.coalesce(own, shade))
+
+
 def itksnap_lines(labels: DataFrame) -> DataFrame:
-    """Lines of a label description file; labels without a colour are spread over a colour wheel by their place."""
+    """index, value: the line of each label in a label description file."""
     from ..functions.expressions import hex_channel
 
-    value = [F.coalesce(hex_channel(F.col("color"), i), F.pmod(F.col("index") * m, F.lit(256))).cast("int") for i, m in ((0, 67), (1, 131), (2, 199))]
-    line = F.concat_ws("\t", F.col("index"), *value, F.lit(1), F.lit(1), F.lit(1), F.concat(F.lit('"'), F.col("name"), F.lit('"')))
-    return labels.select("index", line.alias("value"))
+    value = [hex_channel(F.col("color"), i).cast("int") for i in range(3)]
+    seen = F.when(F.row_number().over(Window.partitionBy().orderBy("index", "name")) == 1, 0).otherwise(1)  # the background isn't shown
+    line = F.concat_ws("\t", F.col("index"), *value, seen, seen, seen, F.concat(F.lit('"'), F.col("name"), F.lit('"')))
+    return with_colors(labels).select("index", line.alias("value"))
+
+
+def write_itksnap(labels: DataFrame, path: str) -> None:
+    """A label description file (a folder with one part): its header, then a line for each label by index."""
+    head = labels.sparkSession.createDataFrame([(-1, LABEL_FILE_HEADER)], "index long, value string")
+    both = head.union(itksnap_lines(labels).select(F.col("index").cast("long"), "value"))
+    both.coalesce(1).sortWithinPartitions("index").select("value").write.mode("overwrite").text(path)
+
+
+def write_sidecar(spark: SparkSession, descriptions: dict[str, dict], path: str) -> None:
+    """Descriptions of columns as one JSON object in a text file (a folder with one part)."""
+    text = json.dumps(descriptions, indent=2, ensure_ascii=False)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def entities(paths: DataFrame, keys: tuple[str, ...] = ("sub", "ses", "sample", "acq", "stain", "space", "desc")) -> DataFrame:
+    """``paths`` as a catalogue of files: a column for each ``key-value`` part of its path's name or folders (NULL without), suffix and extension."""
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    of = lambda k: F.nullif(F.regexp_extract("path", rf"(?:^|[/_]){k}-([A-Za-z0-9+]+)(?=[/_.]|$)", 1), F.lit(""))
+    return paths.select("*", *[of(k).alias(k) for k in keys], F.nullif(F.regexp_extract(name, r"_?([A-Za-z0-9]+)\.[^/]*$", 1), F.lit("")).alias("suffix"), F.regexp_extract(name, r"(\..+)$", 1).alias("extension"))
+
+
+def discovered(catalogue: DataFrame, filters: dict[str, str | list[str]] | None = None, include: list[str] = (), exclude: list[str] = ()) -> DataFrame:
+    """Files whose columns have the wanted values, of the participants to be included (all if none are named) and not excluded."""
+    out = catalogue
+    for k, x in (filters or {}).items():
+        out = out.where(col(k).isin([x] if isinstance(x, str) else list(x)))
+    bare = lambda names: [n.removeprefix("sub-") for n in names]
+    if include:
+        out = out.where(col("sub").isin(bare(include)))
+    return out.where(~F.coalesce(col("sub").isin(bare(exclude)), F.lit(False))) if exclude else out
+
+
+def write_run(df: DataFrame, path: str, label: str) -> None:
+    """Results of a named run beside those of others: ``run_label`` is a partition of the output, and only its own is replaced."""
+    df.withColumn("run_label", F.lit(label)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_label").parquet(path)
