@@ -50,6 +50,24 @@ def test_differences_hold_every_link_within_a_home():
     assert met > 20
 
 
+def test_hopeful_entries():
+    """An entry stays if another one of its list passes the bound on the lists of both."""
+    rng = np.random.default_rng(5)
+    size = rng.integers(1, 9, 60)
+    n, met = rng.integers(1, 60, size.sum()), rng.integers(1, 9, size.sum())
+    got, at = jj.hopeful(n, met, size, jj.SIMILAR), 0
+    least = lambda x: -(-UP * x // LOW)
+    for k in size:
+        for i in range(at, at + k):
+            want = False
+            for j in range(at, at + k):
+                needed = -(-UP * (n[i] + n[j]) // (UP + LOW)) - max(least(n[i]), least(n[j])) + 1
+                want |= i != j and UP * max(n[i], n[j]) <= LOW * min(n[i], n[j]) and needed <= min(met[i], met[j])
+            assert got[i] == want
+        at += k
+    assert 0 < got.sum() < len(got)
+
+
 @pytest.mark.parametrize("home", [4, 10_000])
 def test_groups_against_brute_force(spark, monkeypatch, home):
     """Groups of near copies that chain, with homes and without: the components of all links."""

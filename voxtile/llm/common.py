@@ -6,7 +6,7 @@ UTF-8 keeps these characters as single bytes, so ``bytes.split()`` finds words.
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,21 +17,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.graph import checkpointed, shared_folder
+
 #: The word pattern of this package, for Spark's and other engines' regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one step of a vectorised Python operator takes at once.
 BLOCK_BYTES = 2_000_000
 
 
-#: Rows of an Arrow batch between Spark and Python at most; texts may be long.
-BATCH_ROWS = 1_000
+#: Rows and bytes of an Arrow batch between Spark and Python at most; texts may be long.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4_000_000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches to ``BATCH_ROWS`` rows in this session unless they are smaller already."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) > BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Keep Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes in this session, for good, unless they are smaller already."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(name).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, most)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,17 +63,30 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
 def map_blocks(
     df: DataFrame, column: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: T.StructType | str, most: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``mapInArrow`` with slices of bounded text; ``make`` runs once a task and returns the function of a slice."""
+    """``mapInArrow`` with slices of bounded text; ``make`` runs once a task and returns the function of a slice.
+
+    A worker that ends a task gives its free memory back, since it lives on beside those of later stages.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             for part in blocks(batch, column, most):
                 yield step(part)
+        del step
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return the free memory of Arrow's pool and, where the C library has a call for it, of the heap to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def hash_words(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
     """64-bit hashes of words (xxh3, equal in every process); ``cache`` holds those seen and is emptied when large."""
     if len(cache) > 150_000:
@@ -120,25 +136,6 @@ def windows(h: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> np.nda
     return mix(out)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, which all executors share; a local session without it, as in tests, gets one of its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="voxtile-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable copy of ``df`` in the shared folder, without lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"

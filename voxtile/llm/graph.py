@@ -2,64 +2,50 @@
 
 from __future__ import annotations
 
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.graph import star_components
 from .common import checkpointed
 
-#: Bits of a filter bitmap: its size is fixed (4 MB), whatever the number of keys.
-BITS = 1 << 25
+#: Bits of a filter at most (8 MB as a table of words of 64 bits), bits for each key, and keys from which on a filter lets everything pass.
+MOST_BITS, BITS_A_KEY, MOST_KEYS = 1 << 25, 32, 1 << 24
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node it is connected with) for every node that has a link to another.
 
-    Alternates large-star and small-star rounds (Kiveris et al., 2014) until no edge changes.
-    Each round is two aggregations and joins on nodes; the edges are checkpointed after it.
-    Null ends and self links are ignored.
+    Null ends and self links are ignored.  Star rounds on edges, checkpointed after each.
     """
-    edges = checkpointed(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    state = None
-    for _ in range(most_rounds):
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = edges.join(least.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(least, "u")
-        small = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(pairs.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges, before = checkpointed(small), state
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    edges = star_components(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def bitmap(keys: DataFrame, key: str) -> np.ndarray:
-    """A bitmap of hashed keys.  It has ``BITS`` bits at every size, so it may be broadcast; it never misses a key."""
-    bits = keys.select(F.pmod(F.xxhash64(F.lit(11), key), F.lit(BITS)).alias("bit"))
-    words = bits.selectExpr("cast(bit div 64 as int) as w", "shiftleft(1L, cast(bit % 64 as int)) as x").groupBy("w").agg(F.bit_or("x").alias("x"))
-    rows = words.toPandas()
-    out = np.zeros(BITS // 64, np.int64)
-    out[rows["w"].to_numpy()] = rows["x"].to_numpy()
-    return out
+class KeyFilter:
+    """A table of bits of hashed keys that never misses a key; it has at most ``MOST_BITS``, so it may be broadcast at every size.
 
+    With so many keys that most bits would be set it holds none and lets everything pass.
+    """
 
-def maybe_in(df: DataFrame, key: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
-    """Rows whose key may be among the bitmap's keys, for an exact join on the key; or else (``inside`` false) those whose key is not."""
-    sent = df.sparkSession.sparkContext.broadcast(bits)
-    df = df.withColumn("_bit", F.pmod(F.xxhash64(F.lit(11), key), F.lit(BITS)))
+    def __init__(self, keys: DataFrame, key: str):
+        n = keys.agg(F.approx_count_distinct(key)).first()[0]
+        self.open = n > MOST_KEYS
+        self.size = min(MOST_BITS, 1 << max(6, (n * BITS_A_KEY).bit_length()))
+        bits = keys.select(self.bit(key).alias("bit")).selectExpr("bit div 64 as _word", "shiftleft(1L, cast(bit % 64 as int)) as x")
+        self.words = None if self.open else checkpointed(bits.groupBy("_word").agg(F.bit_or("x").alias("_bits")))
 
-    def run(batches):
-        words = sent.value
-        for batch in batches:
-            bit = batch.column("_bit").to_numpy()
-            yield batch.filter(pa.array((words[bit >> 6] >> (bit & 63)) & 1 == int(inside)))
+    def bit(self, key: str):
+        return F.pmod(F.xxhash64(F.lit(11), key), F.lit(self.size))
 
-    return df.mapInArrow(run, df.schema).drop("_bit")
 
+def maybe_in(df: DataFrame, key: str, keys: KeyFilter, inside: bool = True) -> DataFrame:
+    """Rows whose key may be among the filter's keys, for an exact join on the key; or else (``inside`` false) those whose key is not.
 
+    A lookup in a broadcast table of bounded size: no shuffle, and no Python.  The columns _bit, _word and _bits are used in between.
+    """
+    if keys.open:
+        return df if inside else df.limit(0)
+    own = df.withColumn("_bit", keys.bit(key)).withColumn("_word", F.expr("_bit div 64"))
+    found = own.join(F.broadcast(keys.words), "_word", "left")
+    hit = F.coalesce(F.expr("shiftright(_bits, cast(_bit % 64 as int)) & 1"), F.lit(0)) == int(inside)
+    return found.where(hit).select(*[F.col(f"`{c}`") for c in df.columns])

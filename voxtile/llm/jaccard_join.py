@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, most_frequent, windows
-from .graph import bitmap, components, maybe_in
+from .graph import KeyFilter, components, maybe_in
 
 #: Words of a shingle, and the least similarity as a ratio of integers.
 SHINGLE, SIMILAR = 5, (75, 100)
 #: Centres a class is compared with, and the share of its lists that must have one; shingles that are put last as the most frequent (a bound of what is broadcast).
 CENTRES, VOTES, FREQUENT = 3, 0.1, 65_536
+#: Entries of a list that are looked at two by two at most.
+SHORT = 64
 #: Classes from which on a centre is a home, sets of a block, and entries of a part of a list, on average.
 HOME, BLOCK, PART = 16, 512, 4096
 #: A shingle is counted towards the frequent ones where a slice of texts has it so often.
@@ -147,6 +149,41 @@ def _prefix_rows(df: DataFrame, frequent: np.ndarray, similar: tuple[int, int])
     return map_blocks(df.select("text"), "text", make, "shingle long, node long, n int")
 
 
+def hopeful(n: np.ndarray, met: np.ndarray, size: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
+    """Which entries of short lists, one after the other and of the given sizes, have another one beside them that may link.
+
+    ``n`` is the size of an entry's set, ``met`` the number of its lists that other sets have, too: two sets may only link if both are
+    in as many lists as the least overlap of their lists asks for.
+    """
+    up, low = similar
+    first = np.repeat(np.cumsum(size) - size, size)
+    each = np.repeat(size, size)
+    a = np.repeat(np.arange(len(n)), each)
+    b = np.arange(len(a)) - np.repeat(np.cumsum(each) - each, each) + first[a]
+    rest = -(-up * n // low) - 1
+    needed = -(-up * (n[a] + n[b]) // (up + low)) - np.maximum(rest[a], rest[b])
+    good = (a != b) & (up * np.maximum(n[a], n[b]) <= low * np.minimum(n[a], n[b])) & (needed <= np.minimum(met[a], met[b]))
+    return np.bincount(a[good], minlength=len(n)) > 0
+
+
+def _hopeful_entries(lists: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """shingle, node, n, size of the entries that may lead to a link; lists of more than ``SHORT`` entries stay whole."""
+    met = lists.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("met"))
+    known = lists.join(met, "node")
+    short = known.where(F.col("size") <= SHORT).groupBy("shingle").agg(F.collect_list(F.struct("node", "n", "met")).alias("own"))
+
+    def run(batches):
+        for batch in batches:
+            own = batch.column("own")
+            flat, size = own.flatten(), np.diff(own.offsets.to_numpy())
+            node, n, met = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "met"))
+            keep = hopeful(n.astype(np.int64), met.astype(np.int64), size, similar)
+            shingle = np.repeat(batch.column("shingle").to_numpy(), size)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (shingle, node, n.astype(np.int32), np.repeat(size, size).astype(np.int64))], ["shingle", "node", "n", "size"])
+
+    return short.mapInArrow(run, "shingle long, node long, n int, size long").union(known.where(F.col("size") > SHORT).select("shingle", "node", "n", "size"))
+
+
 def _sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, shingles (packed, sorted) of the wanted classes, from one text of each (``text_hash``)."""
 
@@ -159,7 +196,7 @@ def _sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return step
 
-    near = maybe_in(df.select("text_hash", "text"), "text_hash", bitmap(wanted, "text_hash"))
+    near = maybe_in(df.select("text_hash", "text"), "text_hash", KeyFilter(wanted, "text_hash"))
     return map_blocks(near, "text", make, "node long, shingles binary").dropDuplicates(["node"])
 
 
@@ -304,7 +341,7 @@ def searched(inner: np.ndarray, sets: list[dict[str, np.ndarray]], lists: list[d
 
 
 def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Candidate pairs (a, b) from list entries (key, inner, and the fields of a set); lists of one component, or of one home and not inner, are left out."""
+    """Candidate pairs (a, b) from list entries (key, inner, block, and the fields of a set); lists of one component, or of one home and not inner, are left out."""
     ends = entries.groupBy("key", "inner").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"), F.count(F.lit(1)).alias("size")
     )
@@ -312,16 +349,11 @@ def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
     entries = checkpointed(entries.join(open_, ["key", "inner"]))
     most, sets = entries.agg(F.coalesce(F.max("size"), F.lit(0)), F.approx_count_distinct("node")).first()
     slices = 1 << max(0, (most // PART).bit_length())
-    spread = lambda seed, c, n: F.pmod(F.xxhash64(F.lit(seed), c), n)
-    single = F.col("home") == F.col("node")
-    members = entries.where(~single).groupBy("home").agg(F.approx_count_distinct("node").alias("members"))
-    blocks = F.lit(max(1, sets // BLOCK))
-    placed = entries.join(members, "home", "left").withColumn(
-        "block", F.when(F.col("members").isNull(), spread(21, "node", blocks)).otherwise(F.xxhash64("home", spread(22, "node", F.ceil(F.col("members") / BLOCK))))
-    )
+    spread = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(n))
+    placed = entries.withColumn("block", F.coalesce("block", spread(21, max(1, sets // BLOCK))))  # sets without a home are dealt by hash
     fields = F.struct(*_FIELDS)
     queries = placed.groupBy("key", "inner", "block").agg(F.collect_list(fields).alias("sets"))
-    lists = entries.groupBy("key", "inner", spread(23, "node", F.lit(slices)).alias("slice")).agg(F.collect_list(fields).alias("list"))
+    lists = entries.groupBy("key", "inner", spread(23, slices).alias("slice")).agg(F.collect_list(fields).alias("list"))
     met = queries.join(lists, ["key", "inner"]).select("block", "slice", "inner", "sets", "list")
     dealt = met.repartition("block", "slice").sortWithinPartitions("block", "slice")
 
@@ -375,6 +407,7 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
     same = Window.partitionBy("shingle")
     lists = _prefix_rows(df, frequent, similar).withColumns({"lo": F.min("node").over(same), "hi": F.max("node").over(same)}).where("lo < hi")
     lists = checkpointed(lists.select("shingle", "node", "n").distinct().withColumn("size", F.count(F.lit(1)).over(same)))
+    lists = checkpointed(_hopeful_entries(lists, similar))
 
     # centres and homes
     fits = lambda x, y: (low * F.least(x, y) >= up * F.greatest(x, y))
@@ -386,18 +419,19 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
     votes = lists.join(centres, "shingle").where((F.col("node") != F.col("b")) & fits(F.col("n"), F.col("nb"))).groupBy("node", "n", "b").agg(F.count(F.lit(1)).alias("votes"))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("votes"), "b"))
     star = checkpointed(votes.where(F.col("votes") >= VOTES * short).withColumn("place", place).where(F.col("place") <= CENTRES).select(F.col("node").alias("a"), "b", "place"))
-    hosts = star.where("place = 1").groupBy("b").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= HOME).select("b")
-    at_home = star.where("place = 1").join(hosts, "b").join(hosts.select(F.col("b").alias("a")), "a", "left_anti").select("a", "b")
+    hosts = star.where("place = 1").groupBy("b").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= HOME)
+    part = F.pmod(F.xxhash64(F.lit(22), "a"), F.ceil(F.col("m") / BLOCK))
+    at_home = checkpointed(star.where("place = 1").join(hosts, "b").join(hosts.select(F.col("b").alias("a")), "a", "left_anti").select("a", "b", F.xxhash64("b", part).alias("block")))
     others = _may_link(star.join(at_home, ["a", "b"], "left_anti").select("a", "b"), sketches, similar)
-    told = checkpointed(_compared(at_home.withColumn("at_home", F.lit(True)).union(others.withColumn("at_home", F.lit(False))), classes, df, similar))
+    told = checkpointed(_compared(at_home.select("a", "b", F.lit(True).alias("at_home")).union(others.withColumn("at_home", F.lit(False))), classes, df, similar))
     links = told.where("linked").select("a", "b")
     groups = checkpointed(components(links))
 
     # T-occurrence search between groups
-    homes = told.where("d is not null").select(F.col("a").alias("node"), F.col("b").alias("home"))
+    homes = at_home.select(F.col("a").alias("node"), F.col("b").alias("home"), "block")
     of_sets = lists.select(F.col("shingle").alias("key"), "node", "n", F.col("n").alias("d"), rest.cast("int").alias("rest"), F.lit(False).alias("inner")).join(homes, "node", "left")
     of_sets = of_sets.withColumn("home", F.coalesce("home", "node"))
-    every = of_sets.unionByName(_unpacked(told)).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    every = of_sets.unionByName(_unpacked(told).join(homes.select("node", "block"), "node")).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     cross = checkpointed(_may_link(_search(every, similar), sketches, similar))
     links = links.union(_compared(cross.withColumn("at_home", F.lit(False)), classes, df, similar).where("linked").select("a", "b"))
     groups = checkpointed(components(links))
@@ -411,4 +445,4 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every whole text: five words, similarity 0.75 or more."""
-    return jaccard_groups(documents(spark, sf_dir).select("doc_id", "text"))
+    return jaccard_groups(documents(spark, sf_dir).select("doc_id", "text")).drop("class_id")

@@ -26,6 +26,8 @@ REJECT_DEVIATIONS, REJECT_SLACK = 6.0, 0.5
 #: Characters that count at most towards the posterior behind ``score``.
 EVIDENCE = 50
 
+#: Bytes of text that are scored at once: a character takes about 100 bytes then.
+_BLOCK = 500_000
 _START, _SPACE = 2, 32
 _FOLD: list[np.ndarray] = []
 
@@ -244,7 +246,7 @@ def count_grams(df: DataFrame, text: str, lang: str, order: int) -> DataFrame:
 
 
 def _upto(df: DataFrame, lang: str, counts: dict[str, int], bound: int, salt: int) -> DataFrame:
-    """About ``bound`` rows of each language, by a hash of all columns."""
+    """About ``bound`` rows of each language, by a hash of all columns, so that copies with ids of their own are drawn one by one."""
     limits = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, bound / max(n, 1)))])
     place = F.pmod(F.xxhash64(F.lit(salt), *df.columns), F.lit(1 << 30)) / F.lit(1 << 30)
     return df.where(place < limits[F.col(lang)])
@@ -281,9 +283,9 @@ def train(
     """Learn every language from the rows with a language and a text; None if there is none.
 
     The sample of a language is bounded (``fit_docs`` and ``calibration_docs`` texts on average, drawn
-    by hash, the two apart), and so is its part of a model (``max_ngrams`` of each order), which is broadcast.
+    by hash, the two apart; ``df`` should have an id, or else all copies of a text are drawn together), and so is its part of a model (``max_ngrams`` of each order), which is broadcast.
     """
-    known = df.select(text, lang).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    known = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     if not counts:
         return None
@@ -291,7 +293,7 @@ def train(
     model = learn(count_grams(_upto(known.where(fit_part), lang, counts, fit_docs * 5 // 4, 1), text, lang, order), order, max_ngrams, group)
     if model is None:
         return None
-    scored = score(_upto(known.where(~fit_part), lang, counts, calibration_docs * 5, 2), model, text, rejecting=False)
+    scored = score(_upto(known.where(~fit_part), lang, counts, calibration_docs * 5, 2).select(text, lang), model, text, rejecting=False)
     own = scored.where((F.col(lang) == F.col("lang_pred")) & (F.col("n_letters") >= 20)).groupBy(lang).agg(F.avg("cross_entropy"), F.coalesce(F.stddev_samp("cross_entropy"), F.lit(0.0)))
     spread = {r[0]: r[1] + REJECT_DEVIATIONS * r[2] + REJECT_SLACK for r in own.collect()}
     model.limit = np.array([spread.get(x, np.inf) for x in model.languages])
@@ -331,12 +333,12 @@ def score(df: DataFrame, model: Models | None, text: str = "text", rejecting: bo
 
         return step
 
-    return map_blocks(df, text, make, schema)
+    return map_blocks(df, text, make, schema, _BLOCK)
 
 
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every whole text; learned where crc32(doc_id) mod 3 is not 1."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    model = train(docs.where(crc32_fold("doc_id", 3) != 1))
+    model = train(docs.where(crc32_fold("doc_id", 3) != 1))  # ids only draw the sample
     out = score(docs.select("doc_id", "text"), model)
     return out.select("doc_id", (crc32_fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")

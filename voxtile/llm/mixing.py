@@ -89,13 +89,13 @@ def rounded(items: DataFrame) -> DataFrame:
 
 
 def copies(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, share: float = 1.0) -> DataFrame:
-    """id, row, nth, source, size, source_size, target, copies: a row for each row of ``df``.
+    """id, row, check, nth, source, size, source_size, target, copies: a row for each row of ``df``.
 
-    ``row`` is a hash of all columns; equal rows are numbered by ``nth``.  Null texts have size 0, and texts of size 0 get floor(r) copies.
+    ``row`` and ``check`` are hashes of all columns; equal rows are numbered by ``nth``.  Null texts have size 0, and texts of size 0 get floor(r) copies.
     The same rows give the same copies in any order or partitioning.  An empty table gives no rows.
     """
-    flat = df.select(F.col(row_id).cast("long").alias("id"), F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(*df.columns).alias("row"))
-    rows = checkpointed(flat.groupBy("id", "source", "size", "row").agg(F.count(F.lit(1)).alias("times")))
+    flat = df.select(F.col(row_id).cast("long").alias("id"), F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(*df.columns).alias("row"), F.xxhash64(F.lit(31), *df.columns).alias("check"))
+    rows = checkpointed(flat.groupBy("id", "source", "size", "row", "check").agg(F.count(F.lit(1)).alias("times")))
     sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"))
     plan = checkpointed(targets(sizes, "source", weights, most, share)).withColumnRenamed("source", "_of")
     each = rows.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times")
@@ -106,14 +106,25 @@ def copies(df: DataFrame, row_id: str = "doc_id", source: str = "source", text:
     up = rounded(items).select(F.col("key.id").alias("id_"), F.col("key.row").alias("row_"), F.col("key.nth").alias("nth_"), "up")
     same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("row") == F.col("row_")) & (F.col("nth") == F.col("nth_"))
     number = (F.col("whole") + F.coalesce(F.col("up"), F.lit(False)).cast("long")).cast("long")
-    return each.join(up, same, "left").select("id", "row", "nth", "source", "size", "source_size", "target", number.alias("copies"))
+    return each.join(up, same, "left").select("id", "row", "check", "nth", "source", "size", "source_size", "target", number.alias("copies"))
 
 
 def mixed(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df``, each as often as the mix takes it."""
-    number = copies(df, row_id, source, text, **options).groupBy("row").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    keyed = df.withColumn("row", F.xxhash64(*df.columns))
-    return keyed.dropDuplicates(["row"]).join(number, "row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*df.columns)
+    """The rows of ``df``, each as often as the mix takes it; equal rows share their copies out among them.
+
+    Rows meet their numbers by id, two independent hashes of all columns; no column of ``df`` is changed, whatever its name.
+    """
+    hashes = [F.xxhash64(*df.columns).alias("row"), F.xxhash64(F.lit(31), *df.columns).alias("check")]
+    keyed = df.select(F.struct(*df.columns).alias("own"), F.col(row_id).cast("long").alias("id"), *hashes)
+    number = copies(df, row_id, source, text, **options).groupBy("id", "row", "check").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("times"))
+    same = keyed.id.eqNullSafe(number.id) & (keyed["row"] == number["row"]) & (keyed["check"] == number["check"])
+    both = keyed.join(number.where("copies > 0"), same).select("own", keyed["id"], keyed["row"], "copies", "times")
+    # a row that is there once takes all; of equal rows each takes an even share, and the first ones the rest
+    once = both.where("times = 1").select("own", "copies")
+    place = F.row_number().over(Window.partitionBy("id", "row").orderBy(F.lit(1)))
+    more = both.where("times > 1").withColumn("n", place)
+    more = more.select("own", (F.floor(F.col("copies") / F.col("times")) + F.when(F.col("n") <= F.col("copies") % F.col("times"), 1).otherwise(0)).alias("copies"))
+    return once.union(more).where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long")))).select("own.*")
 
 
 def op5_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

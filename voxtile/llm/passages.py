@@ -5,9 +5,12 @@ equal anchors.
 
 1. Every text gives its distinct anchors; anchors seen once in the corpus are dropped.
 2. Texts that keep an anchor give the hashes of the windows it stands for; windows seen once are dropped.
-   This confirms the recurring windows, by two independent hashes of 64 bits.
-3. Runs of confirmed windows are the recurring passages.  Each shard, a slice of the texts that have any,
-   compiles its own passages into one automaton and streams its texts through it; the united matches are removed.
+   This confirms the recurring windows, by two independent hashes of 64 bits, and names one text for each.
+3. The runs of confirmed windows of the named texts are the passages, a table of phrases without places.
+4. The texts are dealt to slices, and each slice gets the passages that may occur in it, by their anchors.  It compiles the passages'
+   blocks of 18 words, shard by shard, into automata and streams its texts through each; whatever a window of 35 words shares with
+   a passage holds a whole block, so a match is extended both ways, word by word, to the run that text and passage have in common.
+   The words of runs of 35 words or more are removed.
 
 Whatever a slice finds twice itself is settled there and sent on once, so an anchor or window that a third of
 all texts have costs one row for each slice.
@@ -20,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, windows
-from .graph import bitmap, maybe_in
+from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, stored, windows
+from .graph import KeyFilter, maybe_in
 
 #: Words of a window and of the runs its anchor is chosen from.
 WINDOW, RUN = 35, 8
+#: Words of the passages that one automaton holds, and bytes of the texts that stream through a slice's automata at once.
+SHARD_WORDS, STREAM_BYTES = 50_000, 8_000_000
 #: One row a word run of the text: the separators of the word rule, for Spark's regular expressions.
 _GAP = r"[\x20\x09-\x0D]+"
 
@@ -92,62 +97,34 @@ def _anchors(df: DataFrame, width: int, run: int) -> DataFrame:
 
 
 def _candidates(df: DataFrame, width: int, run: int) -> DataFrame:
-    """Windows whose anchor recurs, by anchor and text, as lists; copies counts a text's rows (2 stands for more)."""
+    """The distinct windows of a slice whose anchor recurs, as lists by the text that has them first; times is 2 for those that the slice has twice."""
 
     def make():
         cache: dict[bytes, int] = {}
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [x.split() for x in as_bytes(batch.column("text"))]
-            ids = batch.column("text_hash").to_numpy()
             copies = batch.column("copies").to_numpy()
-            anchor, whole, of, first = _window_hashes(texts, cache, width, run)
+            anchor, whole, of, _ = _window_hashes(texts, cache, width, run)
             keep = np.zeros(len(anchor), bool)
             edge = np.searchsorted(of, np.arange(len(texts) + 1))
             for k, own in enumerate(batch.column("anchors").to_pylist()):
                 a, b = edge[k], edge[k + 1]
                 keep[a:b] = np.isin(anchor[a:b], np.array(own, np.int64).view(np.uint64))
-            anchor, whole, of, first = anchor[keep], whole[keep], of[keep], first[keep]
+            anchor, whole, of = anchor[keep], whole[keep], of[keep]
             with np.errstate(over="ignore"):
                 _, at, inverse = np.unique(mix(anchor) + whole, return_index=True, return_inverse=True)
-            total = np.bincount(inverse, weights=copies[of], minlength=len(at))
-            settled = total[inverse] >= 2
-            told = at[total >= 2]
-            # lists of unsettled windows and of tidings by (anchor, text); settled ones by text
-            part = lambda i, text, start, kind: (anchor[i], text, whole[i], start, np.full(len(i), kind))
-            open_ = np.flatnonzero(~settled)
-            done = np.flatnonzero(settled)
-            rows = [
-                part(open_, of[open_], first[open_], 0),
-                part(told, np.full(len(told), len(texts)), np.full(len(told), -1), 1),
-                (np.zeros(len(done), np.uint64), of[done], np.zeros(len(done), np.uint64), first[done], np.full(len(done), 2)),
-            ]
-            a, t, w, s, kind = (np.concatenate(x) for x in zip(*rows))
-            by = np.lexsort((s, a, t, kind))
-            a, t, w, s, kind = a[by], t[by], w[by], s[by], kind[by]
-            new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (t[1:] != t[:-1]) | (kind[1:] != kind[:-1])])) if len(a) else np.empty(0, int)
-            offsets = pa.array(np.append(new, len(a)), pa.int32())
-            known = t[new] < len(texts)
-            columns = [
-                pa.array(a[new].view(np.int64)),
-                pa.array(np.where(known, ids[np.minimum(t[new], len(ids) - 1)], 0), pa.int64(), mask=~known),
-                pa.ListArray.from_arrays(offsets, pa.array(w.view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(s, pa.int32())),
-                pa.array(kind[new], pa.int32()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["anchor", "text_hash", "whole", "first", "kind"])
+            times = np.minimum(np.bincount(inverse, weights=copies[of], minlength=len(at)), 2).astype(np.int32)
+            by = np.argsort(at)
+            at, times = at[by], times[by]
+            text, first = np.unique(of[at], return_index=True)
+            offsets = pa.array(np.append(first, len(at)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (anchor[at].view(np.int64), whole[at].view(np.int64), times)]
+            return pa.RecordBatch.from_arrays([batch.column("text_hash").take(pa.array(text)), *lists], ["text_hash", "anchor", "whole", "times"])
 
         return step
 
-    return map_blocks(df, "text", make, "anchor long, text_hash long, whole array<long>, first array<int>, kind int")
-
-
-def runs(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
-    """United spans [start, end) of sorted window starts."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > width) + 1
-    return [(int(x[0]), int(x[-1]) + width) for x in np.split(starts, cut)]
+    return map_blocks(df, "text", make, "text_hash long, anchor array<long>, whole array<long>, times array<int>")
 
 
 def consecutive(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -158,78 +135,167 @@ def consecutive(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
     return [(int(x[0]), int(x[-1]) + width) for x in np.split(starts, cut)]
 
 
-def locate(texts: list[list[bytes]], passages: list[list[tuple[int, int]]]) -> list[np.ndarray]:
-    """For each text, which words lie in an occurrence of any of the shard's passages."""
+def _phrases(df: DataFrame, width: int, run: int) -> DataFrame:
+    """passage, anchors: the runs of confirmed windows (``whole``) of each text."""
+
+    def make():
+        cache: dict[bytes, int] = {}
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [x.split() for x in as_bytes(batch.column("text"))]
+            anchor, whole, of, first = _window_hashes(texts, cache, width, run)
+            edge = np.searchsorted(of, np.arange(len(texts) + 1))
+            passages, anchors = [], []
+            for k, own in enumerate(batch.column("whole").to_pylist()):
+                a, b = edge[k], edge[k + 1]
+                starts = first[a:b][np.isin(whole[a:b], np.array(own, np.int64).view(np.uint64))]
+                for x, y in consecutive(starts, width):
+                    passages.append(b" ".join(texts[k][x:y]).decode())
+                    anchors.append(np.unique(anchor[a + x : a + y - width + 1]).view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(passages, pa.string()), pa.array(anchors, pa.list_(pa.int64()))], ["passage", "anchors"])
+
+        return step
+
+    return map_blocks(df, "text", make, "passage string, anchors array<long>")
+
+
+def locate(texts: list[list[str]], passages: list[list[str]], width: int, shard_words: int = SHARD_WORDS) -> list[np.ndarray]:
+    """For each text, which words lie in a run of ``width`` words or more that it has in common with a passage.
+
+    The passages are compiled shard by shard, each of at most ``shard_words`` words or one passage; every text streams through each automaton.
+    """
     import ahocorasick
 
-    automaton = ahocorasick.Automaton()
-    for words, spans in zip(texts, passages):
-        for a, b in spans:
-            phrase = " " + " ".join([w.decode() for w in words[a:b]]) + " "
-            automaton.add_word(phrase, b - a)
-    found = [np.zeros(len(words), bool) for words in texts]
-    if not len(automaton):
-        return found
-    automaton.make_automaton()
-    for words, flags in zip(texts, found):
-        parts = [w.decode() for w in words]
-        ends = {int(x): i for i, x in enumerate(np.cumsum([len(p) + 1 for p in parts]))}
-        last = -1
-        for end, size in automaton.iter(" " + " ".join(parts) + " "):
-            if end != last:  # the first match that ends here is the longest
-                word = ends[end] + 1
-                flags[word - size : word] = True
-                last = end
-    return found
+    block = (width + 1) // 2
+    starts = [bytearray(max(0, len(words) - width + 1)) for words in texts]
+    lines = [" " + " ".join(words) + " " for words in texts]
+    at = 0
+    while at < len(passages):
+        size, until = 0, at
+        while until < len(passages) and (until == at or size + len(passages[until]) <= shard_words):
+            size += len(passages[until])
+            until += 1
+        found: dict[str, list[tuple[list[str], int]]] = {}
+        for own in passages[at:until]:
+            for i in range(0, len(own) - block + 1, block):
+                found.setdefault(" " + " ".join(own[i : i + block]) + " ", []).append((own, i))
+        at = until
+        automaton = ahocorasick.Automaton()
+        for phrase, places in found.items():
+            automaton.add_word(phrase, places)
+        if not len(automaton):
+            continue
+        automaton.make_automaton()
+        for words, line, known in zip(texts, lines, starts):
+            if len(words) < width:
+                continue
+            word_at, chars = 0, 0  # the word that begins after character ``chars``
+            for end, places in automaton.iter(line):
+                while chars < end:
+                    chars += len(words[word_at]) + 1
+                    word_at += 1
+                p = word_at - block
+                # nothing new if every window that holds this block is known to recur
+                low, high = max(0, p + block - width), min(p, len(words) - width)
+                if known.count(1, low, high + 1) == high + 1 - low:
+                    continue
+                for own, i in places:
+                    a, b, x, y = p, p + block, i, i + block
+                    while a > 0 and x > 0 and words[a - 1] == own[x - 1]:
+                        a, x = a - 1, x - 1
+                    while b < len(words) and y < len(own) and words[b] == own[y]:
+                        b, y = b + 1, y + 1
+                    if b - a >= width:
+                        known[a : b - width + 1] = b"\x01" * (b - width + 1 - a)
+                        if known.count(1, low, high + 1) == high + 1 - low:
+                            break
+    out = []
+    for words, known in zip(texts, starts):
+        flags = np.zeros(len(words) + 1, np.int32)
+        some = np.flatnonzero(np.frombuffer(known, np.uint8)) if known else np.empty(0, int)
+        np.add.at(flags, some, 1)
+        np.add.at(flags, some + width, -1)
+        out.append(np.cumsum(flags[:-1]) > 0)
+    return out
+
+
+_SPAN = "array<struct<start:long,end:long>>"
 
 
 def _located(df: DataFrame, width: int) -> DataFrame:
-    """text_hash, n_removed, spans, kept for each text: a slice of texts is one shard."""
-    span = "array<struct<start:long,end:long>>"
+    """text_hash, text_check, n_removed, spans, kept for each text with anything removed, from rows by slice: passages first, then texts."""
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    names = ["text_hash", "text_check", "n_removed", "spans", "kept"]
+
+    def run(batches):
+        key, passages, held, size = None, [], [], 0
+
+        def result():
+            texts = [x.split() for _, _, x in held]
+            found = locate([[w.decode() for w in x] for x in texts], passages, width)
+            rows = []
+            for (h, check, _), words, flags in zip(held, texts, found):
+                if flags.any():
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+                    spans = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])]
+                    rows.append((h, check, int(flags.sum()), spans, b" ".join([w for w, f in zip(words, flags) if not f]).decode()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), span_type, pa.string())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+
+        for batch in batches:
+            for slice_, is_text, h, check, text in zip(*(batch.column(c).to_pylist() for c in ("slice", "is_text", "text_hash", "text_check")), as_bytes(batch.column("text"))):
+                if slice_ != key or size >= STREAM_BYTES:
+                    if held:
+                        yield result()
+                    held, size = [], 0
+                    if slice_ != key:
+                        key, passages = slice_, []
+                if is_text:
+                    held.append((h, check, text))
+                    size += len(text)
+                else:
+                    passages.append(text.decode().split(" "))
+        if held:
+            yield result()
 
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [x.split() for x in as_bytes(batch.column("text"))]
-            starts = [np.unique(np.array(x, np.int64)) for x in batch.column("starts").to_pylist()]
-            found = locate(texts, [consecutive(x, width) for x in starts])
-            spans, kept = [], []
-            for words, flags in zip(texts, found):
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-                spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])])
-                kept.append(b" ".join([w for w, f in zip(words, flags) if not f]).decode())
-            removed = [int(f.sum()) for f in found]
-            return pa.RecordBatch.from_arrays([batch.column("text_hash"), pa.array(removed, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.string())], ["text_hash", "n_removed", "spans", "kept"])
+    return df.select("slice", "is_text", "text_hash", "text_check", "text").mapInArrow(run, f"text_hash long, text_check long, n_removed long, spans {_SPAN}, kept string")
 
-        return step
 
-    return map_blocks(df, "text", make, f"text_hash long, n_removed long, spans {span}, kept string")
+def _keys(text) -> list:
+    """What tells texts apart: two independent hashes of 64 bits."""
+    return [F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(17), text).alias("text_check")]
 
 
 def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, run: int = RUN) -> DataFrame:
-    """text_hash, n_removed, spans, kept: a row for each different text that holds a recurring window.
+    """text_hash, text_check, n_removed, spans, kept: a row for each different text that holds a recurring window.
 
-    ``text_hash`` is ``xxhash64(text)``; ``spans`` are [start, end) word positions, ``kept`` the other words joined by one space.
-    A window recurs if its words, unchanged, also start anywhere else, in the same text or in another row.
+    ``text_hash`` is ``xxhash64(text)``, ``text_check`` another hash; ``spans`` are [start, end) word positions, ``kept`` the other words
+    joined by one space.  A window recurs if its words, unchanged, also start anywhere else, in the same text or in another row.
     Null and empty texts, and those shorter than a window, have none.  Repeated rows recur as a whole.
     """
-    docs = df.select(F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    anchors = checkpointed(_anchors(docs, width, run))
+    docs = df.select(*_keys(F.col(text)), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    anchors = checkpointed(_anchors(docs.drop("text_check"), width, run))
     times = F.sum("times").over(Window.partitionBy("anchor"))
     open_ = anchors.where("not settled").withColumn("total", times).where("total >= 2 and text_hash is not null")
     touched = anchors.where("settled").select("text_hash", "anchor").union(open_.select("text_hash", "anchor"))
     touched = checkpointed(touched.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors")))
 
-    near = maybe_in(docs, "text_hash", bitmap(touched, "text_hash"))
-    copies = near.groupBy("text_hash").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("copies"), F.min("text").alias("text"))
-    texts = checkpointed(copies.join(touched, "text_hash"))
-    listed = checkpointed(_candidates(texts, width, run))
-    each = listed.where("kind < 2").repartition("anchor").select("anchor", "text_hash", "kind", F.inline(F.arrays_zip("whole", "first")))
-    total = F.sum(F.col("kind") + 1).over(Window.partitionBy("anchor", "whole"))
-    confirmed = each.withColumn("total", total).where("total >= 2 and kind = 0").groupBy("text_hash").agg(F.collect_list("first").alias("starts"))
-    settled = listed.where("kind = 2").select("text_hash", F.col("first").alias("starts"))
-    starts = confirmed.union(settled).groupBy("text_hash").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    return _located(texts.select("text_hash", "text").join(starts, "text_hash"), width)
+    near = maybe_in(docs, "text_hash", KeyFilter(touched, "text_hash"))
+    copies = near.groupBy("text_hash", "text_check").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("copies"), F.min("text").alias("text"))
+    texts = stored(copies.join(touched, "text_hash"), "texts")
+    each = _candidates(texts.select("text_hash", "copies", "text", "anchors"), width, run).select("text_hash", F.inline(F.arrays_zip("anchor", "whole", "times")))
+    confirmed = each.groupBy("anchor", "whole").agg(F.sum("times").alias("total"), F.min("text_hash").alias("text_hash")).where("total >= 2")
+    named = confirmed.groupBy("text_hash").agg(F.collect_list("whole").alias("whole"))
+    phrases = _phrases(texts.select("text_hash", "text").join(named, "text_hash"), width, run)
+    phrases = stored(phrases.withColumn("id", F.md5("passage")).groupBy("id").agg(F.min("passage").alias("passage"), F.first("anchors").alias("anchors")), "passages")
+
+    slices = max(1, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // STREAM_BYTES))
+    slice_ = F.pmod(F.xxhash64(F.lit(29), "text_hash"), F.lit(slices)).alias("slice")
+    met = texts.select(slice_, F.explode("anchors").alias("anchor")).distinct().join(phrases.select("id", F.explode("anchors").alias("anchor")), "anchor").select("slice", "id").distinct()
+    none = F.lit(None).cast("long")
+    streamed = met.join(phrases.select("id", "passage"), "id").select("slice", F.lit(False).alias("is_text"), none.alias("text_hash"), none.alias("text_check"), F.col("passage").alias("text"))
+    streamed = streamed.union(texts.select(slice_, F.lit(True), "text_hash", "text_check", "text"))
+    return _located(streamed.repartition(slices, "slice").sortWithinPartitions("slice", "is_text"), width)
 
 
 def words_joined(text):
@@ -244,23 +310,23 @@ def count_words(joined):
 def remove_passages(df: DataFrame, text: str = "text", width: int = WINDOW) -> DataFrame:
     """``df`` with recurring passages taken out of ``text``, and n_removed added; texts without any stay as they are.
 
-    Only rows that a bitmap of the changed texts lets through are shuffled to them.
+    Only rows that a filter by the changed texts lets through are shuffled to them.
     """
-    found = checkpointed(recurring_passages(df, text, width).select("text_hash", F.col("n_removed").alias("_removed"), F.col("kept").alias("_kept")))
-    keyed = df.drop("n_removed").withColumn("_hash", F.xxhash64(text))
-    bits = bitmap(found, "text_hash")
-    near = maybe_in(keyed, "_hash", bits).join(found.withColumnRenamed("text_hash", "_hash"), "_hash", "left")
+    found = stored(recurring_passages(df, text, width).select("text_hash", "text_check", "n_removed", "kept"), "found")
     columns = [c for c in df.columns if c != "n_removed"]
-    changed = near.select(*[F.coalesce("_kept", text).alias(c) if c == text else F.col(c) for c in columns], F.coalesce("_removed", F.lit(0)).cast("long").alias("n_removed"))
-    return changed.union(maybe_in(keyed, "_hash", bits, inside=False).select(*columns, F.lit(0).cast("long").alias("n_removed")))
+    keyed = df.select(F.struct(*columns).alias("row"), *_keys(F.col(text)))
+    keys = KeyFilter(found, "text_hash")
+    near = maybe_in(keyed, "text_hash", keys).join(found, ["text_hash", "text_check"], "left")
+    own = lambda c: F.coalesce("kept", F.col("row")[c]) if c == text else F.col("row")[c]
+    changed = near.select(*[own(c).alias(c) for c in columns], F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"))
+    return changed.union(maybe_in(keyed, "text_hash", keys, inside=False).select(*[F.col("row")[c].alias(c) for c in columns], F.lit(0).cast("long").alias("n_removed")))
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every whole text."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = recurring_passages(docs).select("text_hash", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
-    found = checkpointed(found)
+    found = recurring_passages(docs).select("text_hash", "text_check", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
     joined = words_joined("text")
-    whole = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), count_words(joined).alias("n_words"), F.sha2(joined.cast("binary"), 256).alias("whole_sha256"))
-    out = whole.join(found, "text_hash", "left")
+    whole = docs.select("doc_id", *_keys(F.col("text")), count_words(joined).alias("n_words"), F.sha2(joined.cast("binary"), 256).alias("whole_sha256"))
+    out = whole.join(checkpointed(found), ["text_hash", "text_check"], "left")
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))

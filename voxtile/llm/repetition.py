@@ -158,4 +158,4 @@ def op7_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every whole text, whether the base rule drops it, and whether the text is kept."""
     counted = repetition(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "repeats")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict())
+    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict()).drop("longest_repeat")

@@ -185,12 +185,15 @@ def severity(df: DataFrame, model: Ordinal | None, text: str = "text") -> DataFr
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", toxic: str = "toxic", toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> DataFrame:
-    """Labelled texts for ``train``: the labels are sampled first, to a bounded number, and sent to the documents, which stay where they are."""
+    """Labelled texts for ``train``: the labels are sampled first, to a bounded number, and sent to the documents, which stay where they are.
+
+    A column of ``docs`` with the label's name gives way to it.  Keys with several labels come with each; null keys and labels are left out.
+    """
     known = labels.select(key, F.col(toxic).cast("int").alias(toxic)).where(f"{toxic} in (0, 1)")
     counts = {r[0]: r[1] for r in known.groupBy(toxic).count().collect()}
     share = F.when(F.col(toxic) == 1, toxic_docs / counts.get(1, 1)).otherwise(clean_docs / counts.get(0, 1))
     sample = known.where(F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * (toxic_docs + clean_docs))
-    return checkpointed(docs.join(F.broadcast(sample), key))
+    return checkpointed(docs.drop(*[c for c in docs.columns if c == toxic and c != key]).join(F.broadcast(sample), key))
 
 
 def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
