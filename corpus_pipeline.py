@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from voxtile.llm import bpe, jaccard_join, langid, mixing, passages
 from voxtile.llm.common import checkpointed, small_batches, stored
-from voxtile.llm.graph import bitmap, maybe_in
+from voxtile.llm.graph import KeyFilter, maybe_in
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,19 +26,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group that links of 0.75 or more connect.
 
-    Of rows with the same id one stays; rows without an id stay unless their text repeats among them.  A bitmap
-    of the ids that go, or come more than once, lets all other rows pass without a shuffle.
+    Of rows with the same id one stays; rows without an id stay unless their text repeats among them.  A filter
+    by the ids that go, or come more than once, lets all other rows pass without a shuffle.
     """
     small_batches(spark)
     groups = checkpointed(jaccard_join.jaccard_groups(docs.where("doc_id is not null")))
     gone = groups.where("doc_id != component_id").select("doc_id")
     twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    bits = bitmap(gone.union(twice), "doc_id")
+    keys = KeyFilter(gone.union(twice), "doc_id")
     named = docs.where("doc_id is not null").select(*COLUMNS)
     one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*COLUMNS)))
-    near = maybe_in(named, "doc_id", bits).join(gone.distinct(), "doc_id", "left_anti").withColumn("_one", one).where("_one = 1").select(*COLUMNS)
+    near = maybe_in(named, "doc_id", keys).join(gone.distinct(), "doc_id", "left_anti").withColumn("_one", one).where("_one = 1").select(*COLUMNS)
     rest = docs.where("doc_id is null").select(*COLUMNS).dropDuplicates(["text"])
-    return maybe_in(named, "doc_id", bits, inside=False).union(near).union(rest)
+    return maybe_in(named, "doc_id", keys, inside=False).union(near).union(rest)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
