@@ -42,6 +42,8 @@ ZONE_WORDS = {
     "form": "form login signin signup search searchbox contact",
     "main": "article content main post entry story body text",
 }
+#: Zones that a class may name though the element holds the whole article: see ``without_wrappers``.
+SOFT_ZONES = frozenset(("notice", "nav", "footer", "side", "header", "form"))
 _ZONE_OF = {word: zone for zone, words in reversed(ZONE_WORDS.items()) for word in words.split()}
 _RANK = {zone: i for i, zone in enumerate(ZONE_WORDS)}
 
@@ -83,26 +85,46 @@ def zone(tag: str, attributes: str) -> str | None:
     best = min(found, key=_RANK.get, default=None)
     if tag in ("html", "body"):
         return None
+    if tag in ("article", "main"):  # an article says itself what it is, but for a reader's comment or an advert
+        return best if best in ("comment", "ad") else "main"
     return best if best and (best != "main" or tag not in ZONE_TAGS) else ZONE_TAGS.get(tag, best)
 
 
 class Block:
-    __slots__ = ("text", "tags", "zones", "linked")
+    __slots__ = ("text", "tags", "zones", "linked", "elements")
 
-    def __init__(self, text: str, tags: list[str], zones: list[str], linked: int):
-        self.text, self.tags, self.zones, self.linked = text, tags, zones, linked
+    def __init__(self, text: str, tags: list[str], zones: list[str], linked: int, elements: list[tuple[int, str, bool]]):
+        self.text, self.tags, self.zones, self.linked, self.elements = text, tags, zones, linked, elements
+
+
+def without_wrappers(blocks: list[Block]) -> list[Block]:
+    """Forget the zones of elements that only seem to be menus or the like: by class, with most of the page's text, few links, and the only main part, if any, inside."""
+    soft = {e for b in blocks for e, z, by_class in b.elements if by_class and z in SOFT_ZONES}
+    if soft:
+        size, linked, whole, main, within = dict.fromkeys(soft, 0), dict.fromkeys(soft, 0), 0, 0, dict.fromkeys(soft, 0)
+        for b in blocks:
+            n, is_main = len(b.text), len(b.text) if "main" in b.zones else 0
+            whole, main = whole + n, main + is_main
+            for e, _, _ in b.elements:
+                if e in soft:
+                    size[e], linked[e], within[e] = size[e] + n, linked[e] + b.linked, within[e] + is_main
+        wrappers = {e for e in soft if 2 * size[e] >= whole and 10 * linked[e] <= 3 * size[e] and within[e] == main}
+        for b in blocks if wrappers else []:
+            b.zones = [z for e, z, _ in b.elements if e not in wrappers]
+    return blocks
 
 
 def leaf_blocks(page: str) -> list[Block]:
     """Runs of shown text between block-level tags, in page order: text, open elements, their zones, characters in links.
 
+    The zones of elements that wrap the article under another name are left out (``without_wrappers``).
     Character references are decoded, white space becomes one space.  Unclosed elements, comments and tags are ended by the page;
     unclosed hidden elements end at their own tag, but for scripts and styles.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str | None]] = []
+    stack: list[tuple[str, str | None, int, bool]] = []
     parts: list[str] = []
-    linked = at = anchors = 0
+    linked = at = anchors = opened = 0
     pairs: dict[str, dict[int, int]] = {}
     unclosed: set[str] = set()
 
@@ -120,7 +142,8 @@ def leaf_blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                out.append(Block(text, [t for t, _ in stack], [z for _, z in stack if z], linked))
+                elements = [(i, z, c) for _, z, i, c in stack if z]
+                out.append(Block(text, [t for t, *_ in stack], [z for _, z, _ in elements], linked, elements))
             linked = 0
 
     end = len(page)
@@ -145,7 +168,7 @@ def leaf_blocks(page: str) -> list[Block]:
         if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
-                anchors -= sum(t == "a" for t, _ in stack[depth:])
+                anchors -= sum(x[0] == "a" for x in stack[depth:])
                 del stack[depth:]
             continue
         if tag in HIDDEN_TAGS:
@@ -171,21 +194,25 @@ def leaf_blocks(page: str) -> list[Block]:
         for target in ends:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == target:
-                    anchors -= sum(t == "a" for t, _ in stack[i:])
+                    anchors -= sum(x[0] == "a" for x in stack[i:])
                     del stack[i:]
                     break
                 if stack[i][0] in ("table", "ul", "ol", "div", "article", "section", "main", "body", "blockquote", "form"):
                     break
         if not attributes.endswith("/") or tag in BLOCK_TAGS:
-            stack.append((tag, zone(tag, attributes)))
+            own = zone(tag, attributes)
+            if tag == "header" and any(x[1] == "main" for x in stack):
+                own = "title"  # an article's own header has its title
+            opened += 1
+            stack.append((tag, own, opened, own is not None and tag not in ZONE_TAGS))
             anchors += tag == "a"
     flush()
-    return out
+    return without_wrappers(out)
 
 
 FEATURES = [
     "bias", "in article", "in main", "in section", "in table", "in list", "in figure", "own p", "own li", "own heading", "own cell", "own quote", "own div", "own body", "own inline",
-    *(f"last zone {z}" for z in [*ZONE_WORDS, "none"]), *(f"any zone {z}" for z in ZONE_WORDS),
+    *(f"last zone {z}" for z in [*ZONE_WORDS, "title", "none"]), *(f"any zone {z}" for z in [*ZONE_WORDS, "title"]),
     "short", "medium", "long", "very long", "no links", "some links", "half links", "all links", "sentence end", "copyright", "main inside other zone",
 ]
 _AT = {name: i for i, name in enumerate(FEATURES)}
@@ -260,6 +287,9 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
 
         def main() -> str:
             body = leaf("h1", words(1, 12), True) if rng.random() < 0.8 else ""
+            headed = body and rng.random() < 0.25
+            if headed:
+                body = f"<header>{body}{leaf('p', words(2, 12), True) if rng.random() < 0.3 else ''}</header>"
             for _ in range(rng.randint(1, 12)):
                 r = rng.random()
                 if r < 0.65:
@@ -279,9 +309,9 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
                     body += boiler(rng.choice(["ad", "side", "form", "notice", "ad"]))
             if rng.random() < 0.25:
                 body += boiler("comment")
-            style = rng.random()
+            style = 0.0 if headed else rng.random()
             if style < 0.45:
-                return f"<article>{body}</article>"
+                return f"<article{rng.choice(['', '', '', ' class=with-sidebar'])}>{body}</article>"
             if style < 0.6:
                 return f"<main>{body}</main>"
             if style < 0.9:
@@ -290,6 +320,8 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
 
         before = [boiler(k) for k in rng.sample(["nav", "header", "notice", "ad", "form", "side"], rng.randint(0, 4))]
         middle = main()
+        if rng.random() < 0.1:  # names that mislead
+            middle = f'<div class="{rng.choice([x for z in sorted(SOFT_ZONES) for x in ZONE_WORDS[z].split()])}">{middle}</div>'
         after = [boiler(k) for k in rng.sample(["side", "comment", "ad", "form", "footer", "nav", "footer"], rng.randint(0, 4))]
         pages.append((f"<html><head><title>{word()}</title></head><body>{''.join(before)}{middle}{''.join(after)}</body></html>", labels))
     return pages
@@ -322,6 +354,24 @@ class Chain:
         return out[::-1]
 
 
+def marginals(score: np.ndarray, transitions: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forward-backward over many chains at once: probabilities of the labels and of neighbouring pairs, and the log of the sum over all labellings.
+
+    ``score`` is (chain, place, label), what starts a chain included; ``mask`` tells the places that a chain has, from its first on.
+    """
+    log_sum = lambda v, axis: np.log(np.exp(v - v.max(axis=axis, keepdims=True)).sum(axis=axis)) + v.max(axis=axis)
+    alpha, beta = np.zeros_like(score), np.zeros_like(score)
+    alpha[:, 0] = score[:, 0]
+    for k in range(1, score.shape[1]):
+        alpha[:, k] = np.where(mask[:, k, None], log_sum(alpha[:, k - 1, :, None] + transitions, 1) + score[:, k], alpha[:, k - 1])
+    for k in range(score.shape[1] - 2, -1, -1):
+        beta[:, k] = np.where(mask[:, k + 1, None], log_sum(transitions + (score[:, k + 1] + beta[:, k + 1])[:, None, :], 2), 0)
+    total = log_sum(alpha[:, -1], 1)
+    node = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
+    joint = np.exp(alpha[:, :-1, :, None] + transitions + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - total[:, None, None, None]) * mask[:, 1:, None, None]
+    return node, joint, total
+
+
 def fit(pages: list[tuple[str, list[bool]]], rounds: int = 150, rate: float = 0.3, decay: float = 2e-4) -> Chain:
     """Maximise the conditional likelihood of the labels: forward-backward over all pages at once, AdaGrad steps."""
     chains = [([features(b) for b in leaf_blocks(page)], labels) for page, labels in pages]
@@ -342,16 +392,7 @@ def fit(pages: list[tuple[str, list[bool]]], rounds: int = 150, rate: float = 0.
     for _ in range(rounds):
         score = (flat @ w).reshape(n, longest, 2)
         score[:, 0] += s
-        log_sum = lambda v, axis: np.log(np.exp(v - v.max(axis=axis, keepdims=True)).sum(axis=axis)) + v.max(axis=axis)
-        alpha, beta = np.zeros_like(score), np.zeros_like(score)
-        alpha[:, 0] = score[:, 0]
-        for k in range(1, longest):
-            alpha[:, k] = np.where(mask[:, k, None], log_sum(alpha[:, k - 1, :, None] + t, 1) + score[:, k], alpha[:, k - 1])
-        for k in range(longest - 2, -1, -1):
-            beta[:, k] = np.where(mask[:, k + 1, None], log_sum(t + (score[:, k + 1] + beta[:, k + 1])[:, None, :], 2), 0)
-        total = log_sum(alpha[:, -1], 1)
-        node = np.exp(alpha + beta - total[:, None, None]) * mask[..., None]
-        joint = np.exp(alpha[:, :-1, :, None] + t + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - total[:, None, None, None]) * mask[:, 1:, None, None]
+        node, joint, _ = marginals(score, t, mask)
         steps = [(flat.T @ (one - node).reshape(-1, 2)) / n - decay * w, (pairs - joint).sum(axis=(0, 1)) / n - decay * t, (one - node)[:, 0].sum(axis=0) / n]
         for v, g, m in zip((w, t, s), steps, memory):
             m += g * g
