@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,15 @@ def _sorted(major: np.ndarray, minor: np.ndarray, minor_bits: int) -> np.ndarray
     return (packed & np.uint64((1 << place_bits) - 1)).astype(np.int64)
 
 
+def _settled(by: np.ndarray, doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """An order by (text, upper half of the hash, place) with the rare k-mers that share only the upper half put apart."""
+    d, g = doc[by], gram[by]
+    same = (d[1:] == d[:-1]) & (g[1:] >> np.uint64(32) == g[:-1] >> np.uint64(32))
+    if (same & (g[1:] != g[:-1])).any():
+        return by[np.lexsort((by, g, d))]
+    return by
+
+
 def signatures(texts: list[str | None], k: int = K, size: int = TUPLE, bins: int = BINS) -> np.ndarray:
     """A row of ``bins`` 16-bit values for each text; 0 is an empty bin.  A text shorter than k is one k-mer."""
     out = np.zeros((len(texts), bins), "<u2")
@@ -47,9 +57,9 @@ def signatures(texts: list[str | None], k: int = K, size: int = TUPLE, bins: int
     doc = np.repeat(np.arange(len(texts)), count)
     gram = gram[np.arange(len(doc)) + np.repeat(start - (np.cumsum(count) - count), count)]
     with np.errstate(over="ignore"):
-        short = gram >> np.uint64(32)
-        by = _sorted(doc, short, 32)
-        new = np.concatenate([[True], (np.diff(doc[by]) != 0) | (np.diff(short[by]) != 0)])
+        by = _sorted(doc, gram >> np.uint64(32), 32)
+        by = _settled(by, doc, gram)
+        new = np.concatenate([[True], (np.diff(doc[by]) != 0) | (np.diff(gram[by]) != 0)])
         occurrence = np.arange(len(by)) - np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
         numbered = np.empty(len(by), np.uint64)
         numbered[by] = mix(gram[by] + occurrence.astype(np.uint64) * _GOLD)
@@ -124,34 +134,52 @@ def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
     return F.when(a == b, 1.0).otherwise(agree / F.greatest(either, F.lit(1)))
 
 
+def _ranges(batch: pa.RecordBatch, key: str, edges: np.ndarray) -> np.ndarray:
+    """Number of the range of each key: 0 for null keys, then by the edges that are not above the key."""
+    keys = batch.column(key)
+    found = np.searchsorted(edges, pc.fill_null(keys, 0).to_numpy(zero_copy_only=False), side="right") + 1
+    return np.where(keys.is_null().to_numpy(zero_copy_only=False), 0, found).astype(np.int32)
+
+
 def with_next(df: DataFrame, key: str, columns: list[str], keys: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
-    """Add next_{c} for each column: the values of the row with the next key; after the last row those of the first.
+    """Add next_{c} for each column: the values of the row with the next key (an integer); after the last row those of the first.
 
     Rows go to ranges of the key, bounded by quantiles; the first row of a range is also sent to the range before
-    it, so no task sees more than its range.  Null keys come first; equal keys are ordered by the columns' values.
-    ``keys`` may give the keys of ``df`` more cheaply than ``df`` does.
+    it, so no task sees more than its range.  The tasks get the bounds as an array, and search them.  Null keys come first; equal keys are ordered
+    by the columns' values.  ``keys`` may give the keys of ``df`` more cheaply than ``df`` does.
     """
     session = df.sparkSession
-    keys = df.select(key) if keys is None else keys.select(key)
+    keys = (df if keys is None else keys).select(key)
     buckets = buckets or 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
-    edges = sorted(set(keys.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
-    above = F.filter(F.array(*[F.lit(float(x)) for x in edges]), lambda x: x <= F.col(key))
-    bucket = F.when(F.col(key).isNull(), 0).otherwise(F.size(above)) if edges else F.lit(0)
-    dealt = df.withColumn("_bucket", bucket)
-    ranges = keys.withColumn("_bucket", bucket)
-    heads = [(r[0], r[1]) for r in ranges.groupBy("_bucket").agg(F.min(F.struct(F.col(key).isNotNull().alias("a"), F.col(key).alias("k"))).alias("m")).select("_bucket", "m.k").orderBy("_bucket").collect()]
+    edges = np.array(sorted(set(keys.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets))), np.int64)
+
+    def lowest(batches):
+        for batch in batches:
+            of = _ranges(batch, key, edges)
+            table = pa.table({"range": of, "first": batch.column(key)}).group_by("range").aggregate([("first", "min")])
+            yield from table.select(["range", "first_min"]).rename_columns(["range", "first"]).combine_chunks().to_batches()
+
+    heads = {r["range"]: r["first"] for r in keys.mapInArrow(lowest, "range int, first long").groupBy("range").agg(F.min("first").alias("first")).collect()}
     if not heads:
         return df.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(f"next_{c}") for c in columns])
-    before = {b: heads[i - 1][0] for i, (b, _) in enumerate(heads)}
-    first = F.create_map(*[F.lit(x) for b, k in heads for x in (b, k)])
-    previous = F.create_map(*[F.lit(x) for b, p in before.items() for x in (b, p)])
-    own = F.struct(F.col("_bucket").alias("to"), F.lit(0).alias("after"))
-    copy = F.struct(previous[F.col("_bucket")].alias("to"), F.lit(1).alias("after"))
-    is_first = F.col(key).eqNullSafe(first[F.col("_bucket")])
-    sent = dealt.withColumn("_to", F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own)))).drop("_bucket")
-    order = Window.partitionBy("_to.to").orderBy("_to.after", F.col(key).asc_nulls_first(), *columns)
-    values = F.struct(*columns)
-    return sent.withColumn("_next", F.lead(values).over(order)).where("_to.after = 0").select(*df.columns, *[F.col("_next")[c].alias(f"next_{c}") for c in columns])
+    order = sorted(heads)
+    before = {b: order[i - 1] for i, b in enumerate(order)}
+    fields = T.StructType([T.StructField("own", T.StructType(df.schema.fields)), T.StructField("range", T.IntegerType()), T.StructField("before", T.IntegerType())])
+
+    def dealt(batches):
+        for batch in batches:
+            of = _ranges(batch, key, edges)
+            is_first = [k == heads[b] for b, k in zip(of.tolist(), batch.column(key).to_pylist())]
+            to = pa.array([before[b] if f else None for b, f in zip(of.tolist(), is_first)], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.to_struct_array(), pa.array(of), to], ["own", "range", "before"])
+
+    place = F.struct(F.col("range").alias("to"), F.lit(0).alias("after"))
+    copy = F.struct(F.col("before").alias("to"), F.lit(1).alias("after"))
+    sent = df.mapInArrow(dealt, fields).withColumn("place", F.explode(F.when(F.col("before").isNotNull(), F.array(place, copy)).otherwise(F.array(place))))
+    own = lambda c: F.col("own")[c]
+    window = Window.partitionBy("place.to").orderBy("place.after", own(key).asc_nulls_first(), *[own(c) for c in columns])
+    following = F.lead(F.struct(*[own(c).alias(c) for c in columns])).over(window)
+    return sent.withColumn("following", following).where("place.after = 0").select(*[own(c).alias(c) for c in df.columns], *[F.col("following")[c].alias(f"next_{c}") for c in columns])
 
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
