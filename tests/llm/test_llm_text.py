@@ -403,6 +403,39 @@ def _log_p(m, gram):
     return log + m.unknown.astype(float)
 
 
+def test_ordinal_gradient():
+    """Against differences of the likelihood, which is that of the three grades' probabilities."""
+    rng = np.random.default_rng(9)
+    n, size = 40, 6
+    x = rng.random((n, size)) * (rng.random((n, size)) < 0.5)
+    rows, cols = np.nonzero(x)
+    values, grades = x[rows, cols], rng.integers(0, 3, n)
+    w, raw = rng.normal(size=size), np.array([0.3, -0.2])
+    of = lambda w, raw: toxicity.ordinal_gradient(w, raw, rows, cols, values, grades)
+    value, g_w, g_raw = of(w, raw)
+    theta = [raw[0], raw[0] + np.exp(raw[1])]
+    below = 1 / (1 + np.exp(x @ w - np.array(theta)[:, None]))
+    each = np.stack([below[0], below[1] - below[0], 1 - below[1]])
+    assert abs(value - np.log(each[grades, np.arange(n)]).mean()) < 1e-9
+    for v, g in ((w, g_w), (raw, g_raw)):
+        for i in range(len(v)):
+            d = np.zeros(len(v))
+            d[i] = 1e-6
+            ends = [of(w + s * d, raw)[0] if v is w else of(w, raw + s * d)[0] for s in (1, -1)]
+            assert abs((ends[0] - ends[1]) / 2e-6 - g[i]) < 1e-6
+
+
+def test_grades_follow_the_labels(spark):
+    """Severe texts are those of bad quality: they get the higher expected grade."""
+    rng = np.random.default_rng(10)
+    say = lambda kind: " ".join([*rng.choice(["good", "plain", "words", "here", "and", "there"], 12), *([] if kind == 0 else ["nasty"] if kind == 1 else ["vicious"])])
+    rows = [(i, say(i % 3), int(i % 3 > 0), int(i % 3 != 2)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality int")
+    model = toxicity.train(df, quality="quality")
+    got = [r[0] for r in toxicity.severity(spark.createDataFrame([("good words",), ("good nasty",), ("good vicious",)], "text string"), model).select("severity").collect()]
+    assert got[0] < 0.2 < got[1] < got[2] and got[1] < 1.5 < got[2]
+
+
 def test_toxicity_of_many_rare_words(spark):
     """A lexicon whose words are each in fewer than 1.5 % of the toxic texts."""
     rng = np.random.default_rng(6)
