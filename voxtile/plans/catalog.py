@@ -638,7 +638,7 @@ def smoothed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SKELETON = """WITH s AS (SELECT DISTINCT CAST(l_linenumber % 2 AS BIGINT) AS channel, CAST(l_partkey % 60 AS BIGINT) AS x, CAST(l_suppkey % 60 AS BIGINT) AS y, CAST(l_orderkey // 100 AS BIGINT) AS z FROM lineitem),
 d AS (SELECT i, j, k FROM (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j), (SELECT unnest([-1, 0, 1]) AS k) WHERE (i, j, k) > (0, 0, 0)),
 e AS (SELECT a.channel, a.x AS ax, a.y AS ay, a.z AS az, b.x AS bx, b.y AS b_y, b.z AS bz, (a.x + a.y) % 5 AS ra, (b.x + b.y) % 5 AS rb, sqrt((b.x-a.x)*(b.x-a.x)*4 + (b.y-a.y)*(b.y-a.y)*9 + (b.z-a.z)*(b.z-a.z)*16) AS len
-FROM s a CROSS JOIN d JOIN s b ON a.channel = b.channel AND b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k) """
+FROM (SELECT s.*, x + i AS nx, y + j AS ny, z + k AS nz FROM s CROSS JOIN d) a JOIN s b ON a.channel = b.channel AND b.x = nx AND b.y = ny AND b.z = nz) """
 _SPACING = [[2.0, 0, 0, 10], [0, 3.0, 0, 20], [0, 0, 4.0, 30], [0, 0, 0, 1]]
 
 
