@@ -16,11 +16,6 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def finite(c: Column) -> Column:
-    """NaN as NULL."""
-    return F.when(~F.isnan(c), c)
-
-
 def sphere_radius(nvoxels: Column, edge: float = 1.0) -> Column:
     """Radius of the sphere that has the volume of so many voxels."""
     return F.cbrt(3.0 * nvoxels * edge**3 / (4.0 * math.pi))
@@ -87,7 +82,3 @@ def path_entity(path: Column, prefix: str) -> Column:
     """First part of a path that starts with ``prefix``; NULL if there is none."""
     found = F.regexp_extract(path, rf"(?:^|/)({prefix}[^/]*)", 1)
     return F.when(found != "", found)
-
-
-def bar_height(n: Column, per: float = 50.0, unit: float = 12.0) -> Column:
-    return F.greatest(F.lit(unit), n / per * unit)

@@ -141,11 +141,18 @@ def split_hemispheres(df: DataFrame, structure: str, left: str, right: str) -> D
     return df.select(F.inline(rows))
 
 
-def resolve_labels(labels: DataFrame, requests: DataFrame) -> DataFrame:
-    """Indices of requested labels: by number, name or abbreviation; unknown ones are left out.
+def label_inventory(voxels: DataFrame, index: str = "index") -> DataFrame:
+    """The labels that a volume has, without the background."""
+    return voxels.where(col(index) > 0).select(col(index).alias("index")).distinct()
 
-    ``requests`` has one text column ``label``.  Three equi-joins in place of a join on alternatives.
+
+def resolve_labels(labels: DataFrame, requests: DataFrame | None) -> DataFrame:
+    """Indices of requested labels: by number, name or abbreviation; unknown ones are left out.  Without requests, all but the background.
+
+    ``requests`` has one text column ``label``.  One equi-join on what a label may be called, in place of a join on alternatives.
     """
+    if requests is None:
+        return label_inventory(labels)
     keys = [F.col("index").cast("string"), F.col("name")] + ([F.col("abbreviation")] if "abbreviation" in labels.columns else [])
     named = labels.select("index", F.explode(F.array_distinct(F.array(*keys))).alias("label")).where("label is not null")
     return named.join(requests.select("label").distinct(), "label", "left_semi").select("index").distinct()

@@ -48,8 +48,9 @@ def contrasts(cohort: DataFrame, factor: str, within: tuple[str, ...] = ()) -> l
 
 
 def unpivoted(df: DataFrame, keys: list[str], metrics: list[str], extra: list[str]) -> DataFrame:
-    """keys, metric, value and the extra columns: a row for each metric."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), col(m).cast("double").alias("value")) for m in metrics])
+    """keys, metric, value and the extra columns: a row for each metric; a metric that is not a column is NULL."""
+    value = lambda m: col(m).cast("double") if m in df.columns else F.lit(None).cast("double")
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), value(m).alias("value")) for m in metrics])
     return df.select(*[col(k) for k in (*keys, *extra)], F.inline(pairs))
 
 

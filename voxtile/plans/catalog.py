@@ -124,6 +124,11 @@ def resolve_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.resolve_labels(labels(spark, sf_dir).withColumn("abbreviation", F.substring("name", 1, 3)), requests)
 
 
+@query("""SELECT DISTINCT s_nationkey AS "index" FROM supplier WHERE s_nationkey > 0""")
+def label_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regions.label_inventory(table(spark, sf_dir, "supplier"), "s_nationkey")
+
+
 @query("""SELECT n_nationkey AS "index", n_name AS name, count(c_custkey) AS count FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) ON c_nationkey = n_nationkey GROUP BY 1, 2""")
 def region_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of each region; regions without any count 0."""
@@ -230,6 +235,13 @@ def group_stats_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("region", "n_AUTOMOBILE", "n_BUILDING", r4("price_mean_AUTOMOBILE").alias("price_mean_AUTOMOBILE"), r4("price_mean_BUILDING").alias("price_mean_BUILDING"), F.round("price_tstat", 5).alias("price_tstat"))
 
 
+@query("""SELECT o_custkey AS subject, 'price' AS metric, round(o_totalprice, 4) AS value FROM orders UNION ALL SELECT o_custkey, 'count', NULL FROM orders UNION ALL SELECT o_custkey, 'priority', CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) FROM orders""")
+def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each metric of a wide table; one that the table lacks is NULL."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("subject"), r4("o_totalprice").alias("price"), F.substring("o_orderpriority", 1, 1).alias("priority"))
+    return stats.unpivoted(o, ["subject"], ["price", "count", "priority"], [])
+
+
 @query(_STUDY + """, t AS (SELECT a.region, a.level AS level_a, b.level AS level_b, (a.m - b.m) / sqrt(rest / df * (1 / a.n + 1 / b.n)) AS t FROM g a JOIN g b ON a.region = b.region AND a.level < b.level JOIN p ON p.region = a.region)
 SELECT region, level_a, level_b, round(coalesce(t, 0), 6) AS t_value, round(least(t * t / 2 / ln(10), 3), 6) AS significance, round(max(abs(coalesce(t, 0))) OVER (), 6) AS t_bound FROM t""")
 def heatmap_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -505,6 +517,13 @@ def normalise_uint8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.stretched(table(spark, sf_dir, "events").select("event_id", "value"), "value").select("event_id", "scaled")
 
 
+@query("""WITH v AS (SELECT event_id, ln(value + 1) AS v FROM events), q AS (SELECT quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.995) AS hi FROM v WHERE v > 0)
+SELECT event_id, round_even(least(1, greatest(0, (v - lo) / (hi - lo))) * 1000, 0) AS scaled FROM v, q""")
+def normalise_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logarithms of intensities between two percentiles of the positive ones, on a scale of 0 to 1000."""
+    return agg.stretched(table(spark, sf_dir, "events").select("event_id", "value"), "value", top=1000.0, positive=True, log=True).select("event_id", "scaled")
+
+
 @query("""SELECT event_type, count(*) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std, round(min(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS q25, round(quantile_cont(value, 0.5), 4) AS q50, round(quantile_cont(value, 0.75), 4) AS q75, round(max(value), 4) AS max FROM events GROUP BY 1""")
 def summary_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = agg.described(table(spark, sf_dir, "events"), "value", "event_type")
@@ -602,6 +621,15 @@ def bias_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.bias_corrected(v, agg.block_mean(v, 4, "value"), 4).select("vx", "vy", F.round("value", 6).alias("value"))
 
 
+@query(_EVENT_VOXELS + """, f AS (SELECT floor(vx / 8) AS bx, floor(vy / 8) AS b_y, avg(top) / 1000 AS f FROM e GROUP BY 1, 2)
+SELECT vx, vy, round(top / exp(f), 5) AS value FROM e JOIN f ON bx = floor(vx / 8) AND b_y = floor(vy / 8)""")
+def bias_correct_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values divided by the exponential of a coarse field."""
+    v = _event_voxels(spark, sf_dir).select("vx", "vy", F.lit(0).cast("long").alias("vz"), F.col("top").alias("value"))
+    field = agg.block_mean(v, 8, "value").withColumn("value", F.col("value") / 1000)
+    return volume.bias_corrected(v, field, 8, log_field=True).select("vx", "vy", F.round("value", 5).alias("value"))
+
+
 @query("""SELECT CAST(day(ts) AS BIGINT) AS vx, user_id % 20 AS vy, round(sum(value), 4) AS value FROM events GROUP BY 1, 2""")
 def accumulate_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum of the images of all event types, voxel by voxel."""

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from ..functions.expressions import MISSING, col, path_entity, rgb_hex
 
 LABELS = T.StructType([T.StructField("index", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("abbreviation", T.StringType()), T.StructField("color", T.StringType())])
-OBJECTS = T.StructType([*(T.StructField(f"pos_{a}", T.DoubleType()) for a in "xyz"), T.StructField("nvoxels", T.LongType())])
 
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
