@@ -122,6 +122,40 @@ def test_op6_columns(spark, sf):
         assert (got[i]["n_tokens"], got[i]["ids_sha256"], got[i]["decoded_sha256"]) == want
 
 
+def merged(ranks: dict[bytes, int], piece: bytes) -> list[int]:
+    """Byte pair merges of one piece by a heap of neighbours: lowest rank first, then leftmost."""
+    import heapq
+
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+    heap = [(r, i, parts[i], parts[i + 1]) for i in range(len(parts) - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = after[i] if parts[i] is not None else len(parts)
+        if parts[i] != a or j >= len(parts) or parts[j] != b:
+            continue
+        parts[i], parts[j], after[i] = a + b, None, after[j]
+        if after[j] < len(parts):
+            before[after[j]] = i
+        for x, y in ((before[i], i), (i, after[i])):
+            if x >= 0 and y < len(parts) and (r := ranks.get(parts[x] + parts[y])) is not None:
+                heapq.heappush(heap, (r, x, parts[x], parts[y]))
+    return [ranks[p] for p in parts if p is not None]
+
+
+def test_op6_pieces_without_a_safe_place():
+    """One match of the pattern over 400,000 characters long has the ids that its merges give."""
+    tokenizers = pytest.importorskip("public_tokenizers")
+    from voxtile.llm import bpe
+
+    enc = bpe.encoding(tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+    ranks = enc._mergeable_ranks
+    rng = np.random.default_rng(1)
+    for text in ("hello", "x" * 401_000, "".join(rng.choice(list("etaoinshr"), 405_000))):
+        assert bpe.encode_text(enc, text).tolist() == merged(ranks, text.encode())
+
+
 def test_op8_columns(spark, sf):
     got = {r["doc_id"]: r for r in QUERIES["op8_order_minhash"](spark, sf).collect()}
     texts = texts_of(sf)
