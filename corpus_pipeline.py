@@ -1,7 +1,9 @@
 """From raw documents to token ids: STAGES in order, each on all that the one before it kept.
 
 Each stage takes (spark, docs, sf_dir), where ``docs`` has the columns of documents, and returns a DataFrame; all but the
-last return the columns of documents again.  An empty table gives an empty table at every stage.
+last return the columns of documents again, and leave others out.  An empty table gives an empty table at every stage.  Null texts go with
+language ID, as no model accepts them; null sources are a source of their own, null languages are only not learned from.
+The stages' tables stay in the shared folder, as a run may be read again from any of them.
 """
 
 from __future__ import annotations
