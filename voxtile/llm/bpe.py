@@ -64,7 +64,7 @@ def encode_documents(df: DataFrame, rank_file: str, pattern: str, text: str = "t
     """Add ``n_tokens`` and ``ids`` (packed little-endian unsigned 32-bit numbers) to every row.
 
     Each match of ``pattern`` is merged by itself; no text is a special token.  Null and empty
-    texts give no ids.  Columns that already have these names are replaced.  ``rank_file`` must
+    texts give no ids; repeated rows are encoded each by itself, and an empty table stays empty.  Columns that already have these names are replaced.  ``rank_file`` must
     be at the same path on every executor.
     """
     df = df.drop("n_tokens", "ids")

@@ -408,7 +408,7 @@ def main_text(chain: Chain, page: str) -> str:
 def extract(df: DataFrame, html_column: str = "html", chain: Chain | None = None) -> DataFrame:
     """Add ``text``, the main text of each whole page, blocks in page order joined by a line feed.
 
-    Null and empty pages, and pages without main text, give an empty text.  The field is trained on ``labelled_pages`` unless one is given;
+    Null and empty pages, and pages without main text, give an empty text; repeated rows are read each by itself; labellings that tie keep the text.  The field is trained on ``labelled_pages`` unless one is given;
     its weights, a fixed number, go to the tasks.  A column named ``text`` is replaced.
     """
     chain = chain or fit(labelled_pages())

@@ -283,7 +283,8 @@ def train(
     """Learn every language from the rows with a language and a text; None if there is none.
 
     The sample of a language is bounded (``fit_docs`` and ``calibration_docs`` texts on average, drawn
-    by hash, the two apart; ``df`` should have an id, or else all copies of a text are drawn together), and so is its part of a model (``max_ngrams`` of each order), which is broadcast.
+    by hash, the two apart; ``df`` should have an id, or else all copies of a text are drawn together), and so is its part of a model (``max_ngrams`` of each order, ties by the n-gram), which is broadcast.  Null texts and languages
+    teach nothing; fully repeated rows are drawn together.
     """
     known = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}

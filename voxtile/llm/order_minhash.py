@@ -151,7 +151,8 @@ def with_next(df: DataFrame, key: str, columns: list[str], keys: DataFrame | Non
     session = df.sparkSession
     keys = (df if keys is None else keys).select(key)
     buckets = buckets or 4 * int(session.conf.get("spark.sql.shuffle.partitions"))
-    edges = np.array(sorted(set(keys.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets))), np.int64)
+    shares = [i / buckets for i in range(1, buckets)]
+    edges = np.array(sorted(set(keys.approxQuantile(key, shares, 0.2 / buckets))) if shares else [], np.int64)
 
     def lowest(batches):
         for batch in batches:

@@ -109,7 +109,7 @@ def repetition(df: DataFrame, text: str = "text", least: int = MIN_REPEAT) -> Da
     ``repeats`` holds the united spans of the maximal repeats of at least ``least`` words, as
     [start, end) word positions; ``n_repeat_words`` is their size and ``longest_repeat`` the
     longest single repeat.  Null and empty texts give zeros and no spans.  Repeated rows are
-    treated each by itself.  Columns that already have these names are replaced.
+    treated each by itself; repeats of one length don't compete, as their spans are united.  Columns that already have these names are replaced.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat"]
     df = df.drop(*names, "repeats")

@@ -105,7 +105,8 @@ def train(df: DataFrame, text: str = "text", toxic: str = "toxic", quality: str
     """Learn from rows with a text and a label of 0 or 1; None unless both labels are there.
 
     A toxic text's grade is 2 if its label ``quality`` is 0, or else (also without that label) 1.  Only a sample, bounded by ``toxic_docs`` and
-    ``clean_docs`` on average and drawn by a hash of the row, is used.
+    ``clean_docs`` on average and drawn by a hash of the row, is used.  Repeated rows are drawn together and count as often as they occur; features that
+    tie are kept by name.  An empty table gives None.
     """
     bad = F.lit(False) if quality is None else F.coalesce(F.col(quality) == 0, F.lit(False))
     label = F.col(toxic).cast("int")
