@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voxtile.functions import seg_method, sidecar
 from voxtile.functions.formula import parse, t_two_sided
 from voxtile.functions.predicate import filter_rows
-from voxtile.operators import aggregates, graph, regions, spatial, stats, volume
+from voxtile.operators import aggregates, graph, regions, spatial, stats, thinning, volume
 from voxtile.sources import tables
 from voxtile.streaming.regions import object_stream, region_totals
 
@@ -141,6 +141,36 @@ def test_components_and_distances_against_brute_force(spark):
     assert {r["sdt"] for r in volume.signed_distance(voxels(spark, points).limit(0), (2, 2, 1)).collect()} == {3.0}
 
 
+def topology(points):
+    """Objects, and the Euler number of the solid of voxels."""
+    points, left, objects = set(points), set(points), 0
+    while left:
+        todo, objects = [left.pop()], objects + 1
+        while todo:
+            p = todo.pop()
+            near = [q for d in itertools.product((-1, 0, 1), repeat=3) if (q := tuple(a + b for a, b in zip(p, d))) in left]
+            left -= set(near)
+            todo += near
+    cells = {tuple(2 * a + b for a, b in zip(p, k)) for p in points for k in itertools.product((0, 1, 2), repeat=3)}
+    return objects, sum((-1) ** sum(c % 2 for c in cell) for cell in cells)
+
+
+def test_thinning_keeps_the_topology(spark):
+    rng = np.random.default_rng(6)
+    for share in (0.2, 0.5):
+        mask = rng.random((9, 9, 9)) < share
+        skeleton = thinning.thin(mask)
+        assert not (skeleton & ~mask).any() and topology(map(tuple, np.argwhere(mask))) == topology(map(tuple, np.argwhere(skeleton)))
+    solid = np.kron(rng.random((4, 4, 4)) < 0.5, np.ones((3, 3, 3))) > 0
+    points = [tuple(p) for p in np.argwhere(solid)]
+    got = [tuple(r) for r in thinning.thinned(voxels(spark, [*points, points[0]])).collect()]
+    assert sorted(got) == [tuple(p) for p in np.argwhere(thinning.thin(solid))]
+    bar = list(itertools.product(range(40), range(3), range(3)))  # over several tiles
+    line = [tuple(r) for r in thinning.thinned(voxels(spark, bar), tile=8, overlap=6).collect()]
+    assert len(line) == len(set(line)) < 45 and topology(line) == (1, 1)
+    assert thinning.thinned(voxels(spark, points).limit(0)).count() == 0
+
+
 def test_radius_join_against_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, *map(float, rng.random(3)), float(rng.choice([0.0, 0.01, 0.1, 0.4]))) for i in range(80)] + [(80, None, 0.0, 0.0, 1.0), (81, float("nan"), 0.0, 0.0, 1.0), (82, 0.5, 0.5, 0.5, float("nan")), (83, 0.5, 0.5, 0.5, None)]

@@ -15,7 +15,7 @@ from ..functions.expressions import affine, hex_channel, norm, path_entity, rgb_
 from ..functions.predicate import filter_rows
 from ..functions.seg_method import parse_method
 from ..operators import aggregates as agg
-from ..operators import graph, regions, spatial, stats, volume
+from ..operators import graph, regions, spatial, stats, thinning, volume
 from ..sources.tables import PALETTE, discovered, entities, itksnap_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -727,6 +727,14 @@ def signed_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.signed_distance(_mask(spark, sf_dir, 12), (12, 12, depth), (2.0, 3.0, 4.0)).select("vx", "vy", "vz", F.round("sdt", 6).alias("sdt"))
 
 
+@query()
+def thinned_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skeleton voxels of a mask, thinned tile by tile."""
+    place = {"vx": F.col("l_partkey") % 24, "vy": F.col("l_suppkey") % 24, "vz": F.expr("l_orderkey div 100")}
+    solid = table(spark, sf_dir, "lineitem").where("l_quantity > 20").select(*[c.cast("long").alias(a) for a, c in place.items()]).distinct()
+    return thinning.thinned(solid)
+
+
 _BLOCKS = "SELECT channel, ax AS src_vox_x, ay AS src_vox_y, az AS src_vox_z, bx AS dst_vox_x, b_y AS dst_vox_y, bz AS dst_vox_z, round(len, 6) AS edge_length FROM e WHERE channel = 0"
 
 
