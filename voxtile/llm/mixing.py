@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.graph import dense_ids
 from .common import WORD, checkpointed, documents
 
 #: Fixed by the task: weights of the sources in turn, and the copies that no text exceeds.
@@ -27,21 +28,21 @@ def word_count(text: str) -> Column:
 def targets(sizes: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, share: float = 1.0) -> DataFrame:
     """``sizes`` (source, source_size) with weight and target: ``share`` of all words, by weight, at most ``most`` times a source's size.
 
-    What the capped sources leave goes to the others by weight until none is above its cap: with the sources in order of
-    cap / weight, a source is capped if the level that would fill it is not above the level of the rest.
-    The table has a row for each source; null is the last source.
+    What the capped sources leave goes to the others by weight until none is above its cap.  Words for each unit of weight (the level) rise
+    from round to round, each an aggregation; so however many sources there are, no task sorts them all.  Null is the last source.
     """
-    place = F.row_number().over(Window.orderBy(F.col(source).asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
-    cap = F.col("source_size") * float(most)
-    table = sizes.withColumn("weight", weight).withColumn("cap", cap).withColumn("all", F.sum("source_size").over(Window.partitionBy()) * share)
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col(source).asc_nulls_last())
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    level = F.try_divide(F.col("all") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)), F.sum("weight").over(after))
-    table = table.withColumn("level", level).withColumn("capped", F.col("cap") <= F.col("level") * F.col("weight"))
-    rest = F.max(F.when(~F.col("capped"), F.col("level"))).over(Window.partitionBy())  # later levels are lower
-    target = F.when(F.col("capped"), F.col("cap")).otherwise(rest * F.col("weight"))
-    return table.withColumn("target", F.coalesce(target, F.lit(0.0))).select(source, "source_size", "weight", "target")
+    placed = dense_ids(sizes.select(F.col(source).isNull().alias("none"), F.col(source).alias("source"), "source_size"), ["none", "source"], "place")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    table = checkpointed(placed.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * float(most)).alias("cap")))
+    whole, level = (table.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]) * share, 0.0
+    while True:
+        full = F.col("cap") <= F.lit(level) * F.col("weight")
+        used, open_ = table.agg(F.coalesce(F.sum(F.when(full, F.col("cap"))), F.lit(0.0)), F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0))).first()
+        rest = (whole - used) / open_ if open_ else level
+        if rest <= level:
+            break
+        level = rest
+    return table.select(F.col("source").alias(source), "source_size", "weight", F.least("cap", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _round_chunk(items: Column) -> Column:
