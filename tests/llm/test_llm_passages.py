@@ -28,13 +28,13 @@ def test_locate_against_brute_force():
                 t += base[a : a + rng.randint(1, 14)] if rng.random() < 0.5 else [rng.choice("abcdefg")]
             texts.append(t)
         known = {tuple(p[i : i + width]) for p in phrases for i in range(len(p) - width + 1)}
-        for t, got in zip(texts, passages.locate(texts, phrases, width, rng.choice([1, 20, 1000]))):
+        for t, got in zip(texts, passages.locate([" ".join(t).encode() for t in texts], [" ".join(p) for p in phrases], width, rng.choice([1, 40, 2000]))):
             want = {j for i in range(len(t) - width + 1) if tuple(t[i : i + width]) in known for j in range(i, i + width)}
             assert len(got) == len(t) and set(np.flatnonzero(got).tolist()) == want
 
 
 def test_locate_in_a_periodic_text():
-    (got,) = passages.locate([["x", "y"] * 20_000], [["x", "y"] * 15_000], 35)
+    (got,) = passages.locate([b"x y " * 20_000], [" ".join(["x", "y"] * 15_000)], 35)
     assert got.all()
 
 
@@ -61,7 +61,7 @@ def test_query_against_brute_force(spark, tmp_path):
 
 def test_automata_decide(spark, monkeypatch):
     """Nothing is located without the automata."""
-    monkeypatch.setattr(passages, "locate", lambda texts, *_: [np.zeros(len(x), bool) for x in texts])
+    monkeypatch.setattr(passages, "locate", lambda texts, *_: [np.zeros(len(x.split()), bool) for x in texts])
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(passages)

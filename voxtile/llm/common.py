@@ -63,20 +63,25 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
 def map_blocks(
     df: DataFrame, column: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: T.StructType | str, most: int = BLOCK_BYTES
 ) -> DataFrame:
-    """``mapInArrow`` with slices of bounded text; ``make`` runs once a task and returns the function of a slice.
-
-    A worker that ends a task gives its free memory back, since it lives on beside those of later stages.
-    """
+    """``map_arrow`` with slices of bounded text; ``make`` runs once a task and returns the function of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             for part in blocks(batch, column, most):
                 yield step(part)
-        del step
+
+    return map_arrow(df, run, schema)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` whose workers give their free memory back at the end of a task."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
         give_back()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(whole, schema)
 
 
 def give_back() -> None:

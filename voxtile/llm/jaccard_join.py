@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, most_frequent, windows
+from .common import as_bytes, checkpointed, documents, hash_words, map_arrow, map_blocks, mix, most_frequent, windows
 from .graph import KeyFilter, components, maybe_in
 
 #: Words of a shingle, and the least similarity as a ratio of integers.
@@ -82,7 +82,7 @@ def _may_link(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int]) -
             keep = low * common >= up * (x.sum(axis=1) + y.sum(axis=1) - common)
             yield batch.filter(pa.array(keep | ((x == 255) | (y == 255)).any(axis=1))).select(["a", "b"])
 
-    return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(bound, "a long, b long")
+    return map_arrow(both.select("a", "b", "sketch_a", "sketch_b"), bound, "a long, b long")
 
 
 def _summaries(df: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def _hopeful_entries(lists: DataFrame, similar: tuple[int, int]) -> DataFrame:
             shingle = np.repeat(batch.column("shingle").to_numpy(), size)
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (shingle, node, n.astype(np.int32), np.repeat(size, size).astype(np.int64))], ["shingle", "node", "n", "size"])
 
-    return short.mapInArrow(run, "shingle long, node long, n int, size long").union(known.where(F.col("size") > SHORT).select("shingle", "node", "n", "size"))
+    return map_arrow(short, run, "shingle long, node long, n int, size long").union(known.where(F.col("size") > SHORT).select("shingle", "node", "n", "size"))
 
 
 def _sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -244,7 +244,7 @@ def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, similar: tupl
             columns = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(n, pa.int32()), pa.array(d, pa.int32()), pa.array(lists, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "n", "d", "lists"])
 
-    return both.select("a", "b", "at_home", "set_a", "set_b").mapInArrow(probe, "a long, b long, linked boolean, n int, d int, lists binary")
+    return map_arrow(both.select("a", "b", "at_home", "set_a", "set_b"), probe, "a long, b long, linked boolean, n int, d int, lists binary")
 
 
 def _unpacked(told: DataFrame) -> DataFrame:
@@ -261,7 +261,7 @@ def _unpacked(told: DataFrame) -> DataFrame:
             columns = [key.view(np.int64), col("a", np.int64), col("n", np.int32), d, d - np.repeat(size, size).astype(np.int32), home]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "node", "n", "d", "rest", "home"])
 
-    return told.where("d is not null").select("a", "b", "n", "d", "lists").mapInArrow(run, "key long, node long, n int, d int, rest int, home long").withColumn("inner", F.lit(True))
+    return map_arrow(told.where("d is not null").select("a", "b", "n", "d", "lists"), run, "key long, node long, n int, d int, rest int, home long").withColumn("inner", F.lit(True))
 
 
 _FIELDS = ("node", "component", "home", "n", "d", "rest")
@@ -382,7 +382,7 @@ def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
         if key is not None:
             yield result()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return map_arrow(dealt, run, "a long, b long")
 
 
 def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", similar: tuple[int, int] = SIMILAR) -> DataFrame:

@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, checkpointed, documents, hash_words, map_blocks, mix, stored, windows
+from .common import as_bytes, checkpointed, documents, hash_words, map_arrow, map_blocks, mix, stored, windows
 from .graph import KeyFilter, maybe_in
 
 #: Words of a window and of the runs its anchor is chosen from.
 WINDOW, RUN = 35, 8
-#: Words of the passages that one automaton holds, and bytes of the texts that stream through a slice's automata at once.
-SHARD_WORDS, STREAM_BYTES = 50_000, 8_000_000
+#: Characters of the passages that one automaton holds (each takes about 50 bytes), and bytes of the texts of a slice, which stream through its automata at once.
+SHARD_CHARS, STREAM_BYTES = 600_000, 2_000_000
 #: One row a word run of the text: the separators of the word rule, for Spark's regular expressions.
 _GAP = r"[\x20\x09-\x0D]+"
 
@@ -159,38 +159,39 @@ def _phrases(df: DataFrame, width: int, run: int) -> DataFrame:
     return map_blocks(df, "text", make, "passage string, anchors array<long>")
 
 
-def locate(texts: list[list[str]], passages: list[list[str]], width: int, shard_words: int = SHARD_WORDS) -> list[np.ndarray]:
-    """For each text, which words lie in a run of ``width`` words or more that it has in common with a passage.
+def locate(texts: list[bytes], passages: list[str], width: int, shard_chars: int = SHARD_CHARS) -> list[np.ndarray]:
+    """For each text, which of its words lie in a run of ``width`` words or more that it has in common with a passage (words joined by a space).
 
-    The passages are compiled shard by shard, each of at most ``shard_words`` words or one passage; every text streams through each automaton.
+    The passages are compiled shard by shard, each of at most ``shard_chars`` characters or one passage; every text streams through each automaton.
     """
     import ahocorasick
 
     block = (width + 1) // 2
-    starts = [bytearray(max(0, len(words) - width + 1)) for words in texts]
-    lines = [" " + " ".join(words) + " " for words in texts]
+    starts: list[bytearray | None] = [None] * len(texts)
     at = 0
-    while at < len(passages):
-        size, until = 0, at
-        while until < len(passages) and (until == at or size + len(passages[until]) <= shard_words):
-            size += len(passages[until])
-            until += 1
-        found: dict[str, list[tuple[list[str], int]]] = {}
-        for own in passages[at:until]:
+    while at < len(passages) or at == 0:
+        size, found = 0, {}
+        while at < len(passages) and (not found or size + len(passages[at]) <= shard_chars):
+            size += len(passages[at])
+            own = passages[at].split(" ")
             for i in range(0, len(own) - block + 1, block):
                 found.setdefault(" " + " ".join(own[i : i + block]) + " ", []).append((own, i))
-        at = until
+            at += 1
         automaton = ahocorasick.Automaton()
         for phrase, places in found.items():
             automaton.add_word(phrase, places)
-        if not len(automaton):
-            continue
-        automaton.make_automaton()
-        for words, line, known in zip(texts, lines, starts):
-            if len(words) < width:
+        del found
+        if len(automaton):
+            automaton.make_automaton()
+        for k, text in enumerate(texts):
+            words = [w.decode() for w in text.split()]
+            known = starts[k]
+            if known is None:
+                known = starts[k] = bytearray(len(words))  # 1 where a recurring window starts
+            if len(words) < width or not len(automaton):
                 continue
             word_at, chars = 0, 0  # the word that begins after character ``chars``
-            for end, places in automaton.iter(line):
+            for end, places in automaton.iter(" " + " ".join(words) + " "):
                 while chars < end:
                     chars += len(words[word_at]) + 1
                     word_at += 1
@@ -209,13 +210,15 @@ def locate(texts: list[list[str]], passages: list[list[str]], width: int, shard_
                         known[a : b - width + 1] = b"\x01" * (b - width + 1 - a)
                         if known.count(1, low, high + 1) == high + 1 - low:
                             break
+        if at >= len(passages):
+            break
     out = []
-    for words, known in zip(texts, starts):
-        flags = np.zeros(len(words) + 1, np.int32)
+    for known in starts:
+        flags = np.zeros(len(known) + width + 1, np.int32)
         some = np.flatnonzero(np.frombuffer(known, np.uint8)) if known else np.empty(0, int)
         np.add.at(flags, some, 1)
         np.add.at(flags, some + width, -1)
-        out.append(np.cumsum(flags[:-1]) > 0)
+        out.append((np.cumsum(flags) > 0)[: len(known)])
     return out
 
 
@@ -231,11 +234,11 @@ def _located(df: DataFrame, width: int) -> DataFrame:
         key, passages, held, size = None, [], [], 0
 
         def result():
-            texts = [x.split() for _, _, x in held]
-            found = locate([[w.decode() for w in x] for x in texts], passages, width)
+            found = locate([x for _, _, x in held], passages, width)
             rows = []
-            for (h, check, _), words, flags in zip(held, texts, found):
+            for (h, check, text), flags in zip(held, found):
                 if flags.any():
+                    words = text.split()
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
                     spans = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])]
                     rows.append((h, check, int(flags.sum()), spans, b" ".join([w for w, f in zip(words, flags) if not f]).decode()))
@@ -254,11 +257,11 @@ def _located(df: DataFrame, width: int) -> DataFrame:
                     held.append((h, check, text))
                     size += len(text)
                 else:
-                    passages.append(text.decode().split(" "))
+                    passages.append(text.decode())
         if held:
             yield result()
 
-    return df.select("slice", "is_text", "text_hash", "text_check", "text").mapInArrow(run, f"text_hash long, text_check long, n_removed long, spans {_SPAN}, kept string")
+    return map_arrow(df.select("slice", "is_text", "text_hash", "text_check", "text"), run, f"text_hash long, text_check long, n_removed long, spans {_SPAN}, kept string")
 
 
 def _keys(text) -> list:
@@ -295,7 +298,7 @@ def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, r
     none = F.lit(None).cast("long")
     streamed = met.join(phrases.select("id", "passage"), "id").select("slice", F.lit(False).alias("is_text"), none.alias("text_hash"), none.alias("text_check"), F.col("passage").alias("text"))
     streamed = streamed.union(texts.select(slice_, F.lit(True), "text_hash", "text_check", "text"))
-    return _located(streamed.repartition(slices, "slice").sortWithinPartitions("slice", "is_text"), width)
+    return _located(streamed.repartition("slice").sortWithinPartitions("slice", "is_text"), width)
 
 
 def words_joined(text):
