@@ -40,6 +40,14 @@ def histogram_summary(hist: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.9,
 PARTS, FEW = 2048, 2048
 
 
+def _table_of(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as literals of the plan, so that no Python worker has to make them."""
+    row = lambda r: F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(r, schema.fields)])
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return spark.range(1).select(F.inline(F.array(*[row(r) for r in rows])))
+
+
 def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: tuple[str, ...] = ()) -> dict[tuple, list[float | None]]:
     """Exact percentiles (0 to 100) with linear interpolation of each group, by group; missing values and NaN don't count.
 
@@ -75,8 +83,8 @@ def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: t
                     plan.append((*key, lo, hi, before, n, ranks))
         if not plan:
             break
-        schema = ", ".join([*(f"{g} {flat.schema[g].dataType.simpleString()}" for g in names), "lo double", "hi double", "i int"])
-        table = df.sparkSession.createDataFrame([(*x[: len(names)], x[-5], x[-4], i) for i, x in enumerate(plan)], schema)
+        schema = T.StructType([*(flat.schema[g] for g in names), T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()), T.StructField("i", T.IntegerType())])
+        table = _table_of(df.sparkSession, [(*x[: len(names)], x[-5], x[-4], i) for i, x in enumerate(plan)], schema)
         same = F.lit(True)
         for g in names:
             same = same & flat[g].eqNullSafe(table[g])
@@ -107,7 +115,7 @@ def percentile_table(df: DataFrame, value: str, at: tuple[float, ...], groups: t
     rows = rows or ({} if groups else {(): [None] * len(at)})
     name = lambda a: f"p{a:g}".replace(".", "_")
     schema = T.StructType([*(df.schema[g] for g in groups), *(T.StructField(name(a), T.DoubleType()) for a in at)])
-    return df.sparkSession.createDataFrame([(*key, *values) for key, values in rows.items()], schema)
+    return _table_of(df.sparkSession, [(*key, *values) for key, values in rows.items()], schema)
 
 
 def percentiles(df: DataFrame, value: str, at: tuple[float, ...], positive: bool = False) -> DataFrame:
