@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxtile.functions import seg_method, sidecar
-from voxtile.functions.formula import parse, t_two_sided
+from voxtile.functions.formula import parse, t_two_sided, variables
 from voxtile.functions.predicate import filter_rows
 from voxtile.operators import aggregates, graph, regions, spatial, stats, thinning, volume
 from voxtile.sources import tables
@@ -305,6 +305,20 @@ def test_predicates_with_missing_values(spark):
         filter_rows(d, "age < (3 & g")
 
 
+def test_formulas_with_quoted_names(spark):
+    assert parse("m ~ C(Q('my group'))*Q(\"a + b\") + x:C(g) - 1") == ("m", False, [("C(Q('my group'))",), ('Q("a + b")',), ("C(Q('my group'))", 'Q("a + b")'), ("x", "C(g)")])
+    assert variables(parse("m ~ C(Q('my group')) + Q(\"a + b\") + C(g)")[2]) == {"my group": True, "a + b": False, "g": True}
+    with pytest.raises(ValueError):
+        parse("m ~ a ^ b")
+    rng = np.random.default_rng(2)
+    rows = [("r", f"g{i % 2}", float(rng.normal()), float(rng.normal())) for i in range(40)]
+    plain = spark.createDataFrame(rows, "region string, g string, x double, value double")
+    odd = plain.withColumnsRenamed({"g": "my group", "x": "a + b"})
+    one = stats.fitted_contrasts(plain, ["region"], "metric ~ C(g) + x + C(g):x", [stats.Contrast("g", "g0", "g1")]).first()
+    two = stats.fitted_contrasts(odd, ["region"], "metric ~ C(Q('my group')) + Q('a + b') + C(Q('my group')):Q('a + b')", [stats.Contrast("my group", "g0", "g1")]).first()
+    assert one["tstat"] == pytest.approx(two["tstat"]) and one["r2"] == pytest.approx(two["r2"])
+
+
 def test_level_without_rows_in_the_fit(spark):
     rows = [("r", g, float(v), None if g == "c" else float(v % 3)) for g in "abc" for v in range(6)]
     d = spark.createDataFrame(rows, "region string, g string, value double, x double")

@@ -10,12 +10,34 @@ import numpy as np
 import pandas as pd
 
 
+_QUOTED = r"Q\(\s*(?:'[^']*'|\"[^\"]*\"|[^()'\"]*)\s*\)"
+_TOKEN = re.compile(rf"C\(\s*(?:{_QUOTED}|'[^']*'|\"[^\"]*\"|[^()'\"]*)\s*\)|{_QUOTED}|[A-Za-z_][\w.]*|[-+*:01]|\s+")
+
+
+def _split(tokens: list[str], mark: str) -> list[list[str]]:
+    out: list[list[str]] = [[]]
+    for t in tokens:
+        if t == mark:
+            out.append([])
+        else:
+            out[-1].append(t)
+    return out
+
+
+def name_of(part: str) -> tuple[str, bool]:
+    """Column of a part of a term, ``C(..)`` and ``Q('..')`` taken off, and whether it is categorical."""
+    category = re.fullmatch(r"C\((.*)\)", part)
+    inner = (category[1] if category else part).strip()
+    quoted = re.fullmatch(r"Q\((.*)\)", inner)
+    return (quoted[1] if quoted else inner).strip().strip("'\""), bool(category)
+
+
 def parse(formula: str) -> tuple[str, bool, list[tuple[str, ...]]]:
     """Response, intercept and terms of ``y ~ C(a)*C(b) + age``; a term is a tuple of factors, C(x) or a numeric column."""
     response, _, right = formula.partition("~")
     intercept, terms = True, []
-    tokens = re.findall(r"C\([^)]*\)|Q\([^)]*\)|[A-Za-z_][\w.]*|[-+*:01]", right.replace(" ", ""))
-    if "".join(tokens) != right.replace(" ", ""):
+    tokens = [m[0] for m in _TOKEN.finditer(right) if not m[0].isspace()]
+    if "".join(m[0] for m in _TOKEN.finditer(right)) != right:
         raise ValueError(f"formula not understood: {formula!r}")
     sign, group = 1, []
 
@@ -24,7 +46,7 @@ def parse(formula: str) -> tuple[str, bool, list[tuple[str, ...]]]:
         if group in (["1"], ["0"]):
             intercept = (group == ["1"]) == (sign > 0)
         elif group:
-            parts = [tuple(x.split(":")) for x in "".join(group).split("*")]
+            parts = [tuple(x for x in own if x != ":") for own in _split(group, "*")]
             for size in range(1, len(parts) + 1):
                 for chosen in itertools.combinations(parts, size):
                     term = tuple(dict.fromkeys(sum(chosen, ())))
@@ -48,8 +70,8 @@ def variables(terms: list[tuple[str, ...]]) -> dict[str, bool]:
     """Column names, and whether each is categorical."""
     out: dict[str, bool] = {}
     for part in itertools.chain(*terms):
-        m = re.fullmatch(r"([CQ])\(['\"]?(.*?)['\"]?\)", part)
-        out[m[2] if m else part] = bool(m and m[1] == "C")
+        name, category = name_of(part)
+        out[name] = category
     return out
 
 
@@ -66,8 +88,7 @@ class Design:
         for term in self.terms:
             parts = []
             for part in term:
-                m = re.fullmatch(r"([CQ])\(['\"]?(.*?)['\"]?\)", part)
-                name = m[2] if m else part
+                name, _ = name_of(part)
                 if self.kinds[name]:
                     levels = self.levels[name] if full and len(term) == 1 else self.levels[name][1:]
                     full = full and len(term) > 1

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import col, minus_log10
-from ..functions.formula import Design, parse, t_two_sided, variables
+from ..functions.formula import Design, name_of, parse, t_two_sided, variables
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,7 @@ def fitted_contrasts(long: DataFrame, keys: list[str], formula: str, wanted: lis
     kinds = variables(terms)
     numbers = [c for c, cat in kinds.items() if not cat]
     factors = sorted({c for c, cat in kinds.items() if cat} | {c for x in wanted for c in (x.factor, *x.strata)})
-    powers = sorted({(0,) * len(numbers), *(tuple(sum(c in (p, f"Q('{c}')", f'Q("{c}")', f"Q({c})") for p in term) for c in numbers) for term in terms)})
+    powers = sorted({(0,) * len(numbers), *(tuple(sum(name_of(p) == (c, False) for p in term) for c in numbers) for term in terms)})
     schema = T.StructType([*[long.schema[k] for k in keys], *T._parse_datatype_string(_FIT).fields])
 
     real = lambda c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double"))
