@@ -329,6 +329,7 @@ def test_level_without_rows_in_the_fit(spark):
 def test_percentiles_against_numpy(spark, monkeypatch):
     monkeypatch.setattr(aggregates, "PARTS", 4)
     monkeypatch.setattr(aggregates, "FEW", 3)
+    monkeypatch.setattr(aggregates, "ROUNDS", 60)
     rng = np.random.default_rng(8)
     groups = {"a": rng.normal(0, 1e6, 500), "b": rng.integers(0, 4, 300).astype(float), "c": np.array([2.5]), None: np.concatenate([rng.random(40), [1e300, -1e300]])}
     rows = [(g, float(v)) for g, x in groups.items() for v in x] + [("a", None), ("a", float("nan")), ("e", None)]
@@ -341,6 +342,34 @@ def test_percentiles_against_numpy(spark, monkeypatch):
     assert aggregates.percentiles(d.limit(0), "v", (50,)).first()["p50"] is None
 
 
+def test_percentiles_end_on_any_values(spark, monkeypatch):
+    """Infinite values, one value, all equal ones, values at all scales and the smallest doubles; several columns in one go."""
+    monkeypatch.setattr(aggregates, "FEW", 2)
+    inf, tiny, rng = math.inf, 5e-324, np.random.default_rng(3)
+    scales = np.concatenate([2.0 ** rng.integers(-1070, 1020, 400), -(2.0 ** rng.integers(-1070, 1020, 400)), np.zeros(3)])
+    cases = {"one": [7.0], "equal": [3.0] * 50, "high": [*rng.normal(0, 1, 60).tolist(), inf], "low": [-inf, *rng.normal(0, 1, 60).tolist()], "ends": [-inf, inf], "only": [inf, inf],
+             "scales": scales.tolist(), "tiny": [tiny * k for k in range(20)] * 3, "top": [1.7e308, -1.7e308, 1.0, 2.0, 5.0]}
+    rows = [(g, float(v), float(-v)) for g, x in cases.items() for v in x]
+    d = spark.createDataFrame(rows, "g string, v double, w double").repartition(3)
+    at = (0.0, 10.0, 50.0, 98.9, 100.0)
+    got = aggregates.order_statistics_of(d, {"v": at, "w": (50.0,)}, ("g",))
+    for g, x in cases.items():
+        x = sorted(x)
+        for sign, want, have in ((1, at, got[g,][0]), (-1, (50.0,), got[g,][1])):
+            values = sorted(sign * v for v in x)
+            for p, h in zip(want, have):
+                place = (len(x) - 1) * p / 100
+                a, b = values[math.floor(place)], values[min(math.floor(place) + 1, len(x) - 1)]
+                share = place - math.floor(place)
+                if a == b or not share:
+                    assert h == a
+                elif math.isinf(a) or math.isinf(b):
+                    assert h == (None if math.isinf(a) and math.isinf(b) else a if math.isinf(a) else b)
+                else:
+                    assert math.isclose(h, a + (b - a) * share, rel_tol=1e-12) or b - a == inf
+    assert aggregates.percentiles(d.where("g = 'high'"), "v", (50, 100)).first()["p100"] == inf
+
+
 def test_resized_and_blobs(spark):
     grid = spark.createDataFrame([(x, y, float(x * x + y)) for x in range(5) for y in range(3)], "vx long, vy long, value double")
     got = {(r["vx"], r["vy"]): r["value"] for r in spatial.resized(grid, (5, 3), (9, 2), axes=("vx", "vy")).collect()}

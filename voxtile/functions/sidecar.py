@@ -15,9 +15,9 @@ OF_SUBJECTS = ("Number of subjects", "Total number of subjects contributing data
 OF_SUBJECTS_IN_GROUP = ("Number of subjects (group: {group})", "Number of subjects in group '{group}' contributing data to this row.")
 
 
-def _entry(words: tuple[str, ...], base: dict, **values: str) -> dict:
+def _entry(words: tuple[str, ...], known: dict, /, **values: str) -> dict:
     """LongName and Description by the words of a rule."""
-    values |= {"name": base.get("LongName", values.get("base", "")), "text": base.get("Description", "")}
+    values |= {"name": known.get("LongName", values.get("base", "")), "text": known.get("Description", "")}
     text = words[1] if values["text"] or len(words) == 2 else words[2]
     return {"LongName": words[0].format(**values), "Description": text.format(**values)}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +36,9 @@ def histogram_summary(hist: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.9,
     return c.agg(F.try_divide(F.sum(F.col("center") * F.col("count")), F.sum("count")).alias("mean"), (100 * F.try_divide(F.max_by("count", "bin"), F.sum("count"))).alias("saturation_pct"), *of)
 
 
-#: Parts that an interval of values is cut in at each scan, and values of one rank that are sorted by the driver.
-PARTS, FEW = 2048, 2048
+#: Parts that an interval of values is cut in at each scan, values of one rank that are sorted by the driver, and scans with even parts of the
+#: interval before parts even in the logarithm are taken; with those few scans are left for any doubles, so ``ROUNDS`` is never reached.
+PARTS, FEW, EVEN_ROUNDS, ROUNDS = 2048, 2048, 2, 16
 
 
 def _table_of(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -48,32 +49,51 @@ def _table_of(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> D
     return spark.range(1).select(F.inline(F.array(*[row(r) for r in rows])))
 
 
-def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: tuple[str, ...] = ()) -> dict[tuple, list[float | None]]:
-    """Exact percentiles (0 to 100) with linear interpolation of each group, by group; missing values and NaN don't count.
+def _part(v: Column, lo: Column, hi: Column, even: bool) -> Column:
+    """Number of the part of [lo, hi] that holds a value, ascending with it; lo and hi are in different parts.
 
-    The values around each wanted rank are closed in by histograms: a scan counts the parts of the intervals that hold a rank, until
-    few values or one are left.  So no task sees a whole column, and the driver gets counts only, and at most ``FEW`` values a rank.
-    The groups must be few, as their intervals are planned on the driver.
+    Parts have one width, or else one ratio of their ends: apart by sign first, then by the logarithm of the size while the ends are a power of two apart.
+    """
+    share = lambda x, a, b: F.when(b > a, F.least(F.floor(F.try_divide(x - a, b - a) * PARTS), F.lit(PARTS - 1)))
+    half = share(v / 2, lo / 2, hi / 2)
+    if even:
+        return F.coalesce(half, (v > lo).cast("long"))
+    one_sign = (lo > 0) | (hi < 0)
+    power = F.when(lo > 0, share(F.log2(v), F.log2(lo), F.log2(hi))).otherwise(share(-F.log2(-v), -F.log2(-lo), -F.log2(-hi)))
+    wide = F.greatest(F.abs(lo), F.abs(hi)) / 2 > F.least(F.abs(lo), F.abs(hi))
+    # the halves of the smallest doubles may be equal; those are few enough to be told from the lowest one by one
+    return F.coalesce(F.when(~one_sign, F.signum(v).cast("long")).when(wide, power).otherwise(half), (v > lo).cast("long"))
+
+
+def order_statistics_of(df: DataFrame, at: dict[str, tuple[float, ...]], groups: tuple[str, ...] = ()) -> dict[tuple, list[list[float | None]]]:
+    """Exact percentiles (0 to 100) with linear interpolation of several columns, by group: for each group a list a column of ``at``.
+
+    Missing values and NaN don't count.  Infinite values count at their ends: between a finite and an infinite value a percentile is the
+    infinite one, and between both infinities NULL.  The values around each wanted rank are closed in by histograms: a scan counts the parts of
+    the intervals that hold a rank, of all columns together, until few values or one are left.  So no task sees a whole column, the driver gets counts
+    only, at most ``FEW`` values a rank, and the number of scans is bounded whatever the values.  The groups must be few, as their intervals are planned on the driver.
     """
     keys = [F.col(g).alias(f"g{i}") for i, g in enumerate(groups)]
-    names = [f"g{i}" for i in range(len(groups))]
-    flat = df.select(*keys, F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
+    names = [*(f"g{i}" for i in range(len(groups))), "c"]
+    columns = [F.struct(F.lit(i).alias("c"), F.col(x).cast("double").alias("v")) for i, x in enumerate(at)]
+    flat = df.select(*keys, F.inline(F.array(*columns))).where("v is not null and not isnan(v)")
+    infinite = F.abs("v") == float("inf")
     found: dict[tuple, list[tuple[int, int, float]]] = {}
     known: dict[tuple, dict[int, float]] = {}
-    # open intervals: group, lowest and highest value, ranks before it, its values
+    # open intervals: group and column, lowest and highest value, ranks before it, its values
     open_: dict[tuple, list[tuple[float, float, int, int, list[int]]]] = {}
-    for r in flat.groupBy(*names).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).collect():
-        key = tuple(r[g] for g in names)
-        if not r["n"]:
-            found[key] = []
-            continue
-        found[key], known[key] = [], {}
-        for p in at:
-            place = (r["n"] - 1) * p / 100
-            found[key].append((math.floor(place), min(math.floor(place) + 1, r["n"] - 1), place - math.floor(place)))
-        open_[key] = [(r["lo"], r["hi"], 0, r["n"], sorted({x for low, high, _ in found[key] for x in (low, high)}))]
-    while open_:
-        rest: dict[tuple, list] = {}
+    ends = [F.min(F.when(~infinite, F.col("v"))).alias("lo"), F.max(F.when(~infinite, F.col("v"))).alias("hi"), F.count(F.lit(1)).alias("n"), F.count_if(infinite & (F.col("v") < 0)).alias("low"), F.count_if(infinite & (F.col("v") > 0)).alias("high")]
+    wanted = list(at.values())
+    for r in flat.groupBy(*names).agg(*ends).collect():
+        key, n = tuple(r[g] for g in names), r["n"]
+        places = [(n - 1) * p / 100 for p in wanted[key[-1]]]
+        found[key] = [(math.floor(x), min(math.floor(x) + 1, n - 1), x - math.floor(x)) for x in places]
+        ranks = {x for low, high, _ in found[key] for x in (low, high)}
+        known[key] = {x: -math.inf if x < r["low"] else math.inf for x in ranks if x < r["low"] or x >= n - r["high"]}
+        if rest := sorted(ranks - known[key].keys()):
+            open_[key] = [(r["lo"], r["hi"], r["low"], n - r["low"] - r["high"], rest)]
+    flat = flat.where(~infinite)
+    for scan in range(ROUNDS + 1):
         plan = []
         for key, intervals in open_.items():
             for lo, hi, before, n, ranks in intervals:
@@ -83,6 +103,8 @@ def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: t
                     plan.append((*key, lo, hi, before, n, ranks))
         if not plan:
             break
+        if scan == ROUNDS:
+            raise RuntimeError("percentiles need more scans than doubles can ask for")
         schema = T.StructType([*(flat.schema[g] for g in names), T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()), T.StructField("i", T.IntegerType())])
         table = _table_of(df.sparkSession, [(*x[: len(names)], x[-5], x[-4], i) for i, x in enumerate(plan)], schema)
         same = F.lit(True)
@@ -94,8 +116,9 @@ def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: t
         for i in small:
             key, before = plan[i][: len(names)], plan[i][-3]
             known[key] |= {x: sorted_[i][x - before] for x in plan[i][-1]}
+        rest = {}
         if len(small) < len(plan):
-            part = F.least(F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * PARTS), F.lit(PARTS - 1)).alias("part")
+            part = _part(F.col("v"), F.col("lo"), F.col("hi"), scan < EVEN_ROUNDS).alias("part")
             counted: dict[int, list] = {}
             for r in inside.where(~F.col("i").isin(small)).groupBy("i", part).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).collect():
                 counted.setdefault(r["i"], []).append((r["lo"], r["hi"], r["n"]))
@@ -106,21 +129,38 @@ def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: t
                         rest.setdefault(key, []).append((lo, hi, before, n, own))
                     before += n
         open_ = rest
-    return {key: [known[key][a] + (known[key][b] - known[key][a]) * share for a, b, share in ranks] if ranks else [None] * len(at) for key, ranks in found.items()}
+    out: dict[tuple, list[list[float | None]]] = {}
+    for (*group, c), ranks in found.items():
+        of = known[(*group, c)]
+        out.setdefault(tuple(group), [[None] * len(x) for x in wanted])[c] = [_between(of[a], of[b], share) for a, b, share in ranks]
+    return out
+
+
+def _between(a: float, b: float, share: float) -> float | None:
+    """Value between two neighbours; an infinite one wins, and there is none between both infinities."""
+    if a == b or not share:
+        return a
+    value = a + (b - a) * share
+    return None if math.isinf(a) and math.isinf(b) else value if not math.isnan(value) else a
+
+
+def order_statistics(df: DataFrame, value: str, at: tuple[float, ...], groups: tuple[str, ...] = ()) -> dict[tuple, list[float | None]]:
+    """``order_statistics_of`` one column; groups without a value are left out."""
+    return {key: rows[0] for key, rows in order_statistics_of(df, {value: at}, groups).items()}
 
 
-def percentile_table(df: DataFrame, value: str, at: tuple[float, ...], groups: tuple[str, ...] = ()) -> DataFrame:
-    """The groups and a column p{at} for each percentile of ``order_statistics``; no value gives NULL."""
-    rows = order_statistics(df, value, at, groups)
-    rows = rows or ({} if groups else {(): [None] * len(at)})
-    name = lambda a: f"p{a:g}".replace(".", "_")
-    schema = T.StructType([*(df.schema[g] for g in groups), *(T.StructField(name(a), T.DoubleType()) for a in at)])
-    return _table_of(df.sparkSession, [(*key, *values) for key, values in rows.items()], schema)
+def percentile_table(df: DataFrame, at: dict[str, dict[float, str]], groups: tuple[str, ...] = ()) -> DataFrame:
+    """The groups and the named percentiles of each column, all from the same scans; no value gives NULL, a group without any has no row."""
+    rows = order_statistics_of(df, {c: tuple(x) for c, x in at.items()}, groups)
+    rows = rows or ({} if groups else {(): [[None] * len(x) for x in at.values()]})
+    schema = T.StructType([*(df.schema[g] for g in groups), *(T.StructField(name, T.DoubleType()) for x in at.values() for name in x.values())])
+    return _table_of(df.sparkSession, [(*key, *(x for row in values for x in row)) for key, values in rows.items()], schema)
 
 
 def percentiles(df: DataFrame, value: str, at: tuple[float, ...], positive: bool = False) -> DataFrame:
     """Columns p{at}: exact percentiles by linear interpolation, of all values or the positive ones."""
-    return percentile_table(df.where(F.col(value) > 0) if positive else df, value, at)
+    names = {a: f"p{a:g}".replace(".", "_") for a in at}
+    return percentile_table(df.where(F.col(value) > 0) if positive else df, {value: names})
 
 
 def moments(df: DataFrame, value: str, groups: tuple[str, ...] = ()) -> DataFrame:
@@ -146,11 +186,12 @@ def object_summary(df: DataFrame, size: str, radius: F.Column, groups: tuple[str
     """count, mean, median, max and total of the sizes, mean and median of the radii, of each of a few groups."""
     own = df.select(*groups, F.col(size).alias("_s"), radius.alias("_r"))
     out = own.groupBy(*groups).agg(F.count(F.lit(1)).alias("count"), F.avg("_s").alias("mean"), F.max("_s").alias("max"), F.sum("_s").alias("total"), F.avg("_r").alias("mean_radius"))
-    return _with_percentiles(_with_percentiles(out, own, "_s", {50: "median"}, groups), own, "_r", {50: "median_radius"}, groups)
+    return _with_percentiles(out, own, {"_s": {50: "median"}, "_r": {50: "median_radius"}}, groups)
 
 
-def _with_percentiles(out: DataFrame, df: DataFrame, value: str, names: dict[float, str], groups: tuple[str, ...]) -> DataFrame:
-    table = percentile_table(df, value, tuple(names), groups).toDF(*[f"_{g}" for g in groups], *names.values())
+def _with_percentiles(out: DataFrame, df: DataFrame, at: dict[str, dict[float, str]], groups: tuple[str, ...]) -> DataFrame:
+    table = percentile_table(df, at, groups)
+    table = table.toDF(*[f"_{g}" for g in groups], *table.columns[len(groups) :])
     same = F.lit(True)
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
@@ -160,7 +201,7 @@ def _with_percentiles(out: DataFrame, df: DataFrame, value: str, names: dict[flo
 def described(df: DataFrame, value: str, group: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of a column for each of a few groups."""
     out = df.groupBy(group).agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
-    return _with_percentiles(out, df, value, {25: "q25", 50: "q50", 75: "q75"}, (group,)).select(group, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    return _with_percentiles(out, df, {value: {25: "q25", 50: "q50", 75: "q75"}}, (group,)).select(group, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def histogram_between(df: DataFrame, value: str, lo: float, hi: float, width: float, source: DataFrame | None = None) -> DataFrame:
@@ -187,7 +228,7 @@ def threshold_sweep(df: DataFrame, value: str, n: int = 10, lo: float = 1.0, hi:
 def tuning_report(images: DataFrame, settings: tuple[str, ...], value: str, at: tuple[float, ...] = (50, 99)) -> DataFrame:
     """Moments, coefficient of variation and percentiles of the image of each combination of settings (``images`` has a row a voxel)."""
     names = {a: f"p{a:g}" for a in at}
-    return _with_percentiles(moments(images, value, settings), images, value, names, settings)
+    return _with_percentiles(moments(images, value, settings), images, {value: names}, settings)
 
 
 def tuning_grid(spark: SparkSession, **choices: list) -> DataFrame:

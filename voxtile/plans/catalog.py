@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.expressions import affine, hex_channel, norm, path_entity, rgb_hex, slug, sphere_radius, threshold_mask
 from ..functions.predicate import filter_rows
 from ..functions.seg_method import parse_method
+from ..functions.sidecar import describe_columns
 from ..operators import aggregates as agg
 from ..operators import graph, regions, spatial, stats, thinning, volume
+from ..sources import tables
 from ..sources.tables import PALETTE, discovered, entities, itksnap_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -770,6 +772,42 @@ def sidecar_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.map_values(F.from_json("props", "map<string,string>"))[0].alias("first_value"))
 
 
+_KNOWN = {
+    "index": {"Description": "Label of the region."},
+    "count": {"LongName": "Count", "Description": "Objects of the region.", "Units": "objects"},
+    "price": {"LongName": "Price", "Units": "money"},
+    "tstat": {"LongName": "t statistic", "Description": "Student's t statistic"},
+}
+_DICTIONARY = {  # what the rules make of each column of the two tables
+    "index": (None, "Label of the region.", None),
+    "name": (None, None, None),
+    **{f"{s}+count": (f"Count ({s})", f"Objects of the region. Stain/channel: {s}.", "objects") for s in "ANR"},
+    **{f"{s}+nvoxels": (f"nvoxels ({s})", f"Metric 'nvoxels' for stain/channel '{s}'.", None) for s in "ANR"},
+    **{f"{s}+price": (f"Price ({s})", f"Metric 'price' for stain/channel '{s}'.", "money") for s in "ANR"},
+    "n_AUTOMOBILE": ("Number of subjects (group: AUTOMOBILE)", "Number of subjects in group 'AUTOMOBILE' contributing data to this row.", None),
+    "n_BUILDING": ("Number of subjects (group: BUILDING)", "Number of subjects in group 'BUILDING' contributing data to this row.", None),
+    "price_mean_AUTOMOBILE": ("Price – Mean (group: AUTOMOBILE)", "Mean of 'price' for group 'AUTOMOBILE'.", "money"),
+    "price_mean_BUILDING": ("Price – Mean (group: BUILDING)", "Mean of 'price' for group 'BUILDING'.", "money"),
+    "price_tstat": ("Price – t statistic", "Student's t statistic for metric 'price'.", None),
+}
+
+
+def _dictionary_sql(name: str, columns: list[str]) -> str:
+    text = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    rows = [f"""SELECT '{name}' AS source, {text(c)} AS "column", {text(a)} AS long_name, {text(b)} AS description, {text(u)} AS units, count("{c}") AS n_values FROM {name}""" for c in columns for a, b, u in [_DICTIONARY[c]]]
+    return " UNION ALL ".join(rows)
+
+
+_WIDE_COLUMNS = ["index", "name", *(f"{s}+{m}" for s in "ANR" for m in ("count", "nvoxels", "price"))]
+
+
+@query(f"WITH wide AS ({ORACLES['merge_stains_wide']}), stats AS ({ORACLES['group_stats_wide']}) {_dictionary_sql('wide', _WIDE_COLUMNS)} UNION ALL {_dictionary_sql('stats', [c for c in _DICTIONARY if c.startswith(('n_', 'price_'))])}")
+def column_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of the columns of a wide region table and of a table of statistics, with how many rows have a value."""
+    of = lambda name, df: tables.column_dictionary(df, describe_columns(df.columns, _KNOWN, ("tstat",))).select(F.lit(name).alias("source"), "*")
+    return of("wide", merge_stains_wide(spark, sf_dir)).union(of("stats", group_stats_wide(spark, sf_dir).drop("region")))
+
+
 @query("""WITH c AS (SELECT n_nationkey AS "index", n_name AS name, CASE WHEN n_regionkey = 2 THEN printf('%02x10ff', n_nationkey) END AS color, row_number() OVER (ORDER BY n_nationkey, n_name) - 1 AS i, count(*) OVER () AS n FROM nation),
 p AS (SELECT *, coalesce(color, (""" + str(list(PALETTE)) + """)[CAST(least(floor(i / greatest(n - 1, 1) * 20), 19) AS INTEGER) + 1]) AS c FROM c)
 SELECT "index", concat_ws(chr(9), "index", CAST('0x' || c[1:2] AS INTEGER), CAST('0x' || c[3:4] AS INTEGER), CAST('0x' || c[5:6] AS INTEGER), (i > 0)::INTEGER, (i > 0)::INTEGER, (i > 0)::INTEGER, '"' || name || '"') AS value FROM p""")

@@ -185,6 +185,16 @@ def write_sidecar(spark: SparkSession, descriptions: dict[str, dict], path: str)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def column_dictionary(df: DataFrame, descriptions: dict[str, dict]) -> DataFrame:
+    """column, long_name, description, units and n_values (rows with a value) of each column, in one aggregation of the table.
+
+    What a column's description lacks is NULL; a table without rows has 0 values.
+    """
+    word = lambda c, key: F.lit(descriptions.get(c, {}).get(key)).cast("string")
+    rows = [F.struct(F.lit(c).alias("column"), word(c, "LongName").alias("long_name"), word(c, "Description").alias("description"), word(c, "Units").alias("units"), F.col(f"n{i}").alias("n_values")) for i, c in enumerate(df.columns)]
+    return df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]).select(F.inline(F.array(*rows)))
+
+
 def entities(paths: DataFrame, keys: tuple[str, ...] = ("sub", "ses", "sample", "acq", "stain", "space", "desc")) -> DataFrame:
     """``paths`` as a catalogue of files: a column for each ``key-value`` part of its path's name or folders (NULL without), suffix and extension."""
     name = F.regexp_extract("path", r"([^/]+)$", 1)
