@@ -28,6 +28,31 @@ def test_same_rows_as_sql(spark, sf, name):
     assert sorted(map(tuple, df.select(*columns).collect())) == sorted(r.fetchall())
 
 
+@pytest.mark.parametrize("rows", [1000, 37, 1])
+def test_op7_whatever_the_batches(spark, rows):
+    """A larger table, where texts that end in a repeat stand before texts that start with one."""
+    larger = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{larger}/documents.parquet'")
+    r = con.execute(ORACLES["op7_suffix_repetition"])
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(name, rows)
+    try:
+        df = QUERIES["op7_suffix_repetition"](spark, larger)
+        assert sorted(map(tuple, df.select(*[c[0] for c in r.description]).collect())) == sorted(r.fetchall())
+    finally:
+        spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("name", ["op4_repeated_passages", "op10_jaccard_join"])
+def test_same_rows_as_sql_on_a_larger_table(spark, name):
+    larger = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{larger}/documents.parquet'")
+    r = con.execute(ORACLES[name])
+    assert sorted(map(tuple, QUERIES[name](spark, larger).select(*[c[0] for c in r.description]).collect())) == sorted(r.fetchall())
+
+
 def fold(i: int, n: int) -> int:
     return zlib.crc32(str(i).encode()) % n
 

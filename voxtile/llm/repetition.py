@@ -93,13 +93,13 @@ def repeat_lengths(token: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return longest
 
 
-def union_of_spans(longest: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the united spans [i, i + longest[i]) with at least ``least`` words (no span leaves its text)."""
+def union_of_spans(longest: np.ndarray, doc: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the united spans [i, i + longest[i]) with at least ``least`` words; spans of two texts stay apart, even if they touch."""
     at = np.flatnonzero(longest >= least)
     if not len(at):
         return at, at
     reach = np.maximum.accumulate(at + longest[at])
-    new = np.concatenate([[True], at[1:] > reach[:-1]])
+    new = np.concatenate([[True], (at[1:] > reach[:-1]) | (doc[at][1:] != doc[at][:-1])])
     return at[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(at) - 1]])]
 
 
@@ -134,7 +134,7 @@ def repetition(df: DataFrame, text: str = "text", least: int = MIN_REPEAT) -> Da
             doc = np.repeat(np.arange(len(texts)), n_words)
             first = np.concatenate([[0], np.cumsum(n_words)])
             longest = repeat_lengths(np.array(tokens, np.int64), doc)
-            start, end = union_of_spans(longest, least)
+            start, end = union_of_spans(longest, doc, least)
             of = doc[start] if len(start) else np.zeros(0, np.int64)
             covered = np.bincount(of, weights=end - start, minlength=len(texts)).astype(np.int64)
             most = np.zeros(len(texts), np.int64)
