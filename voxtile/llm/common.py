@@ -75,13 +75,25 @@ def map_blocks(
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` whose workers give their free memory back at the end of a task."""
+    """``mapInArrow`` whose workers give their free memory back at the end of a task; column names may have dots in them."""
+    names = df.columns
+    dotted = any("." in c or "`" in c for c in names)
+    if dotted:
+        schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        out = [f"c{i}" for i in range(len(schema))]
+        given, schema = schema.names, T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in zip(out, schema)])
+        df = df.toDF(*[f"c{i}" for i in range(len(names))])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
+        if dotted:
+            for batch in run(x.rename_columns(names) for x in batches):
+                yield batch.rename_columns(out)
+        else:
+            yield from run(batches)
         give_back()
 
-    return df.mapInArrow(whole, schema)
+    made = df.mapInArrow(whole, schema)
+    return made.toDF(*given) if dotted else made
 
 
 def give_back() -> None:

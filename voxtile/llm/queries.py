@@ -5,6 +5,8 @@ from __future__ import annotations
 import string
 
 from .bpe import op6_byte_bpe
+from .fill_middle import ORACLE_SQL as _FILL_MIDDLE
+from .fill_middle import op12_fill_middle
 from .html_crf import op9_html_crf
 from .jaccard_join import op10_jaccard_join
 from .langid import op1_kneser_ney
@@ -26,6 +28,7 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_html_crf": op9_html_crf,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_fill_middle": op12_fill_middle,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -55,4 +58,5 @@ p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.
 e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
 r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
 SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(min(y), doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = doc_id GROUP BY doc_id""",
+    "op12_fill_middle": _FILL_MIDDLE,
 }
