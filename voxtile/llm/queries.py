@@ -5,6 +5,8 @@ from __future__ import annotations
 import string
 
 from .bpe import op6_byte_bpe
+from .divergence import ORACLE_SQL as _DIVERGENCE
+from .divergence import op13_source_divergence
 from .fill_middle import ORACLE_SQL as _FILL_MIDDLE
 from .fill_middle import op12_fill_middle
 from .html_crf import op9_html_crf
@@ -29,6 +31,7 @@ QUERIES = {
     "op9_html_crf": op9_html_crf,
     "op10_jaccard_join": op10_jaccard_join,
     "op12_fill_middle": op12_fill_middle,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -59,4 +62,5 @@ e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE
 r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
 SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(min(y), doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.x = doc_id GROUP BY doc_id""",
     "op12_fill_middle": _FILL_MIDDLE,
+    "op13_source_divergence": _DIVERGENCE,
 }
