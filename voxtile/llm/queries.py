@@ -15,6 +15,7 @@ from .langid import op1_kneser_ney
 from .lm import op2_gru_lm
 from .mixing import op5_pivotal_mix
 from .order_minhash import op8_order_minhash
+from .passage_quality import op11_attention_mil
 from .passages import op4_repeated_passages
 from .repetition import op7_suffix_repetition
 from .toxicity import op3_ordinal_toxicity
@@ -30,6 +31,7 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_html_crf": op9_html_crf,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_attention_mil": op11_attention_mil,
     "op12_fill_middle": op12_fill_middle,
     "op13_source_divergence": op13_source_divergence,
 }
