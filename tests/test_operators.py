@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voxtile.functions import seg_method, sidecar
 from voxtile.functions.formula import parse, t_two_sided, variables
 from voxtile.functions.predicate import filter_rows
-from voxtile.operators import aggregates, graph, regions, spatial, stats, thinning, volume
+from voxtile.operators import aggregates, graph, regions, spatial, stats, thinning, tiles, volume
 from voxtile.sources import tables
 from voxtile.streaming.regions import object_stream, region_totals
 
@@ -165,12 +165,67 @@ def test_thinning_keeps_the_topology(spark):
     points = [tuple(p) for p in np.argwhere(solid)]
     got = [tuple(r) for r in thinning.thinned(voxels(spark, [*points, points[0]])).collect()]
     assert sorted(got) == [tuple(p) for p in np.argwhere(thinning.thin(solid))]
-    bar = list(itertools.product(range(40), range(3), range(3)))  # over several tiles
-    line = [tuple(r) for r in thinning.thinned(voxels(spark, bar), tile=8, overlap=6).collect()]
-    assert len(line) == len(set(line)) < 45 and topology(line) == (1, 1)
     assert thinning.thinned(voxels(spark, points).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("points", [list(itertools.product(range(20), repeat=3)), list(itertools.product(range(-9, 31), range(12), range(3, 15)))], ids=["cube", "bar"])
+def test_thinning_whatever_the_tiles(spark, points):
+    """Objects much thicker than a tile: the same skeleton as of the whole array, in one piece."""
+    low = np.min(points, axis=0)
+    mask = np.zeros(np.max(points, axis=0) - low + 1, bool)
+    mask[tuple((np.array(points) - low).T)] = True
+    low = low - low % 2  # the turns go by the parity of places
+    whole = np.pad(mask, [(int(a - b), 0) for a, b in zip(np.min(points, axis=0), low)])
+    want = sorted(tuple(p) for p in np.argwhere(thinning.thin(whole)) + low)
+    assert topology(want) == (1, 1) and len(want) < 40
+    for tile, sides in ((8, 3), (13, 6), (64, 2)):
+        assert sorted(tuple(r) for r in thinning.thinned(voxels(spark, points), tile=tile, sides=sides).collect()) == want
+
+
+@pytest.mark.parametrize("connectivity", [6, 18, 26])
+def test_components_whatever_the_tiles(spark, connectivity):
+    """A winding line through many tiles, random voxels, and places below 0; labels are the ranks of each group's first voxel."""
+    rng = np.random.default_rng(connectivity)
+    snake = [(x, y if x % 4 else (0 if x % 8 else 14), 0) for x in range(24) for y in (range(15) if x % 2 == 0 else [14 if x % 4 == 1 else 0])]
+    points = sorted({(a - 11, b - 5, c + 3) for a, b, c in [*snake, *(tuple(int(v) for v in p) for p in np.argwhere(rng.random((24, 15, 9)) < 0.12))]})
+    rank, reach = {p: i for i, p in enumerate(points)}, {6: 1, 18: 2, 26: 3}[connectivity]
+    want: dict = {}
+    for p in points:
+        if p in want:
+            continue
+        todo = [p]
+        want[p] = rank[p]
+        while todo:
+            q = todo.pop()
+            for d in itertools.product((-1, 0, 1), repeat=3):
+                r = tuple(a + b for a, b in zip(q, d))
+                if 0 < sum(map(abs, d)) <= reach and r in rank and r not in want:
+                    want[r] = rank[p]
+                    todo.append(r)
+    for tile in (2, (5, 3, 40), 32):
+        got = {tuple(r)[:3]: r["label"] for r in graph.voxel_components(voxels(spark, [*points, points[0]]), connectivity, tile).collect()}
+        assert got == want
+
+
+def test_tiles_against_the_whole_array(spark):
+    rng = np.random.default_rng(12)
+    shape = (23, 9, 14)
+    there, image = rng.random(shape) < 0.4, rng.normal(size=shape)
+    at = np.argwhere(there)
+    rows = [(*(int(x) - 7 for x in p), float(image[tuple(p)])) for p in at]  # places below 0 as well
+    df = spark.createDataFrame(rows, "vx long, vy long, vz long, value double")
+    want = {}
+    for p in at:
+        box = tuple(slice(max(0, x - 2), x + 3) for x in p)
+        want[tuple(p - 7)] = (image[box][there[box]].mean(), there[box].sum())
+    for tile in (3, (5, 40, 2), 32):
+        got = {(r["vx"], r["vy"], r["vz"]): (r["mean"], r["n"]) for r in tiles.box_mean(df, 2, tile=tile).collect()}
+        assert got.keys() == want.keys() and all(got[k][1] == want[k][1] and math.isclose(got[k][0], want[k][0], abs_tol=1e-9) for k in want)
+    assert tiles.box_mean(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        tiles.box_mean(df, 1, tile=2000)
+
+
 def test_radius_join_against_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, *map(float, rng.random(3)), float(rng.choice([0.0, 0.01, 0.1, 0.4]))) for i in range(80)] + [(80, None, 0.0, 0.0, 1.0), (81, float("nan"), 0.0, 0.0, 1.0), (82, 0.5, 0.5, 0.5, float("nan")), (83, 0.5, 0.5, 0.5, None)]

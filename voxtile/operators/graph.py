@@ -6,11 +6,13 @@ import itertools
 import tempfile
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import affine, norm
 from ..sources.tables import concatenated, require_columns
+from .tiles import AXES, TILE, Block, tiled
 
 VOXEL = ("vox_x", "vox_y", "vox_z")
 EDGE_COLUMNS = ["channel", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL), *(f"{e}_{a}" for e in ("src", "dst") for a in "xyz"), "src_radius", "dst_radius", "edge_length"]
@@ -122,18 +124,71 @@ def edges_with_nodes(edges: DataFrame, nodes: DataFrame, check: bool = True) ->
     return dense_ids(out, order, "edge_id").select("edge_id", *order, "edge_length", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL))
 
 
-def voxel_components(voxels: DataFrame, connectivity: int = 26) -> DataFrame:
+def _local_roots(there: np.ndarray, steps: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (flat) of the voxels of an array, and for each the number of the first one of its group, by union and find over all links at once."""
+    at = np.flatnonzero(there)
+    number = np.full(there.shape, -1, np.int64)
+    number.ravel()[at] = np.arange(len(at))
+    u, v = [], []
+    for d in steps:
+        here = tuple(slice(max(0, -x), n - max(0, x)) for x, n in zip(d, there.shape))
+        next_ = tuple(slice(max(0, x), n - max(0, -x)) for x, n in zip(d, there.shape))
+        both = there[here] & there[next_]
+        u.append(number[here][both])
+        v.append(number[next_][both])
+    u, v = np.concatenate(u), np.concatenate(v)
+    parent = np.arange(len(at))
+    while len(u):
+        a, b = parent[u], parent[v]
+        apart = a != b
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+    return at, parent
+
+
+def _tile_groups(steps: list[tuple[int, ...]]):
+    """Function of a tile: its own voxels with the smallest number of their group in the tile, and the voxels beyond it that touch a group."""
+
+    def step(block: Block) -> dict[str, np.ndarray]:
+        ids, core = block.values["id"], block.core
+        at, parent = _local_roots(block.there[core], steps)
+        root = np.full(block.there.shape, -1, np.int64)
+        inner = np.unravel_index(at, block.there[core].shape)
+        own_ids = ids[core][inner]
+        root[core][inner] = own_ids[parent]
+        beyond = block.there.copy()
+        beyond[core] = False
+        touched = []
+        for d in [*steps, *(tuple(-x for x in d) for d in steps)]:
+            here = tuple(slice(max(0, -x), n - max(0, x)) for x, n in zip(d, ids.shape))
+            next_ = tuple(slice(max(0, x), n - max(0, -x)) for x, n in zip(d, ids.shape))
+            both = beyond[next_] & (root[here] >= 0)
+            touched.append(np.stack([ids[next_][both], root[here][both]], axis=1))
+        pairs = np.unique(np.concatenate(touched), axis=0)
+        none = np.zeros(len(pairs), np.int64)
+        own = block.rows(root >= 0, id=ids, root=root)
+        more = {**dict.fromkeys(AXES, none), "id": pairs[:, 0], "root": pairs[:, 1]}
+        return {k: np.concatenate([own[k], more[k]]) for k in own} | {"own": np.arange(len(own["id"]) + len(pairs)) < len(own["id"])}
+
+    return step
+
+
+def voxel_components(voxels: DataFrame, connectivity: int = 26, tile: int | tuple[int, int, int] = TILE) -> DataFrame:
     """Add label, the smallest voxel number of each connected group; ``voxels`` has vx, vy, vz of the foreground.
 
-    Voxels are linked by joins on the later neighbours (13, or 3 for faces only); labels then shrink by star rounds.
+    Groups are found within each tile first.  Then only the groups that touch voxels of other tiles are linked, and their numbers shrink by star rounds,
+    so the rows of the rounds grow with the tiles' borders.  Repeated voxels count once; the tiles' size doesn't change the result.
     """
-    numbered = checkpointed(dense_ids(voxels.select("vx", "vy", "vz").distinct(), ["vx", "vy", "vz"], "id"))
+    numbered = checkpointed(dense_ids(voxels.select(*AXES).distinct(), list(AXES), "id"))
     later = [d for d in itertools.product((-1, 0, 1), repeat=3) if d > (0, 0, 0) and sum(map(abs, d)) <= {6: 1, 18: 2, 26: 3}[connectivity]]
-    steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip("xyz", d)]) for d in later])
-    moved = numbered.withColumn("_d", F.explode(steps)).select(F.col("id").alias("v"), *[(F.col(f"v{a}") + F.col(f"_d.{a}")).alias(f"v{a}") for a in "xyz"])
-    edges = star_components(moved.join(numbered, ["vx", "vy", "vz"]).select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v")))
-    out = numbered.join(edges.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left")
-    return out.select("vx", "vy", "vz", F.coalesce("label", "id").alias("label"))
+    found = checkpointed(tiled(numbered, _tile_groups(later), "vx long, vy long, vz long, id long, root long, own boolean", 1, tile))
+    touched = found.where("not own").select("id", F.col("root").alias("other"))
+    meet = found.where("own").join(touched, "id").where("root != other").select(F.greatest("root", "other").alias("u"), F.least("root", "other").alias("v"))
+    edges = star_components(meet)
+    out = found.where("own").join(edges.select(F.col("u").alias("root"), F.col("v").alias("label")), "root", "left")
+    return out.select(*AXES, F.coalesce("label", "root").alias("label"))
 
 
 def component_objects(components: DataFrame, matrix: list[list[float]], least_voxels: int = 1) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Voxels of a tile along each axis, and those that it sees of its neighbours.
-TILE, OVERLAP = 64, 32
+from .graph import checkpointed
+from .tiles import AXES, Block, tiled
+
+#: Voxels of a tile along each axis, and how far away a voxel may be that has a say when one side is taken off: a turn for each parity, and the candidates.
+TILE, REACH = 64, 9
 
 _AROUND = [d for d in itertools.product((-1, 0, 1), repeat=3) if d != (0, 0, 0)]
 _TOUCH = [[j for j, b in enumerate(_AROUND) if max(abs(x - y) for x, y in zip(a, b)) == 1] for a in _AROUND]
@@ -47,71 +49,68 @@ def simple(neighbours: int) -> bool:
     return known
 
 
-def thin(mask: np.ndarray) -> np.ndarray:
-    """Skeleton of a block of voxels; ends of lines stay.  Voxels at the rim of the block have nothing beyond it."""
+_BITS = np.array([1 << i for i in range(26)], np.int64)
+
+
+def thin_step(mask: np.ndarray, faces: list[int], low: tuple[int, ...] = (0, 0, 0)) -> np.ndarray:
+    """A block of voxels without those that go from some sides, one side after the other; ``low`` is the place of the block's first voxel.
+
+    A side's candidates are found at once.  They go in eight turns, by the parities of their places: voxels of one turn don't touch,
+    so each is judged by what is left of its neighbours and they may go together.  A side's effect reaches ``REACH`` voxels at most.
+    """
     full = np.pad(mask.astype(bool), 1)
     strides = np.array([full.shape[1] * full.shape[2], full.shape[2], 1])
-    steps = [int(np.dot(d, strides)) for d in _AROUND]
+    steps = np.array([int(np.dot(d, strides)) for d in _AROUND])
     flat = full.ravel()
 
-    def bits(at: int) -> int:
-        return sum(1 << i for i, s in enumerate(steps) if flat[at + s])
-
-    changed = True
-    while changed:
-        changed = False
-        for face in _FACES:
-            border = np.flatnonzero(flat)
-            border = border[~flat[border + steps[face]]]
-            first = [int(at) for at in border if (b := bits(int(at))).bit_count() > 1 and simple(b)]
-            for at in first:  # one after the other, as each changes the next one's neighbours
-                b = bits(at)
-                if b.bit_count() > 1 and simple(b):
-                    flat[at] = False
-                    changed = True
+    def leave(at: np.ndarray) -> np.ndarray:
+        """Which of the voxels may go: no end of a line (one neighbour) or lonely voxel, and simple."""
+        bits = flat[at[:, None] + steps] @ _BITS
+        kinds, of = np.unique(bits, return_inverse=True)
+        return np.array([b.bit_count() > 1 and simple(b) for b in kinds.tolist()], bool)[of]
+
+    for face in faces:
+        border = np.flatnonzero(flat)
+        border = border[~flat[border + steps[face]]]
+        if not len(border) or not len(border := border[leave(border)]):
+            continue
+        place = np.stack(np.unravel_index(border, full.shape), axis=1) - 1 + np.array(low)
+        parity = (place & 1) @ np.array([4, 2, 1])
+        for turn in range(8):
+            own = border[parity == turn]
+            if len(own):
+                flat[own[leave(own)]] = False
     return flat.reshape(full.shape)[1:-1, 1:-1, 1:-1]
 
 
-def thinned(voxels: DataFrame, tile: int = TILE, overlap: int = OVERLAP) -> DataFrame:
-    """The skeleton of the foreground voxels (vx, vy, vz), tile by tile; repeated voxels count once.
+def thin(mask: np.ndarray) -> np.ndarray:
+    """Skeleton of an array of voxels; ends of lines stay, and there is nothing beyond the array."""
+    while True:
+        next_ = thin_step(mask, _FACES)
+        if (next_ == mask).all():
+            return next_
+        mask = next_
+
+
+def thinned(voxels: DataFrame, tile: int = TILE, sides: int = 2, most_rounds: int = 10_000) -> DataFrame:
+    """The skeleton of the foreground voxels (vx, vy, vz), the same for every size of the tiles; repeated voxels count once.
 
-    A tile also gets the voxels around it, thins all of them, and keeps its own, so structures up to about ``overlap`` thick meet at the seams.
-    A task holds one tile at a time.
+    In a round each tile takes ``sides`` (1, 2, 3 or 6) of the six sides off with a halo as wide as their effect reaches; then the tiles meet again.
+    Rounds go on until all six sides in a row took nothing, about as many as the widest object has layers; each ends with a checkpoint.
     """
-    axes = ("vx", "vy", "vz")
-    own = voxels.select(*[F.col(a).cast("long").alias(a) for a in axes])
-    near = lambda a: F.array_distinct(F.array(*[F.floor((F.col(a) + d) / tile) for d in (-overlap, 0, overlap)]))
-    dealt = own
-    for a in axes:
-        dealt = dealt.withColumn(f"t{a}", F.explode(near(a)))
-    keys = [f"t{a}" for a in axes]
-
-    def solved(key: tuple, points: np.ndarray) -> pa.RecordBatch:
-        low = np.array(key) * tile - overlap
-        block = np.zeros((tile + 2 * overlap,) * 3, bool)
-        inside = points - low
-        inside = inside[((inside >= 0) & (inside < tile + 2 * overlap)).all(axis=1)]
-        block[tuple(inside.T)] = True
-        used = [slice(max(0, int(x.min()) - 1), int(x.max()) + 2) for x in inside.T]
-        block[tuple(used)] = thin(block[tuple(used)])
-        core = np.argwhere(block[(slice(overlap, overlap + tile),) * 3]) + low + overlap
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in core.T], list(axes))
-
-    def run(batches):
-        key, held = None, []
-        for batch in batches:
-            tiles = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
-            points = np.stack([batch.column(a).to_numpy() for a in axes], axis=1)
-            cuts = [0, *(np.flatnonzero((np.diff(tiles, axis=0) != 0).any(axis=1)) + 1).tolist(), len(tiles)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if key is not None and key != tuple(tiles[a].tolist()):
-                    yield solved(key, np.concatenate(held))
-                    held = []
-                key = tuple(tiles[a].tolist())
-                held.append(points[a:b])
-        if held:
-            yield solved(key, np.concatenate(held))
-
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "vx long, vy long, vz long")
+    if sides not in (1, 2, 3, 6):
+        raise ValueError("a round takes 1, 2, 3 or 6 sides")
+    state = checkpointed(voxels.select(*[F.col(a).cast("long").alias(a) for a in AXES]).distinct())
+    n, quiet = state.count(), 0
+    for k in range(most_rounds):
+        if not n or quiet >= 6:
+            return state
+        faces = [_FACES[(k * sides + i) % 6] for i in range(sides)]
+
+        def step(block: Block, faces=faces) -> dict[str, np.ndarray]:
+            return block.rows(thin_step(block.there, faces, tuple(block.low.tolist())))
+
+        state = checkpointed(tiled(state, step, "vx long, vy long, vz long", REACH * sides, tile))
+        n, before = state.count(), n
+        quiet = quiet + sides if n == before else 0
+    raise RuntimeError(f"the skeleton did not settle in {most_rounds} rounds")

@@ -16,8 +16,8 @@ from ..functions.predicate import filter_rows
 from ..functions.seg_method import parse_method
 from ..functions.sidecar import describe_columns
 from ..operators import aggregates as agg
-from ..operators import graph, regions, spatial, stats, thinning, volume
-from ..sources import tables
+from ..operators import graph, regions, spatial, stats, thinning, tiles, volume
+from ..sources import tables as sources
 from ..sources.tables import PALETTE, discovered, entities, itksnap_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -729,6 +729,15 @@ def signed_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.signed_distance(_mask(spark, sf_dir, 12), (12, 12, depth), (2.0, 3.0, 4.0)).select("vx", "vy", "vz", F.round("sdt", 6).alias("sdt"))
 
 
+@query(f"""WITH m AS ({_mask_sql(24)}), v AS (SELECT x, y, z, CAST((x * 7 + y * 3 + z) % 11 AS DOUBLE) AS value FROM m), d AS (SELECT i, j, k FROM (SELECT unnest(range(-2, 3)) AS i), (SELECT unnest(range(-2, 3)) AS j), (SELECT unnest(range(-2, 3)) AS k)),
+b AS (SELECT a.x, a.y, a.z, a.x + i AS p, a.y + j AS q, a.z + k AS r FROM v a CROSS JOIN d)
+SELECT b.x AS vx, b.y AS vy, b.z AS vz, round(avg(value), 6) AS mean, count(*) AS n FROM b JOIN v ON v.x = p AND v.y = q AND v.z = r GROUP BY 1, 2, 3""")
+def tile_stencil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the voxels within two of each voxel along every axis, by tiles with a halo."""
+    voxels = _mask(spark, sf_dir, 24).withColumn("value", ((F.col("vx") * 7 + F.col("vy") * 3 + F.col("vz")) % 11).cast("double"))
+    return tiles.box_mean(voxels, 2).select(*tiles.AXES, F.round("mean", 6).alias("mean"), "n")
+
+
 @query()
 def thinned_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skeleton voxels of a mask, thinned tile by tile."""
@@ -804,7 +813,7 @@ _WIDE_COLUMNS = ["index", "name", *(f"{s}+{m}" for s in "ANR" for m in ("count",
 @query(f"WITH wide AS ({ORACLES['merge_stains_wide']}), stats AS ({ORACLES['group_stats_wide']}) {_dictionary_sql('wide', _WIDE_COLUMNS)} UNION ALL {_dictionary_sql('stats', [c for c in _DICTIONARY if c.startswith(('n_', 'price_'))])}")
 def column_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptions of the columns of a wide region table and of a table of statistics, with how many rows have a value."""
-    of = lambda name, df: tables.column_dictionary(df, describe_columns(df.columns, _KNOWN, ("tstat",))).select(F.lit(name).alias("source"), "*")
+    of = lambda name, df: sources.column_dictionary(df, describe_columns(df.columns, _KNOWN, ("tstat",))).select(F.lit(name).alias("source"), "*")
     return of("wide", merge_stains_wide(spark, sf_dir)).union(of("stats", group_stats_wide(spark, sf_dir).drop("region")))
 
 
