@@ -8,9 +8,11 @@ term, and keeps each source's leading terms, of equal ones the first.
 
 from __future__ import annotations
 
+import gc
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from .common import blocks, checkpointed, documents, map_arrow
 TERM, LEAST_DOCS, SCALE_STEPS, TOP = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", 10, 3, 10
 #: Leaves that a task's tries have at most before they are sent on (between documents), bytes of text that are counted at once, and
 #: documents and terms that the bounds of the prefix ranges are taken from; they balance the work, the results don't depend on them.
-MOST_LEAVES, COUNT_BYTES, SAMPLE_DOCS, SAMPLE_TERMS = 100_000, 2_000_000, 2_000, 20_000
+MOST_LEAVES, COUNT_BYTES, SAMPLE_DOCS, SAMPLE_TERMS = 250_000, 6_000_000, 2_000, 20_000
 #: Sources that are compared with as many others in one piece of work, cells of a step of it, and parts that the tries of one language are dealt to.
 BLOCK, CELLS, PARTS = 512, 400_000, 64
 
@@ -34,6 +36,18 @@ _FOLD = np.where(_UPPER, _BYTE + 32, np.where(_LOWER | (_BYTE >= 128), _BYTE, 32
 _DOCS = -1
 
 
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """The collector of cycles rests: tries have none, and it would walk through all of their nodes again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def terms_of(text: bytes) -> list[bytes]:
     """Runs of letters A-Z, a-z and characters beyond ASCII, with A-Z lower-cased; UTF-8 keeps those characters apart from ASCII bytes."""
     return text.translate(_FOLD).split()
@@ -82,7 +96,8 @@ class RadixTrie:
                 yield low, term, node[2]
                 low = len(term)
             children = node[1]
-            stack.extend([(children[b], term) for b in sorted(children, reverse=True)])
+            if children:
+                stack += [(children[b], term) for b in sorted(children, reverse=True)]
 
     def absorb(self, packed: bytes, number: list[int]) -> None:
         """Merge a packed trie into this one; ``number`` has this trie's source for each of the other's."""
@@ -110,12 +125,12 @@ def pack(entries: Iterable[tuple[int, bytes, dict[int, int]]]) -> bytes:
         text.append(term[s:])
         docs.append(leaf[_DOCS])
         size.append(len(leaf) - 1)
-        for x, c in leaf.items():
-            if x >= 0:
-                source.append(x)
-                count.append(c)
+        source.extend(leaf)
+        count.extend(leaf.values())
+    source, count = np.array(source, np.int64), np.array(count, np.int64)
+    real = source != _DOCS
     out = []
-    for column in (shared, length, docs, size, source, count):
+    for column in (shared, length, docs, size, source[real], count[real]):
         values = np.array(column, np.uint64)
         values = values.astype(np.min_scalar_type(int(values.max())) if len(values) else np.uint8)
         out += [np.array([values.itemsize, len(values)], "<u8").tobytes(), values.astype(values.dtype.newbyteorder("<")).tobytes()]
@@ -177,31 +192,45 @@ def counted_tries(docs: DataFrame, bounds: list[tuple[bytes, bytes]]) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[str, RadixTrie] = {}
         sources: dict[str, dict[str, int]] = {}
-        for whole in batches:
-            for batch in blocks(whole, "text", COUNT_BYTES):
-                found: dict[tuple[str, str], Counter] = {}
-                docs_with: dict[str, Counter] = {}
-                for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                    if terms := terms_of(text.encode()):
-                        found.setdefault((lang, source), Counter()).update(terms)
-                        docs_with.setdefault(lang, Counter()).update(set(terms))
-                leaves: dict[str, dict[bytes, dict[int, int]]] = {}
-                for lang, counts in docs_with.items():
-                    trie = tries.get(lang) or tries.setdefault(lang, RadixTrie())
-                    at = leaves[lang] = {}
-                    for term, n in counts.items():
+        leaves: dict[str, dict[bytes, dict[int, int]]] = {}  # the leaves by term, so that a walk from the root is only made for new terms
+        found: dict[tuple[str, str], Counter] = {}
+        docs_with: dict[str, Counter] = {}
+        size = 0
+
+        def add() -> None:
+            for lang, counts in docs_with.items():
+                trie = tries.get(lang) or tries.setdefault(lang, RadixTrie())
+                at = leaves.setdefault(lang, {})
+                for term, n in counts.items():
+                    leaf = at.get(term)
+                    if leaf is None:
                         leaf = at[term] = trie.leaf(term)
-                        leaf[_DOCS] += n
-                for (lang, source), counts in found.items():
-                    names = sources.setdefault(lang, {})
-                    number, at = names.setdefault(source, len(names)), leaves[lang]
-                    for term, n in counts.items():
-                        leaf = at[term]
-                        leaf[number] = leaf.get(number, 0) + n
-                if sum(t.leaves for t in tries.values()) > MOST_LEAVES:
-                    yield from send(tries, sources)
-                    tries, sources = {}, {}
-        yield from send(tries, sources)
+                    leaf[_DOCS] += n
+            for (lang, source), counts in found.items():
+                names = sources.setdefault(lang, {})
+                number, at = names.setdefault(source, len(names)), leaves[lang]
+                for term, n in counts.items():
+                    leaf = at[term]
+                    leaf[number] = leaf.get(number, 0) + n
+            found.clear()
+            docs_with.clear()
+
+        with no_collector():
+            for whole in batches:
+                for batch in blocks(whole, "text", COUNT_BYTES):
+                    for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+                        if terms := terms_of(text.encode()):
+                            found.setdefault((lang, source), Counter()).update(terms)
+                            docs_with.setdefault(lang, Counter()).update(set(terms))
+                            size += len(text)
+                    if size >= COUNT_BYTES:
+                        add()
+                        size = 0
+                        if sum(t.leaves for t in tries.values()) > MOST_LEAVES:
+                            yield from send(tries, sources)
+                            tries.clear(), sources.clear(), leaves.clear()
+            add()
+            yield from send(tries, sources)
 
     return map_arrow(docs.select("lang", "source", "text"), run, "range int, lang string, sources array<string>, trie binary")
 
@@ -230,15 +259,16 @@ def merged_tries(parts: DataFrame, least_docs: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, trie, sources = None, RadixTrie(), {}
-        for batch in batches:
-            for nth, lang, names, packed in zip(*(batch.column(c).to_pylist() for c in ("range", "lang", "sources", "trie"))):
-                if (nth, lang) != now:
-                    if now is not None:
-                        yield from finished(now[1], trie, sources)
-                    now, trie, sources = (nth, lang), RadixTrie(), {}
-                trie.absorb(packed, [sources.setdefault(x, len(sources)) for x in names])
-        if now is not None:
-            yield from finished(now[1], trie, sources)
+        with no_collector():
+            for batch in batches:
+                for nth, lang, names, packed in zip(*(batch.column(c).to_pylist() for c in ("range", "lang", "sources", "trie"))):
+                    if (nth, lang) != now:
+                        if now is not None:
+                            yield from finished(now[1], trie, sources)
+                        now, trie, sources = (nth, lang), RadixTrie(), {}
+                    trie.absorb(packed, [sources.setdefault(x, len(sources)) for x in names])
+            if now is not None:
+                yield from finished(now[1], trie, sources)
 
     ordered = parts.repartition("range").sortWithinPartitions("range", "lang")
     return map_arrow(ordered, run, "lang string, n_terms long, sources array<string>, totals array<long>, trie binary")
