@@ -141,6 +141,33 @@ def test_components_and_distances_against_brute_force(spark):
     assert {r["sdt"] for r in volume.signed_distance(voxels(spark, points).limit(0), (2, 2, 1)).collect()} == {3.0}
 
 
+def test_envelopes_against_all_pairs():
+    rng = np.random.default_rng(9)
+    for high in (0.0, 5.0, 400.0):
+        p = np.sort(np.stack([rng.choice(60, 25, replace=False) for _ in range(40)]), axis=1) * 1.5
+        h, n = rng.random((40, 25)).round(2) * high, rng.integers(0, 26, 40)
+        x = np.tile(np.arange(-5.0, 95.0), (40, 1))
+        got = volume.along(x, p, h, n)
+        for i in range(40):
+            want = (h[i, None, : n[i]] + (x[i, :, None] - p[i, None, : n[i]]) ** 2).min(axis=1) if n[i] else np.full(100, np.inf)
+            assert np.allclose(got[i], want)
+
+
+@pytest.mark.parametrize("segment, cells", [(4, 10), (5, 1_000), (7, 40)])
+def test_distances_of_cut_lines(spark, monkeypatch, segment, cells):
+    """Lines in several segments, with heights from the earlier passes, give the distances of whole lines."""
+    monkeypatch.setattr(volume, "SEGMENT", segment)
+    monkeypatch.setattr(volume, "CELLS", cells)
+    rng = np.random.default_rng(segment)
+    shape, spacing = (9, 6, 23), (1.0, 2.5, 0.75)
+    points = [tuple(int(v) for v in p) for p in np.argwhere(rng.random(shape) < 0.01)]
+    got = {tuple(r)[:3]: r["d"] for r in volume.distance_to(voxels(spark, [*points, points[0]]), shape, spacing).collect()}
+    assert len(got) == np.prod(shape)
+    for q, d in got.items():
+        assert math.isclose(d, min(math.dist(*(tuple(a * s for a, s in zip(x, spacing)) for x in (p, q))) for p in points), abs_tol=1e-9)
+    assert volume.distance_to(voxels(spark, points).limit(0), shape, spacing).count() == 0
+
+
 def topology(points):
     """Objects, and the Euler number of the solid of voxels."""
     points, left, objects = set(points), set(points), 0

@@ -107,73 +107,138 @@ def bias_corrected(voxels: DataFrame, field: DataFrame, factor: int, value: str
     return keyed.join(f, [f"_{a}" for a in AXES], "left").withColumn(value, F.try_divide(F.col(value), by)).select(*voxels.columns)
 
 
-#: Voxels of the lines that a task holds at once.
-TILE = 1_000_000
+#: Cells of the lines that a task holds in one array, and positions of a line that one task solves; a longer line is cut.
+CELLS, SEGMENT = 500_000, 1024
 
 
-def lower_envelope(f: np.ndarray, step: float) -> np.ndarray:
-    """min over j of f[., j] + (step (i - j))^2 for all lines (rows) at once, exact.
+def envelope(p: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower envelope of the parabolas h + (x - p)^2 of each row: (which, from, count).
 
-    Shifts grow until none can be below the largest value that a line still has, so the work follows the distances and not the lines' length.
+    A row has ``n`` parabolas, by ascending p.  ``which`` has the column of each one that is lowest somewhere, from left to right, and ``from`` where
+    its part begins (column ``count`` is infinite).  All rows take a step together; a step pushes one parabola and pops those that it hides (Felzenszwalb & Huttenlocher, 2012).
     """
-    out = f.copy()
-    some = np.isfinite(f).any(axis=1)
-    g, d = f[some], out[some]
-    for k in range(1, f.shape[1]):
-        add = (k * step) ** 2
-        if not len(d) or add + g.min() >= d.max():
-            break
-        np.minimum(d[:, k:], g[:, :-k] + add, out=d[:, k:])
-        np.minimum(d[:, :-k], g[:, k:] + add, out=d[:, :-k])
-    out[some] = d
+    rows, most = p.shape
+    which, start, top = np.zeros((rows, most), np.int32), np.full((rows, most + 1), np.inf), np.full(rows, -1)
+    for j in range(most):
+        active = np.flatnonzero(j < n)
+        left = np.full(rows, -np.inf)
+        todo = active[top[active] >= 0]
+        while len(todo):
+            v = which[todo, top[todo]]
+            cut = (p[todo, j] + p[todo, v]) / 2 + (h[todo, j] - h[todo, v]) / (2 * (p[todo, j] - p[todo, v]))
+            hidden = cut <= start[todo, top[todo]]
+            left[todo] = np.where(hidden, -np.inf, cut)
+            top[todo[hidden]] -= 1
+            todo = todo[hidden]
+            todo = todo[top[todo] >= 0]
+        top[active] += 1
+        which[active, top[active]] = j
+        start[active, top[active]] = left[active]
+    start[np.arange(rows), top + 1] = np.inf
+    return which, start, top + 1
+
+
+def along(x: np.ndarray, p: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Values of each row's lower envelope at the ascending places ``x`` (a row each); infinite without parabolas."""
+    which, start, count = envelope(p, h, n)
+    out, at, every = np.full(x.shape, np.inf), np.zeros(len(x), np.int64), np.flatnonzero(count > 0)
+    for j in range(x.shape[1]):
+        go = every
+        while len(go):
+            go = go[(at[go] + 1 < count[go]) & (start[go, at[go] + 1] < x[go, j])]
+            at[go] += 1
+        v = which[every, at[every]]
+        out[every, j] = h[every, v] + (x[every, j] - p[every, v]) ** 2
     return out
 
 
-def _line_pass(axis: str, length: int, step: float):
-    """The pass along an axis, for rows that come line by line."""
-    first, second = (a for a in AXES if a != axis)
-
-    def solved(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        v = {k: np.concatenate([x[k] for x in parts]) for k in (*AXES, "d")}
-        new = np.concatenate([[True], (np.diff(v[first]) != 0) | (np.diff(v[second]) != 0)])
-        line, heads = np.cumsum(new) - 1, np.flatnonzero(new)
-        f = np.full((len(heads), length), np.inf)
-        f[line, v[axis]] = v["d"]
-        d = lower_envelope(f, step)
-        row, at = np.nonzero(np.isfinite(d))
-        columns = {axis: at, first: v[first][heads][row], second: v[second][heads][row]}
-        return pa.RecordBatch.from_arrays([*(pa.array(columns[a].astype(np.int64)) for a in AXES), pa.array(d[row, at])], [*AXES, "d"])
-
-    def run(batches):
-        held: list[dict[str, np.ndarray]] = []
-        lines = 0
-        for batch in batches:
-            v = {k: batch.column(k).to_numpy() for k in (*AXES, "d")}
-            if not len(v["d"]):
-                continue
-            change = np.flatnonzero((np.diff(v[first]) != 0) | (np.diff(v[second]) != 0)) + 1
-            lines += len(change) + 1
-            if lines * length >= TILE and len(change):
-                cut = int(change[-1])  # the last line may go on in the next batch
-                yield solved([*held, {k: x[:cut] for k, x in v.items()}])
-                held, lines = [{k: x[cut:] for k, x in v.items()}], 1
-            else:
-                held.append(v)
+def _groups_of(batches, keys: tuple[str, ...], names: tuple[str, ...]):
+    """Groups of rows with equal keys, which follow each other, as padded arrays of bounded size: (keys of each group, counts, a matrix of each other column)."""
+    held: dict[str, np.ndarray] = {}
+
+    def padded(v: dict[str, np.ndarray]):
+        heads = np.flatnonzero(np.concatenate([[True], np.any([np.diff(v[k]) != 0 for k in keys], axis=0)]))
+        size = np.diff(np.append(heads, len(v[keys[0]])))
+        first = 0
+        while first < len(heads):
+            wide = np.maximum.accumulate(size[first:]) * np.arange(1, len(size) - first + 1)
+            last = first + max(1, int(np.searchsorted(wide, CELLS, "right")))
+            n = size[first:last]
+            row, column = np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            part = slice(int(heads[first]), int(heads[first]) + int(n.sum()))
+            matrices = {}
+            for name in names:
+                matrices[name] = np.zeros((len(n), int(n.max())))
+                matrices[name][row, column] = v[name][part]
+            yield {k: v[k][heads[first:last]] for k in keys}, n, matrices
+            first = last
+
+    for batch in batches:
+        v = {k: batch.column(k).to_numpy() for k in (*keys, *names)}
+        if not batch.num_rows:
+            continue
         if held:
-            yield solved(held)
+            v = {k: np.concatenate([held[k], v[k]]) for k in v}
+        change = np.flatnonzero(np.any([np.diff(v[k]) != 0 for k in keys], axis=0)) + 1
+        cut = int(change[-1]) if len(change) else 0  # the last group may go on in the next batch
+        if cut:
+            yield from padded({k: x[:cut] for k, x in v.items()})
+        held = {k: x[cut:] for k, x in v.items()}
+    if held:
+        yield from padded(held)
 
-    return run
+
+def _along_axis(sites: DataFrame, axis: str, length: int, step: float) -> DataFrame:
+    """min over the sites (vx, vy, vz, d) of each line along an axis of d + (step * distance)^2, at every place from 0 to ``length`` - 1.
+
+    A line longer than ``SEGMENT`` is cut: each segment finds the envelope of its own sites and sends every segment those that are lowest somewhere in it, so
+    a line is shared by several tasks and none holds it whole.
+    """
+    others = [a for a in AXES if a != axis]
+    segments = -(-length // SEGMENT)
+
+    def emitted(columns: dict[str, np.ndarray], names: list[str]) -> list[pa.RecordBatch]:
+        n = len(columns[names[0]])
+        return [pa.RecordBatch.from_arrays([pa.array(columns[k][i : i + 100_000]) for k in names], names) for i in range(0, n, 100_000)]
+
+    def sent(batches):
+        for key, n, m in _groups_of(batches, (*others, "segment"), (axis, "d")):
+            p = m[axis] * step
+            which, start, count = envelope(p, m["d"], n)
+            real = np.arange(which.shape[1]) < count[:, None]
+            for t in range(segments):
+                low, high = t * SEGMENT * step, (min(length, (t + 1) * SEGMENT) - 1) * step
+                row, column = np.nonzero(real & (start[:, :-1] <= high) & (start[:, 1:] >= low))
+                v = which[row, column]
+                columns = {others[0]: key[others[0]][row], others[1]: key[others[1]][row], "segment": np.full(len(row), t, np.int64), axis: m[axis][row, v].astype(np.int64), "d": m["d"][row, v]}
+                yield from emitted(columns, [*AXES, "d", "segment"])
+
+    def solved(batches):
+        for key, n, m in _groups_of(batches, (*others, "segment"), (axis, "d")):
+            width = max(1, CELLS // min(SEGMENT, length))
+            for a in range(0, len(n), width):
+                part = slice(a, a + width)
+                place = key["segment"][part, None] * SEGMENT + np.arange(min(SEGMENT, length))
+                d = along(place * step, m[axis][part] * step, m["d"][part], n[part])
+                row, column = np.nonzero(place < length)
+                columns = {others[0]: key[others[0]][part][row], others[1]: key[others[1]][part][row], axis: place[row, column], "d": d[row, column]}
+                yield from emitted(columns, [*AXES, "d"])
+
+    keys = [*others, "segment"]
+    own = sites.withColumn("segment", F.expr(f"{axis} div {SEGMENT}") if segments > 1 else F.lit(0).cast("long"))
+    if segments > 1:
+        own = own.repartition(*keys).sortWithinPartitions(*keys, axis).mapInArrow(sent, "vx long, vy long, vz long, d double, segment long")
+    return own.repartition(*keys).sortWithinPartitions(*keys, axis).mapInArrow(solved, "vx long, vy long, vz long, d double")
 
 
 def distance_to(sites: DataFrame, shape: tuple[int, int, int], spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """Exact Euclidean distance of every voxel of a box to the nearest site (vx, vy, vz); three passes, each by lines of one axis.
+    """Exact Euclidean distance of every voxel of a box to the nearest site (vx, vy, vz); three passes of lower envelopes along the lines of one axis.
 
-    A pass sees only its lines, many at a time, so no overlap between blocks is needed.  Without any site there are no rows.
+    Time follows the number of places, whatever the distances.  Without any site there are no rows; repeated sites count once.
     """
-    out = sites.select(*[F.col(a).cast("long").alias(a) for a in AXES], F.lit(0.0).alias("d"))
+    out = sites.select(*[F.col(a).cast("long").alias(a) for a in AXES]).distinct().withColumn("d", F.lit(0.0))
     for axis, length, step in zip(AXES, shape, spacing):
-        others = [a for a in AXES if a != axis]
-        out = out.repartition(*others).sortWithinPartitions(*others).mapInArrow(_line_pass(axis, length, step), "vx long, vy long, vz long, d double")
+        out = _along_axis(out, axis, length, step)
     return out.withColumn("d", F.sqrt("d"))
 
 
