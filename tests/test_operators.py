@@ -168,6 +168,37 @@ def test_distances_of_cut_lines(spark, monkeypatch, segment, cells):
     assert volume.distance_to(voxels(spark, points).limit(0), shape, spacing).count() == 0
 
 
+def test_class_cuts_against_all_cuts():
+    rng = np.random.default_rng(21)
+    for _ in range(200):
+        n = int(rng.integers(3, 13))
+        k = int(rng.integers(2, min(n, 5) + 1))
+        centers, counts = np.sort(rng.normal(size=n) * 10), rng.integers(0, 6, n).astype(float)
+        if (counts > 0).sum() < k:
+            continue
+
+        def between(cuts):
+            edges = [0, *cuts, n]
+            return sum((counts[a:b] * centers[a:b]).sum() ** 2 / m for a, b in zip(edges, edges[1:]) if (m := counts[a:b].sum()) > 0)
+
+        best = max(between(c) for c in itertools.combinations(range(1, n), k - 1))
+        got = seg_method.otsu_thresholds(centers, counts, k)
+        assert len(got) == k - 1 and math.isclose(between([int(np.searchsorted(centers, g)) + 1 for g in got]), best, rel_tol=1e-9)
+    assert seg_method.otsu_thresholds(np.arange(4.0), np.array([0, 2.0, 0, 1]), 3) == [1.0, 1.0]
+
+
+def test_class_cuts_of_many_bins():
+    """As many bins as 16-bit images have, five classes: memory follows the bins."""
+    import tracemalloc
+
+    counts = 1000 * np.abs(np.sin(np.arange(65_536) / 9_000))
+    tracemalloc.start()
+    got = seg_method.otsu_thresholds(np.arange(65_536) + 0.5, counts, 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50e6 and np.all(np.diff(got) > 5_000)
+
+
 def topology(points):
     """Objects, and the Euler number of the solid of voxels."""
     points, left, objects = set(points), set(points), 0

@@ -1,4 +1,4 @@
-"""The names of segmentation methods, and thresholds from a histogram on the driver (a few hundred bins)."""
+"""The names of segmentation methods, and thresholds from a histogram on the driver (at most as many bins as its maker allows)."""
 
 from __future__ import annotations
 
@@ -28,25 +28,67 @@ def parse_method(text: str) -> Method:
     raise ValueError(f"unknown segmentation method {text!r}")
 
 
+def _best_starts(gain, before: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each end b the start a < b with the largest before[a] + gain(a, b) (the first of equal ones), and that value; starts below ``first`` are not open.
+
+    The best start never falls as the end grows, so the ends are halved level by level: an end looks only between the best starts of
+    its neighbours that are known.  A level looks at about as many starts as there are ends, all at once.
+    """
+    n = len(before)
+    start, value = np.full(n, -1, np.int64), np.full(n, -np.inf)
+    ends = np.arange(n)
+    low, high = np.array([first + 1]), np.array([n - 1])  # open ends, and between which starts they look
+    from_, to = np.array([first]), np.array([n - 1])
+    while len(low):
+        some = low <= high
+        low, high, from_, to = low[some], high[some], from_[some], to[some]
+        if not len(low):
+            break
+        mid = (low + high) // 2
+        last = np.minimum(to, mid - 1)
+        size = last - from_ + 1
+        head = np.cumsum(size) - size
+        a = np.arange(size.sum()) - np.repeat(head, size) + np.repeat(from_, size)
+        x = before[a] + gain(a, np.repeat(ends[mid], size))
+        best = np.maximum.reduceat(x, head)
+        at = np.flatnonzero(x == np.repeat(best, size))
+        own = a[at[np.searchsorted(at, head)]]
+        start[mid], value[mid] = own, best
+        low, high = np.concatenate([low, mid + 1]), np.concatenate([mid - 1, high])
+        from_, to = np.concatenate([from_, own]), np.concatenate([own, to])
+    return start, value
+
+
 def otsu_thresholds(centers: np.ndarray, counts: np.ndarray, classes: int) -> list[float]:
-    """Bin centres after which a class ends, so that the variance between the classes is largest (dynamic programming)."""
-    n = len(centers)
-    if not 2 <= classes <= n:
+    """Bin centres after which a class ends, so that the variance between the classes is largest.
+
+    Dynamic programming over the bins that have values; what a class adds is such that the best cuts move one way only, so the
+    time grows as classes times n log n and the memory as n.  With fewer such bins than classes the last threshold is repeated.
+    """
+    if not 2 <= classes <= len(centers):
         raise ValueError("classes must be between 2 and the number of bins")
-    mass, first = np.concatenate([[0.0], np.cumsum(counts)]), np.concatenate([[0.0], np.cumsum(counts * centers)])
-    a, b = np.arange(n)[:, None], np.arange(1, n + 1)[None, :]
-    weight, total = mass[b] - mass[a], first[b] - first[a]
-    gain = np.where((b > a) & (weight > 0), total**2 / np.where(weight > 0, weight, 1), np.where(b > a, 0.0, -np.inf))
-    best, last = gain[0], []
-    for _ in range(classes - 1):
-        step = np.concatenate([[-np.inf], best[:-1]])[:, None] + gain
-        last.append(step.argmax(axis=0))
-        best = step.max(axis=0)
-    cut, out = n - 1, []
-    for row in reversed(last):
-        start = int(row[cut])
-        out.append(float(centers[start - 1]))
-        cut = start - 1
+    full = np.flatnonzero(counts > 0)
+    centers, counts = centers[full], counts[full]
+    n = len(full)
+    if n < classes:
+        some = centers[: max(n - 1, 1)].tolist() or [float("nan")]
+        return [*some, *[some[-1]] * (classes - 1 - len(some))]
+    middle = np.average(centers, weights=counts)  # keeps the sums small
+    mass, first = np.concatenate([[0.0], np.cumsum(counts)]), np.concatenate([[0.0], np.cumsum(counts * (centers - middle))])
+
+    def gain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (first[b] - first[a]) ** 2 / (mass[b] - mass[a])
+
+    best = np.full(n + 1, -np.inf)
+    best[1:] = gain(np.zeros(n, int), np.arange(1, n + 1))
+    rows = []
+    for k in range(1, classes):
+        start, best = _best_starts(gain, best, k)
+        rows.append(start)
+    cut, out = n, []
+    for row in reversed(rows):
+        cut = int(row[cut])
+        out.append(float(centers[cut - 1]))
     return out[::-1]
 
 

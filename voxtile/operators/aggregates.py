@@ -204,10 +204,10 @@ def described(df: DataFrame, value: str, group: str) -> DataFrame:
     return _with_percentiles(out, df, {value: {25: "q25", 50: "q50", 75: "q75"}}, (group,)).select(group, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def histogram_between(df: DataFrame, value: str, lo: float, hi: float, width: float, source: DataFrame | None = None) -> DataFrame:
-    """Histogram between two percentiles (of ``source``, such as a coarser image, or else of ``df``) with bins of about ``width``."""
+def histogram_between(df: DataFrame, value: str, lo: float, hi: float, width: float, source: DataFrame | None = None, most: int = 1 << 20) -> DataFrame:
+    """Histogram between two percentiles (of ``source``, such as a coarser image, or else of ``df``) with bins of about ``width``, at most ``most`` of them."""
     low, high = order_statistics(df if source is None else source, value, (lo, hi))[()]
-    return histogram(df, value, low, high, bins_by_width(low, high, width))
+    return histogram(df, value, low, high, min(most, bins_by_width(low, high, width)))
 
 
 def threshold_sweep(df: DataFrame, value: str, n: int = 10, lo: float = 1.0, hi: float = 99.0, groups: tuple[str, ...] = ()) -> DataFrame:

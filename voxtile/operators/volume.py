@@ -57,15 +57,20 @@ def cleaned(components: DataFrame, least_extent: float = 0.15) -> DataFrame:
     return components.join(good, "label", "left_semi")
 
 
-def choose_threshold(df: DataFrame, value: str, method: Method, between: tuple[float, float] = (0.0, 100.0), width: float = 1.0, source: DataFrame | None = None) -> float:
-    """Threshold of a segmentation method, from a histogram between two percentiles that Spark makes; only its bins reach the driver."""
+def choose_threshold(
+    df: DataFrame, value: str, method: Method, between: tuple[float, float] = (0.0, 100.0), width: float = 1.0, source: DataFrame | None = None, rounds: int = 200, most_bins: int = 1 << 20
+) -> float:
+    """Threshold of a segmentation method, from a histogram between two percentiles that Spark makes; only its bins reach the driver.
+
+    With more than ``most_bins`` bins of ``width`` the bins are wider, so that what the driver gets is bounded.  ``rounds`` are those of a mixture's fit at most.
+    """
     if method.kind == "threshold":
         return method.value
-    table = histogram_between(df, value, *between, width, source).orderBy("bin").toPandas()
+    table = histogram_between(df, value, *between, width, source, most_bins).orderBy("bin").toPandas()
     centers, counts = ((table["lo"] + table["hi"]) / 2).to_numpy(), table["count"].to_numpy(float)
     if method.kind == "otsu":
         return otsu_thresholds(centers, counts, method.classes)[method.index]
-    return gmm_tail(centers, counts, method.classes, method.value)
+    return gmm_tail(centers, counts, method.classes, method.value, rounds)
 
 
 def gaussian_smoothed(voxels: DataFrame, sigma: float, value: str = "value", axes: tuple[str, ...] = AXES) -> DataFrame:

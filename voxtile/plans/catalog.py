@@ -541,15 +541,41 @@ def match_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("pct_matched", r4(100.0 * F.col("n_matched") / F.col("n_objects")))
 
 
-@query()
-def chosen_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thresholds of three methods from one histogram of all values."""
-    e = table(spark, sf_dir, "events").select("value")
-    rows = [(m, float(volume.choose_threshold(e, "value", parse_method(m), (0.0, 99.9)))) for m in ("th40", "otsu+k3i1", "gmm+n3k1")]
-    return spark.createDataFrame(rows, "method string, threshold double")
+_RANGE = "WITH q AS (SELECT quantile_cont(value, {}) AS lo, quantile_cont(value, {}) AS hi FROM events)"
 
 
-_RANGE = "WITH q AS (SELECT quantile_cont(value, {}) AS lo, quantile_cont(value, {}) AS hi FROM events)"
+def _bins_sql(width: int) -> str:
+    """Non-empty bins of about a width between two percentiles, after ``_RANGE``: bin, center, w."""
+    return f""", n AS (SELECT *, CAST(greatest(2, ceil((hi - lo) / {width})) AS BIGINT) AS bins FROM q),
+h AS (SELECT bin, lo + (bin + 0.5) * (hi - lo) / bins AS center, count(*) AS w FROM (SELECT CAST(least(floor((value - lo) / ((hi - lo) / bins)), bins - 1) AS BIGINT) AS bin, lo, hi, bins FROM events, n WHERE value BETWEEN lo AND hi) GROUP BY bin, lo, hi, bins)"""
+
+
+def _mixture_sql(components: int, rounds: int) -> str:
+    """Rounds of a mixture's fit to the bins, each from the one before: p{rounds} has a row for each component."""
+    parts = [f""", x AS (SELECT center AS x, w / sum(w) OVER () AS w, sum(w) OVER (ORDER BY bin) / sum(w) OVER () AS upto, lag(center) OVER (ORDER BY bin) AS before_x, coalesce(lag(upto_w) OVER (ORDER BY bin) / sum(w) OVER (), 0) AS before FROM (SELECT *, sum(w) OVER (ORDER BY bin) AS upto_w FROM h)),
+g AS (SELECT sum(w * x * x) - sum(w * x) * sum(w * x) AS var, greatest((max(x) - min(x)) * (max(x) - min(x)) * 1e-8, 1e-12) AS least FROM x),
+t AS (SELECT i, (i + 0.5) / {components} AS goal FROM (SELECT unnest(range({components})) AS i)),
+p0 AS (SELECT i AS c, CASE WHEN before_x IS NULL THEN x ELSE before_x + (x - before_x) * (goal - before) / (upto - before) END AS mean, greatest(var, least) AS var, 1.0 / {components} AS part FROM t JOIN x ON upto >= goal AND before < goal CROSS JOIN g)"""]
+    for i in range(rounds):
+        parts.append(f""", l{i} AS (SELECT x, w, c, ln(part) - 0.5 * ln(2 * pi() * var) - 0.5 * (x - mean) * (x - mean) / var AS lp FROM x CROSS JOIN p{i}),
+e{i} AS (SELECT x, w, c, exp(lp - max(lp) OVER (PARTITION BY x)) AS e FROM l{i}), r{i} AS (SELECT x, c, w * e / sum(e) OVER (PARTITION BY x) AS r FROM e{i}),
+m{i} AS (SELECT c, sum(r) AS size, sum(r * x) / sum(r) AS mean FROM r{i} GROUP BY c),
+p{i + 1} AS (SELECT c, any_value(mean) AS mean, greatest(sum(r * (x - mean) * (x - mean)) / any_value(size), any_value(least)) AS var, any_value(size) / sum(any_value(size)) OVER () AS part FROM r{i} JOIN m{i} USING (c) CROSS JOIN g GROUP BY c)""")
+    return "".join(parts)
+
+
+_MIXTURE_ROUNDS = 4
+
+
+@query(_RANGE.format(0.0, 0.999) + _bins_sql(1) + """, s AS (SELECT bin, center, sum(w) OVER (ORDER BY bin) AS m, sum(w * center) OVER (ORDER BY bin) AS f, sum(w) OVER () AS mt, sum(w * center) OVER () AS ft FROM h),
+o AS (SELECT i.center AS a, j.center AS b, i.f * i.f / i.m + (j.f - i.f) * (j.f - i.f) / (j.m - i.m) + (j.ft - j.f) * (j.ft - j.f) / (j.mt - j.m) AS gain FROM s i JOIN s j ON i.bin < j.bin WHERE j.mt > j.m)""" + _mixture_sql(3, _MIXTURE_ROUNDS) + f"""
+SELECT 'th40' AS method, CAST(40 AS DOUBLE) AS threshold UNION ALL SELECT 'otsu+k3i1', round(arg_max(b, gain), 4) FROM o
+UNION ALL SELECT 'gmm+n3k1', round(arg_max(mean + sqrt(var), mean), 4) FROM p{_MIXTURE_ROUNDS}""")
+def chosen_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds of three methods from one histogram of all values; the mixture's fit stops after a few rounds here, so that SQL can follow."""
+    e = table(spark, sf_dir, "events").select("value")
+    of = lambda m: round(float(volume.choose_threshold(e, "value", parse_method(m), (0.0, 99.9), rounds=_MIXTURE_ROUNDS)), 4)
+    return spark.createDataFrame([(m, of(m)) for m in ("th40", "otsu+k3i1", "gmm+n3k1")], "method string, threshold double")
 
 
 @query(_RANGE.format(0.01, 0.99) + """, n AS (SELECT *, CAST(greatest(2, ceil((hi - lo) / 5)) AS BIGINT) AS bins FROM q), b AS (SELECT unnest(range(bins)) AS bin, lo, hi, bins FROM n),
