@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voxtile.functions import seg_method, sidecar
 from voxtile.functions.formula import parse, t_two_sided, variables
 from voxtile.functions.predicate import filter_rows
-from voxtile.operators import aggregates, graph, regions, spatial, stats, thinning, tiles, volume
+from voxtile.operators import aggregates, graph, levels, regions, spatial, stats, thinning, tiles, volume
 from voxtile.sources import tables
 from voxtile.streaming.regions import object_stream, region_totals
 
@@ -199,6 +199,23 @@ def test_class_cuts_of_many_bins():
     assert most < 50e6 and np.all(np.diff(got) > 5_000)
 
 
+def test_levels(spark):
+    fine = spark.createDataFrame([(x, y, 0, float(3 * x + 2 * y)) for x in range(-8, 8) for y in range(8)], "vx long, vy long, vz long, value double")
+    coarse = levels.raised(fine, (4, 2, 1))
+    assert {(r["vx"], r["vy"]): r["value"] for r in coarse.collect()}[-2, 1] == 3 * -6.5 + 2 * 2.5
+    inner = levels.lowered(coarse, fine, (4, 2, 1), how="linear").where("vx between -6 and 5 and vy between 1 and 6").collect()
+    assert len(inner) == 72 and all(math.isclose(r["coarse"], r["value"]) for r in inner)  # linear images stay as they are between block centres
+    edge = {(r["vx"], r["vy"]): r["coarse"] for r in levels.lowered(coarse, fine, (4, 2, 1), how="linear").collect()}
+    assert edge[-8, 0] == edge[-7, 0] == 3 * -6.5 + 2 * 0.5
+    far = fine.limit(1).withColumn("vx", F.lit(99).cast("long"))
+    assert [r["coarse"] for how in ("nearest", "linear") for r in levels.lowered(coarse, far, (4, 2, 1), how=how).collect()] == [None, None]
+    votes = spark.createDataFrame([(0, 0, 0, "b"), (1, 0, 0, "a"), (2, 0, 0, None), (4, 0, 0, "c"), (5, 0, 0, "c"), (6, 0, 0, "a"), (9, 0, 0, None)], "vx long, vy long, vz long, value string")
+    assert {(r["vx"], r["value"]) for r in levels.raised(votes, 4, how="vote").collect()} == {(0, "a"), (1, "c")}
+    assert levels.isotropic_factors((1.8, 1.8, 4.0)) == (2, 2, 1) and levels.isotropic_factors((1.0, 1.0, 8.0)) == (8, 8, 1) and levels.isotropic_factors((3.0, 4.0, 4.0)) == (1, 1, 1)
+    with pytest.raises(ValueError):
+        levels.raised(fine, 0)
+
+
 def topology(points):
     """Objects, and the Euler number of the solid of voxels."""
     points, left, objects = set(points), set(points), 0

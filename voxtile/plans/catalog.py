@@ -16,7 +16,7 @@ from ..functions.predicate import filter_rows
 from ..functions.seg_method import parse_method
 from ..functions.sidecar import describe_columns
 from ..operators import aggregates as agg
-from ..operators import graph, regions, spatial, stats, thinning, tiles, volume
+from ..operators import graph, levels, regions, spatial, stats, thinning, tiles, volume
 from ..sources import tables as sources
 from ..sources.tables import PALETTE, discovered, entities, itksnap_lines
 
@@ -688,6 +688,44 @@ def smoothed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.gaussian_smoothed(v, 1.5).select("vx", "vy", F.round("value", 6).alias("value"))
 
 
+_PYRAMID_VOXELS = "SELECT CAST(day(ts) AS BIGINT) AS vx, user_id % 20 AS vy, CAST(event_id % 7 AS BIGINT) AS vz, avg(value) AS value FROM events GROUP BY 1, 2, 3"
+
+
+def _levelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.dayofmonth("ts").cast("long").alias("vx"), (F.col("user_id") % 20).cast("long").alias("vy"), (F.col("event_id") % 7).cast("long").alias("vz"), "value")
+    return e.groupBy("vx", "vy", "vz").agg(F.avg("value").alias("value"))
+
+
+@query(f"""WITH v AS ({_PYRAMID_VOXELS}), l AS (SELECT unnest(range(4)) AS k)
+SELECT CAST(k AS INTEGER) AS level, CAST(floor(vx / pow(2, k)) AS BIGINT) AS vx, CAST(floor(vy / pow(2, k)) AS BIGINT) AS vy, CAST(floor(vz / pow(2, k)) AS BIGINT) AS vz, round(avg(value), 6) AS value, count(*) AS n FROM v, l GROUP BY ALL""")
+def level_pyramid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four levels of an image, each voxel the mean of all voxels of its block."""
+    return levels.pyramid(_levelled(spark, sf_dir), 3).select("level", *levels.AXES, F.round("value", 6).alias("value"), "n")
+
+
+@query(f"""WITH v AS (SELECT vx, vy, vz, CAST(floor(value / 40) AS BIGINT) AS label FROM ({_PYRAMID_VOXELS})), c AS (SELECT vx // 3 AS x, vy // 3 AS y, vz // 3 AS z, label, count(*) AS n FROM v GROUP BY ALL),
+w AS (SELECT x, y, z, label FROM c QUALIFY row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) = 1)
+SELECT v.*, w.label AS coarse FROM v JOIN w ON x = vx // 3 AND y = vy // 3 AND z = vz // 3""")
+def level_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels with the one that most voxels of their block of three a side have."""
+    v = _levelled(spark, sf_dir).select(*levels.AXES, F.floor(F.col("value") / 40).cast("long").alias("label"))
+    return levels.lowered(levels.raised(v, 3, "label", "vote"), v, 3, "label")
+
+
+@query(f"""WITH v AS ({_PYRAMID_VOXELS}), c0 AS (SELECT vx // 4 AS x, vy // 4 AS y, vz // 2 AS z, avg(value) AS value FROM v GROUP BY ALL), t AS (SELECT d, exp(-0.5 * d * d) AS w FROM (SELECT unnest(range(-3, 4)) AS d)),
+c1 AS (SELECT a.x, a.y, a.z, sum(b.value * w) / sum(w) AS value FROM c0 a CROSS JOIN t JOIN c0 b ON b.x = a.x + d AND b.y = a.y AND b.z = a.z GROUP BY ALL),
+c2 AS (SELECT a.x, a.y, a.z, sum(b.value * w) / sum(w) AS value FROM c0 a CROSS JOIN t JOIN c1 b ON b.y = a.y + d AND b.x = a.x AND b.z = a.z GROUP BY ALL),
+c3 AS (SELECT a.x, a.y, a.z, sum(b.value * w) / sum(w) AS value FROM c0 a CROSS JOIN t JOIN c2 b ON b.z = a.z + d AND b.x = a.x AND b.y = a.y GROUP BY ALL),
+p AS (SELECT *, (vx + 0.5) / 4 - 0.5 AS px, (vy + 0.5) / 4 - 0.5 AS py, (vz + 0.5) / 2 - 0.5 AS pz FROM v),
+f AS (SELECT vx, vy, vz, any_value(p.value) AS value, sum(c.value * (1 - abs(px - x)) * (1 - abs(py - y)) * (1 - abs(pz - z))) / sum((1 - abs(px - x)) * (1 - abs(py - y)) * (1 - abs(pz - z))) AS field
+FROM p JOIN c3 c ON x BETWEEN floor(px) AND floor(px) + 1 AND y BETWEEN floor(py) AND floor(py) + 1 AND z BETWEEN floor(pz) AND floor(pz) + 1 GROUP BY ALL)
+SELECT vx, vy, vz, round(field, 6) AS field, round(value / field, 6) AS corrected FROM f""")
+def bias_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An image divided by a smooth field of its block means, interpolated between the blocks."""
+    out = levels.bias_field_corrected(_levelled(spark, sf_dir), (4, 4, 2), 1.0)
+    return out.select(*levels.AXES, F.round("field", 6).alias("field"), F.round("corrected", 6).alias("corrected"))
+
+
 # --- graphs ----------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -745,6 +783,16 @@ def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[F.round(f"pos_{a}", 6).alias(f"pos_{a}") for a in "xyz"], "nvoxels")
 
 
+@query(f"""WITH RECURSIVE v AS ({_mask_sql(24)}), m AS (SELECT DISTINCT x // 2 AS x, y // 2 AS y, z // 4 AS z FROM v), n AS (SELECT x, y, z, (x * 24 + y) * 1000000 + z AS id FROM m), d AS (SELECT * FROM (VALUES (1, 0, 0), (0, 1, 0), (0, 0, 1)) t(i, j, k)),
+h AS (SELECT a.id AS a, b.id AS b FROM n a CROSS JOIN d JOIN n b ON b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k), e AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+r AS (SELECT id AS a, id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), l AS (SELECT a, min(b) AS label FROM r GROUP BY 1),
+g AS (SELECT label FROM l JOIN n ON n.id = a GROUP BY label HAVING count(*) >= 0.4 * (max(x) - min(x) + 1) * (max(y) - min(y) + 1) * (max(z) - min(z) + 1))
+SELECT v.x AS vx, v.y AS vy, v.z AS vz FROM v JOIN n ON n.x = v.x // 2 AND n.y = v.y // 2 AND n.z = v.z // 4 JOIN l ON l.a = n.id SEMI JOIN g USING (label)""")
+def cleaned_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Voxels of a mask whose object, on a coarser level, fills enough of its box."""
+    return levels.cleaned_at_level(_mask(spark, sf_dir, 24), (2, 2, 4), 0.4, 6)
+
+
 @query(f"""WITH m AS ({_mask_sql(12)}), s AS (SELECT max(l_orderkey) // 100 + 1 AS n FROM lineitem),
 b AS (SELECT i % 12 AS x, i // 12 % 12 AS y, i // 144 AS z FROM (SELECT unnest(range(144 * n)) AS i FROM s)), o AS (SELECT b.* FROM b ANTI JOIN m USING (x, y, z))
 SELECT o.x AS vx, o.y AS vy, o.z AS vz, round(sqrt(min((o.x-m.x)*(o.x-m.x)*4 + (o.y-m.y)*(o.y-m.y)*9 + (o.z-m.z)*(o.z-m.z)*16)), 6) AS sdt FROM o CROSS JOIN m GROUP BY 1, 2, 3
