@@ -6,6 +6,7 @@ in space (their first dimensions), customers for subjects of a study, events for
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from ..functions.seg_method import parse_method
 from ..functions.sidecar import describe_columns
 from ..operators import aggregates as agg
 from ..operators import graph, levels, regions, spatial, stats, thinning, tiles, volume
+from ..sources import chunks
 from ..sources import tables as sources
 from ..sources.tables import PALETTE, discovered, entities, itksnap_lines
 
@@ -783,6 +785,35 @@ def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[F.round(f"pos_{a}", 6).alias(f"pos_{a}") for a in "xyz"], "nvoxels")
 
 
+_VOLUME = "SELECT l_partkey % 40 AS vx, l_suppkey % 30 AS vy, l_orderkey // 100 AS vz, max(l_quantity) AS value FROM lineitem GROUP BY 1, 2, 3"
+
+
+def _written(spark: SparkSession, sf_dir: str, value: Column, width: tuple[int, int]) -> str:
+    """A volume of line items as chunks in the shared folder; it grows along z with the orders."""
+    items = table(spark, sf_dir, "lineitem")
+    place = {"vx": F.col("l_partkey") % width[0], "vy": F.col("l_suppkey") % width[1], "vz": F.expr("l_orderkey div 100")}
+    voxels = items.select(*[c.cast("long").alias(a) for a, c in place.items()], value.cast("double").alias("value"))
+    depth = items.agg(F.max(F.expr("l_orderkey div 100"))).first()[0]
+    path = f"{graph.shared_folder(spark)}/volume-{uuid.uuid4().hex}"
+    chunks.write_chunks(voxels, path, [chunks.level_head((*width, int(depth or 0) + 1), (16, 16, 64), (2.0, 2.0, 4.0))], ["items"])
+    return path
+
+
+@query(f"""SELECT vx, vy, vz, value FROM ({_VOLUME}) WHERE vx BETWEEN 5 AND 29 AND vy BETWEEN 10 AND 17 AND vz >= 3""")
+def chunk_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of a volume that was written as chunks: the chunks beside it aren't opened."""
+    volume_ = chunks.read_chunks(spark, _written(spark, sf_dir, F.col("l_quantity"), (40, 30)), 0, "items", ((5, 30), (10, 18), (0, 1 << 40)))
+    return volume_.where("vz >= 3").select(*chunks.AXES, "value")
+
+
+@query("""WITH v AS (SELECT max(l_suppkey % 30) AS label FROM lineitem GROUP BY l_partkey % 40, l_suppkey % 20, l_orderkey // 100), c AS (SELECT label AS "index", count(*) AS n FROM v WHERE label > 0 GROUP BY 1)
+SELECT "index", n_name AS name, coalesce(n, 0) AS n_voxels, n_name IS NOT NULL AS in_table FROM c FULL JOIN (SELECT n_nationkey AS "index", n_name FROM nation WHERE n_nationkey > 0) USING ("index")""")
+def atlas_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of a volume of chunks beside their table: how many voxels each has, and which the table lacks."""
+    path = _written(spark, sf_dir, F.col("l_suppkey") % 30, (40, 20))
+    return chunks.label_check(*chunks.read_atlas(spark, path, labels(spark, sf_dir), strict=False))
+
+
 @query(f"""WITH RECURSIVE v AS ({_mask_sql(24)}), m AS (SELECT DISTINCT x // 2 AS x, y // 2 AS y, z // 4 AS z FROM v), n AS (SELECT x, y, z, (x * 24 + y) * 1000000 + z AS id FROM m), d AS (SELECT * FROM (VALUES (1, 0, 0), (0, 1, 0), (0, 0, 1)) t(i, j, k)),
 h AS (SELECT a.id AS a, b.id AS b FROM n a CROSS JOIN d JOIN n b ON b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k), e AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
 r AS (SELECT id AS a, id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), l AS (SELECT a, min(b) AS label FROM r GROUP BY 1),
