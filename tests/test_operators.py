@@ -301,6 +301,22 @@ def test_tiles_against_the_whole_array(spark):
         tiles.box_mean(df, 1, tile=2000)
 
 
+@pytest.mark.parametrize("depth", [0, 2, 8])
+def test_radius_join_in_a_crowded_cell(spark, depth):
+    """A third of all points in one cell, some of them at one place; radii of two octaves."""
+    rng = np.random.default_rng(14)
+    far, near = rng.uniform(-40, 40, (300, 3)), 3.0 + rng.uniform(0, 1.9, (150, 3)) ** 2 / 2
+    same = np.tile([[4.0, 4.0, 4.0]], (40, 1))
+    points = np.concatenate([far, near, same])
+    radius = np.where(np.arange(len(points)) % 3, 0.4, 1.5)
+    rows = [(i, float(r), *map(float, p)) for i, (p, r) in enumerate(zip(points, radius))]
+    df = spark.createDataFrame(rows, "id int, radius double, pos_x double, pos_y double, pos_z double")
+    pairs = spatial.radius_pairs(df, df, "radius", most=12, depth=depth)
+    got = sorted((r["a"], r["b"]) for r in pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).collect())
+    apart = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    assert got == sorted((int(i), int(j)) for i, j in np.argwhere(apart <= radius[:, None]))
+
+
 def test_radius_join_against_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, *map(float, rng.random(3)), float(rng.choice([0.0, 0.01, 0.1, 0.4]))) for i in range(80)] + [(80, None, 0.0, 0.0, 1.0), (81, float("nan"), 0.0, 0.0, 1.0), (82, 0.5, 0.5, 0.5, float("nan")), (83, 0.5, 0.5, 0.5, None)]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import affine, inverse_affine, norm, overlap_ratio, sphere_radius
@@ -24,11 +25,63 @@ def with_object_ids(objects: DataFrame, voxel_edge: float = 0.002) -> DataFrame:
     return numbered.withColumn("object_id", F.concat_ws("_", "stain", F.col("_n").cast("string"))).drop("_n").withColumn("radius", sphere_radius(F.col("nvoxels"), voxel_edge))
 
 
-def radius_pairs(left: DataFrame, right: DataFrame, radius: str, position: tuple[str, str, str] = ("pos_x", "pos_y", "pos_z"), cell: float | None = None) -> DataFrame:
+#: Rows of either side that a cell may have before it is split, and how often cells are halved; what is crowded still (points at one place) is dealt by row.
+MOST_IN_CELL, DEPTH = 2_000, 8
+
+
+def _reached(level: Column, cell: list[Column], size: Column, radius: Column, at: list[Column]) -> Column:
+    """Whether a ball meets a cell of a level, whose sides are ``size`` / 2^level; a little wider, as places are rounded."""
+    side = size / F.pow(F.lit(2.0), level.cast("double"))
+    gaps = [F.greatest(c * side - p, p - (c + 1) * side, F.lit(0.0)) for c, p in zip(cell, at)]
+    return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) <= radius * radius * (1 + 1e-9) + 1e-300
+
+
+def _split(a: DataFrame, b: DataFrame, radius: str, position: tuple[str, str, str], most: int, depth: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with crowded cells split: an octree whose leaves have at most ``most`` rows of ``b``, or of ``a``, and then parts of leaves that can't be split."""
+    from .graph import checkpointed
+
+    keys = ["_o", "_l", "_c0", "_c1", "_c2"]
+    here = lambda side: side.where(F.col("_l") == level).select(*keys)
+    level, held = 0, False
+    while True:
+        of_a, of_b = here(a).withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0)), here(b).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))
+        sizes = of_a.union(of_b).groupBy(*keys).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+        crowded = checkpointed(sizes.where(f"_na > 0 and _nb > 0 and (_na > {most} or _nb > {most})"))
+        if crowded.isEmpty():
+            return a, b, keys
+        if not held:  # both are read again for each level
+            a, b, held = checkpointed(a), checkpointed(b), True
+        if level == depth:
+            break
+        crowded = crowded.select(*keys, F.lit(True).alias("_split"))
+        a, b = a.join(crowded, keys, "left"), b.join(crowded, keys, "left")
+        half = [F.floor(F.col(f"b.{p}") / (F.col("_size") / (2.0 ** (level + 1)))).cast("long") for p in position]
+        split = F.coalesce("_split", F.lit(False))
+        b = b.select("b", "_o", (F.col("_l") + split.cast("int")).alias("_l"), *[F.when(split, h).otherwise(F.col(k)).alias(k) for k, h in zip(keys[2:], half)], "_size")
+        children = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(d)]) for d in itertools.product((0, 1), repeat=3)])
+        down = a.where(split).withColumn("_d", F.explode(children)).select("a", "_o", (F.col("_l") + 1).alias("_l"), *[(2 * F.col(k) + F.col(f"_d.d{i}")).alias(k) for i, k in enumerate(keys[2:])], "_size")
+        down = down.where(_reached(F.col("_l"), [F.col(k) for k in keys[2:]], F.col("_size"), F.col(f"a.{radius}"), [F.col(f"a.{p}") for p in position]))
+        a, b = checkpointed(a.where(~split).drop("_split").unionByName(down)), checkpointed(b)
+        level += 1
+    # leaves at the last level that are crowded still: each row of a side meets all parts of the other side
+    parts = crowded.select(*keys, F.ceil(F.col("_na") / most).cast("long").alias("_pa"), F.ceil(F.col("_nb") / most).cast("long").alias("_pb"))
+    both = []
+    for side, own, other in ((a, "_pa", "_pb"), (b, "_pb", "_pa")):
+        side = side.join(parts, keys, "left").withColumns({"_pa": F.coalesce("_pa", F.lit(1)), "_pb": F.coalesce("_pb", F.lit(1))})
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        mine, all_ = ("_ka", "_kb") if own == "_pa" else ("_kb", "_ka")
+        both.append(side.withColumn(mine, F.monotonically_increasing_id() % F.col(own)).withColumn(all_, every).drop("_pa", "_pb"))
+    return *both, [*keys, "_ka", "_kb"]
+
+
+def radius_pairs(
+    left: DataFrame, right: DataFrame, radius: str, position: tuple[str, str, str] = ("pos_x", "pos_y", "pos_z"), cell: float | None = None, most: int = MOST_IN_CELL, depth: int = DEPTH
+) -> DataFrame:
     """Pairs a, b (structs) with distance <= a's radius, and distance; rows without a position or a finite radius are left out.
 
-    Cells are as large as the largest radius, so a's neighbours are in 27 cells: an equi-join on cells, then the exact test.
+    Cells are as large as the largest radius, so a's ball meets 27 cells at most: an equi-join on cells, then the exact test.
     If radii differ by much, left rows go to grids by octave of their radius, and right rows to each octave that is there.
+    Cells with more than ``most`` rows of a side are halved again and again, where they are crowded, and balls go to the cells they meet.
     """
     ok = lambda df: df.where(" and ".join(f"{p} is not null and not isnan({p})" for p in position))
     left = ok(left).where((F.col(radius) >= 0) & (F.col(radius) < float("inf")))  # NaN is above infinity here
@@ -41,11 +94,14 @@ def radius_pairs(left: DataFrame, right: DataFrame, radius: str, position: tuple
     else:
         left, right, size = left.withColumn("_o", F.lit(0)), ok(right).withColumn("_o", F.lit(0)), F.lit(float(cell))
     place = lambda: [F.floor(F.col(p) / size) for p in position]
-    around = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate((x, y, z))]) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)])
+    around = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(d)]) for d in itertools.product((-1, 0, 1), repeat=3)])
     a_columns, b_columns = [c for c in left.columns if c != "_o"], [c for c in right.columns if c != "_o"]
-    a = left.withColumn("_d", F.explode(around)).select(F.struct(*a_columns).alias("a"), "_o", *[(c + F.col(f"_d.d{i}")).alias(f"_c{i}") for i, c in enumerate(place())])
-    b = right.select(F.struct(*b_columns).alias("b"), "_o", *[c.alias(f"_c{i}") for i, c in enumerate(place())])
-    both = a.join(b, ["_o", "_c0", "_c1", "_c2"])
+    root = [F.lit(0).alias("_l"), size.cast("double").alias("_size")]
+    a = left.withColumn("_d", F.explode(around)).select(F.struct(*a_columns).alias("a"), "_o", *[(c + F.col(f"_d.d{i}")).alias(f"_c{i}") for i, c in enumerate(place())], *root)
+    a = a.where(_reached(F.col("_l"), [F.col(f"_c{i}") for i in range(3)], F.col("_size"), F.col(f"a.{radius}"), [F.col(f"a.{p}") for p in position]))
+    b = right.select(F.struct(*b_columns).alias("b"), "_o", *[c.alias(f"_c{i}") for i, c in enumerate(place())], *root)
+    a, b, keys = _split(a, b, radius, position, most, depth)
+    both = a.drop("_size").join(b.drop("_size"), keys)
     distance = norm(*[F.col(f"b.{p}") - F.col(f"a.{p}") for p in position])
     return both.withColumn("distance", distance).where(F.col("distance") <= F.col(f"a.{radius}")).select("a", "b", "distance")
 
@@ -136,7 +192,6 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42, groups: tuple
 
 
 
-
 def seeded_order(df: DataFrame, key: str, seed: int = 42, name: str = "place") -> DataFrame:
     """Rows numbered from 0 in a seeded permutation, the same in every run; by digests, so that other engines can repeat it."""
     from .graph import dense_ids
