@@ -301,6 +301,19 @@ def test_tiles_against_the_whole_array(spark):
         tiles.box_mean(df, 1, tile=2000)
 
 
+def test_pruned_blobs_against_a_greedy_pass(spark):
+    rng = np.random.default_rng(17)
+    found = {(*(int(v) for v in rng.integers(0, 14, 3)), float(rng.choice([1.0, 1.6, 2.5]))): float(rng.integers(1, 9)) for _ in range(250)}
+    kept = []
+    for (x, y, z, s), _ in sorted(found.items(), key=lambda i: (-i[1], i[0])):
+        if all(math.dist((x, y, z), k[:3]) >= 0.4 * math.sqrt(3) * (s + k[3]) for k in kept):
+            kept.append((x, y, z, s))
+    df = spark.createDataFrame([(*k, r) for k, r in found.items()] * 2, "vx long, vy long, vz long, sigma double, response double")
+    got = volume.pruned_blobs(df, 0.4)
+    assert got.columns == df.columns and sorted(tuple(r)[:4] for r in got.collect()) == sorted(kept)
+    assert volume.pruned_blobs(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("depth", [0, 2, 8])
 def test_radius_join_in_a_crowded_cell(spark, depth):
     """A third of all points in one cell, some of them at one place; radii of two octaves."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.seg_method import Method, gmm_tail, otsu_thresholds
 from .aggregates import histogram_between
-from .graph import checkpointed
-from .spatial import bounding_boxes
+from .graph import checkpointed, dense_ids
+from .spatial import bounding_boxes, radius_pairs
 
 AXES = ("vx", "vy", "vz")
 
@@ -104,6 +105,34 @@ def blobs(voxels: DataFrame, sigmas: tuple[float, ...], least: float, value: str
     return best.select(*axes, "sigma", "response")
 
 
+def pruned_blobs(found: DataFrame, reach: float = 0.5, axes: tuple[str, ...] = AXES, most_rounds: int = 200) -> DataFrame:
+    """Blobs without those that a stronger one overlaps: the result of going through them by falling response (ties by place, then sigma) and keeping each that overlaps none kept before.
+
+    A blob's radius is sigma times the root of the number of axes; two overlap nearer than ``reach`` times the sum of their radii.  Found in rounds: what no
+    open stronger neighbour can beat stays, what it overlaps goes, and the rest is open again.  Chains of neighbours set the number of rounds.  Repeated rows count once.
+    """
+    size = math.sqrt(len(axes))
+    order = ["_weak", *axes, "sigma"]
+    ranked = dense_ids(found.dropDuplicates([*axes, "sigma"]).withColumn("_weak", -F.col("response")), order, "_nth").drop("_weak")
+    radius = F.col("sigma") * size
+    widest = ranked.agg(F.max(radius)).first()[0] or 0.0
+    place = [F.col(a).cast("double").alias(f"pos_{n}") for a, n in zip(axes, "xyz")] + [F.lit(0.0).alias(f"pos_{n}") for n in "xyz"[len(axes) :]]
+    spots = checkpointed(ranked.select("_nth", radius.alias("r"), (reach * (radius + widest)).alias("_reach"), *place))
+    pairs = radius_pairs(spots, spots, "_reach").where("a._nth < b._nth").where(F.col("distance") < reach * (F.col("a.r") + F.col("b.r")))
+    edges, open_ = checkpointed(pairs.select(F.col("a._nth").alias("u"), F.col("b._nth").alias("v"))), spots.select("_nth")
+    kept = spots.select("_nth").limit(0)
+    for _ in range(most_rounds):
+        stays = checkpointed(open_.join(edges.select(F.col("v").alias("_nth")).distinct(), "_nth", "left_anti"))
+        kept = kept.union(stays)
+        if edges.isEmpty():
+            return ranked.join(kept, "_nth", "left_semi").drop("_nth")
+        goes = checkpointed(edges.join(stays.withColumnRenamed("_nth", "u"), "u", "left_semi").select(F.col("v").alias("_nth")).distinct())
+        open_ = checkpointed(open_.join(stays, "_nth", "left_anti").join(goes, "_nth", "left_anti"))
+        u, v = open_.withColumnRenamed("_nth", "u"), open_.withColumnRenamed("_nth", "v")
+        edges = checkpointed(edges.join(u, "u", "left_semi").join(v, "v", "left_semi"))
+    raise RuntimeError(f"blobs did not settle in {most_rounds} rounds")
+
+
 def bias_corrected(voxels: DataFrame, field: DataFrame, factor: int, value: str = "value", log_field: bool = False) -> DataFrame:
     """Values divided by a coarse field (or its exponential) of blocks of ``factor`` voxels."""
     f = field.select(*[F.col(a).alias(f"_{a}") for a in AXES], F.col(value).alias("_f"))

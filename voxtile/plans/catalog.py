@@ -214,12 +214,21 @@ def group_ols_covariate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("region", "contrast", "n_a", "n_b", "nobs", F.round("tstat", 5).alias("tstat"))
 
 
-@query()
+@query(_STUDY + """, c AS (SELECT region, level, status, count(*) AS n, avg(v) AS m, coalesce(var_samp(v), 0) AS s2, avg(x) AS mx FROM d GROUP BY ALL),
+w AS (SELECT region, sum((x - mx) * (v - m)) AS sxy, sum((x - mx) * (x - mx)) AS sxx, sum((v - m) * (v - m)) AS syy, count(*) AS nobs, count(DISTINCT (level, status)) AS k, var_pop(v) * count(*) AS whole FROM d JOIN c USING (region, level, status) GROUP BY 1),
+l AS (SELECT DISTINCT level FROM d), s AS (SELECT DISTINCT status FROM d), r AS (SELECT DISTINCT region FROM d),
+t AS (SELECT r.region, a.level AS la, b.level AS lb, status FROM r CROSS JOIN l a JOIN l b ON a.level < b.level CROSS JOIN s)
+SELECT t.region, 'segment+' || la || 'vs' || lb || '+status-' || t.status AS contrast, coalesce(a.n, 0) AS n_a, coalesce(b.n, 0) AS n_b, round(a.m, 1) AS mean_a, round(b.m, 1) AS mean_b,
+CASE WHEN a.n > 1 AND b.n > 1 THEN round(((a.m - b.m) - sxy / sxx * (a.mx - b.mx)) / sqrt((syy - sxy * sxy / sxx) / (nobs - k - 1) * (1 / a.n + 1 / b.n + (a.mx - b.mx) * (a.mx - b.mx) / sxx)), 5) END AS tstat,
+CASE WHEN a.n > 1 AND b.n > 1 THEN round((a.m - b.m) / sqrt(((a.n - 1) * a.s2 + (b.n - 1) * b.s2) / (a.n + b.n - 2)), 6) END AS cohensd,
+CASE WHEN a.n > 1 AND b.n > 1 THEN nobs END AS nobs, CASE WHEN a.n > 1 AND b.n > 1 THEN round(1 - (syy - sxy * sxy / sxx) / whole, 6) END AS r2
+FROM t JOIN w ON w.region = t.region LEFT JOIN c a ON a.region = t.region AND a.level = la AND a.status = t.status LEFT JOIN c b ON b.region = t.region AND b.level = lb AND b.status = t.status""")
 def group_ols_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contrasts within strata of a model with an interaction: t, p, Cohen's d and R squared."""
+    """Contrasts within strata of a model with an interaction: t, Cohen's d and R squared; the SQL removes the covariate within cells first."""
     d = study(spark, sf_dir)
     wanted = stats.contrasts(d.select("segment", "status"), "segment", ("status",))
-    return stats.fitted_contrasts(d, ["region"], "metric ~ C(segment)*C(status) + balance", wanted)
+    out = stats.fitted_contrasts(d, ["region"], "metric ~ C(segment)*C(status) + balance", wanted)
+    return out.select("region", "contrast", "n_a", "n_b", F.round("mean_a", 1).alias("mean_a"), F.round("mean_b", 1).alias("mean_b"), F.round("tstat", 5).alias("tstat"), F.round("cohensd", 6).alias("cohensd"), "nobs", F.round("r2", 6).alias("r2"))
 
 
 @query("""WITH d AS (SELECT o_orderpriority AS region, o_totalprice AS value, c_acctbal AS balance, c_mktsegment AS segment FROM orders JOIN customer ON o_custkey = c_custkey),
@@ -619,11 +628,38 @@ def resized_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.resized(v, (31, 20), (13, 38), "top", ("vx", "vy")).select("vx", "vy", r4("top").alias("top"))
 
 
-@query()
+_SIGMAS = (1.0, 1.6, 2.56)
+
+
+def _blobs_sql() -> str:
+    """Differences of Gaussians of the event voxels, and the places where one is a maximum: f(vx, vy, sigma, response)."""
+    parts = []
+    for i, s in enumerate(_SIGMAS):
+        tap = f"(SELECT d, exp(-0.5 * pow(d / {s}, 2)) AS w FROM (SELECT unnest(range(-{round(3 * s)}, {round(3 * s) + 1})) AS d))"
+        parts.append(f""", x{i} AS (SELECT a.vx, a.vy, sum(b.top * w) / sum(w) AS top FROM e a CROSS JOIN {tap} JOIN e b ON b.vx = a.vx + d AND b.vy = a.vy GROUP BY 1, 2),
+g{i} AS (SELECT a.vx, a.vy, sum(b.top * w) / sum(w) AS top FROM e a CROSS JOIN {tap} JOIN x{i} b ON b.vy = a.vy + d AND b.vx = a.vx GROUP BY 1, 2)""")
+    levels_ = " UNION ALL ".join(f"SELECT vx, vy, {i} AS k, CAST({s} AS DOUBLE) AS sigma, (g{i}.top - g{i + 1}.top) * {s} AS response FROM g{i} JOIN g{i + 1} USING (vx, vy)" for i, s in enumerate(_SIGMAS[:-1]))
+    return _EVENT_VOXELS + "".join(parts) + f""", c AS ({levels_}),
+f AS (SELECT vx, vy, sigma, response FROM c a WHERE response > 1 AND NOT EXISTS (SELECT 1 FROM c b WHERE abs(b.vx - a.vx) <= 1 AND abs(b.vy - a.vy) <= 1 AND abs(b.k - a.k) <= 1 AND b.response > a.response))"""
+
+
+def _blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return volume.blobs(_event_voxels(spark, sf_dir).select("vx", "vy", "top"), _SIGMAS, 1.0, "top", ("vx", "vy"))
+
+
+@query(_blobs_sql() + " SELECT vx, vy, sigma, round(response, 6) AS response FROM f")
 def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bright spots of an image at three scales by differences of Gaussians."""
-    v = _event_voxels(spark, sf_dir).select("vx", "vy", "top")
-    return volume.blobs(v, (1.0, 1.6, 2.56), 1.0, "top", ("vx", "vy")).select("vx", "vy", "sigma", F.round("response", 6).alias("response"))
+    return _blobs(spark, sf_dir).select("vx", "vy", "sigma", F.round("response", 6).alias("response"))
+
+
+@query(_blobs_sql().replace("WITH", "WITH RECURSIVE", 1) + """, n AS (SELECT *, row_number() OVER (ORDER BY response DESC, vx, vy, sigma) AS i FROM f),
+p AS (SELECT 0::BIGINT AS i, [{'vx': -1000::BIGINT, 'vy': 0::BIGINT, 'sigma': 0::DOUBLE}] AS kept UNION ALL
+SELECT n.i, CASE WHEN len(list_filter(kept, lambda k: sqrt((k.vx - n.vx) * (k.vx - n.vx) + (k.vy - n.vy) * (k.vy - n.vy)) < 0.75 * sqrt(2) * (k.sigma + n.sigma))) = 0 THEN list_append(kept, {'vx': n.vx, 'vy': n.vy, 'sigma': n.sigma}) ELSE kept END FROM p JOIN n ON n.i = p.i + 1)
+SELECT k.vx, k.vy, k.sigma FROM (SELECT unnest(kept) AS k FROM p WHERE i = (SELECT max(i) FROM p)) WHERE k.vx > -1000""")
+def blobs_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bright spots without those that a stronger one overlaps; the SQL goes through them one by one."""
+    return volume.pruned_blobs(_blobs(spark, sf_dir), 0.75, ("vx", "vy")).select("vx", "vy", "sigma")
 
 
 @query(_EVENT_VOXELS + "SELECT vx, vy, CASE WHEN (vx + vy) % 3 = 0 THEN round(value, 4) ELSE 0 END AS value FROM e")
