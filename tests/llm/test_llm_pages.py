@@ -52,6 +52,53 @@ def test_pages_of_other_makes(chain, page):
     assert html_crf.main_text(chain, f"<html><body>{page}</body></html>").split("\n") == ["Title", *LINES]
 
 
+@pytest.mark.parametrize(
+    "part, lines",
+    [
+        ('<h2 id="search-strategy">How we searched</h2><p>We looked at all of it.</p>', ["How we searched", "We looked at all of it."]),
+        ('<p class="lead share">The first paragraph, which says it all.</p>', ["The first paragraph, which says it all."]),
+        ('<section class="related-work"><h2>Related work</h2><p>Others have looked at this before us.</p></section>', ["Related work", "Others have looked at this before us."]),
+        ('<div class="header"><h1>A title in a box</h1></div>', ["A title in a box"]),
+        ('<div class="post-header"><h1>A title in a box</h1></div>', ["A title in a box"]),
+        ('<h3 class="footer-design">On the design of bridges</h3>', ["On the design of bridges"]),
+        ('<ul class="contact-tracing"><li>First we asked who met whom.</li></ul>', ["First we asked who met whom."]),
+        ('<div class="ad">Buy now</div><aside><h3>More</h3><ul><li><a href="/x">Other text</a></li></ul></aside>', []),
+        ('<div class="newsletter-signup-form"><p>Get our letter every week.</p><input><button>Go</button></div>', []),
+    ],
+)
+def test_parts_of_an_article_with_misleading_names(chain, part, lines):
+    page = f"<html><body>{NAV}<article>{part}{TEXT}</article>{FOOT}</body></html>"
+    assert html_crf.main_text(chain, page).split("\n") == [*lines, *LINES]
+
+
+@pytest.mark.parametrize("last", ["Copyright 2024", "© 2024 The paper", "(c) 2019 A site", "Some Site. All rights reserved."])
+def test_plain_pages_with_a_last_line(chain, last):
+    assert html_crf.main_text(chain, f"<html><body>{NAV}<h1>Title</h1>{TEXT}<p>{last}</p></body></html>").split("\n") == ["Title", *LINES]
+
+
+@pytest.mark.parametrize("name", ["prose", "markdown-body", "story-body"])
+def test_names_learned_beside_the_lists(chain, name):
+    page = f'{NAV}<div class="{name}"><h1>Title</h1>{TEXT}</div><div class="outbrain"><p>You may also like this one.</p></div>{FOOT}'
+    assert html_crf.main_text(chain, f"<html><body>{page}</body></html>").split("\n") == ["Title", *LINES]
+
+
+def test_given_pages_against_their_articles(chain, sf):
+    """The pages of the tables have one article each: its text, cut at block tags by a plain pattern, is what has to come out."""
+    import html
+    import re
+
+    duckdb = pytest.importorskip("duckdb")
+    pages = duckdb.sql(f"select html from '{sf}/pages.parquet' where html is not null").fetchall()
+    assert pages
+    for (page,) in pages:
+        body = re.search(r"<article>(.*?)</article>", page, re.S)
+        if body is None or re.search(r"<(?!/?(?:h[1-6]|p|b|i|br|a|em|strong|ul|li)\b)", body[1]):
+            continue
+        cut = re.split(r"</?(?:h[1-6]|p|ul|li)\b[^>]*>", body[1])
+        want = [" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0].startswith("<br") else "", x)).split()) for x in cut]
+        assert html_crf.main_text(chain, page).split("\n") == [x for x in want if x]
+
+
 def test_side_text_larger_than_the_article(chain):
     page = f'{NAV}<article><h1>Title</h1><p>Short but whole text of the article.</p></article><div class="sidebar">{TEXT * 5}</div>'
     assert html_crf.main_text(chain, page) == "Title\nShort but whole text of the article."

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,13 @@ ZONE_WORDS = {
     "form": "form login signin signup search searchbox contact",
     "main": "article content main post entry story body text",
 }
+#: Words that may stand beside a zone's in a class name ("site-nav", "cookie-box"); beside any other word ("related-work") the zone is only a hint.
+PLAIN_WORDS = frozenset(
+    "site page post main box wrap wrapper container block area left right top bottom inner outer list links item items section module col column row primary secondary global local x with view region "
+    "panel group bar zone slot unit the my mobile desktop sticky fixed inline text content article head foot header footer card form modal".split()
+)
+#: Elements that hold text of their own: what their class names is a hint, too, never a zone.
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p li td th dt dd caption figcaption blockquote pre summary legend label span a b i em strong small".split())
 #: Zones that a class may name though the element holds the whole article: see ``without_wrappers``.
 SOFT_ZONES = frozenset(("notice", "nav", "footer", "side", "header", "form"))
 _ZONE_OF = {word: zone for zone, words in reversed(ZONE_WORDS.items()) for word in words.split()}
@@ -76,25 +84,41 @@ def paired_ends(page: str, tag: str) -> dict[int, int]:
     return out
 
 
-def zone(tag: str, attributes: str) -> str | None:
-    """The part of a page that an element stands for, from its name or its class, id and role."""
-    found = []
-    if attributes:
-        for m in _NAMES.finditer(attributes):
-            found += [z for w in _WORD.findall(m[1]) if (z := _ZONE_OF.get(w.lower()))]
-    best = min(found, key=_RANK.get, default=None)
+def class_words(attributes: str) -> list[list[str]]:
+    """Words of each name in class, id and role, in lower case."""
+    if not attributes:
+        return []
+    return [[w.lower() for w in _WORD.findall(name)] for m in _NAMES.finditer(attributes) for name in m[1].strip("\"'").split()]
+
+
+def zone(tag: str, names: list[list[str]]) -> tuple[str | None, str | None]:
+    """The part of a page that an element stands for by its name or the words of its class, id and role, and the part that these only hint at."""
+    sure, hints = [], []
+    for words in names:
+        found = [_ZONE_OF[w] for w in words if w in _ZONE_OF]
+        plain = tag not in TEXT_TAGS and all(w in _ZONE_OF or w in PLAIN_WORDS for w in words)
+        (sure if plain else hints).extend(found)
+    best, hint = (min(x, key=_RANK.get, default=None) for x in (sure, hints))
     if tag in ("html", "body"):
-        return None
+        return None, None
     if tag in ("article", "main"):  # an article says itself what it is, but for a reader's comment or an advert
-        return best if best in ("comment", "ad") else "main"
-    return best if best and (best != "main" or tag not in ZONE_TAGS) else ZONE_TAGS.get(tag, best)
+        return best if best in ("comment", "ad") else "main", None
+    return best if best and (best != "main" or tag not in ZONE_TAGS) else ZONE_TAGS.get(tag, best), hint
 
 
 class Block:
-    __slots__ = ("text", "tags", "zones", "linked", "elements")
+    """A run of text: its open elements, their zones and hints, the words of their classes from the innermost on, characters in links, and its place from both ends."""
 
-    def __init__(self, text: str, tags: list[str], zones: list[str], linked: int, elements: list[tuple[int, str, bool]]):
-        self.text, self.tags, self.zones, self.linked, self.elements = text, tags, zones, linked, elements
+    __slots__ = ("text", "tags", "zones", "linked", "elements", "hints", "words", "own_hint", "place")
+
+    def __init__(self, text: str, linked: int, stack: list[tuple]):
+        self.text, self.linked, self.place = text, linked, (9, 9)
+        self.tags = [x[0] for x in stack]
+        self.elements = [(i, z, c) for _, z, i, c, _, _ in stack if z]
+        self.zones = [z for _, z, _ in self.elements]
+        self.hints = {h for t, _, _, _, h, _ in stack if h and t not in TEXT_TAGS}
+        self.own_hint = next((h for t, _, _, _, h, _ in reversed(stack) if h and t in TEXT_TAGS), None)
+        self.words = [(i, n) for _, _, i, _, _, n in reversed(stack) if n][:3]
 
 
 def without_wrappers(blocks: list[Block]) -> list[Block]:
@@ -111,6 +135,7 @@ def without_wrappers(blocks: list[Block]) -> list[Block]:
         wrappers = {e for e in soft if 2 * size[e] >= whole and 10 * linked[e] <= 3 * size[e] and within[e] == main}
         for b in blocks if wrappers else []:
             b.zones = [z for e, z, _ in b.elements if e not in wrappers]
+            b.words = [(e, n) for e, n in b.words if e not in wrappers]
     return blocks
 
 
@@ -122,7 +147,7 @@ def leaf_blocks(page: str) -> list[Block]:
     unclosed hidden elements end at their own tag, but for scripts and styles.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str | None, int, bool]] = []
+    stack: list[tuple[str, str | None, int, bool, str | None, list[str]]] = []
     parts: list[str] = []
     linked = at = anchors = opened = 0
     pairs: dict[str, dict[int, int]] = {}
@@ -142,8 +167,7 @@ def leaf_blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                elements = [(i, z, c) for _, z, i, c in stack if z]
-                out.append(Block(text, [t for t, *_ in stack], [z for _, z, _ in elements], linked, elements))
+                out.append(Block(text, linked, stack))
             linked = 0
 
     end = len(page)
@@ -200,26 +224,35 @@ def leaf_blocks(page: str) -> list[Block]:
                 if stack[i][0] in ("table", "ul", "ol", "div", "article", "section", "main", "body", "blockquote", "form"):
                     break
         if not attributes.endswith("/") or tag in BLOCK_TAGS:
-            own = zone(tag, attributes)
-            if tag == "header" and any(x[1] == "main" for x in stack):
-                own = "title"  # an article's own header has its title
+            names = class_words(attributes)
+            own, hint = zone(tag, names)
+            if "header" in (own, hint) and any(x[1] == "main" for x in stack):
+                own, hint = "title", None  # an article's own header has its title
             opened += 1
-            stack.append((tag, own, opened, own is not None and tag not in ZONE_TAGS))
+            stack.append((tag, own, opened, own is not None and tag not in ZONE_TAGS, hint, [w for n in names for w in n]))
             anchors += tag == "a"
     flush()
+    for i, b in enumerate(out):
+        b.place = (i, len(out) - 1 - i)
     return without_wrappers(out)
 
 
+#: Buckets of the words of classes, for each of the innermost three elements that have any.
+WORD_BUCKETS = 1024
+
 FEATURES = [
     "bias", "in article", "in main", "in section", "in table", "in list", "in figure", "own p", "own li", "own heading", "own cell", "own quote", "own div", "own body", "own inline",
-    *(f"last zone {z}" for z in [*ZONE_WORDS, "title", "none"]), *(f"any zone {z}" for z in [*ZONE_WORDS, "title"]),
-    "short", "medium", "long", "very long", "no links", "some links", "half links", "all links", "sentence end", "copyright", "main inside other zone",
+    *(f"last zone {z}" for z in [*ZONE_WORDS, "title", "none"]), *(f"any zone {z}" for z in [*ZONE_WORDS, "title"]), *(f"hint {z}" for z in ZONE_WORDS), *(f"own hint {z}" for z in ZONE_WORDS),
+    *(f"hint {z} in main" for z in ZONE_WORDS),
+    "short", "medium", "long", "very long", "no links", "some links", "half links", "all links", "sentence end", "copyright in main", "copyright at the end", "copyright elsewhere", "main inside other zone", "only main", "only main, no other name", "first", "last", "near the end",
+    *(f"word {i} at {d}" for d in range(3) for i in range(WORD_BUCKETS)),
 ]
 _AT = {name: i for i, name in enumerate(FEATURES)}
+_RIGHTS = re.compile(r"©|\(c\) *\d{4}|^copyright\b.{0,20}\d{4}|\ball rights reserved\b", re.I)
 
 
 def features(block: Block) -> list[int]:
-    """Numbers of the features that hold for a block: its ancestors, their zones, its length, links and punctuation."""
+    """Numbers of the features that hold for a block: its ancestors, their zones and the words of their classes, its length, links, punctuation and place."""
     tags, zones = set(block.tags), block.zones
     on = ["bias", *(f"in {t}" for t in ("article", "main", "section", "table", "figure") if t in tags)]
     if "ul" in tags or "ol" in tags:
@@ -229,6 +262,15 @@ def features(block: Block) -> list[int]:
     on.append("own heading" if re.fullmatch("h[1-6]", own) else f"own {kind.get(own, 'inline')}")
     on.append(f"last zone {zones[-1] if zones else 'none'}")
     on += [f"any zone {z}" for z in set(zones)]
+    on += [f"hint {z}" for z in block.hints]
+    if "main" in zones:
+        on += [f"hint {z} in main" for z in block.hints]
+    if block.own_hint:
+        on.append(f"own hint {block.own_hint}")
+    if zones and set(zones) <= {"main", "title"}:
+        on.append("only main")
+        if not block.words or block.words[0][0] <= block.elements[-1][0]:
+            on.append("only main, no other name")
     if zones and zones[-1] == "main" and len(set(zones)) > 1:
         on.append("main inside other zone")
     n = len(block.text)
@@ -237,12 +279,25 @@ def features(block: Block) -> list[int]:
     on.append("no links" if share == 0 else "some links" if share < 0.34 else "half links" if share < 0.75 else "all links")
     if block.text[-1] in ".!?:;\"'”»…":
         on.append("sentence end")
-    if "©" in block.text:
-        on.append("copyright")
-    return [_AT[x] for x in on]
+    before, after = block.place
+    if n < 200 and _RIGHTS.search(block.text):
+        on.append("copyright in main" if "main" in zones else "copyright at the end" if after < 3 else "copyright elsewhere")
+    on += [name for name, holds in (("first", before == 0), ("last", after == 0), ("near the end", after < 3)) if holds]
+    out = [_AT[x] for x in on]
+    for d, (_, words) in enumerate(block.words):
+        out += {_AT[f"word {crc32(w.encode()) % WORD_BUCKETS} at {d}"] for w in words}
+    return out
+
+
+#: Names of parts of pages that training pages use besides the words of the zones, of the article and of anything.
+OTHER_NAMES = {
+    "nav": "megamenu drawer sitemap pages jump skiplinks", "header": "brand topnav hero-strip skyline", "footer": "legal imprint credits bottomline", "side": "teaser popular trending latest more-stories outbrain authorbox",
+    "ad": "adslot dfp taboola sky leaderboard", "notice": "privacy-note toast optin paybar", "form": "subscribe-box mailing survey poll", "comment": "feedback guestbook thread-list",
+}
+ARTICLE_NAMES = "prose story-body richtext markdown-body entry-content article-text post-body longread body-copy lead intro chapter".split()
 
 
-def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[bool]]]:
+def labelled_pages(number: int = 600, seed: int = 5) -> list[tuple[str, list[bool]]]:
     """Training pages of our own making, with the label of each leaf block (true: main text).
 
     Layouts mix semantic and plain elements, and put notices, adverts, forms and reader comments before, after and inside the article.
@@ -265,8 +320,9 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
             tag = {"nav": "nav", "header": "header", "footer": "footer", "side": "aside", "form": "form"}.get(kind, "div")
             plain = rng.random() < 0.4 or kind in ("ad", "comment", "notice")
             if plain:
-                names = ZONE_WORDS[kind].split()
-                tag, attributes = rng.choice(["div", "section", "div"]), f' {rng.choice(["class", "id"])}="{rng.choice(["", "site-", "page-", "x-"])}{rng.choice(names)}"'
+                names, other = ZONE_WORDS[kind].split(), rng.random()
+                name = f"{rng.choice(['', 'site-', 'page-', 'x-'])}{rng.choice(names)}" if other < 0.65 else f"{rng.choice(names)}-{word()}" if other < 0.8 else rng.choice(OTHER_NAMES[kind].split())
+                tag, attributes = rng.choice(["div", "section", "div"]), f' {rng.choice(["class", "id"])}="{name}"'
             else:
                 attributes = ""
             if kind in ("nav", "side") and rng.random() < 0.8:
@@ -285,20 +341,33 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
                     return f"<{tag}{attributes}>{words(2, 25)}{rng.choice(['.', ''])}</{tag}>"
             return f"<{tag}{attributes}>{body}</{tag}>"
 
+        def named(zones: list[str]) -> str:
+            """A name as authors give parts of an article, with words that also stand for other parts of a page."""
+            part = rng.choice(ZONE_WORDS[rng.choice(zones)].split())
+            return rng.choice([f"{part}-{word()}", f"{word()}-{part}", f"{word()} {part}", word()])
+
+        soft = sorted(SOFT_ZONES)
+
         def main() -> str:
-            body = leaf("h1", words(1, 12), True) if rng.random() < 0.8 else ""
-            headed = body and rng.random() < 0.25
+            body = leaf("h1", words(1, 12), True, f' class="{named(soft)}"' if rng.random() < 0.15 else "") if rng.random() < 0.8 else ""
+            headed = body and rng.random() < 0.3
             if headed:
-                body = f"<header>{body}{leaf('p', words(2, 12), True) if rng.random() < 0.3 else ''}</header>"
+                body += leaf("p", words(2, 12), True) if rng.random() < 0.3 else ""
+                body = f"<header>{body}</header>" if rng.random() < 0.5 else f'<div class="{rng.choice(["header", "post-header", "article-header", "entry-header", "page-header"])}">{body}</div>'
             for _ in range(rng.randint(1, 12)):
                 r = rng.random()
-                if r < 0.65:
-                    text = words(1, 90) + rng.choice([".", ".", ".", " |", "", "!", ":"])
+                if r < 0.60:
+                    text = words(1, 90 if rng.random() < 0.8 else 4) + rng.choice([".", ".", ".", " |", "", "!", ":"])
                     if rng.random() < 0.2:
                         text = f'{words(1, 20)} <a href="#">{words(1, 5)}</a> {text}'
-                    body += leaf("p", text, True)
+                    body += leaf("p", text, True, f' class="{rng.choice(["lead", "intro", named(soft), named(soft)])}"' if rng.random() < 0.12 else "")
+                elif r < 0.65:
+                    part = leaf("h2", words(1, 6), True) + "".join(leaf("p", words(4, 60) + ".", True) for _ in range(rng.randint(1, 3)))
+                    body += f'<{(tag := rng.choice(["section", "section", "div"]))} {rng.choice(["class", "id"])}="{named(soft)}">{part}</{tag}>'
+                elif r < 0.67:
+                    body += leaf("p", rng.choice(["All rights reserved.", f"Copyright 2020 {words(1, 3)}", f"© {words(1, 3)}", f"{words(2, 9)} (c) 1999"]), True)
                 elif r < 0.73:
-                    body += leaf(rng.choice(["h2", "h3"]), words(1, 8), True)
+                    body += leaf(rng.choice(["h2", "h3"]), words(1, 8), True, f' {rng.choice(["id", "class"])}="{named(soft)}"' if rng.random() < 0.3 else "")
                 elif r < 0.80:
                     body += "<ul>" + "".join(leaf("li", words(1, 20), True) for _ in range(rng.randint(1, 4))) + "</ul>"
                 elif r < 0.84:
@@ -309,13 +378,13 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
                     body += boiler(rng.choice(["ad", "side", "form", "notice", "ad"]))
             if rng.random() < 0.25:
                 body += boiler("comment")
-            style = 0.0 if headed else rng.random()
+            style = rng.random() * (0.6 if headed else 1)  # only an article's own header is known from the site's
             if style < 0.45:
                 return f"<article{rng.choice(['', '', '', ' class=with-sidebar'])}>{body}</article>"
             if style < 0.6:
                 return f"<main>{body}</main>"
             if style < 0.9:
-                return f'<div {rng.choice(["class", "id"])}="{rng.choice(["", "post-", "entry-", "page-"])}{rng.choice(["content", "article", "body", "main", "text"])}">{body}</div>'
+                return f'<div {rng.choice(["class", "id"])}="{rng.choice(["", "post-", "entry-", "page-"])}{rng.choice(["content", "article", "body", "main", "text"])}">{body}</div>' if rng.random() < 0.7 else f'<div class="{rng.choice(ARTICLE_NAMES)}">{body}</div>'
             return f"<div>{body}</div>" if rng.random() < 0.5 else body
 
         before = [boiler(k) for k in rng.sample(["nav", "header", "notice", "ad", "form", "side"], rng.randint(0, 4))]
@@ -323,6 +392,9 @@ def labelled_pages(number: int = 400, seed: int = 5) -> list[tuple[str, list[boo
         if rng.random() < 0.1:  # names that mislead
             middle = f'<div class="{rng.choice([x for z in sorted(SOFT_ZONES) for x in ZONE_WORDS[z].split()])}">{middle}</div>'
         after = [boiler(k) for k in rng.sample(["side", "comment", "ad", "form", "footer", "nav", "footer"], rng.randint(0, 4))]
+        if rng.random() < 0.15:  # a last line without a footer
+            year = rng.randint(1996, 2030)
+            after.append(leaf(rng.choice(["p", "div"]), rng.choice([f"Copyright {year} {words(1, 4)}", f"© {year}", f"(c) {year} {words(1, 3)}", f"Copyright © {year}", f"{words(1, 3)} All rights reserved."]), False))
         pages.append((f"<html><head><title>{word()}</title></head><body>{''.join(before)}{middle}{''.join(after)}</body></html>", labels))
     return pages
 
@@ -377,23 +449,25 @@ def fit(pages: list[tuple[str, list[bool]]], rounds: int = 150, rate: float = 0.
     chains = [([features(b) for b in leaf_blocks(page)], labels) for page, labels in pages]
     chains = [(f, y) for f, y in chains if len(f) == len(y) and f]
     n, longest = len(chains), max(len(f) for f, _ in chains)
-    x = np.zeros((n, longest, len(FEATURES)))
     y = np.zeros((n, longest), int)
     mask = np.zeros((n, longest), bool)
+    places, columns = [], []
     for i, (f, labels) in enumerate(chains):
         for k, on in enumerate(f):
-            x[i, k, on] = 1
+            places += [i * longest + k] * len(on)
+            columns += on
         y[i, : len(f)], mask[i, : len(f)] = labels, True
+    place, column = np.array(places), np.array(columns)
     one = np.eye(2)[y] * mask[..., None]
     w, t, s = np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.zeros(2)
     memory = [np.full_like(v, 1e-8) for v in (w, t, s)]
-    flat = x.reshape(-1, len(FEATURES))
     pairs = mask[:, 1:, None, None] * np.einsum("nka,nkb->nkab", one[:, :-1], one[:, 1:])
+    both = lambda at, values, size: np.stack([np.bincount(at, weights=values[:, k], minlength=size) for k in (0, 1)], axis=1)
     for _ in range(rounds):
-        score = (flat @ w).reshape(n, longest, 2)
+        score = both(place, w[column], n * longest).reshape(n, longest, 2)
         score[:, 0] += s
         node, joint, _ = marginals(score, t, mask)
-        steps = [(flat.T @ (one - node).reshape(-1, 2)) / n - decay * w, (pairs - joint).sum(axis=(0, 1)) / n - decay * t, (one - node)[:, 0].sum(axis=0) / n]
+        steps = [both(column, (one - node).reshape(-1, 2)[place], len(FEATURES)) / n - decay * w, (pairs - joint).sum(axis=(0, 1)) / n - decay * t, (one - node)[:, 0].sum(axis=0) / n]
         for v, g, m in zip((w, t, s), steps, memory):
             m += g * g
             v += rate * g / np.sqrt(m)
