@@ -216,6 +216,32 @@ def test_levels(spark):
         levels.raised(fine, 0)
 
 
+def test_boxes_that_are_too_large(spark):
+    v = spark.createDataFrame([(x, 0, 0, x // 70, float(x)) for x in range(300)], "vx long, vy long, vz long, index long, value double")
+    boxes = volume.region_boxes(v.where("index < 4 or vx < 290"), margin=0, most=60)
+    assert {r["index"]: (r["fits"], r["cx"]) for r in boxes.collect()} == {1: (False, 105), 2: (False, 175), 3: (False, 245), 4: (True, 285)}
+    got = volume.box_crops(v.drop("index"), boxes).collect()
+    assert sorted((r["index"], r["vx"], r["value"]) for r in got) == [(4, i, 280.0 + i) for i in range(10)]
+    with pytest.raises(ValueError, match="too large"):
+        volume.box_crops(v, boxes, strict=True)
+
+
+def test_cohort_guards(spark, tmp_path):
+    path = f"{tmp_path}/participants.tsv"
+    with pytest.raises(FileNotFoundError):
+        tables.read_cohort(spark, path)
+    for text, error in (("name\tage\na\t1\n", "participant_id"), ("participant_id\tage\na\t1\n", "group"), ("participant_id\tgroup\na\tx\na\ty\n", "more than once: a")):
+        with open(path, "w") as f:
+            f.write(text)
+        with pytest.raises(ValueError, match=error):
+            tables.read_cohort(spark, path, ["group"])
+    with open(path, "w") as f:
+        f.write("participant_id\tgroup\nsub-a\tx\nb\ty\n")
+    cohort = tables.read_cohort(spark, path, ["group"])
+    other = spark.createDataFrame([("a",), ("sub-a",), (None,)], "participant_id string")
+    assert [r["group"] for r in regions.of_subjects(cohort, other).collect()] == ["x"] and regions.of_subjects(other, cohort).count() == 2
+
+
 def topology(points):
     """Objects, and the Euler number of the solid of voxels."""
     points, left, objects = set(points), set(points), 0

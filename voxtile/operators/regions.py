@@ -167,3 +167,10 @@ def top_n(df: DataFrame, metric: str, n: int = 20, groups: tuple[str, ...] = (),
     if not groups:
         return good.orderBy(*order).limit(n)
     return good.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col("rank") <= n)
+
+
+def of_subjects(df: DataFrame, others: DataFrame, key: str = "participant_id") -> DataFrame:
+    """Rows of the subjects that another table has, each once; subjects compare without a ``sub-`` prefix, and a NULL one is never among them."""
+    bare = lambda: F.regexp_replace(F.col(f"`{key}`").cast("string"), "^sub-", "")
+    known = others.select(bare().alias("_subject")).where("_subject is not null").distinct()
+    return df.withColumn("_subject", bare()).join(known, "_subject", "left_semi").drop("_subject")

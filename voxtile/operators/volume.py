@@ -52,6 +52,50 @@ def crops(voxels: DataFrame, centers: DataFrame, size: tuple[int, int, int]) ->
     return both.select("patch_id", *[(F.col(a) - F.col(k) + n // 2).alias(a) for a, k, n in axes], *[x for x in voxels.columns if x not in AXES])
 
 
+#: Voxels along an axis that a crop by a box may have, and a block of the join of boxes and voxels.
+MOST_EXTENT, BOX_BLOCK = 5_000, 64
+
+
+def region_boxes(labels: DataFrame, label: str = "index", margin: int = 0, most: int = MOST_EXTENT) -> DataFrame:
+    """Box (min_ and max_ of x, y, z, ``margin`` added) of each label's voxels but the background's, its centre (cx, cy, cz), and whether it ``fits``: no side has more than ``most`` voxels."""
+    boxes = bounding_boxes(labels.where(F.col(label) > 0).withColumnRenamed(label, "label"))
+    ends = {f"{n}_{a}": F.col(f"{n}_{a}") + (margin if n == "max" else -margin) for n in ("min", "max") for a in "xyz"}
+    out = boxes.select(F.col("label").alias(label), *[c.alias(k) for k, c in ends.items()])
+    fits = F.lit(True)
+    for a in "xyz":
+        fits = fits & (F.col(f"max_{a}") - F.col(f"min_{a}") + 1 <= most)
+    return out.withColumns({f"c{a}": F.floor((F.col(f"min_{a}") + F.col(f"max_{a}") + 1) / 2) for a in "xyz"}).withColumn("fits", fits)
+
+
+def box_crops(voxels: DataFrame, boxes: DataFrame, label: str = "index", strict: bool = False) -> DataFrame:
+    """label, local voxel and values of the voxels within each box of ``region_boxes`` that fits; boxes may overlap.  ValueError if ``strict`` and a box is too large.
+
+    Voxels and boxes meet by blocks, so the join has an equality, and a large box is shared by many tasks.
+    """
+    if strict and not (large := boxes.where("not fits").select(label).limit(5)).isEmpty():
+        raise ValueError(f"boxes that are too large: {', '.join(str(r[0]) for r in large.collect())}")
+    covered = boxes.where("fits")
+    for a in "xyz":
+        covered = covered.withColumn(f"_b{a}", F.explode(F.sequence(F.floor(F.col(f"min_{a}") / BOX_BLOCK), F.floor(F.col(f"max_{a}") / BOX_BLOCK))))
+    keyed = voxels.withColumns({f"_b{a}": F.floor(F.col(f"v{a}") / BOX_BLOCK) for a in "xyz"})
+    both = keyed.join(covered.select(F.col(label).alias("_label"), *[f"{n}_{a}" for n in ("min", "max") for a in "xyz"], *[f"_b{a}" for a in "xyz"]), [f"_b{a}" for a in "xyz"])
+    for a in "xyz":
+        both = both.where(F.col(f"v{a}").between(F.col(f"min_{a}"), F.col(f"max_{a}")))
+    return both.select(F.col("_label").alias(label), *[(F.col(f"v{a}") - F.col(f"min_{a}")).alias(f"v{a}") for a in "xyz"], *[F.col(f"`{c}`") for c in voxels.columns if c not in (*AXES, label)])
+
+
+def overview(voxels: DataFrame, shape: tuple[int, int, int], number: int = 5, low: float = 0.2, high: float = 0.8, value: str = "value") -> DataFrame:
+    """axis, slice, u, v, value: ``number`` slices at even places of the middle part of each axis, and the maximum along it as slice -1; u and v are the other two axes in order."""
+    parts = []
+    for axis, n in zip(AXES, shape):
+        u, v = (a for a in AXES if a != axis)
+        places = np.linspace(int(n * low), max(int(n * high) - 1, 0), number, dtype=int).tolist()
+        at = F.explode(F.filter(F.array(*[F.when(F.col(axis) == p, F.lit(i)) for i, p in enumerate(places)], F.lit(-1)), lambda x: x.isNotNull()))
+        parts.append(voxels.select(F.lit(axis).alias("axis"), at.alias("_nth"), F.array(*[F.lit(p) for p in [*places, -1]]).alias("_p"), F.col(u).alias("u"), F.col(v).alias("v"), F.col(value).alias("value")))
+    every = parts[0].union(parts[1]).union(parts[2]).withColumn("slice", F.when(F.col("_nth") < 0, F.lit(-1)).otherwise(F.element_at("_p", F.col("_nth") + 1)))
+    return every.groupBy("axis", "slice", "u", "v").agg(F.max("value").alias("value"))
+
+
 def cleaned(components: DataFrame, least_extent: float = 0.15) -> DataFrame:
     """Voxels of the components that fill at least such a share of their box."""
     good = bounding_boxes(components).where(F.col("extent") >= least_extent).select("label")

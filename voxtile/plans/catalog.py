@@ -662,6 +662,63 @@ def blobs_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume.pruned_blobs(_blobs(spark, sf_dir), 0.75, ("vx", "vy")).select("vx", "vy", "sigma")
 
 
+_LABELLED = "SELECT CAST(l_partkey % 60 AS BIGINT) AS vx, CAST(l_suppkey % 50 AS BIGINT) AS vy, CAST(l_orderkey // 100 AS BIGINT) AS vz, max(l_quantity) AS value, CAST(min(l_orderkey % 9 + CASE WHEN l_partkey % 60 < 30 THEN 0 ELSE 3 END) AS BIGINT) AS \"index\" FROM lineitem GROUP BY 1, 2, 3"
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Voxels of line items with a value and a label; the volume grows along z with the orders."""
+    items = table(spark, sf_dir, "lineitem")
+    place = {"vx": F.col("l_partkey") % 60, "vy": F.col("l_suppkey") % 50, "vz": F.expr("l_orderkey div 100")}
+    label = F.col("l_orderkey") % 9 + F.when(F.col("l_partkey") % 60 < 30, 0).otherwise(3)
+    return items.groupBy(*[c.cast("long").alias(a) for a, c in place.items()]).agg(F.max("l_quantity").alias("value"), F.min(label).cast("long").alias("index"))
+
+
+@query(f"""WITH v AS ({_LABELLED}), s AS (SELECT * FROM v WHERE "index" IN (0, 2, 11) AND vz BETWEEN 3 AND 20 OR "index" = 5),
+b AS (SELECT "index" AS i, min(vx) - 1 AS x0, max(vx) + 1 AS x1, min(vy) - 1 AS y0, max(vy) + 1 AS y1, min(vz) - 1 AS z0, max(vz) + 1 AS z1 FROM s WHERE "index" > 0 GROUP BY 1)
+SELECT i AS "index", vx - x0 AS vx, vy - y0 AS vy, vz - z0 AS vz, value FROM v JOIN b ON vx BETWEEN x0 AND x1 AND vy BETWEEN y0 AND y1 AND vz BETWEEN z0 AND z1 WHERE x1 - x0 < 60 + 2 AND z1 - z0 < 40""")
+def region_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An image cut to the box of each region; boxes with too long a side are left out."""
+    v = _labelled(spark, sf_dir)
+    some = v.where("(`index` in (0, 2, 11) and vz between 3 and 20) or `index` = 5")
+    boxes = volume.region_boxes(some, margin=1, most=62).where("max_z - min_z < 40")
+    return volume.box_crops(v.drop("index"), boxes).select("index", *volume.AXES, "value")
+
+
+@query(f"""WITH v AS ({_LABELLED}), b AS (SELECT "index" AS i, (min(vx) + max(vx) + 1) // 2 AS cx, (min(vy) + max(vy) + 1) // 2 AS cy, (min(vz) + max(vz) + 1) // 2 AS cz FROM v WHERE "index" > 0 GROUP BY 1)
+SELECT i AS "index", vx - cx + 8 AS vx, vy - cy + 8 AS vy, value FROM v JOIN b ON vx BETWEEN cx - 8 AND cx + 7 AND vy BETWEEN cy - 8 AND cy + 7 AND vz = cz""")
+def roi_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A square of the middle slice around the centre of each region's box."""
+    v = _labelled(spark, sf_dir)
+    centres = volume.region_boxes(v).select(F.col("index").alias("patch_id"), "cx", "cy", "cz")
+    return volume.crops(v.drop("index"), centres, (16, 16, 1)).select(F.col("patch_id").alias("index"), "vx", "vy", "value")
+
+
+@query(f"""WITH v AS ({_LABELLED}), n AS (SELECT max(vz) + 1 AS n FROM v), p AS (SELECT i, CAST(floor(12 + i * 35 / 4) AS BIGINT) AS px, CAST(floor(10 + i * 29 / 4) AS BIGINT) AS py, CAST(floor(floor(n / 5) + i * (floor(n * 4 / 5) - 1 - floor(n / 5)) / 4) AS BIGINT) AS pz FROM n, (SELECT unnest(range(5)) AS i)),
+a AS (SELECT 'vx' AS axis, px AS slice, vy AS u, vz AS v, value FROM v JOIN p ON vx = px UNION ALL SELECT 'vy', py, vx, vz, value FROM v JOIN p ON vy = py UNION ALL SELECT 'vz', pz, vx, vy, value FROM v JOIN p ON vz = pz
+UNION ALL SELECT 'vx', -1, vy, vz, value FROM v UNION ALL SELECT 'vy', -1, vx, vz, value FROM v UNION ALL SELECT 'vz', -1, vx, vy, value FROM v)
+SELECT axis, CAST(slice AS INTEGER) AS slice, u, v, max(value) AS value FROM a GROUP BY ALL""")
+def overview_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five slices across each axis of a volume, and its maximum along the axis."""
+    v = _labelled(spark, sf_dir)
+    depth = table(spark, sf_dir, "lineitem").agg(F.max(F.expr("l_orderkey div 100"))).first()[0] + 1
+    return volume.overview(v, (60, 50, depth))
+
+
+@query(f"""WITH v AS ({_LABELLED}), k AS (SELECT *, row_number() OVER (PARTITION BY "index" ORDER BY md5('42:' || vx || '_' || vy || '_' || vz), vx || '_' || vy || '_' || vz) AS r FROM v WHERE "index" > 0)
+SELECT "index", vx, vy, vz FROM k WHERE r <= 6""")
+def patch_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six seeded voxels of each region: the number is the operator."""
+    v = _labelled(spark, sf_dir).where("`index` > 0").withColumn("key", F.concat_ws("_", "vx", "vy", "vz"))
+    return spatial.seeded_sample(v, "key", 6, groups=("index",)).select("index", "vx", "vy", "vz")
+
+
+@query("""SELECT c_custkey, c_mktsegment FROM customer SEMI JOIN (SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'P') USING (c_custkey)""")
+def subjects_with_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects that another table has as well, under names with a prefix."""
+    scans = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.concat(F.lit("sub-"), "o_custkey").alias("c_custkey"))
+    return regions.of_subjects(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), scans, "c_custkey")
+
+
 @query(_EVENT_VOXELS + "SELECT vx, vy, CASE WHEN (vx + vy) % 3 = 0 THEN round(value, 4) ELSE 0 END AS value FROM e")
 def mask_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image times mask; voxels that the mask lacks become 0."""
@@ -850,6 +907,24 @@ def atlas_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.label_check(*chunks.read_atlas(spark, path, labels(spark, sf_dir), strict=False))
 
 
+_STAIN_LEAST = {"A": 3, "R": 5}
+
+
+@query(f"""WITH RECURSIVE m AS (SELECT DISTINCT l_returnflag AS stain, l_partkey % 24 AS x, l_suppkey % 24 AS y, l_orderkey // 100 AS z FROM lineitem WHERE l_quantity > 35), n AS (SELECT *, (x * 24 + y) * 1000000 + z AS id FROM m), d AS (SELECT * FROM (VALUES (1, 0, 0), (0, 1, 0), (0, 0, 1)) t(i, j, k)),
+h AS (SELECT a.stain, a.id AS a, b.id AS b FROM n a CROSS JOIN d JOIN n b ON b.stain = a.stain AND b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k), e AS (SELECT stain, a, b FROM h UNION ALL SELECT stain, b, a FROM h),
+r AS (SELECT stain, id AS a, id AS b FROM n UNION SELECT r.stain, r.a, e.b FROM r JOIN e ON e.stain = r.stain AND e.a = r.b), l AS (SELECT stain, a, min(b) AS label FROM r GROUP BY 1, 2)
+SELECT l.stain, round(2 * avg(x) + 10, 6) AS pos_x, count(*) AS nvoxels FROM l JOIN n ON n.stain = l.stain AND n.id = l.a GROUP BY l.stain, label HAVING count(*) >= CASE l.stain WHEN 'A' THEN 3 WHEN 'R' THEN 5 ELSE 2 END""")
+def stain_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of each stain that have at least as many voxels as the stain asks for."""
+    place = {"vx": F.col("l_partkey") % 24, "vy": F.col("l_suppkey") % 24, "vz": F.expr("l_orderkey div 100")}
+    every = table(spark, sf_dir, "lineitem").where("l_quantity > 35").select(F.col("l_returnflag").alias("stain"), *[c.cast("long").alias(a) for a, c in place.items()])
+    parts = []
+    for stain in ("A", "N", "R"):
+        objects_ = graph.component_objects(graph.voxel_components(every.where(F.col("stain") == stain), 6), _SPACING, _STAIN_LEAST.get(stain, 2))
+        parts.append(objects_.select(F.lit(stain).alias("stain"), F.round("pos_x", 6).alias("pos_x"), "nvoxels"))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query(f"""WITH RECURSIVE v AS ({_mask_sql(24)}), m AS (SELECT DISTINCT x // 2 AS x, y // 2 AS y, z // 4 AS z FROM v), n AS (SELECT x, y, z, (x * 24 + y) * 1000000 + z AS id FROM m), d AS (SELECT * FROM (VALUES (1, 0, 0), (0, 1, 0), (0, 0, 1)) t(i, j, k)),
 h AS (SELECT a.id AS a, b.id AS b FROM n a CROSS JOIN d JOIN n b ON b.x = a.x + i AND b.y = a.y + j AND b.z = a.z + k), e AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
 r AS (SELECT id AS a, id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), l AS (SELECT a, min(b) AS label FROM r GROUP BY 1),

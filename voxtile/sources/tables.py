@@ -185,6 +185,18 @@ def write_sidecar(spark: SparkSession, descriptions: dict[str, dict], path: str)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def read_cohort(spark: SparkSession, path: str, columns: list[str] = (), key: str = "participant_id") -> DataFrame:
+    """Table of a study's subjects.  FileNotFoundError without the file, ValueError without ``key`` or one of ``columns``, or if a subject comes twice."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        raise FileNotFoundError(f"no table of subjects at {path}")
+    cohort = require_columns(read_tsv(spark, path), [key, *columns])
+    twice = cohort.groupBy(col(key).alias("k")).count().where("count > 1 and k is not null").orderBy("k").limit(5).collect()
+    if twice:
+        raise ValueError(f"subjects that come more than once: {', '.join(str(r['k']) for r in twice)}")
+    return cohort
+
+
 def column_dictionary(df: DataFrame, descriptions: dict[str, dict]) -> DataFrame:
     """column, long_name, description, units and n_values (rows with a value) of each column, in one aggregation of the table.
 
