@@ -323,20 +323,33 @@ def point_in_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.label_points(vectors(spark, sf_dir), _label_grid(spark), _GRID, labels(spark, sf_dir)).select("vec_id", "index", "name")
 
 
-@query(_V + """, f AS (SELECT vec_id, (x + 0.5) / 0.1 AS x, (y + 0.5) / 0.1 AS y, (z + 0.5) / 0.1 AS z FROM v)
-SELECT vec_id, round(x + 2 * y - z, 5) AS value FROM f""")
+_SAMPLED = _V + """, n AS (SELECT CAST(round_even((x + 0.5) / 0.1, 0) AS BIGINT) AS gx, CAST(round_even((y + 0.5) / 0.1, 0) AS BIGINT) AS gy, CAST(round_even((z + 0.5) / 0.1, 0) AS BIGINT) AS gz, count(*) AS n FROM v GROUP BY ALL),
+g AS (SELECT i % 41 - 15 AS gx, i // 41 % 41 - 15 AS gy, i // 1681 - 15 AS gz FROM (SELECT unnest(range(68921)) AS i)),
+grid AS (SELECT g.gx, g.gy, g.gz, coalesce(n, 0) + abs(g.gx * g.gy + g.gz * g.gz) % 7 AS value, abs(g.gx * g.gx + 3 * g.gy) % 5 / 50 AS dy FROM g LEFT JOIN n USING (gx, gy, gz)),
+f AS (SELECT vec_id, (x + 0.5) / 0.1 AS x, (y + 0.5) / 0.1 AS y, (z + 0.5) / 0.1 AS z FROM v), d AS (SELECT i % 2 AS i, i // 2 % 2 AS j, i // 4 AS k FROM (SELECT unnest(range(8)) AS i)),
+c AS (SELECT vec_id, CAST(floor(x) AS BIGINT) + i AS gx, CAST(floor(y) AS BIGINT) + j AS gy, CAST(floor(z) AS BIGINT) + k AS gz, (CASE i WHEN 1 THEN x - floor(x) ELSE 1 - x + floor(x) END) * (CASE j WHEN 1 THEN y - floor(y) ELSE 1 - y + floor(y) END) * (CASE k WHEN 1 THEN z - floor(z) ELSE 1 - z + floor(z) END) AS w FROM f, d),
+s AS (SELECT vec_id, CASE WHEN count(*) = count(value) THEN sum(w * value) END AS value, CASE WHEN count(*) = count(value) THEN sum(w * dy) END AS dy FROM c LEFT JOIN grid USING (gx, gy, gz) WHERE w > 0 GROUP BY 1) """
+
+
+def _sampled_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid that isn't linear along any axis: how many vectors lie at each voxel, and patterns of its place."""
+    voxels = spark.range(41**3).select((F.col("id") % 41 - 15).alias("vx"), (F.floor(F.col("id") / 41) % 41 - 15).alias("vy"), (F.floor(F.col("id") / 1681) - 15).alias("vz"))
+    counts = spatial.to_voxels(vectors(spark, sf_dir), _GRID).groupBy(*tiles.AXES).agg(F.count(F.lit(1)).alias("n"))
+    pattern = F.abs(F.col("vx") * F.col("vy") + F.col("vz") * F.col("vz")) % 7
+    value = (F.coalesce("n", F.lit(0)) + pattern).cast("double")
+    return voxels.join(counts, list(tiles.AXES), "left").select(*tiles.AXES, value.alias("value"), (F.abs(F.col("vx") * F.col("vx") + 3 * F.col("vy")) % 5 / 50).alias("dy"))
+
+
+@query(_SAMPLED + "SELECT vec_id, round(value, 5) AS value FROM s")
 def scalar_sample_trilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear interpolation of a grid at points; the grid's values are linear, so interpolation gives their formula."""
-    grid = spark.range(41**3).select((F.col("id") % 41 - 15).alias("vx"), (F.floor(F.col("id") / 41) % 41 - 15).alias("vy"), (F.floor(F.col("id") / 1681) - 15).alias("vz"))
-    grid = grid.withColumn("value", (F.col("vx") + 2 * F.col("vy") - F.col("vz")).cast("double"))
-    return spatial.sample_linear(vectors(spark, sf_dir), "vec_id", grid, ["value"], _GRID).select("vec_id", F.round("value", 5).alias("value"))
+    """Linear interpolation between the eight voxels around each point."""
+    return spatial.sample_linear(vectors(spark, sf_dir), "vec_id", _sampled_grid(spark, sf_dir), ["value"], _GRID).select("vec_id", F.round("value", 5).alias("value"))
 
 
-@query(_V + """SELECT vec_id, round(x + 0.5 * x, 5) AS template_x, round(y - 0.25, 5) AS template_y, round(z, 5) AS template_z FROM v""")
+@query(_SAMPLED + "SELECT vec_id, round(v.x + value / 100, 5) AS template_x, round(v.y + dy, 5) AS template_y, round(v.z, 5) AS template_z FROM v JOIN s USING (vec_id)")
 def transform_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points moved by a displacement field on a grid."""
-    field = spark.range(41**3).select((F.col("id") % 41 - 15).alias("vx"), (F.floor(F.col("id") / 41) % 41 - 15).alias("vy"), (F.floor(F.col("id") / 1681) - 15).alias("vz"))
-    field = field.withColumns({"dx": (F.col("vx") * 0.1 - 0.5) * 0.5, "dy": F.lit(-0.25), "dz": F.lit(0.0)})
+    field = _sampled_grid(spark, sf_dir).select(*tiles.AXES, (F.col("value") / 100).alias("dx"), "dy", F.lit(0.0).alias("dz"))
     return spatial.transform_points(vectors(spark, sf_dir), "vec_id", field, _GRID).select("vec_id", *[F.round(f"template_{a}", 5).alias(f"template_{a}") for a in "xyz"])
 
 
