@@ -90,3 +90,11 @@ def test_key_filter(spark):
     assert outside.where("id % 7 = 0").count() == 0 and outside.count() + inside.count() == 2000
     none = KeyFilter(spark.range(0), "id")
     assert maybe_in(df, "id", none).count() == 0 and maybe_in(df, "id", none, inside=False).count() == 2000
+
+
+def test_column_names_with_dots(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text, "x"), (2, f"a {text}", "y"), (3, "short", "z")], "`doc.id` int, `the.text` string, `a.b` string")
+    got = passages.remove_passages(df, "the.text")
+    assert got.columns == ["doc.id", "the.text", "a.b", "n_removed"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "", "x", 40), (2, "a", "y", 40), (3, "short", "z", 0)]

@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import col
 from .common import as_bytes, checkpointed, documents, hash_words, map_arrow, map_blocks, mix, stored, windows
 from .graph import KeyFilter, maybe_in
 
@@ -276,11 +277,16 @@ def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, r
     joined by one space.  A window recurs if its words, unchanged, also start anywhere else, in the same text or in another row.
     Null and empty texts, and those shorter than a window, have none.  Repeated rows recur as a whole.
     """
-    docs = df.select(*_keys(F.col(text)), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    docs = df.select(*_keys(col(text)), col(text).alias("text")).where("text is not null")
     anchors = checkpointed(_anchors(docs.drop("text_check"), width, run))
-    times = F.sum("times").over(Window.partitionBy("anchor"))
-    open_ = anchors.where("not settled").withColumn("total", times).where("total >= 2 and text_hash is not null")
-    touched = anchors.where("settled").select("text_hash", "anchor").union(open_.select("text_hash", "anchor"))
+    # partial sums first, then a filter by the anchors that recur: rows of a frequent anchor never meet in one task; one that the
+    # filter lets through by mistake only costs work, as windows are confirmed by themselves
+    open_ = anchors.where("not settled")
+    totals = open_.groupBy("anchor").agg(F.sum("times").alias("total")).where("total >= 2").select("anchor")
+    recurring = KeyFilter(checkpointed(totals), "anchor")
+    open_ = open_.where("text_hash is not null").select("text_hash", "anchor")
+    open_ = open_.join(totals, "anchor", "left_semi").select("text_hash", "anchor") if recurring.open else maybe_in(open_, "anchor", recurring)
+    touched = anchors.where("settled").select("text_hash", "anchor").union(open_)
     touched = checkpointed(touched.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors")))
 
     near = maybe_in(docs, "text_hash", KeyFilter(touched, "text_hash"))
@@ -317,7 +323,7 @@ def remove_passages(df: DataFrame, text: str = "text", width: int = WINDOW) -> D
     """
     found = stored(recurring_passages(df, text, width).select("text_hash", "text_check", "n_removed", "kept"), "found")
     columns = [c for c in df.columns if c != "n_removed"]
-    keyed = df.select(F.struct(*columns).alias("row"), *_keys(F.col(text)))
+    keyed = df.select(F.struct(*[col(c) for c in columns]).alias("row"), *_keys(col(text)))
     keys = KeyFilter(found, "text_hash")
     near = maybe_in(keyed, "text_hash", keys).join(found, ["text_hash", "text_check"], "left")
     own = lambda c: F.coalesce("kept", F.col("row")[c]) if c == text else F.col("row")[c]
