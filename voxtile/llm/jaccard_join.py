@@ -18,6 +18,7 @@ lists, and what the other shingles can add to an overlap is bounded by their num
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 
 import numpy as np
@@ -341,21 +342,29 @@ def searched(inner: np.ndarray, sets: list[dict[str, np.ndarray]], lists: list[d
 
 
 def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Candidate pairs (a, b) from list entries (key, inner, block, and the fields of a set); lists of one component, or of one home and not inner, are left out."""
+    """Candidate pairs (a, b) from list entries (key, inner, block, and the fields of a set); lists of one component, or of one home and not inner, are left out.
+
+    Lists are cut by bands of the sets' sizes, a band as wide as sizes of sets that link may differ.  A set looks for partners that aren't smaller, so it
+    meets the parts of its own and the next band; all entries of a partner are in one band, so its count is complete there.
+    """
     ends = entries.groupBy("key", "inner").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"), F.count(F.lit(1)).alias("size")
     )
     open_ = ends.where("c0 < c1 and (inner or h0 < h1)").select("key", "inner", "size")
-    entries = checkpointed(entries.join(open_, ["key", "inner"]))
-    most, sets = entries.agg(F.coalesce(F.max("size"), F.lit(0)), F.approx_count_distinct("node")).first()
+    up, low = similar
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(low / up) + 1e-9).cast("int") if low > up else F.col("n")
+    entries = checkpointed(entries.join(open_.drop("size"), ["key", "inner"]).withColumn("band", band))
+    sets = entries.agg(F.approx_count_distinct("node")).first()[0]
+    most = entries.groupBy("key", "inner", "band").agg(F.count(F.lit(1)).alias("size")).agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
     slices = 1 << max(0, (most // PART).bit_length())
     spread = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(n))
     placed = entries.withColumn("block", F.coalesce("block", spread(21, max(1, sets // BLOCK))))  # sets without a home are dealt by hash
     fields = F.struct(*_FIELDS)
-    queries = placed.groupBy("key", "inner", "block").agg(F.collect_list(fields).alias("sets"))
-    lists = entries.groupBy("key", "inner", spread(23, slices).alias("slice")).agg(F.collect_list(fields).alias("list"))
-    met = queries.join(lists, ["key", "inner"]).select("block", "slice", "inner", "sets", "list")
-    dealt = met.repartition("block", "slice").sortWithinPartitions("block", "slice")
+    towards = placed.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    queries = towards.groupBy("key", "inner", "band", "block").agg(F.collect_list(fields).alias("sets"))
+    lists = entries.groupBy("key", "inner", "band", spread(23, slices).alias("slice")).agg(F.collect_list(fields).alias("list"))
+    met = queries.join(lists, ["key", "inner", "band"]).select("block", "slice", "band", "inner", "sets", "list")
+    dealt = met.repartition("block", "slice", "band").sortWithinPartitions("block", "slice", "band")
 
     def unpacked(column: pa.ListArray) -> list[dict[str, np.ndarray]]:
         flat = column.flatten()
@@ -371,7 +380,7 @@ def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
-            for own, kind, x, y in zip(zip(batch.column("block").to_pylist(), batch.column("slice").to_pylist()), batch.column("inner").to_pylist(), unpacked(batch.column("sets")), unpacked(batch.column("list"))):
+            for own, kind, x, y in zip(zip(*(batch.column(c).to_pylist() for c in ("block", "slice", "band"))), batch.column("inner").to_pylist(), unpacked(batch.column("sets")), unpacked(batch.column("list"))):
                 if own != key and key is not None:
                     yield result()
                     inner, sets_, lists_ = [], [], []
