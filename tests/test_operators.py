@@ -216,6 +216,17 @@ def test_levels(spark):
         levels.raised(fine, 0)
 
 
+def test_region_statistics_in_any_way(spark):
+    """Counted with the objects or from a table: the same; text by the first row of an order."""
+    o = spark.createDataFrame([(1, "a", 2.0, None, "q", 3, 1.0), (1, "a", 4.0, 6.0, "p", 4, 2.0), (1, "a", 1.0, 3.0, None, 1, 9.0), (2, "b", None, 5.0, "z", 2, 1.0), (None, "c", 1.0, 1.0, "y", 5, 1.0)], "index int, name string, nvoxels double, price double, kind string, row int, pos_x double")
+    f = spark.createDataFrame([(1, "a", 0.5, 2.0), (3, "d", 0.25, None)], "index int, name string, frac double, volume double")
+    own = o.drop("row", "kind")
+    one, two = (sorted(regions.region_statistics(own, c, f).select("index", "nvoxels", "price", "count", "frac", "volume", "density").collect(), key=str) for c in (None, regions.count_per_region(own)))
+    assert [tuple(r) for r in one] == [(1, 7.0, 3.0, 3.0, 0.5, 2.0, 1.5), (2, 0.0, 5.0, 1.0, 0.0, None, None), (3, 0.0, 0.0, 0.0, 0.25, None, None)] == [tuple(r) for r in two]
+    assert {r["index"]: r["kind"] for r in regions.collapse(o, order="row").collect()} == {1: "q", 2: "z"}
+    assert {r["index"]: r["kind"] for r in regions.collapse(o).collect()} == {1: "p", 2: "z"}
+
+
 def test_boxes_that_are_too_large(spark):
     v = spark.createDataFrame([(x, 0, 0, x // 70, float(x)) for x in range(300)], "vx long, vy long, vz long, index long, value double")
     boxes = volume.region_boxes(v.where("index < 4 or vx < 290"), margin=0, most=60)

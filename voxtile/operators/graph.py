@@ -118,8 +118,10 @@ def edges_with_nodes(edges: DataFrame, nodes: DataFrame, check: bool = True) ->
     for e in ("src", "dst"):
         named = nodes.select("channel", *[F.col(v).alias(f"{e}_{v}") for v in VOXEL], F.col("node_id").alias(f"{e}_node_id"))
         out = out.join(named, ["channel", *(f"{e}_{v}" for v in VOXEL)], "left")
-    if check and not out.where("src_node_id is null or dst_node_id is null").isEmpty():
-        raise ValueError("an edge ends at a voxel that is not a node")
+    if check:
+        out = checkpointed(out)  # read for the test and for the numbering
+        if not out.where("src_node_id is null or dst_node_id is null").isEmpty():
+            raise ValueError("an edge ends at a voxel that is not a node")
     order = ["channel", "src_node_id", "dst_node_id"]
     return dense_ids(out, order, "edge_id").select("edge_id", *order, "edge_length", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL))
 

@@ -43,25 +43,40 @@ def fill_zero(df: DataFrame, keep: tuple[str, ...] = ("volume",)) -> DataFrame:
     return df.fillna(0, subset=[f.name for f in df.schema.fields if _numeric(f) and f.name not in (*keep, *KEYS)])
 
 
-def collapse(df: DataFrame, keys: tuple[str, ...] = KEYS, summed: tuple[str, ...] = ("nvoxels",)) -> DataFrame:
-    """One row a region: ``summed`` columns are added up, other numbers averaged, of text the smallest value stays.
+def collapse(df: DataFrame, keys: tuple[str, ...] = KEYS, summed: tuple[str, ...] = ("nvoxels",), order: str | None = None, counted: str | None = None) -> DataFrame:
+    """One row a region: ``summed`` columns are added up, other numbers averaged, of text the smallest value stays, or that of the first row by ``order`` (missing ones don't count).
 
-    Regions with a missing key are left out.  If count and volume are there, density is count / volume (NULL for no volume).
+    Regions with a missing key are left out.  With ``counted`` a column of that name has the number of rows.  If count and volume are there, density is count / volume (NULL for no volume).
     """
     aggregates = []
     for f in df.schema.fields:
-        if f.name not in keys:
-            of = F.sum if f.name in summed else F.avg if _numeric(f) else F.min
-            aggregates.append(of(col(f.name)).alias(f.name))
+        if f.name not in (*keys, order):
+            if f.name in summed or _numeric(f):
+                of = F.sum(col(f.name)) if f.name in summed else F.avg(col(f.name))
+            else:
+                of = F.min(col(f.name)) if order is None else F.min_by(col(f.name), F.when(col(f.name).isNotNull(), col(order)))
+            aggregates.append(of.alias(f.name))
+    if counted:
+        aggregates.append(F.count(F.lit(1)).cast("double").alias(counted))
     out = df.where(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys])).groupBy(*keys).agg(*aggregates)
-    if {"count", "volume"} <= set(out.columns):
-        out = out.withColumn("density", F.try_divide("count", "volume"))
-    return out
+    return _with_density(out)
 
 
-def region_statistics(objects: DataFrame, counts: DataFrame, fractions: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Objects, counts and field fractions of one stain as one row a region."""
-    return collapse(fill_zero(drop_suffixed(merge_outer([objects, counts, fractions])))).drop(*drop)
+def _with_density(df: DataFrame) -> DataFrame:
+    return df.withColumn("density", F.try_divide("count", "volume")) if {"count", "volume"} <= set(df.columns) else df
+
+
+def region_statistics(objects: DataFrame, counts: DataFrame | None, fractions: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Objects, counts and field fractions of one stain as one row a region; without ``counts`` the objects are counted in the same scan.
+
+    Each table is collapsed before they are merged, so all objects of a region never meet in a join.  A missing number of an object counts as 0, and so does what a
+    region lacks, but for its volume.  Columns that two tables share are in neither.
+    """
+    every = [objects, *([] if counts is None else [counts]), fractions]
+    names = [c for p in every for c in p.columns if c not in KEYS]
+    own, *others = [fill_zero(drop_suffixed(p.drop(*{c for c in names if names.count(c) > 1}))) for p in every]
+    parts = [collapse(own, counted="count" if counts is None else None), *(collapse(p) for p in others)]
+    return _with_density(fill_zero(merge_outer(parts))).drop(*drop)
 
 
 def prefixed(df: DataFrame, prefix: str, keys: tuple[str, ...] = KEYS) -> DataFrame:

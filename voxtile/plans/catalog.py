@@ -74,7 +74,7 @@ round(coalesce(c, 0) / volume, 4) AS density FROM a FULL JOIN f USING ("index",
 def region_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects, counts and field fractions merged on region keys and collapsed to a row a region."""
     own = objects(spark, sf_dir).select("index", "name", "nvoxels", "price")
-    out = regions.region_statistics(own, regions.count_per_region(own), fractions(spark, sf_dir))
+    out = regions.region_statistics(own, None, fractions(spark, sf_dir))
     return out.select("index", "name", *[r4(c).alias(c) for c in ("nvoxels", "price", "count", "fieldfrac", "volume", "density")])
 
 
