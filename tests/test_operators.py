@@ -227,6 +227,18 @@ def test_region_statistics_in_any_way(spark):
     assert {r["index"]: r["kind"] for r in regions.collapse(o).collect()} == {1: "p", 2: "z"}
 
 
+def test_smoothing_by_tiles_and_by_joins(spark, monkeypatch):
+    rng = np.random.default_rng(23)
+    rows = [(*(int(v) - 5 for v in p), float(rng.normal())) for p in np.argwhere(rng.random((50, 12, 9)) < 0.3)]
+    df = spark.createDataFrame(rows, "vx long, vy long, vz long, value double")
+    by = lambda axes: {tuple(r)[:-1]: r["value"] for r in volume.gaussian_smoothed(df if len(axes) == 3 else df.where("vz = 0"), 1.3, axes=axes).collect()}
+    tiled = [by(axes) for axes in (("vx", "vy", "vz"), ("vx", "vy"))]
+    monkeypatch.setattr(volume, "BLOCK_BYTES", 10)
+    for one, axes in zip(tiled, (("vx", "vy", "vz"), ("vx", "vy"))):
+        two = by(axes)
+        assert one.keys() == two.keys() and all(math.isclose(one[k], two[k], abs_tol=1e-12) for k in one)
+
+
 def test_boxes_that_are_too_large(spark):
     v = spark.createDataFrame([(x, 0, 0, x // 70, float(x)) for x in range(300)], "vx long, vy long, vz long, index long, value double")
     boxes = volume.region_boxes(v.where("index < 4 or vx < 290"), margin=0, most=60)
