@@ -93,7 +93,8 @@ def copies(df: DataFrame, row_id: str = "doc_id", source: str = "source", text:
     """id, row, check, nth, source, size, source_size, target, copies: a row for each row of ``df``.
 
     ``row`` and ``check`` are hashes of all columns; equal rows are numbered by ``nth``.  Null texts have size 0, and texts of size 0 get floor(r) copies.
-    The same rows give the same copies in any order or partitioning.  An empty table gives no rows.
+    The same rows give the same copies in any order or partitioning.  An empty table gives no rows.  ``row_id`` holds whole numbers (or NULL); text ids are
+    an error, and so are columns of maps, which can't be hashed.
     """
     flat = df.select(F.col(row_id).cast("long").alias("id"), F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(*df.columns).alias("row"), F.xxhash64(F.lit(31), *df.columns).alias("check"))
     rows = checkpointed(flat.groupBy("id", "source", "size", "row", "check").agg(F.count(F.lit(1)).alias("times")))
@@ -113,7 +114,7 @@ def copies(df: DataFrame, row_id: str = "doc_id", source: str = "source", text:
 def mixed(df: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it; equal rows share their copies out among them.
 
-    Rows meet their numbers by id, two independent hashes of all columns; no column of ``df`` is changed, whatever its name.
+    Rows meet their numbers by id, two independent hashes of all columns; no column of ``df`` is changed, whatever its name.  ``row_id`` holds whole numbers, and no column may be a map.
     """
     hashes = [F.xxhash64(*df.columns).alias("row"), F.xxhash64(F.lit(31), *df.columns).alias("check")]
     keyed = df.select(F.struct(*df.columns).alias("own"), F.col(row_id).cast("long").alias("id"), *hashes)
