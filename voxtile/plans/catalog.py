@@ -1056,6 +1056,59 @@ def label_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itksnap_lines(n.select(F.col("n_nationkey").alias("index"), F.col("n_name").alias("name"), color.alias("color")))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{graph.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("""SELECT c_custkey AS "index", CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS name, CASE WHEN c_custkey % 5 <> 0 THEN round(c_acctbal, 2) END AS value, c_custkey % 3 AS size FROM customer""")
+def tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with missing texts and numbers, written with tabs and read again: types are found in what was written."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    out = c.select((k % 3).alias("size"), k.alias("index"), F.when(k % 7 != 0, F.col("c_mktsegment")).alias("name"), F.when(k % 5 != 0, F.round("c_acctbal", 2)).alias("value"))
+    path = _scratch(spark, "table")
+    sources.write_tsv(out, path, ["index", "name", "value", "size"])
+    if sources.header(spark, path) != ["index", "name", "value", "size"]:
+        raise ValueError("the columns are not in the order that was asked for")
+    return sources.read_tsv(spark, path)
+
+
+@query("""SELECT 'sub-' || lower(c_mktsegment) AS participant_id, c_nationkey AS "index", count(*) AS count, CASE WHEN c_mktsegment < 'C' THEN round(avg(c_acctbal), 4) END AS balance FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_mktsegment, c_nationkey""")
+def subject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region tables of subjects in files of their own, some without a column and one without a subject in its path, read as one with the subject of each."""
+    c, root = table(spark, sf_dir, "customer"), _scratch(spark, "study")
+    paths = []
+    for (segment,) in c.select("c_mktsegment").distinct().collect():  # a handful of subjects
+        own = c.where(F.col("c_mktsegment") == segment).groupBy(F.col("c_nationkey").alias("index")).agg(F.count(F.lit(1)).alias("count"), r4(F.avg("c_acctbal")).alias("balance"))
+        paths.append(f"{root}/{'other' if segment == 'MACHINERY' else 'sub-' + segment.lower()}/stats.tsv")
+        sources.write_tsv(own if segment < "C" else own.drop("balance"), paths[-1], single=True)
+    return sources.read_many(spark, paths).select("participant_id", "index", "count", "balance")
+
+
+@query("""SELECT 'csv' AS format, n_nationkey AS "index", n_name AS name, substr(n_name, 1, 3) AS abbreviation, NULL AS color FROM nation
+UNION ALL SELECT 'json', n_nationkey, n_name, substr(n_name, 1, 3), printf('%02x10ff', n_nationkey) FROM nation UNION ALL SELECT 'text', n_nationkey, n_name, NULL, printf('%02x10ff', n_nationkey) FROM nation""")
+def label_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label table in three formats, written and read again; each has the columns that its format knows."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("index"), F.col("n_name").alias("name"), F.substring("n_name", 1, 3).alias("abbreviation"))
+    n = n.withColumn("color", rgb_hex(F.col("index"), F.lit(16), F.lit(255)))
+    csv, text, json_ = (_scratch(spark, x) for x in ("csv", "itksnap", "json"))
+    n.select("abbreviation", "name", "index").write.csv(csv)
+    sources.write_itksnap(n, text)
+    rows = F.to_json(F.sort_array(F.collect_list(F.array(F.col("index").cast("string"), "color", "abbreviation", "name"))))  # a label table, not data
+    n.agg(rows.alias("value")).coalesce(1).write.text(json_)
+    none = lambda c: F.lit(None).cast("string").alias(c)
+    parts = [sources.read_labels_csv(spark, csv).select(F.lit("csv").alias("format"), "index", "name", "abbreviation", none("color")), sources.read_labels_json(spark, json_).select(F.lit("json").alias("format"), "index", "name", "abbreviation", "color"),
+             sources.read_labels_itksnap(spark, text).select(F.lit("text").alias("format"), "index", "name", none("abbreviation"), "color")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("""SELECT event_id, k AS setting, json_extract_string(props, '$."' || k || '"') AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""")
+def sidecar_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every setting of each JSON object."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("setting", "value"))
+
+
 @query("""SELECT p_name, nullif(regexp_extract(path, 'sub-([A-Za-z0-9]+)', 1), '') AS sub, nullif(regexp_extract(path, 'stain-([A-Za-z0-9]+)', 1), '') AS stain FROM (SELECT p_name, CASE WHEN p_partkey % 3 = 0 THEN 'data/readme.txt' ELSE 'data/sub-' || p_partkey % 10 || '/micr/sub-' || p_partkey % 10 || CASE WHEN p_partkey % 4 = 0 THEN '_stain-abeta' ELSE '' END || '_SPIM.ome.zarr' END AS path, p_partkey FROM part)
 WHERE p_partkey % 3 <> 0 AND p_partkey % 10 IN (1, 2, 3, 4) AND p_partkey % 10 <> 3""")
 def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
