@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col
@@ -279,13 +279,8 @@ def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, r
     """
     docs = df.select(*_keys(col(text)), col(text).alias("text")).where("text is not null")
     anchors = checkpointed(_anchors(docs.drop("text_check"), width, run))
-    # partial sums first, then a filter by the anchors that recur: rows of a frequent anchor never meet in one task; one that the
-    # filter lets through by mistake only costs work, as windows are confirmed by themselves
-    open_ = anchors.where("not settled")
-    totals = open_.groupBy("anchor").agg(F.sum("times").alias("total")).where("total >= 2").select("anchor")
-    recurring = KeyFilter(checkpointed(totals), "anchor")
-    open_ = open_.where("text_hash is not null").select("text_hash", "anchor")
-    open_ = open_.join(totals, "anchor", "left_semi").select("text_hash", "anchor") if recurring.open else maybe_in(open_, "anchor", recurring)
+    times = F.sum("times").over(Window.partitionBy("anchor"))
+    open_ = anchors.where("not settled").withColumn("total", times).where("total >= 2 and text_hash is not null").select("text_hash", "anchor")
     touched = anchors.where("settled").select("text_hash", "anchor").union(open_)
     touched = checkpointed(touched.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors")))
 
