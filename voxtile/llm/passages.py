@@ -185,27 +185,28 @@ def locate(texts: list[bytes], passages: list[str], width: int, shard_chars: int
         if len(automaton):
             automaton.make_automaton()
         for k, text in enumerate(texts):
-            words = [w.decode() for w in text.split()]
+            joined = b" ".join(text.split())
             known = starts[k]
             if known is None:
-                known = starts[k] = bytearray(len(words))  # 1 where a recurring window starts
-            if len(words) < width or not len(automaton):
+                known = starts[k] = bytearray(joined.count(b" ") + 1 if joined else 0)  # 1 where a recurring window starts
+            total = len(known)
+            if total < width or not len(automaton) or known.count(1) > total - width:
                 continue
-            word_at, chars = 0, 0  # the word that begins after character ``chars``
-            for end, places in automaton.iter(" " + " ".join(words) + " "):
-                while chars < end:
-                    chars += len(words[word_at]) + 1
-                    word_at += 1
-                p = word_at - block
+            spaced, words = f" {joined.decode()} ", None
+            word_at = seen = 0  # words before character ``seen``
+            for end, places in automaton.iter(spaced):
+                word_at += spaced.count(" ", seen, end)
+                seen, p = end, word_at - block
                 # nothing new if every window that holds this block is known to recur
-                low, high = max(0, p + block - width), min(p, len(words) - width)
+                low, high = max(0, p + block - width), min(p, total - width)
                 if known.count(1, low, high + 1) == high + 1 - low:
                     continue
+                words = words or joined.decode().split(" ")
                 for own, i in places:
                     a, b, x, y = p, p + block, i, i + block
                     while a > 0 and x > 0 and words[a - 1] == own[x - 1]:
                         a, x = a - 1, x - 1
-                    while b < len(words) and y < len(own) and words[b] == own[y]:
+                    while b < total and y < len(own) and words[b] == own[y]:
                         b, y = b + 1, y + 1
                     if b - a >= width:
                         known[a : b - width + 1] = b"\x01" * (b - width + 1 - a)
@@ -248,7 +249,7 @@ def _located(df: DataFrame, width: int) -> DataFrame:
 
         for batch in batches:
             for slice_, is_text, h, check, text in zip(*(batch.column(c).to_pylist() for c in ("slice", "is_text", "text_hash", "text_check")), as_bytes(batch.column("text"))):
-                if slice_ != key or size >= STREAM_BYTES:
+                if slice_ != key or size >= 2 * STREAM_BYTES:  # rarely: a slice has about half of that
                     if held:
                         yield result()
                     held, size = [], 0
