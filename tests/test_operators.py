@@ -379,6 +379,28 @@ def test_radius_join_in_a_crowded_cell(spark, depth):
     assert got == sorted((int(i), int(j)) for i, j in np.argwhere(apart <= radius[:, None]))
 
 
+@pytest.mark.parametrize("cell", [None, 0.5, 8.0])
+def test_radius_join_of_dense_balls(spark, cell):
+    """Balls that hold more points than a cell may have: no cell is cut below the radius, so rows go to a bounded number of cells."""
+    rng = np.random.default_rng(15)
+    points = np.repeat(rng.uniform(0, 1.5, (60, 3)), 5, axis=0)
+    df = spark.createDataFrame([(i, 0.4, *map(float, p)) for i, p in enumerate(points)], "id int, radius double, pos_x double, pos_y double, pos_z double")
+    pairs = spatial.radius_pairs(df, df, "radius", cell=cell, most=6)
+    got = sorted((r["a"], r["b"]) for r in pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).collect())
+    apart = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    assert got == sorted((int(i), int(j)) for i, j in np.argwhere(apart <= 0.4))
+
+    def by_cell(left, right):
+        size = cell or 0.5
+        at = lambda: [F.floor(F.col(p) / size).alias(f"_c{i}") for i, p in enumerate(("pos_x", "pos_y", "pos_z"))]
+        fixed = lambda df: df.select(F.struct(*df.columns).alias("x"), F.lit(0).cast("long").alias("_row"), F.lit(0).alias("_o"), *at(), F.lit(0).alias("_l"), F.lit(size).alias("_size"))
+        return fixed(left).withColumnRenamed("x", "a"), fixed(right).withColumnRenamed("x", "b")
+
+    a, _, _ = spatial._split(df, df, by_cell, "radius", ("pos_x", "pos_y", "pos_z"), 6, 8)
+    least = a.agg(F.min(F.col("_size") / F.pow(F.lit(2.0), "_l"))).first()[0]
+    assert least >= 0.4
+
+
 def test_radius_join_against_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, *map(float, rng.random(3)), float(rng.choice([0.0, 0.01, 0.1, 0.4]))) for i in range(80)] + [(80, None, 0.0, 0.0, 1.0), (81, float("nan"), 0.0, 0.0, 1.0), (82, 0.5, 0.5, 0.5, float("nan")), (83, 0.5, 0.5, 0.5, None)]

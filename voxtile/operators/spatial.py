@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def with_object_ids(objects: DataFrame, voxel_edge: float = 0.002) -> DataFrame:
     return numbered.withColumn("object_id", F.concat_ws("_", "stain", F.col("_n").cast("string"))).drop("_n").withColumn("radius", sphere_radius(F.col("nvoxels"), voxel_edge))
 
 
-#: Rows of either side that a cell may have before it is split, and how often cells are halved; what is crowded still (points at one place) is dealt by row.
+#: Rows of either side that a cell may have before it is split, and how often cells are halved; what is crowded still (points at one place, dense balls) is dealt by row.
 MOST_IN_CELL, DEPTH = 2_000, 8
 
 
@@ -36,41 +37,55 @@ def _reached(level: Column, cell: list[Column], size: Column, radius: Column, at
     return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) <= radius * radius * (1 + 1e-9) + 1e-300
 
 
-def _split(a: DataFrame, b: DataFrame, radius: str, position: tuple[str, str, str], most: int, depth: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with crowded cells split: an octree whose leaves have at most ``most`` rows of ``b``, or of ``a``, and then parts of leaves that can't be split."""
+def _split(left: DataFrame, right: DataFrame, place: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], radius: str, position: tuple[str, str, str], most: int, depth: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides in cells (``place``), crowded ones split: an octree whose leaves have at most ``most`` rows of ``b``, or of ``a``, and then parts of leaves that can't be split.
+
+    A cell is split only as long as its halves are no smaller than the largest radius there: below that a ball meets nearly all
+    small cells that it covers, so rows of ``a`` would multiply while the rows of a cell hardly get fewer.
+    Rows are held once, before they go to cells, so that what deals them stays the same whenever they are read.
+    """
     from .graph import checkpointed
 
     keys = ["_o", "_l", "_c0", "_c1", "_c2"]
-    here = lambda side: side.where(F.col("_l") == level).select(*keys)
-    level, held = 0, False
+    side = lambda level: F.col("_size") / (2.0**level)
+    (a, b), held, dealt, level = place(left, right), False, [], 0
     while True:
-        of_a, of_b = here(a).withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0)), here(b).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))
-        sizes = of_a.union(of_b).groupBy(*keys).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
-        crowded = checkpointed(sizes.where(f"_na > 0 and _nb > 0 and (_na > {most} or _nb > {most})"))
+        here = F.col("_l") == level
+        of_a = a.where(here).select(*keys, "_size", F.lit(1).alias("_a"), F.lit(0).alias("_b"), F.col(f"a.{radius}").cast("double").alias("_r"))
+        of_b = b.where(here).select(*keys, "_size", F.lit(0).alias("_a"), F.lit(1).alias("_b"), F.lit(0.0).alias("_r"))
+        sizes = of_a.union(of_b).groupBy(*keys, "_size").agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"), F.max("_r").alias("_r"))
+        worth = (side(level + 1) >= F.col("_r")) if level < depth else F.lit(False)
+        crowded = checkpointed(sizes.where(f"_na > 0 and _nb > 0 and (_na > {most} or _nb > {most})").withColumn("_worth", worth))
+        if not held and not crowded.isEmpty():
+            a, b = place(*[checkpointed(x.withColumn("_row", F.monotonically_increasing_id())) for x in (left, right)])
+            held = True
+        dealt.append(crowded.where("not _worth"))
+        crowded = crowded.where("_worth")
         if crowded.isEmpty():
-            return a, b, keys
-        if not held:  # both are read again for each level
-            a, b, held = checkpointed(a), checkpointed(b), True
-        if level == depth:
             break
         crowded = crowded.select(*keys, F.lit(True).alias("_split"))
         a, b = a.join(crowded, keys, "left"), b.join(crowded, keys, "left")
-        half = [F.floor(F.col(f"b.{p}") / (F.col("_size") / (2.0 ** (level + 1)))).cast("long") for p in position]
+        half = [F.floor(F.col(f"b.{p}") / side(level + 1)).cast("long") for p in position]
         split = F.coalesce("_split", F.lit(False))
-        b = b.select("b", "_o", (F.col("_l") + split.cast("int")).alias("_l"), *[F.when(split, h).otherwise(F.col(k)).alias(k) for k, h in zip(keys[2:], half)], "_size")
+        b = b.select("b", "_row", "_o", (F.col("_l") + split.cast("int")).alias("_l"), *[F.when(split, h).otherwise(F.col(k)).alias(k) for k, h in zip(keys[2:], half)], "_size")
         children = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(d)]) for d in itertools.product((0, 1), repeat=3)])
-        down = a.where(split).withColumn("_d", F.explode(children)).select("a", "_o", (F.col("_l") + 1).alias("_l"), *[(2 * F.col(k) + F.col(f"_d.d{i}")).alias(k) for i, k in enumerate(keys[2:])], "_size")
+        down = a.where(split).withColumn("_d", F.explode(children)).select("a", "_row", "_o", (F.col("_l") + 1).alias("_l"), *[(2 * F.col(k) + F.col(f"_d.d{i}")).alias(k) for i, k in enumerate(keys[2:])], "_size")
         down = down.where(_reached(F.col("_l"), [F.col(k) for k in keys[2:]], F.col("_size"), F.col(f"a.{radius}"), [F.col(f"a.{p}") for p in position]))
         a, b = checkpointed(a.where(~split).drop("_split").unionByName(down)), checkpointed(b)
         level += 1
-    # leaves at the last level that are crowded still: each row of a side meets all parts of the other side
-    parts = crowded.select(*keys, F.ceil(F.col("_na") / most).cast("long").alias("_pa"), F.ceil(F.col("_nb") / most).cast("long").alias("_pb"))
+    parts = dealt[0]
+    for more in dealt[1:]:
+        parts = parts.union(more)
+    if parts.isEmpty():
+        return a, b, keys
+    # leaves that are crowded still: each row of a side meets all parts of the other side
+    parts = parts.select(*keys, F.ceil(F.col("_na") / most).cast("long").alias("_pa"), F.ceil(F.col("_nb") / most).cast("long").alias("_pb"))
     both = []
-    for side, own, other in ((a, "_pa", "_pb"), (b, "_pb", "_pa")):
-        side = side.join(parts, keys, "left").withColumns({"_pa": F.coalesce("_pa", F.lit(1)), "_pb": F.coalesce("_pb", F.lit(1))})
+    for rows, own, other in ((a, "_pa", "_pb"), (b, "_pb", "_pa")):
+        rows = rows.join(parts, keys, "left").withColumns({"_pa": F.coalesce("_pa", F.lit(1)), "_pb": F.coalesce("_pb", F.lit(1))})
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
         mine, all_ = ("_ka", "_kb") if own == "_pa" else ("_kb", "_ka")
-        both.append(side.withColumn(mine, F.monotonically_increasing_id() % F.col(own)).withColumn(all_, every).drop("_pa", "_pb"))
+        both.append(rows.withColumn(mine, F.col("_row") % F.col(own)).withColumn(all_, every).drop("_pa", "_pb"))
     return *both, [*keys, "_ka", "_kb"]
 
 
@@ -84,24 +99,28 @@ def radius_pairs(
     Cells with more than ``most`` rows of a side are halved again and again, where they are crowded, and balls go to the cells they meet.
     """
     ok = lambda df: df.where(" and ".join(f"{p} is not null and not isnan({p})" for p in position))
-    left = ok(left).where((F.col(radius) >= 0) & (F.col(radius) < float("inf")))  # NaN is above infinity here
+    left = ok(left).withColumn("_row", F.lit(0).cast("long")).where((F.col(radius) >= 0) & (F.col(radius) < float("inf")))  # NaN is above infinity here
+    right = ok(right).withColumn("_row", F.lit(0).cast("long"))
+    a_columns, b_columns = [[c for c in df.columns if c != "_row"] for df in (left, right)]
     if cell is None:
         octave = F.when(F.col(radius) > 0, F.ceil(F.log2(radius))).otherwise(-1000).cast("int")
         levels = left.select(octave.alias("o")).distinct()
         left = left.withColumn("_o", octave)
         size = F.when(F.col("_o") == -1000, F.lit(1.0)).otherwise(F.pow(F.lit(2.0), F.col("_o").cast("double")))
-        right = ok(right).crossJoin(F.broadcast(levels.withColumnRenamed("o", "_o")))  # octaves of a double: 2,100 at most
+        right = right.crossJoin(F.broadcast(levels.withColumnRenamed("o", "_o")))  # octaves of a double: 2,100 at most
     else:
-        left, right, size = left.withColumn("_o", F.lit(0)), ok(right).withColumn("_o", F.lit(0)), F.lit(float(cell))
-    place = lambda: [F.floor(F.col(p) / size) for p in position]
+        left, right, size = left.withColumn("_o", F.lit(0)), right.withColumn("_o", F.lit(0)), F.lit(float(cell))
+    at = [F.floor(F.col(p) / size) for p in position]
     around = F.array(*[F.struct(*[F.lit(v).alias(f"d{i}") for i, v in enumerate(d)]) for d in itertools.product((-1, 0, 1), repeat=3)])
-    a_columns, b_columns = [c for c in left.columns if c != "_o"], [c for c in right.columns if c != "_o"]
     root = [F.lit(0).alias("_l"), size.cast("double").alias("_size")]
-    a = left.withColumn("_d", F.explode(around)).select(F.struct(*a_columns).alias("a"), "_o", *[(c + F.col(f"_d.d{i}")).alias(f"_c{i}") for i, c in enumerate(place())], *root)
-    a = a.where(_reached(F.col("_l"), [F.col(f"_c{i}") for i in range(3)], F.col("_size"), F.col(f"a.{radius}"), [F.col(f"a.{p}") for p in position]))
-    b = right.select(F.struct(*b_columns).alias("b"), "_o", *[c.alias(f"_c{i}") for i, c in enumerate(place())], *root)
-    a, b, keys = _split(a, b, radius, position, most, depth)
-    both = a.drop("_size").join(b.drop("_size"), keys)
+
+    def place(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+        a = left.withColumn("_d", F.explode(around)).select(F.struct(*a_columns).alias("a"), "_row", "_o", *[(c + F.col(f"_d.d{i}")).alias(f"_c{i}") for i, c in enumerate(at)], *root)
+        a = a.where(_reached(F.col("_l"), [F.col(f"_c{i}") for i in range(3)], F.col("_size"), F.col(f"a.{radius}"), [F.col(f"a.{p}") for p in position]))
+        return a, right.select(F.struct(*b_columns).alias("b"), "_row", "_o", *[c.alias(f"_c{i}") for i, c in enumerate(at)], *root)
+
+    a, b, keys = _split(left, right, place, radius, position, most, depth)
+    both = a.drop("_size", "_row").join(b.drop("_size", "_row"), keys)
     distance = norm(*[F.col(f"b.{p}") - F.col(f"a.{p}") for p in position])
     return both.withColumn("distance", distance).where(F.col("distance") <= F.col(f"a.{radius}")).select("a", "b", "distance")
 
