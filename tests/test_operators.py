@@ -115,6 +115,35 @@ def test_skeleton_against_brute_force(spark):
     assert graph.skeleton_edges(alone, UNIT).count() == 0
 
 
+@pytest.mark.parametrize("tile", [2, (5, 3, 40), 32])
+def test_skeleton_graph_whatever_the_tiles(spark, tile):
+    """Nodes and edges from tiles equal those by way of the edge table; two channels, repeated voxels, no radius, no channel, no place."""
+    rng = np.random.default_rng(7)
+    points = sorted({(int(c), *map(int, x)) for c, x in zip(rng.integers(0, 2, 150), rng.integers(-5, 4, (150, 3)))})
+    rows = [(f"c{c}", x, y, z, None if i % 7 == 0 else -float(i)) for i, (c, x, y, z) in enumerate(points)]
+    s = spark.createDataFrame([*rows, rows[3], (None, 0, 0, 0, 1.0), ("c0", None, 0, 0, 1.0)], "channel string, vox_x int, vox_y int, vox_z long, radius double")
+    matrix = [[2.0, 0, 0, 10], [0, 3.0, 0, 20], [0, 0, 4.0, 30], [0, 0, 0, 1]]
+    edges = graph.checkpointed(graph.skeleton_edges(s, matrix, tile))
+    radius = {r[:4]: None if r[4] is None else -r[4] for r in rows}
+    want = {(p, q) for p, q in itertools.combinations(sorted(radius), 2) if p[0] == q[0] and max(abs(a - b) for a, b in zip(p[1:], q[1:])) <= 1}
+    got = [((r[0], *r[1:4]), (r[0], *r[4:7])) for r in edges.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert all((r["src_radius"], r["dst_radius"]) == (radius[(r[0], *r[1:4])], radius[(r[0], *r[4:7])]) for r in edges.collect())
+    assert edges.schema["src_vox_x"].dataType == s.schema["vox_x"].dataType
+    nodes, plain = graph.skeleton_nodes(s, matrix, tile), graph.nodes_of(edges)
+    assert sorted(map(repr, nodes.collect())) == sorted(map(repr, plain.collect()))
+    assert sorted(graph.skeleton_graph_edges(nodes, matrix, tile).collect()) == sorted(graph.edges_with_nodes(edges, plain).collect())
+
+
+def test_dense_ids_without_a_second_shuffle(spark):
+    """Ranges are numbered as they are written: what is left is a scan and a small table."""
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"))
+    out = graph.dense_ids(df, ["x"], "n")
+    assert sorted(out.collect()) == [(x, x) for x in range(1000)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "row_number" not in plan  # the running sum of the ranges' sizes
+
+
 def test_components_and_distances_against_brute_force(spark):
     rng = np.random.default_rng(3)
     points = sorted({tuple(x) for x in rng.integers(0, 7, (70, 3))})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -59,32 +60,103 @@ def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """0, 1, 2... in a total order: ranges are sorted and numbered by themselves, then shifted by the rows before them.
+    """0, 1, 2... in a total order: ranges are sorted, numbered by themselves and written, then shifted by the rows before them.
 
     Only the number of rows of each range meets in one task.  Equal rows get neighbouring numbers.
     """
-    ranged = checkpointed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("_rank", rank).join(before, "_part").withColumn(name, (F.col("_before") + F.col("_rank") - 1).cast("long")).drop("_part", "_size", "_before", "_rank")
+    numbered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    path = f"{shared_folder(df.sparkSession)}/ranges-{uuid.uuid4().hex}"
+    numbered.write.parquet(path)
+    ranged = df.sparkSession.read.schema(numbered.schema).parquet(path)
+    part = F.shiftright("_at", 33)  # the range; the other bits count its rows
+    sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    out = ranged.withColumn("_part", part).join(F.broadcast(before), "_part")  # a row for each range
+    return out.withColumn(name, (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).cast("long")).drop("_part", "_before", "_at")
 
 
-def skeleton_edges(skeleton: DataFrame, matrix: list[list[float]]) -> DataFrame:
+_LATER = [d for d in itertools.product((-1, 0, 1), repeat=3) if d > (0, 0, 0)]
+
+
+def _tile_edges(names: list[str]):
+    """Function of a tile: its voxels with those of their 13 later neighbours that are there, and the values of both."""
+
+    def step(block: Block) -> dict[str, np.ndarray]:
+        src, dst = [], []
+        core = block.core
+        own = np.argwhere(block.there[core]) + np.array(block.halo)
+        for d in _LATER:
+            beside = own + np.array(d)
+            both = block.there[tuple(beside.T)]
+            src.append(own[both])
+            dst.append(beside[both])
+        src, dst = np.concatenate(src), np.concatenate(dst)
+        out = {f"{e}_v{a}": x[:, i] + block.low[i] for e, x in (("src", src), ("dst", dst)) for i, a in enumerate("xyz")}
+        return out | {f"{e}_{n}": block.values[n][tuple(x.T)] for e, x in (("src", src), ("dst", dst)) for n in names}
+
+    return step
+
+
+def _tile_ends(names: list[str]):
+    """Function of a tile: its voxels that touch another one, with their values."""
+
+    def step(block: Block) -> dict[str, np.ndarray]:
+        own = np.argwhere(block.there[block.core]) + np.array(block.halo)
+        touching = np.zeros(len(own), bool)
+        for d in [*_LATER, *(tuple(-x for x in d) for d in _LATER)]:
+            touching |= block.there[tuple((own + np.array(d)).T)]
+        own = own[touching]
+        return {a: own[:, i] + block.low[i] for i, a in enumerate(AXES)} | {n: block.values[n][tuple(own.T)] for n in names}
+
+    return step
+
+
+def _placed(skeleton: DataFrame) -> DataFrame:
+    """channel, vx, vy, vz, the radius without its sign, and whether it is NULL; voxels without a place or channel touch none."""
+    where = skeleton.where(" and ".join(f"{c} is not null" for c in ("channel", *VOXEL)))
+    radius = F.abs("radius").cast("double")
+    return where.select("channel", *[F.col(v).alias(a) for v, a in zip(VOXEL, AXES)], F.coalesce(radius, F.lit(0.0)).alias("radius"), radius.isNull().alias("none"))
+
+
+def skeleton_edges(skeleton: DataFrame, matrix: list[list[float]], tile: int | tuple[int, int, int] = TILE) -> DataFrame:
     """Edge list of a skeleton: a row for each two voxels (of one channel) that touch, by face, edge or corner.
 
-    ``skeleton`` has channel, vox_x, vox_y, vox_z and radius.  Of the 26 neighbours the 13 that come later in (x, y, z) order are joined,
-    so each edge appears once, from the smaller voxel on.  A skeleton without neighbours gives no rows.
+    ``skeleton`` has channel, vox_x, vox_y, vox_z and radius; repeated voxels count once.  Of the 26 neighbours the 13 that come later in (x, y, z) order
+    are looked up in tiles with a halo, so each edge appears once, from the smaller voxel on.  A skeleton without neighbours gives no rows.
     """
-    later = [d for d in itertools.product((-1, 0, 1), repeat=3) if d > (0, 0, 0)]
-    steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip("xyz", d)]) for d in later])
-    src = skeleton.select("channel", *[F.col(v).alias(f"src_{v}") for v in VOXEL], F.abs("radius").alias("src_radius")).withColumn("_d", F.explode(steps))
-    src = src.withColumns({f"dst_{v}": F.col(f"src_{v}") + F.col(f"_d.{v[-1]}") for v in VOXEL}).drop("_d")
-    dst = skeleton.select("channel", *[F.col(v).alias(f"dst_{v}") for v in VOXEL], F.abs("radius").alias("dst_radius"))
-    edges = src.join(dst, ["channel", *(f"dst_{v}" for v in VOXEL)])
+    columns = ", ".join([f"{e}_v{a} long" for e in ("src", "dst") for a in "xyz"] + [f"{e}_radius double, {e}_none boolean" for e in ("src", "dst")])
+    found = tiled(_placed(skeleton), _tile_edges(["radius", "none"]), columns, 1, tile, ("channel",))
+    kinds = {c: skeleton.schema[c].dataType for c in (*VOXEL, "radius")}
+    edges = found.select(
+        "channel", *[F.col(f"{e}_v{v[-1]}").cast(kinds[v]).alias(f"{e}_{v}") for e in ("src", "dst") for v in VOXEL],
+        *[F.when(~F.col(f"{e}_none"), F.col(f"{e}_radius")).cast(kinds["radius"]).alias(f"{e}_radius") for e in ("src", "dst")],
+    )
+    return _measured(edges, matrix).select(*EDGE_COLUMNS)
+
+
+def _measured(edges: DataFrame, matrix: list[list[float]]) -> DataFrame:
+    """Add the positions of both ends and edge_length."""
     for e in ("src", "dst"):
         edges = edges.withColumns({f"{e}_{a}": c for a, c in zip("xyz", affine(matrix, *[F.col(f"{e}_{v}") for v in VOXEL]))})
-    return edges.withColumn("edge_length", norm(*[F.col(f"dst_{a}") - F.col(f"src_{a}") for a in "xyz"])).select(*EDGE_COLUMNS)
+    return edges.withColumn("edge_length", norm(*[F.col(f"dst_{a}") - F.col(f"src_{a}") for a in "xyz"]))
+
+
+def skeleton_nodes(skeleton: DataFrame, matrix: list[list[float]], tile: int | tuple[int, int, int] = TILE) -> DataFrame:
+    """What ``nodes_of(skeleton_edges(...))`` gives, without the edges: the voxels that touch another one, numbered."""
+    ends = tiled(_placed(skeleton), _tile_ends(["radius", "none"]), "vx long, vy long, vz long, radius double, none boolean", 1, tile, ("channel",))
+    nodes = dense_ids(ends, ["channel", "vz", "vy", "vx"], "node_id")
+    at = affine(matrix, *[F.col(a) for a in AXES])
+    return nodes.select("node_id", "channel", *[F.col(a).cast(skeleton.schema[v].dataType).alias(v) for v, a in zip(VOXEL, AXES)], *[c.alias(a) for a, c in zip("xyz", at)], F.when(~F.col("none"), F.col("radius")).alias("radius"))
+
+
+def skeleton_graph_edges(nodes: DataFrame, matrix: list[list[float]], tile: int | tuple[int, int, int] = TILE) -> DataFrame:
+    """What ``edges_with_nodes(skeleton_edges(...), nodes)`` gives, from the nodes of a skeleton alone: tiles know the numbers of both ends, so nothing is joined."""
+    placed = nodes.select("channel", *[F.col(v).alias(a) for v, a in zip(VOXEL, AXES)], "node_id")
+    columns = ", ".join([f"{e}_v{a} long" for e in ("src", "dst") for a in "xyz"] + ["src_node_id long", "dst_node_id long"])
+    found = tiled(placed, _tile_edges(["node_id"]), columns, 1, tile, ("channel",))
+    order, voxel = ["channel", "src_node_id", "dst_node_id"], [f"{e}_{v}" for e in ("src", "dst") for v in VOXEL]
+    named = found.select(*order, *[F.col(f"{e}_v{v[-1]}").cast(nodes.schema[v].dataType).alias(f"{e}_{v}") for e in ("src", "dst") for v in VOXEL])
+    return _measured(dense_ids(named, order, "edge_id"), matrix).select("edge_id", *order, "edge_length", *voxel)
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:
@@ -114,16 +186,16 @@ def nodes_of(edges: DataFrame) -> DataFrame:
 def edges_with_nodes(edges: DataFrame, nodes: DataFrame, check: bool = True) -> DataFrame:
     """edge_id, channel, src_node_id, dst_node_id, edge_length and voxels.  ValueError if an end is not among the nodes."""
     require_columns(edges, EDGE_COLUMNS)
-    out = edges
+    voxel = [f"{e}_{v}" for e in ("src", "dst") for v in VOXEL]
+    out = edges.select("channel", *voxel, "edge_length")
     for e in ("src", "dst"):
         named = nodes.select("channel", *[F.col(v).alias(f"{e}_{v}") for v in VOXEL], F.col("node_id").alias(f"{e}_node_id"))
         out = out.join(named, ["channel", *(f"{e}_{v}" for v in VOXEL)], "left")
-    if check:
-        out = checkpointed(out)  # read for the test and for the numbering
-        if not out.where("src_node_id is null or dst_node_id is null").isEmpty():
-            raise ValueError("an edge ends at a voxel that is not a node")
     order = ["channel", "src_node_id", "dst_node_id"]
-    return dense_ids(out, order, "edge_id").select("edge_id", *order, "edge_length", *(f"{e}_{v}" for e in ("src", "dst") for v in VOXEL))
+    out = dense_ids(out, order, "edge_id").select("edge_id", *order, "edge_length", *voxel)  # written once, read for the test and the result
+    if check and not out.where("src_node_id is null or dst_node_id is null").isEmpty():
+        raise ValueError("an edge ends at a voxel that is not a node")
+    return out
 
 
 def _local_roots(there: np.ndarray, steps: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:

@@ -45,13 +45,14 @@ class Block:
 
 
 def tiled(
-    voxels: DataFrame, function: Callable[[Block], dict[str, np.ndarray]], schema: T.StructType | str, halo: int | tuple[int, int, int] = 1, tile: int | tuple[int, int, int] = TILE
+    voxels: DataFrame, function: Callable[[Block], dict[str, np.ndarray]], schema: T.StructType | str, halo: int | tuple[int, int, int] = 1, tile: int | tuple[int, int, int] = TILE, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """The rows that ``function`` makes of every tile that has a voxel of its own; what it returns are columns of one length by name.
 
     ``voxels`` has vx, vy, vz (whole numbers without NULL, each place once; of several rows one counts) and columns of numbers.  The result of a stencil
     whose reach is within the halo doesn't depend on the tiles.  Tiles are dealt by their place, a task holds one at a time, and
     one whose dense array would be above ``BLOCK_BYTES`` is refused at once.  An empty table gives no rows.
+    Columns named in ``by`` (without NULL) tell volumes apart that have tiles of their own; they come first in the result.
     """
     halo, tile = ((x,) * 3 if isinstance(x, int) else tuple(x) for x in (halo, tile))
     shape = tuple(n + 2 * h for n, h in zip(tile, halo))
@@ -59,24 +60,26 @@ def tiled(
         raise ValueError(f"a tile of {tile} with a halo of {halo} has more than {BLOCK_BYTES} bytes")
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = {T.LongType(): pa.int64(), T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(), T.IntegerType(): pa.int32()}
-    names = [c for c in voxels.columns if c not in AXES]
+    full = T.StructType([*(voxels.schema[c] for c in by), *schema])
+    names = [c for c in voxels.columns if c not in (*AXES, *by)]
     keys = [f"_t{a}" for a in AXES]
-    dealt = voxels.select(*[F.col(a).cast("long").alias(a) for a in AXES], *[F.col(f"`{c}`") for c in names])
+    dealt = voxels.select(*[F.col(a).cast("long").alias(a) for a in AXES], *[F.col(f"`{c}`") for c in (*by, *names)])
     for a, k, n, h in zip(AXES, keys, tile, halo):
         own = F.floor(F.col(a) / n)
         dealt = dealt.withColumn(k, F.explode(F.sequence(F.floor((F.col(a) - h) / n), F.floor((F.col(a) + h) / n))) if h else own)
         dealt = dealt.withColumn(f"_own{k}", F.col(k) == own)
     # a tile without a voxel of its own has nothing to say
     owned = F.col(f"_own{keys[0]}") & F.col(f"_own{keys[1]}") & F.col(f"_own{keys[2]}")
-    dealt = dealt.withColumn("_own", owned).select(*keys, "_own", *AXES, *names)
+    dealt = dealt.withColumn("_own", owned).select(*by, *keys, "_own", *AXES, *names)
 
-    def solved(key: tuple, parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch | None:
+    def solved(volume: tuple, key: tuple, parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch | None:
         v = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
         if not v["_own"].any():
             return None
         low = np.array(key) * tile - halo
         out = function(Block(low, shape, halo, np.stack([v[a] for a in AXES], axis=1), {c: v[c] for c in names}))
-        return pa.RecordBatch.from_arrays([pa.array(out[f.name], arrow[f.dataType]) for f in schema], schema.names)
+        columns = [pa.array(out[f.name], arrow[f.dataType]) for f in schema]
+        return pa.RecordBatch.from_arrays([*(pa.repeat(x, len(columns[0])) for x in volume), *columns], full.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -85,19 +88,23 @@ def tiled(
                 continue
             v = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("_own", *AXES, *names)}
             place = np.stack([batch.column(k).to_numpy() for k in keys], axis=1)
-            cuts = [0, *(np.flatnonzero((np.diff(place, axis=0) != 0).any(axis=1)) + 1).tolist(), len(place)]
+            changes = (np.diff(place, axis=0) != 0).any(axis=1)
+            for c in by:
+                x = batch.column(c).to_numpy(zero_copy_only=False)
+                changes |= x[1:] != x[:-1]
+            cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(place)]
             for a, b in zip(cuts, cuts[1:]):
-                key = tuple(place[a].tolist())
+                key = (tuple(batch.column(c)[a] for c in by), tuple(place[a].tolist()))
                 if key != now and held:
-                    if (out := solved(now, held)) is not None:
+                    if (out := solved(*now, held)) is not None:
                         yield out
                     held = []
                 now = key
                 held.append({c: x[a:b] for c, x in v.items()})
-        if held and (out := solved(now, held)) is not None:
+        if held and (out := solved(*now, held)) is not None:
             yield out
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return dealt.repartition(*by, *keys).sortWithinPartitions(*by, *keys).mapInArrow(run, full)
 
 
 def box_mean(voxels: DataFrame, reach: int = 1, value: str = "value", tile: int | tuple[int, int, int] = TILE) -> DataFrame:

@@ -844,31 +844,35 @@ FROM (SELECT s.*, x + i AS nx, y + j AS ny, z + k AS nz FROM s CROSS JOIN d) a J
 _SPACING = [[2.0, 0, 0, 10], [0, 3.0, 0, 20], [0, 0, 4.0, 30], [0, 0, 0, 1]]
 
 
-def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges between the voxels of all line items; the volume grows along z with the orders."""
+def _skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The voxels of all line items, some more than once; the volume grows along z with the orders."""
     place = {"vox_x": F.col("l_partkey") % 60, "vox_y": F.col("l_suppkey") % 60, "vox_z": F.expr("l_orderkey div 100")}
-    s = table(spark, sf_dir, "lineitem").select((F.col("l_linenumber") % 2).cast("long").alias("channel"), *[c.cast("long").alias(a) for a, c in place.items()]).distinct()
-    return graph.skeleton_edges(s.withColumn("radius", (-(F.col("vox_x") + F.col("vox_y")) % 5).cast("double")), _SPACING)
+    s = table(spark, sf_dir, "lineitem").select((F.col("l_linenumber") % 2).cast("long").alias("channel"), *[c.cast("long").alias(a) for a, c in place.items()])
+    return s.withColumn("radius", (-(F.col("vox_x") + F.col("vox_y")) % 5).cast("double"))
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.skeleton_edges(_skeleton(spark, sf_dir), _SPACING)
 
 
 @query(_SKELETON + "SELECT channel, ax AS src_vox_x, ay AS src_vox_y, az AS src_vox_z, bx AS dst_vox_x, b_y AS dst_vox_y, bz AS dst_vox_z, round(len, 6) AS edge_length, CAST(ra AS DOUBLE) AS src_radius FROM e")
 def edge_list_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges of a skeleton between touching voxels, each once."""
-    return graph.distinct_edges(_edges(spark, sf_dir)).select("channel", *[f"{e}_{v}" for e in ("src", "dst") for v in graph.VOXEL], F.round("edge_length", 6).alias("edge_length"), "src_radius")
+    return _edges(spark, sf_dir).select("channel", *[f"{e}_{v}" for e in ("src", "dst") for v in graph.VOXEL], F.round("edge_length", 6).alias("edge_length"), "src_radius")
 
 
 @query(_SKELETON + """, n AS (SELECT DISTINCT channel, x, y, z, r FROM (SELECT channel, ax AS x, ay AS y, az AS z, ra AS r FROM e UNION ALL SELECT channel, bx, b_y, bz, rb FROM e))
 SELECT row_number() OVER (ORDER BY channel, z, y, x) - 1 AS node_id, channel, x AS vox_x, y AS vox_y, z AS vox_z, round(CAST(2 * x + 10 AS DOUBLE), 4) AS x, round(CAST(r AS DOUBLE), 4) AS radius FROM n""")
 def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.nodes_of(_edges(spark, sf_dir)).select("node_id", "channel", *graph.VOXEL, r4("x").alias("x"), r4("radius").alias("radius"))
+    return graph.skeleton_nodes(_skeleton(spark, sf_dir), _SPACING).select("node_id", "channel", *graph.VOXEL, r4("x").alias("x"), r4("radius").alias("radius"))
 
 
 @query(_SKELETON + """, n AS (SELECT *, row_number() OVER (ORDER BY channel, z, y, x) - 1 AS id FROM (SELECT channel, ax AS x, ay AS y, az AS z FROM e UNION SELECT channel, bx, b_y, bz FROM e))
 SELECT row_number() OVER (ORDER BY e.channel, p.id, q.id) - 1 AS edge_id, e.channel, p.id AS src_node_id, q.id AS dst_node_id, round(len, 6) AS edge_length
 FROM e JOIN n p ON p.channel = e.channel AND p.x = ax AND p.y = ay AND p.z = az JOIN n q ON q.channel = e.channel AND q.x = bx AND q.y = b_y AND q.z = bz""")
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = graph.checkpointed(_edges(spark, sf_dir))  # for the nodes, the test of the ends and the numbering
-    return graph.edges_with_nodes(e, graph.nodes_of(e)).select("edge_id", "channel", "src_node_id", "dst_node_id", F.round("edge_length", 6).alias("edge_length"))
+    nodes = graph.skeleton_nodes(_skeleton(spark, sf_dir), _SPACING)
+    return graph.skeleton_graph_edges(nodes, _SPACING).select("edge_id", "channel", "src_node_id", "dst_node_id", F.round("edge_length", 6).alias("edge_length"))
 
 
 def _mask(spark: SparkSession, sf_dir: str, side: int) -> DataFrame:
