@@ -1,5 +1,6 @@
 """Behaviour on small tables: predicates, contrasts, merges, graphs, distances, labels and metadata."""
 
+import hashlib
 import itertools
 import json
 import math
@@ -452,6 +453,19 @@ def test_radius_join_against_brute_force(spark):
     assert got == want
 
 
+def test_seeded_sample_of_long_groups(spark):
+    """The first rows of each group, NULL ones among them, by digest; batches of rows hand on a few each, and only those are sorted."""
+    rows = [(i, None if i % 3 == 0 else f"g{i % 3}", i % 2, float(i)) for i in range(5000)] + [(9000, "alone", 1, 0.0), (None, "g1", 1, 0.0), (None, "g1", 1, 0.0)]
+    df = spark.createDataFrame(rows, "id long, g string, h int, v double").repartition(2)
+    got = spatial.seeded_sample(df, "id", 4, groups=("g", "h"))
+    want: dict = {}
+    for r in rows:
+        want.setdefault(r[1:3], []).append((hashlib.md5(b"42" if r[0] is None else f"42:{r[0]}".encode()).hexdigest(), r[0] or 0, r))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(x[2]) for v in want.values() for x in sorted(v, key=lambda x: x[:2])[:4])
+    few = spatial._first_of_batches(df.withColumn("p", F.md5(F.col("id").cast("string"))), 4, ("g", "h"), "p", "id")
+    assert few.count() < 100
+
+
 def test_histogram_and_grids(spark):
     d = spark.createDataFrame([(float(x),) for x in (0, 0.5, 9.99, 10, -1, 11)], "v double")
     assert [r["count"] for r in aggregates.histogram(d, "v", 0, 10, 5).orderBy("bin").collect()] == [2, 0, 0, 0, 2]
