@@ -67,3 +67,16 @@ def test_it_tells_order_and_edits():
     assert 1 > few > more > many
     blocks = [base[i : i + 400] for i in range(0, 4000, 400)]
     assert same("".join(reversed(blocks))) < 0.75  # nearly all k-mers are there still
+
+
+def test_kmers_that_share_half_a_hash_are_put_apart_alone(monkeypatch):
+    """Equal to a whole sort by (text, hash, place); only runs with different k-mers are sorted again."""
+    rng = np.random.default_rng(3)
+    doc = np.repeat(np.arange(40), 50)
+    gram = rng.integers(0, 30, 2000).astype(np.uint64) << np.uint64(32) | (rng.random(2000) < 0.1).astype(np.uint64) * rng.integers(1, 3, 2000).astype(np.uint64)
+    by = np.lexsort((np.arange(2000), gram >> np.uint64(32), doc))
+    want = np.lexsort((np.arange(2000), gram, doc))
+    sizes, plain = [], np.lexsort
+    monkeypatch.setattr(om.np, "lexsort", lambda keys: sizes.append(len(keys[0])) or plain(keys))
+    assert (om._settled(by, doc, gram) == want).all()
+    assert sizes and max(sizes) < 2000

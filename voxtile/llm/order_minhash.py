@@ -38,8 +38,13 @@ def _settled(by: np.ndarray, doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """An order by (text, upper half of the hash, place) with the rare k-mers that share only the upper half put apart."""
     d, g = doc[by], gram[by]
     same = (d[1:] == d[:-1]) & (g[1:] >> np.uint64(32) == g[:-1] >> np.uint64(32))
-    if (same & (g[1:] != g[:-1])).any():
-        return by[np.lexsort((by, g, d))]
+    mixed = same & (g[1:] != g[:-1])
+    if mixed.any():
+        run = np.concatenate([[0], np.cumsum(~same)])
+        of = np.zeros(run[-1] + 1, bool)
+        of[run[1:][mixed]] = True
+        at = np.flatnonzero(of[run])  # only these few are sorted again
+        by[at] = by[at][np.lexsort((by[at], g[at], run[at]))]
     return by
 
 
