@@ -60,14 +60,27 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
         yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until their texts have ``least`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_blocks(
-    df: DataFrame, column: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: T.StructType | str, most: int = BLOCK_BYTES
+    df: DataFrame, column: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: T.StructType | str, most: int = BLOCK_BYTES, fill: bool = False
 ) -> DataFrame:
-    """``map_arrow`` with slices of bounded text; ``make`` runs once a task and returns the function of a slice."""
+    """``map_arrow`` with slices of bounded text; ``make`` runs once a task and returns the function of a slice.  With ``fill``, batches below the bound are put together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
+        for batch in gathered(batches, column, most) if fill else batches:
             for part in blocks(batch, column, most):
                 yield step(part)
 
@@ -104,6 +117,16 @@ def give_back() -> None:
         trim(0)
 
 
+def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of all texts one after another (binary), and the number of words of each text; null has none."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    flat = lists.flatten().cast(pa.binary())
+    some = np.asarray(pc.binary_length(flat)) > 0  # a text that begins or ends with a separator has empty parts there
+    before = np.concatenate([[0], np.cumsum(some)])
+    at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)), dtype=np.int64)])
+    return flat.filter(pa.array(some)), np.diff(before[at])
+
+
 def hash_words(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
     """64-bit hashes of words (xxh3, equal in every process); ``cache`` holds those seen and is emptied when large."""
     if len(cache) > 150_000:

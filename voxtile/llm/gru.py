@@ -11,11 +11,15 @@ import heapq
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Sizes: words of the vocabulary, classes they are dealt to, members of a class at most, open classes, embedding, state.
 VOCABULARY, CLASSES, CLASS_WORDS, OPEN_CLASSES, EMBED, STATE = 1024, 24, 64, 32, 16, 16
 #: Steps of truncated backpropagation, sequences that run side by side, and tokens after which training begins a new state.
 STEPS, LANES, PIECE = 20, 128, 1000
+#: Rows whose scores of classes are held at once.
+CHUNK = 1024
 
 END = b"\n"  # no word is a line feed
 
@@ -49,6 +53,14 @@ class Vocabulary:
             self.slot[m] = np.arange(len(m))
         self.size = size
 
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Ids of an Arrow array of words; each different start of a word outside the vocabulary is hashed once."""
+        out = np.array(pc.index_in(words, value_set=pa.array(self.words, pa.binary())).fill_null(-1))
+        if (out < 0).any():
+            start = pc.binary_slice(words.filter(pa.array(out < 0)), 0, 3).dictionary_encode()
+            out[out < 0] = np.array([self.size + open_class(w) for w in start.dictionary.to_pylist()], np.int32)[start.indices.to_numpy()]
+        return out
+
     def ids(self, words: list[bytes], cache: dict[bytes, int]) -> list[int]:
         """Ids of words; ``cache`` keeps those of words outside the vocabulary and is emptied when large."""
         if len(cache) > 400_000:
@@ -85,7 +97,9 @@ def lanes(documents: list[np.ndarray], width: int = LANES, most: int | None = No
     A document's inputs start with the end mark, its targets finish with it.  A later piece begins with the token before it and a new state.
     """
     pieces = [(i, a, min(a + (most or len(d) + 1), len(d) + 1)) for i, d in enumerate(documents) for a in range(0, len(d) + 1, most or len(d) + 1)]
-    width = max(1, min(width, len(pieces)))
+    length = [b - a for _, a, b in pieces]
+    # no more lanes than fill the longest piece's steps twice: the arrays stay in proportion to the tokens
+    width = max(1, min(width, len(pieces), 2 * sum(length) // max(length, default=1) + 1))
     heap = [(0, k) for k in range(width)]
     dealt: list[list[tuple[int, int, int]]] = [[] for _ in range(width)]
     for i, a, b in sorted(pieces, key=lambda x: (x[1] - x[2], x)):
@@ -110,91 +124,126 @@ def lanes(documents: list[np.ndarray], width: int = LANES, most: int | None = No
     return inputs, targets, begins, of
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """The logistic function, in place."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
-def softmax(score: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Shares by row, in place: large arrays cost more to allocate than to fill."""
-    score += bias
-    score -= score.max(axis=1, keepdims=True)
+def _exps(score: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """exp of scores, in place, and 1 / its sums by row; rows are shifted by their largest score unless no exp can leave the numbers' range."""
+    if not safe:
+        score -= score.max(axis=1, keepdims=True)
     np.exp(score, out=score)
-    score /= score.sum(axis=1, keepdims=True)
-    return score
+    return score, 1 / (score @ np.ones(score.shape[1], score.dtype))
 
 
 def run_window(p: dict[str, np.ndarray], v: Vocabulary, table: np.ndarray, inputs, targets, begins, h: np.ndarray, learn: bool):
-    """One window of steps: log probabilities of the targets (0 where there is none), the last state, and gradients."""
+    """One window of steps: log probabilities of the targets (0 where there is none), the last state, and gradients.
+
+    Inside, states and gates lie lane by lane (unit, lane), so that every step works on whole arrays; a last column of ones carries the biases.
+    """
     steps, width = inputs.shape
-    s, u = STATE, p["hidden"]
-    states, before, gates = np.empty((steps, width, s), np.float32), [], []
-    for t in range(steps):
-        h = np.where(begins[t][:, None], np.float32(0), h)
-        a, g = table[inputs[t]], h @ u
-        zr = _sigmoid(a[:, : 2 * s] + g[:, : 2 * s])
-        z, r = zr[:, :s], zr[:, s:]
-        n = np.tanh(a[:, 2 * s :] + r * g[:, 2 * s :])
-        if learn:
-            before.append(h)
-            gates.append((z, r, n, g[:, 2 * s :]))
-        h = n + z * (h - n)
-        states[t] = h
-    flat, goal = states.reshape(-1, s), targets.ravel()
+    s, kind = STATE, table.dtype
+    sign = np.repeat(np.array([-1, 1], kind), [2 * s, s])  # exp(-x) is what the gates are made of
+    u = np.ascontiguousarray((p["hidden"] * sign).T)
+    added = np.ascontiguousarray((table * sign)[inputs].transpose(0, 2, 1))
+    keep, new = (~begins).astype(kind), begins.any(axis=1)
+    states, h = np.empty((steps, s, width), kind), np.ascontiguousarray(h.T, kind)
+    gates, news = np.empty((steps, 3 * s, width), kind), np.empty((steps, s, width), kind)
+    before = np.empty((steps, s, width), kind) if learn else None
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            if new[t]:
+                h = h * keep[t]
+            g, n = np.matmul(u, h, out=gates[t]), news[t]
+            d = g[: 2 * s]  # 1 / d are the gates z and r
+            d += added[t, : 2 * s]
+            np.exp(d, out=d)
+            d += 1
+            np.divide(g[2 * s :], d[s:], out=n)
+            n += added[t, 2 * s :]
+            np.tanh(n, out=n)
+            if learn:
+                before[t] = h
+            h = np.subtract(h, n, out=states[t])
+            h /= d[:s]
+            h += n
+    flat = np.ones((steps * width, s + 1), kind)
+    flat.reshape(steps, width, s + 1)[:, :, :s] = states.transpose(0, 2, 1)
+    goal = targets.ravel()
     some = np.flatnonzero(goal >= 0)
+    label = v.class_of[goal[some]].astype(np.uint16)
+    by = np.argsort(label, kind="stable")  # of 16 bits: by radix
+    some, label = some[by], label[by]
     x, y = flat[some], goal[some]
     rows = np.arange(len(y))
-    label = v.class_of[y]
-    share = softmax(x @ p["to_class"], p["class_bias"])
-    log_p = np.log(np.maximum(share[rows, label], 1e-30))
-    grads, dx = None, None
+    to_class, to_word = np.vstack([p["to_class"], p["class_bias"]]), np.column_stack([p["to_word"], p["word_bias"]])
+    # no state is beyond 1, so weights bound the scores
+    safe = [np.abs(to_class).sum(axis=0).max() <= 60, np.abs(to_word).sum(axis=1).max() <= 60]
+    chosen, grads, dx = np.empty(len(y), kind), None, None
     if learn:
-        grads = {k: np.zeros_like(a) for k, a in p.items()}
-        share[rows, label] -= 1
-        dx = share @ p["to_class"].T
-        grads["to_class"], grads["class_bias"] = x.T @ share, share.sum(axis=0)
-    by = np.argsort(label, kind="stable")
-    edge = np.searchsorted(label[by], np.arange(v.closed + 1))
+        grads, dx = {k: np.zeros_like(a) for k, a in p.items()}, np.empty((len(y), s), kind)
+        into_class, into_word = np.zeros_like(to_class), np.zeros_like(to_word)
+    for a in range(0, len(y), CHUNK):  # rows whose scores stay in the processor's cache
+        own = slice(a, a + CHUNK)
+        share, part_of = _exps(x[own] @ to_class, safe[0])
+        at = rows[: len(share)], label[own]
+        chosen[own] = share[at] * part_of
+        if learn:
+            share *= part_of[:, None]
+            share[at] -= 1
+            np.matmul(share, p["to_class"].T, out=dx[own])
+            into_class += x[own].T @ share
+    log_p = np.log(np.maximum(chosen, 1e-30))
+    edge = np.searchsorted(label, np.arange(v.closed + 1)).tolist()
+    slot = v.slot[np.minimum(y, v.size - 1)]
     for k, m in enumerate(v.members):
-        own = by[edge[k] : edge[k + 1]]
-        if len(own) and len(m) > 1:
-            w = p["to_word"][m]
-            part = softmax(x[own] @ w.T, p["word_bias"][m])
-            slot = v.slot[y[own]]
-            at = np.arange(len(own))
-            log_p[own] += np.log(np.maximum(part[at, slot], 1e-30))
+        own, of = slice(edge[k], edge[k + 1]), slice(m[0], m[-1] + 1)  # a class has neighbouring ids
+        if edge[k] < edge[k + 1] and len(m) > 1:
+            part, part_of = _exps(x[own] @ to_word[of].T, safe[1])
+            at = rows[: len(part)], slot[own]
+            chosen[own] = part[at] * part_of
             if learn:
-                part[at, slot] -= 1
-                dx[own] += part @ w
-                grads["to_word"][m] += part.T @ x[own]
-                grads["word_bias"][m] += part.sum(axis=0)
+                part *= part_of[:, None]
+                part[at] -= 1
+                dx[own] += part @ to_word[of, :s]
+                into_word[of] = part.T @ x[own]
+        else:
+            chosen[own] = 1
+    chosen[edge[-1] :] = 1
+    log_p += np.log(np.maximum(chosen, 1e-30))
     out = np.zeros(steps * width, np.float32)
     out[some] = log_p
     if learn:
-        dflat = np.zeros_like(flat)
+        grads["to_class"], grads["class_bias"] = into_class[:s], into_class[s]
+        grads["to_word"], grads["word_bias"] = np.ascontiguousarray(into_word[:, :s]), into_word[:, s].copy()
+        dflat = np.zeros((steps * width, s), kind)
         dflat[some] = dx
-        dstates = dflat.reshape(states.shape)
-        dh, added = np.zeros((width, s), np.float32), np.empty((steps, width, table.shape[1]), table.dtype)
+        dstates = np.ascontiguousarray(dflat.reshape(steps, width, s).transpose(0, 2, 1))
+        # what a change of the state, times these, is for each gate's sum, whole windows at once
+        zr = 1 / gates[:, : 2 * s]
+        z, r = zr[:, :s], zr[:, s:]
+        for_n = (1 - z) * (1 - news * news)
+        factor = np.empty((steps, 3, s, width), kind)
+        factor[:, 0] = (before - news) * z * (1 - z)
+        factor[:, 1] = for_n * gates[:, 2 * s :] * r * (1 - r)
+        factor[:, 2] = for_n * r
+        dh, hidden = np.zeros((s, width), kind), np.ascontiguousarray(p["hidden"])
         for t in range(steps - 1, -1, -1):
-            dh = dh + dstates[t]
-            (z, r, n, gn), h0 = gates[t], before[t]
-            dz = dh * (h0 - n) * z * (1 - z)
-            dn = dh * (1 - z) * (1 - n * n)
-            da = np.concatenate([dz, dn * gn * r * (1 - r), dn], axis=1)
-            dg = np.concatenate([da[:, : 2 * s], dn * r], axis=1)
-            added[t] = da
-            grads["hidden"] += h0.T @ dg
-            dh = np.where(begins[t][:, None], np.float32(0), dh * z + dg @ u.T)
-        token = inputs.ravel()
+            change = dstates[t]
+            change += dh
+            factor[t] *= change
+            dh = hidden @ factor[t].reshape(3 * s, width)
+            dh += change * z[t]
+            if new[t]:
+                dh *= keep[t]
+        grads["hidden"] = np.matmul(before, factor.reshape(steps, 3 * s, width).transpose(0, 2, 1)).sum(axis=0)
+        factor[:, 2] = dstates * for_n
+        changes = factor.reshape(steps, 3 * s, width)
+        token = inputs.ravel().astype(np.uint16)
         by = np.argsort(token, kind="stable")
-        first = np.flatnonzero(np.diff(token[by], prepend=-1))
-        dtable = np.zeros_like(table)
-        dtable[token[by[first]]] = np.add.reduceat(added.reshape(-1, table.shape[1])[by], first, axis=0)
-        grads["embed"], grads["input"], grads["bias"] = dtable @ p["input"].T, p["embed"].T @ dtable, dtable.sum(axis=0)
-    return out.reshape(steps, width), h, grads
+        first = np.flatnonzero(np.diff(token[by].astype(np.int32), prepend=-1))
+        # each cell's change of its token's embedding, summed by token
+        each = np.matmul(p["input"], changes).transpose(1, 0, 2).reshape(EMBED, -1)
+        grads["embed"][token[by[first]]] = np.add.reduceat(each[:, by], first, axis=1).T
+        grads["bias"] = changes.sum(axis=(0, 2))
+        grads["input"] = np.matmul(p["embed"].T[:, inputs].transpose(1, 0, 2), changes.transpose(0, 2, 1)).sum(axis=0)
+    return out.reshape(steps, width), h.T, grads
 
 
 def input_table(p: dict[str, np.ndarray]) -> np.ndarray:

@@ -8,20 +8,19 @@ packed ids, to a shard of about ``SHARD_TOKENS`` tokens, each shard trains a cop
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import gru
-from .common import as_bytes, checkpointed, crc32_fold, documents, map_blocks, most_frequent
+from .common import checkpointed, crc32_fold, documents, map_blocks, most_frequent, words_of
 
 #: Words whose counts are broadcast; texts and rounds of the first weights; tokens of a shard; tokens and lanes of its training at once; copies that one task adds up.
-HEAD, SEED_DOCS, SEED_ROUNDS, SHARD_TOKENS, TRAIN_TOKENS, TRAIN_LANES, SUMMED = 65_536, 300, 3, 1_000_000, 400_000, 400, 64
-_COUNT_BYTES, _SCORE_BYTES = 6_000_000, 5_000_000
+HEAD, SEED_DOCS, SEED_ROUNDS, SHARD_TOKENS, TRAIN_TOKENS, TRAIN_LANES, SUMMED = 262_144, 300, 3, 1_000_000, 400_000, 400, 64
+_COUNT_BYTES, _SCORE_BYTES = 6_000_000, 8_000_000
 
 
 _FIELDS = (("n_tokens", T.LongType()), ("known", T.LongType()), ("base", T.DoubleType()), ("model", T.DoubleType()), ("tail", T.ArrayType(T.BinaryType())))
@@ -37,15 +36,13 @@ def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            seen: Counter = Counter()
-            for x in as_bytes(batch.column(text)):
-                seen.update(tokens(x))
-            seen[gru.END] += batch.num_rows
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            seen = words_of(pc.ascii_lower(batch.column(text)))[0].value_counts()
+            word, n = pa.concat_arrays([seen.field("values"), pa.array([gru.END], pa.binary())]), pa.concat_arrays([seen.field("counts"), pa.array([batch.num_rows], pa.int64())])
+            return pa.RecordBatch.from_arrays([word, n], ["word", "n"])
 
         return step
 
-    return map_blocks(df.select(text), text, make, "word binary, n long", _COUNT_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
+    return map_blocks(df.select(text), text, make, "word binary, n long", _COUNT_BYTES, fill=True).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def train(df: DataFrame, vocabulary: gru.Vocabulary, tokens_in_all: int, texts: int, text: str = "text", seed_docs: int = SEED_DOCS) -> dict[str, np.ndarray]:
@@ -67,12 +64,13 @@ def train(df: DataFrame, vocabulary: gru.Vocabulary, tokens_in_all: int, texts:
     shards = max(1, -(-tokens_in_all // SHARD_TOKENS))
 
     def make():
-        cache: dict[bytes, int] = {}
         v = sent.value[0]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            packed = [np.array(v.ids(tokens(x), cache), "<u2").tobytes() for x in as_bytes(batch.column("text"))]
-            return pa.RecordBatch.from_arrays([batch.column("place"), pa.array(packed, pa.binary())], ["place", "ids"])
+            words, length = words_of(pc.ascii_lower(batch.column("text")))
+            packed = np.concatenate([[0], 2 * np.cumsum(length)]).astype(np.int32), v.numbers(words).astype("<u2")
+            packed = pa.Array.from_buffers(pa.binary(), len(length), [None, *(pa.py_buffer(x) for x in packed)])
+            return pa.RecordBatch.from_arrays([batch.column("place"), packed], ["place", "ids"])
 
         return step
 
@@ -110,7 +108,7 @@ def train(df: DataFrame, vocabulary: gru.Vocabulary, tokens_in_all: int, texts:
             yield pa.RecordBatch.from_pylist([{"shard": rows[0]["shard"], "sums": sums.tobytes(), "tokens": sum(r["tokens"] for r in rows)}], pa.schema([("shard", pa.int64()), ("sums", pa.binary()), ("tokens", pa.int64())]))
 
     schema = "shard long, sums binary, tokens long"
-    dealt = map_blocks(known, "text", make, "place long, ids binary", _COUNT_BYTES).withColumn("shard", F.pmod("place", F.lit(shards)))
+    dealt = map_blocks(known, "text", make, "place long, ids binary", _COUNT_BYTES, fill=True).withColumn("shard", F.pmod("place", F.lit(shards)))
     copies = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place", "ids").select("shard", "ids").mapInArrow(local, schema)
     while shards > SUMMED:
         shards = -(-shards // SUMMED)
@@ -146,44 +144,39 @@ def score(df: DataFrame, counts: DataFrame, weights: dict[str, np.ndarray] | Non
         kinds[k] -= w in in_head
     open_total = np.log10(mass + 0.5 * (kinds + 1))
     whole = np.log10(total + 0.5 * (distinct + 1))
-    sent = df.sparkSession.sparkContext.broadcast((vocabulary, weights, head, open_total))
+    frequent = pa.array([w for w, _ in head], pa.binary())
+    log_c = np.log10(np.array([n for _, n in head], float) + 0.5)
+    sent = df.sparkSession.sparkContext.broadcast((vocabulary, weights, frequent, log_c, vocabulary.numbers(frequent), open_total))
     keyed = df.select(F.col(text).alias("text"), own.alias("own"), F.monotonically_increasing_id().alias("row"))
 
     def make():
-        v, p, frequent, totals = sent.value
-        index = {w: i for i, (w, _) in enumerate(frequent)}
-        log_c = np.log10(np.array([n for _, n in frequent], float) + 0.5)
-        ids_of = np.array([v.index.get(w, v.size + gru.open_class(w)) for w, _ in frequent], np.int32)
+        v, p, frequent, log_c, ids_of, totals = sent.value
         end = np.log10(in_head_end + 0.5)
-        cache: dict[bytes, int] = {}
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            documents_, tails, n_tokens, known, base, open_part = [], [], [], [], [], []
-            for x in as_bytes(batch.column("text")):
-                words = tokens(x)
-                at = np.array([index.get(w, -1) for w in words], np.int32) if words else np.empty(0, np.int32)
-                rest = np.flatnonzero(at < 0)
-                ids = ids_of[at] if len(index) else np.zeros(len(at), np.int32)
-                tail = [words[i] for i in rest]
-                if tail:
-                    ids[rest] = v.ids(tail, cache)
-                lc = log_c[at[at >= 0]]
-                opened = ids >= v.size
-                documents_.append(ids)
-                tails.append(tail)
-                n_tokens.append(len(words) + 1)
-                known.append(len(lc) + (in_head_end > 0))
-                base.append(lc.sum() + end)
-                open_part.append(log_c[at[opened & (at >= 0)]].sum() - totals[ids[opened] - v.size].sum())
-            model = np.array(open_part) + (gru.log_likelihoods(p, v, documents_) / np.log(10) if p is not None else 0.0)
-            columns = [pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()), pa.array(tails, pa.list_(pa.binary()))]
+            words, length = words_of(pc.ascii_lower(batch.column("text")))
+            of, n = np.repeat(np.arange(len(length)), length), len(length)
+            at = np.asarray(pc.index_in(words, value_set=frequent).fill_null(-1))
+            found = at >= 0
+            tail = words.filter(pa.array(~found))
+            ids = np.empty(len(at), np.int32)
+            ids[found], ids[~found] = ids_of[at[found]], v.numbers(tail)
+            of_found, log_found = of[found], log_c[at[found]]
+            known = np.bincount(of_found, minlength=n)
+            base = np.bincount(of_found, weights=log_found, minlength=n) + end
+            opened = ids >= v.size
+            model = np.zeros(n) + np.bincount(of_found, weights=log_found * opened[found], minlength=n) - np.bincount(of[opened], weights=totals[ids[opened] - v.size], minlength=n)
+            if p is not None:
+                model += gru.log_likelihoods(p, v, np.split(ids, np.cumsum(length)[:-1])) / np.log(10)
+            tails = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length - known)]), pa.int32()), tail)
+            columns = [pa.array(length + 1, pa.int64()), pa.array(known + (in_head_end > 0), pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()), tails]
             return pa.RecordBatch.from_arrays([batch.column("own"), batch.column("row"), *columns], ["own", "row", "n_tokens", "known", "base", "model", "tail"])
 
         return step
 
     in_head_end = in_head.get(gru.END, 0)
     schema = T.StructType([keyed.schema["own"], T.StructField("row", T.LongType()), *(T.StructField(k, t) for k, t in _FIELDS)])
-    each = map_blocks(keyed, "text", make, schema, _SCORE_BYTES)
+    each = map_blocks(keyed, "text", make, schema, _SCORE_BYTES, fill=True)
     names = ["own", "n_tokens", "known", "base", "model"]
     opened = each.select(*names, "row", F.posexplode_outer("tail").alias("at", "word"))
     # a text's columns travel with its first word; a text without such words gets a key that no word has
