@@ -7,7 +7,7 @@ equal anchors.
 2. Texts that keep an anchor give the hashes of the windows it stands for; windows seen once are dropped.
    This confirms the recurring windows, by two independent hashes of 64 bits, and names one text for each.
 3. The runs of confirmed windows of the named texts are the passages, a table of phrases without places.
-4. The texts are dealt to slices, and each slice gets the passages that may occur in it, by their anchors.  It compiles the passages'
+4. The texts are dealt to slices by their smallest recurring anchor, so that texts with common passages meet, and each slice gets the passages that may occur in it, by their anchors.  It compiles the passages'
    blocks of 18 words, shard by shard, into automata and streams its texts through each; whatever a window of 35 words shares with
    a passage holds a whole block, so a match is extended both ways, word by word, to the run that text and passage have in common.
    The words of runs of 35 words or more are removed.
@@ -271,6 +271,22 @@ def _keys(text) -> list:
     return [F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(17), text).alias("text_check")]
 
 
+def in_slices(texts: DataFrame, stream_bytes: int | None = None) -> DataFrame:
+    """``texts`` (text_hash, anchors, size and others) with ``slice``: texts with the same smallest anchor meet, as they share passages.
+
+    So a passage goes to few slices, however many texts have it.  Texts with one smallest anchor are dealt out by text in parts of about half a slice.
+    """
+    stream_bytes = stream_bytes or STREAM_BYTES
+    slices = max(1, -(-(texts.agg(F.sum("size")).first()[0] or 0) // stream_bytes))
+    least = texts.withColumn("least", F.array_min("anchors"))
+    part = max(1, stream_bytes // 2)
+    # at most two rows a slice
+    many = checkpointed(least.groupBy("least").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > part).select("least", F.ceil(F.col("bytes") / part).alias("parts")))
+    salt = F.pmod(F.xxhash64(F.lit(31), "text_hash"), F.coalesce("parts", F.lit(1)))
+    slice_ = F.pmod(F.xxhash64(F.lit(29), "least", salt), F.lit(slices)).alias("slice")
+    return least.join(F.broadcast(many), "least", "left").select(*texts.columns, slice_)
+
+
 def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, run: int = RUN) -> DataFrame:
     """text_hash, text_check, n_removed, spans, kept: a row for each different text that holds a recurring window.
 
@@ -287,19 +303,18 @@ def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, r
 
     near = maybe_in(docs, "text_hash", KeyFilter(touched, "text_hash"))
     copies = near.groupBy("text_hash", "text_check").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("copies"), F.min("text").alias("text"))
-    texts = stored(copies.join(touched, "text_hash"), "texts")
+    texts = stored(copies.join(touched, "text_hash").withColumn("size", F.octet_length("text").cast("long")), "texts")
     each = _candidates(texts.select("text_hash", "copies", "text", "anchors"), width, run).select("text_hash", F.inline(F.arrays_zip("anchor", "whole", "times")))
     confirmed = each.groupBy("anchor", "whole").agg(F.sum("times").alias("total"), F.min("text_hash").alias("text_hash")).where("total >= 2")
     named = confirmed.groupBy("text_hash").agg(F.collect_list("whole").alias("whole"))
     phrases = _phrases(texts.select("text_hash", "text").join(named, "text_hash"), width, run)
     phrases = stored(phrases.withColumn("id", F.md5("passage")).groupBy("id").agg(F.min("passage").alias("passage"), F.first("anchors").alias("anchors")), "passages")
 
-    slices = max(1, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // STREAM_BYTES))
-    slice_ = F.pmod(F.xxhash64(F.lit(29), "text_hash"), F.lit(slices)).alias("slice")
-    met = texts.select(slice_, F.explode("anchors").alias("anchor")).distinct().join(phrases.select("id", F.explode("anchors").alias("anchor")), "anchor").select("slice", "id").distinct()
+    placed = in_slices(texts)
+    met = placed.select("slice", F.explode("anchors").alias("anchor")).distinct().join(phrases.select("id", F.explode("anchors").alias("anchor")), "anchor").select("slice", "id").distinct()
     none = F.lit(None).cast("long")
     streamed = met.join(phrases.select("id", "passage"), "id").select("slice", F.lit(False).alias("is_text"), none.alias("text_hash"), none.alias("text_check"), F.col("passage").alias("text"))
-    streamed = streamed.union(texts.select(slice_, F.lit(True), "text_hash", "text_check", "text"))
+    streamed = streamed.union(placed.select("slice", F.lit(True), "text_hash", "text_check", "text"))
     return _located(streamed.repartition("slice").sortWithinPartitions("slice", "is_text"), width)
 
 
