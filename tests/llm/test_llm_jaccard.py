@@ -103,3 +103,19 @@ def test_groups_against_brute_force(spark, monkeypatch, home):
     got = {r["doc_id"]: r for r in jj.jaccard_groups(df).collect()}
     assert [got[i]["component_id"] for i in range(len(texts))] == want
     assert [got[i]["n_shingles"] for i in range(len(texts))] == [len(x) for x in sets]
+
+
+def test_a_star_round_is_planned_once(spark):
+    """The plan of a round stands on the driver: no subtree twice for a union, and few shuffles."""
+    from voxtile.operators.graph import checkpointed, star_components, star_round
+
+    rng = random.Random(8)
+    pairs = {(max(a, b), min(a, b)) for a, b in ((rng.randrange(300), rng.randrange(300)) for _ in range(260)) if a != b}
+    edges = checkpointed(spark.createDataFrame(sorted(pairs), "u long, v long"))
+    plan = star_round(edges)._jdf.queryExecution().sparkPlan().toString()
+    assert "Union" not in plan and plan.count("Join") <= 3
+    least = {x: x for p in pairs for x in p}
+    for _ in range(300):
+        for u, v in pairs:
+            least[u] = least[v] = min(least[u], least[v])
+    assert {(r["u"], r["v"]) for r in star_components(edges).collect()} == {(x, m) for x, m in least.items() if x != m}

@@ -219,12 +219,12 @@ def differences(x: np.ndarray, c: np.ndarray, linked: bool, similar: tuple[int,
 
 
 def _compared(pairs: DataFrame, classes: DataFrame, df: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """For pairs (a, b, at_home): a, b, linked, n, d, lists; the shingles of one set are probed in the other.
+    """For pairs (a, b, at_home), which are read twice: a, b, linked, n, d, lists; the shingles of one set are probed in the other.
 
     With at_home, d and lists (packed) tell the difference of a from b; they are null otherwise.
     """
     up, low = similar
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = checkpointed(classes.join(ends, "node").select("text_hash"))
     sets = _sets_of(df, wanted)
     both = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "set_a"}), "a").join(sets.withColumnsRenamed({"node": "b", "shingles": "set_b"}), "b")
@@ -423,7 +423,8 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
     part = F.pmod(F.xxhash64(F.lit(22), "a"), F.ceil(F.col("m") / BLOCK))
     at_home = checkpointed(star.where("place = 1").join(hosts, "b").join(hosts.select(F.col("b").alias("a")), "a", "left_anti").select("a", "b", F.xxhash64("b", part).alias("block")))
     others = _may_link(star.join(at_home, ["a", "b"], "left_anti").select("a", "b"), sketches, similar)
-    told = checkpointed(_compared(at_home.select("a", "b", F.lit(True).alias("at_home")).union(others.withColumn("at_home", F.lit(False))), classes, df, similar))
+    known = checkpointed(at_home.select("a", "b", F.lit(True).alias("at_home")).union(others.withColumn("at_home", F.lit(False))))
+    told = checkpointed(_compared(known, classes, df, similar))
     links = told.where("linked").select("a", "b")
     groups = checkpointed(components(links))
 

@@ -38,6 +38,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def star_round(edges: DataFrame) -> DataFrame:
+    """A large-star and a small-star round on distinct edges u > v; both ends of an edge come from one row, so that nothing is planned twice for a union."""
+    ends = lambda *pairs: F.inline(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in pairs]))
+    least = edges.select(ends(("u", "v"), ("v", "u"))).groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    large = edges.join(least.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v"))  # a row an edge
+    pairs = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+    return pairs.select(ends(("v", "m"), ("u", "m"))).where("u != v").distinct()
+
+
 def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """u, v for each linked node u that isn't the smallest of its group, with the smallest one v; ``edges`` has u > v.
 
@@ -46,12 +55,7 @@ def star_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     edges, state = checkpointed(edges.distinct()), None
     for _ in range(most_rounds):
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = edges.join(least.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v")).distinct()
-        pairs = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
-        small = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(pairs.select("u", F.col("m").alias("v")))
-        edges, before = checkpointed(small.where("u != v").distinct()), state
+        edges, before = checkpointed(star_round(edges)), state
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges
