@@ -98,3 +98,45 @@ def test_column_names_with_dots(spark):
     got = passages.remove_passages(df, "the.text")
     assert got.columns == ["doc.id", "the.text", "a.b", "n_removed"]
     assert sorted(tuple(r) for r in got.collect()) == [(1, "", "x", 40), (2, "a", "y", 40), (3, "short", "z", 0)]
+
+
+def test_automata_hold_only_the_first_words_of_blocks(monkeypatch):
+    """Patterns of six words find what blocks of eighteen do, with a part of the automaton's characters; blocks that begin alike are told apart."""
+    import ahocorasick
+
+    added = []
+
+    class Counted:
+        def __init__(self):
+            self.made = made()
+
+        def add_word(self, pattern, value):
+            added.append(pattern)
+            return self.made.add_word(pattern, value)
+
+        def __len__(self):
+            return len(self.made)
+
+        def __getattr__(self, name):
+            return getattr(self.made, name)
+
+    made = ahocorasick.Automaton
+    monkeypatch.setattr(ahocorasick, "Automaton", Counted)
+    rng = random.Random(5)
+    line = "one two three four five six".split()
+    phrases = [line + [f"w{rng.randrange(10**6)}" for _ in range(66)] for _ in range(30)]
+    texts = [["a"] * k + p[k : 40 + k] + ["z"] for k, p in enumerate(phrases)]
+    got = passages.locate([" ".join(t).encode() for t in texts], [" ".join(p) for p in phrases], 35)
+    for k, flags in enumerate(got):
+        assert np.flatnonzero(flags).tolist() == list(range(k, k + 40))
+    assert max(len(p.split()) for p in added) == passages.LEAD and sum(map(len, added)) < sum(len(" ".join(p)) for p in phrases) / 2
+
+
+def test_agreeing_words():
+    rng = random.Random(6)
+    for _ in range(2000):
+        a, b = ([rng.choice("ab") if rng.random() < 0.1 else "a" for _ in range(rng.randint(0, 40))] for _ in range(2))
+        x, y = rng.randint(0, len(a)), rng.randint(0, len(b))
+        ahead = next((k for k in range(min(len(a) - x, len(b) - y)) if a[x + k] != b[y + k]), min(len(a) - x, len(b) - y))
+        back = next((k for k in range(min(x, y)) if a[x - k - 1] != b[y - k - 1]), min(x, y))
+        assert (passages.agreeing(a, x, b, y), passages.agreeing(a, x, b, y, -1)) == (ahead, back)

@@ -7,9 +7,9 @@ equal anchors.
 2. Texts that keep an anchor give the hashes of the windows it stands for; windows seen once are dropped.
    This confirms the recurring windows, by two independent hashes of 64 bits, and names one text for each.
 3. The runs of confirmed windows of the named texts are the passages, a table of phrases without places.
-4. The texts are dealt to slices by their smallest recurring anchor, so that texts with common passages meet, and each slice gets the passages that may occur in it, by their anchors.  It compiles the passages'
-   blocks of 18 words, shard by shard, into automata and streams its texts through each; whatever a window of 35 words shares with
-   a passage holds a whole block, so a match is extended both ways, word by word, to the run that text and passage have in common.
+4. The texts are dealt to slices by their smallest recurring anchor, so that texts with common passages meet, and each slice gets the passages that may occur in it, by their anchors.  It compiles the first
+   words of the passages' blocks of 18 words, shard by shard, into automata and streams its texts through each; whatever a window of 35 words shares with
+   a passage holds a whole block, so a match of one is extended both ways, word by word, to the run that text and passage have in common.
    The words of runs of 35 words or more are removed.
 
 Whatever a slice finds twice itself is settled there and sent on once, so an anchor or window that a third of
@@ -18,29 +18,49 @@ all texts have costs one row for each slice.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expressions import col
-from .common import as_bytes, checkpointed, documents, hash_words, map_arrow, map_blocks, mix, stored, windows
+from .common import as_bytes, checkpointed, documents, map_arrow, map_blocks, mix, stored, windows, words_of
 from .graph import KeyFilter, maybe_in
 
 #: Words of a window and of the runs its anchor is chosen from.
 WINDOW, RUN = 35, 8
-#: Characters of the passages that one automaton holds (each takes about 50 bytes), and bytes of the texts of a slice, which stream through its automata at once.
+#: Words of a pattern of the automata.
+LEAD = 6
+#: Characters of the patterns that one automaton holds (each takes about 50 bytes), and bytes of the texts of a slice, which stream through its automata at once.
 SHARD_CHARS, STREAM_BYTES = 600_000, 2_000_000
 #: One row a word run of the text: the separators of the word rule, for Spark's regular expressions.
 _GAP = r"[\x20\x09-\x0D]+"
 
 
-def _window_hashes(words: list[list[bytes]], cache: dict[bytes, int], width: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words (SipHash, equal in every process); each different word of a block is hashed once, in C."""
+    every = words.dictionary_encode()
+    return hash_array(every.dictionary.to_numpy(zero_copy_only=False), categorize=False)[np.asarray(every.indices)] if len(words) else np.empty(0, np.uint64)
+
+
+def _window_hashes(words: list[list[bytes]], _: object, width: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all windows of all texts: anchor, hash, number of the text, first word."""
-    length = np.array([len(x) for x in words], np.int64)
+    return _windows(_word_hashes(pa.array([w for x in words for w in x], pa.binary())), np.array([len(x) for x in words], np.int64), width, run)
+
+
+def _windows_of(texts: pa.Array, width: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same of texts that Arrow splits."""
+    flat, length = words_of(texts)
+    return _windows(_word_hashes(flat), length, width, run)
+
+
+def _windows(h: np.ndarray, length: np.ndarray, width: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     if length.sum() < width:
         return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    h = hash_words([w for x in words for w in x], cache)
     whole = windows(h, width, 0xD6E8FEB86659FD93)
     least = windows(h, run)
     have, span = 1, width - run + 1
@@ -50,35 +70,50 @@ def _window_hashes(words: list[list[bytes]], cache: dict[bytes, int], width: int
     if have < span and len(least):
         least = np.minimum(least[: len(least) - (span - have)], least[span - have :])
     count = np.maximum(length - width + 1, 0)
-    of = np.repeat(np.arange(len(words)), count)
+    of = np.repeat(np.arange(len(length)), count)
     first = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
     at = first + np.repeat(np.cumsum(length) - length, count)
     return least[at], whole[at], of, first
 
 
+def _of_text(h: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Keys of hashes and the numbers of their texts."""
+    with np.errstate(over="ignore"):
+        return mix(h + mix(of.astype(np.uint64)))
+
+
+def _runs(anchor: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """First windows of the runs of windows of one text with one anchor."""
+    return np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])])) if len(anchor) else np.empty(0, np.int64)
+
+
+def _listed(lists: pa.ListArray) -> np.ndarray:
+    """Keys of the hashes that are listed for each text of a block."""
+    return _of_text(lists.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())))
+
+
 def _anchors(df: DataFrame, width: int, run: int) -> DataFrame:
     """anchor, text_hash, times, settled: a settled row is known to recur; a row of two times without a text tells the others."""
 
     def make():
-        cache: dict[bytes, int] = {}
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             hashes, texts, times = {}, [], []
-            for th, x in zip(batch.column("text_hash").to_pylist(), as_bytes(batch.column("text"))):
+            for k, th in enumerate(batch.column("text_hash").to_pylist()):
                 if th in hashes:
                     times[hashes[th]] += 1
                 else:
                     hashes[th] = len(texts)
-                    texts.append(x.split())
+                    texts.append(k)
                     times.append(1)
             ids, times = np.array(list(hashes), np.int64), np.array(times, np.int64)
-            anchor, whole, of, _ = _window_hashes(texts, cache, width, run)
-            # an anchor of several windows of one text counts once a distinct place; the same window twice counts twice
-            with np.errstate(over="ignore"):
-                _, at, again = np.unique(mix(anchor + mix(of.astype(np.uint64))), return_index=True, return_counts=True)
-            anchor_of, of_text = anchor[at], of[at]
-            _, repeated = np.unique(mix(anchor ^ whole) + mix(of.astype(np.uint64)), return_index=True)
-            twice = np.setdiff1d(np.arange(len(anchor)), repeated, assume_unique=True)
+            anchor, whole, of, _ = _windows_of(batch.column("text").take(pa.array(texts, pa.int64())), width, run)
+            # an anchor of several windows of one text counts once; the same window twice counts twice
+            first = _runs(anchor, of)
+            _, at = np.unique(_of_text(anchor[first], of[first]), return_index=True)
+            anchor_of, of_text = anchor[first[at]], of[first[at]]
+            same = _of_text(anchor ^ whole, of)
+            ordered = np.sort(same)
+            twice = np.isin(same, ordered[1:][ordered[1:] == ordered[:-1]])
             value, inverse = np.unique(anchor_of, return_inverse=True)
             total = np.bincount(inverse, weights=times[of_text], minlength=len(value))
             total[np.isin(value, anchor[twice])] += 1
@@ -101,17 +136,11 @@ def _candidates(df: DataFrame, width: int, run: int) -> DataFrame:
     """The distinct windows of a slice whose anchor recurs, as lists by the text that has them first; times is 2 for those that the slice has twice."""
 
     def make():
-        cache: dict[bytes, int] = {}
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [x.split() for x in as_bytes(batch.column("text"))]
             copies = batch.column("copies").to_numpy()
-            anchor, whole, of, _ = _window_hashes(texts, cache, width, run)
-            keep = np.zeros(len(anchor), bool)
-            edge = np.searchsorted(of, np.arange(len(texts) + 1))
-            for k, own in enumerate(batch.column("anchors").to_pylist()):
-                a, b = edge[k], edge[k + 1]
-                keep[a:b] = np.isin(anchor[a:b], np.array(own, np.int64).view(np.uint64))
+            anchor, whole, of, _ = _windows_of(batch.column("text"), width, run)
+            run_at = _runs(anchor, of)
+            keep = np.repeat(np.isin(_of_text(anchor[run_at], of[run_at]), _listed(batch.column("anchors"))), np.diff(np.append(run_at, len(anchor))))
             anchor, whole, of = anchor[keep], whole[keep], of[keep]
             with np.errstate(over="ignore"):
                 _, at, inverse = np.unique(mix(anchor) + whole, return_index=True, return_inverse=True)
@@ -140,18 +169,16 @@ def _phrases(df: DataFrame, width: int, run: int) -> DataFrame:
     """passage, anchors: the runs of confirmed windows (``whole``) of each text."""
 
     def make():
-        cache: dict[bytes, int] = {}
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [x.split() for x in as_bytes(batch.column("text"))]
-            anchor, whole, of, first = _window_hashes(texts, cache, width, run)
+            anchor, whole, of, first = _window_hashes(texts, None, width, run)
             edge = np.searchsorted(of, np.arange(len(texts) + 1))
+            named = np.isin(_of_text(whole, of), _listed(batch.column("whole")))
             passages, anchors = [], []
-            for k, own in enumerate(batch.column("whole").to_pylist()):
+            for k, words in enumerate(texts):
                 a, b = edge[k], edge[k + 1]
-                starts = first[a:b][np.isin(whole[a:b], np.array(own, np.int64).view(np.uint64))]
-                for x, y in consecutive(starts, width):
-                    passages.append(b" ".join(texts[k][x:y]).decode())
+                for x, y in consecutive(first[a:b][named[a:b]], width):
+                    passages.append(b" ".join(words[x:y]).decode())
                     anchors.append(np.unique(anchor[a + x : a + y - width + 1]).view(np.int64))
             return pa.RecordBatch.from_arrays([pa.array(passages, pa.string()), pa.array(anchors, pa.list_(pa.int64()))], ["passage", "anchors"])
 
@@ -160,27 +187,49 @@ def _phrases(df: DataFrame, width: int, run: int) -> DataFrame:
     return map_blocks(df, "text", make, "passage string, anchors array<long>")
 
 
+def agreeing(one: list[str], x: int, other: list[str], y: int, way: int = 1) -> int:
+    """How many words from place x of one list and y of the other on, or before them (``way`` -1), are equal; by slices that double and, after a difference, halve."""
+    most = min(len(one) - x, len(other) - y) if way > 0 else min(x, y)
+    n, step, met = 0, 8, False
+    while n < most:
+        k = min(step, most - n)
+        if one[x + n : x + n + k] == other[y + n : y + n + k] if way > 0 else one[x - n - k : x - n] == other[y - n - k : y - n]:
+            n += k
+            step = step if met else 2 * step
+        elif k == 1:
+            break
+        else:
+            met, step = True, k // 2
+    return n
+
+
 def locate(texts: list[bytes], passages: list[str], width: int, shard_chars: int = SHARD_CHARS) -> list[np.ndarray]:
     """For each text, which of its words lie in a run of ``width`` words or more that it has in common with a passage (words joined by a space).
 
-    The passages are compiled shard by shard, each of at most ``shard_chars`` characters or one passage; every text streams through each automaton.
+    The passages are compiled shard by shard, each with patterns of at most ``shard_chars`` characters or those of one passage; every text streams through
+    each automaton.  Its patterns are the first ``LEAD`` words of the passages' blocks; where one is met, the text's whole block is looked up among those that begin with it.
     """
     import ahocorasick
 
     block = (width + 1) // 2
+    lead = min(block, LEAD)
     starts: list[bytearray | None] = [None] * len(texts)
     at = 0
     while at < len(passages) or at == 0:
         size, found = 0, {}
-        while at < len(passages) and (not found or size + len(passages[at]) <= shard_chars):
-            size += len(passages[at])
+        while at < len(passages) and (not found or size < shard_chars):
             own = passages[at].split(" ")
             for i in range(0, len(own) - block + 1, block):
-                found.setdefault(" " + " ".join(own[i : i + block]) + " ", []).append((own, i))
+                pattern = f" {' '.join(own[i : i + lead])} "
+                begun = found.get(pattern)
+                if begun is None:
+                    begun = found[pattern] = {}
+                    size += len(pattern)
+                begun.setdefault(tuple(own[i + lead : i + block]), []).append((own, i))
             at += 1
         automaton = ahocorasick.Automaton()
-        for phrase, places in found.items():
-            automaton.add_word(phrase, places)
+        for pattern, begun in found.items():
+            automaton.add_word(pattern, begun)
         del found
         if len(automaton):
             automaton.make_automaton()
@@ -194,20 +243,18 @@ def locate(texts: list[bytes], passages: list[str], width: int, shard_chars: int
                 continue
             spaced, words = f" {joined.decode()} ", None
             word_at = seen = 0  # words before character ``seen``
-            for end, places in automaton.iter(spaced):
+            for end, begun in automaton.iter(spaced):
                 word_at += spaced.count(" ", seen, end)
-                seen, p = end, word_at - block
+                seen, p = end, word_at - lead
+                if p + block > total:
+                    break
                 # nothing new if every window that holds this block is known to recur
                 low, high = max(0, p + block - width), min(p, total - width)
                 if known.count(1, low, high + 1) == high + 1 - low:
                     continue
                 words = words or joined.decode().split(" ")
-                for own, i in places:
-                    a, b, x, y = p, p + block, i, i + block
-                    while a > 0 and x > 0 and words[a - 1] == own[x - 1]:
-                        a, x = a - 1, x - 1
-                    while b < total and y < len(own) and words[b] == own[y]:
-                        b, y = b + 1, y + 1
+                for own, i in begun.get(tuple(words[p + lead : p + block]), ()):
+                    a, b = p - agreeing(words, p, own, i, -1), p + block + agreeing(words, p + block, own, i + block)
                     if b - a >= width:
                         known[a : b - width + 1] = b"\x01" * (b - width + 1 - a)
                         if known.count(1, low, high + 1) == high + 1 - low:
@@ -327,6 +374,21 @@ def count_words(joined):
     return F.when(joined == "", F.lit(0)).otherwise(F.size(F.split(joined, " "))).cast("long")
 
 
+def _whole(df: DataFrame) -> DataFrame:
+    """``df`` with n_words and whole_sha256, of the words joined by one space, in place of its last column, the text."""
+    names = [*df.columns[:-1], "n_words", "whole_sha256"]
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            words = [x.split() for x in as_bytes(batch.column("text"))]
+            digest = pa.array([hashlib.sha256(b" ".join(x)).hexdigest() for x in words], pa.string())
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([len(x) for x in words], pa.int64()), digest], names)
+
+        return step
+
+    return map_blocks(df, "text", make, T.StructType([*df.schema.fields[:-1], T.StructField("n_words", T.LongType()), T.StructField("whole_sha256", T.StringType())]))
+
+
 def remove_passages(df: DataFrame, text: str = "text", width: int = WINDOW) -> DataFrame:
     """``df`` with recurring passages taken out of ``text``, and n_removed added; texts without any stay as they are.
 
@@ -346,7 +408,6 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every whole text."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = recurring_passages(docs).select("text_hash", "text_check", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
-    joined = words_joined("text")
-    whole = docs.select("doc_id", *_keys(F.col("text")), count_words(joined).alias("n_words"), F.sha2(joined.cast("binary"), 256).alias("whole_sha256"))
+    whole = _whole(docs.select("doc_id", *_keys(F.col("text")), "text"))
     out = whole.join(checkpointed(found), ["text_hash", "text_check"], "left")
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
