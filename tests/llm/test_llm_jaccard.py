@@ -1,6 +1,7 @@
 """T-occurrence search against brute force: DivideSkip, differences from a home, blocks of sets, whole groups."""
 
 import itertools
+import random
 
 import numpy as np
 import pytest
