@@ -120,3 +120,51 @@ def test_a_star_round_is_planned_once(spark):
         for u, v in pairs:
             least[u] = least[v] = min(least[u], least[v])
     assert {(r["u"], r["v"]) for r in star_components(edges).collect()} == {(x, m) for x, m in least.items() if x != m}
+
+
+def test_sets_of_a_long_list_share_blocks(spark, monkeypatch):
+    """A list goes to each block that has a set in it: about one for ``BLOCK`` sets, not one for each set, however many blocks there are."""
+    monkeypatch.setattr(jj, "BLOCK", 50)
+    rows = [(7, k, 400, None) for k in range(400)] + [(1000 + k // 2, k, 2, None) for k in range(400)] + [(5, 900, 2, 77)]
+    near = jj.near_lists(spark.createDataFrame(rows, "key long, node long, size long, block long"))
+    got = [tuple(r) for r in near.select("key", "node", "block").collect()]
+    assert sorted(x[:2] for x in got) == sorted(x[:2] for x in rows)
+    assert 1 < len({b for key, _, b in got if key == 7}) <= 8 and (5, 900, 77) in got
+    assert len({(node, b) for _, node, b in got}) == 401  # all entries of a set have one block
+
+
+def test_frequent_shingles_are_counted_across_blocks(spark, monkeypatch):
+    """A passage that few texts of any block have is counted where a slice of many blocks has it."""
+    monkeypatch.setattr(jj, "COUNTED", 4000)
+    monkeypatch.setattr(jj, "blocks", lambda batch, column: (batch.slice(i, 1) for i in range(batch.num_rows)))
+    docs = [(k, f"{' '.join(f'w{k}x{i}' for i in range(30))} {'a b c d e f' if k % 3 == 0 else ''}", k) for k in range(90)]
+    found = jj._summaries(spark.createDataFrame(docs, "row_id long, text string, text_hash long").coalesce(1))
+    counts = {r["node"]: r["n"] for r in found.where("is_count").collect()}
+    assert len(counts) == 2 and set(counts.values()) == {30}
+    assert found.where("not is_count").count() == 90
+
+
+def test_shuffles_and_released_tables_leave_no_files(spark):
+    """What a checkpoint or a stored table was made from goes at once; a stored table goes when it is released."""
+    import glob
+    import time
+
+    from pyspark.sql import functions as F
+
+    from voxtile.operators.graph import checkpointed, released, shared_folder, stored
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(key), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    had = {str(x) for x in files.getAllFiles().mkString(" ").split() if "shuffle" in x}
+    one = checkpointed(spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count())
+    two = stored(spark.range(5000).groupBy((F.col("id") % 5).alias("k")).count(), "counted")
+    for _ in range(50):
+        if not (left := {str(x) for x in files.getAllFiles().mkString(" ").split() if "shuffle" in x} - had):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key) == before
+    assert one.count() == 7 and two.count() == 5
+    folder = shared_folder(spark).removeprefix("file:")
+    assert glob.glob(f"{folder}/counted-*/*.parquet")
+    released(two)
+    assert not glob.glob(f"{folder}/counted-*")

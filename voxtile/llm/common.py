@@ -7,7 +7,6 @@ UTF-8 keeps these characters as single bytes, so ``bytes.split()`` finds words.
 from __future__ import annotations
 
 import ctypes
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.graph import checkpointed, shared_folder
+from ..operators.graph import checkpointed, released, stored  # noqa: F401
 
 #: The word pattern of this package, for Spark's and other engines' regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -176,13 +175,6 @@ def windows(h: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> np.nda
     return mix(out)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def most_frequent(df: DataFrame, bound: int, n: str = "n") -> DataFrame:
     """The rows with the largest counts, at most ``bound`` of them: those from some count on.
 

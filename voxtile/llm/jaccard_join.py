@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, checkpointed, documents, hash_words, map_arrow, map_blocks, mix, most_frequent, windows
+from .common import as_bytes, blocks, checkpointed, documents, hash_words, map_arrow, map_blocks, mix, most_frequent, released, stored, windows
 from .graph import KeyFilter, components, maybe_in
 
 #: Words of a shingle, and the least similarity as a ratio of integers.
@@ -37,8 +37,8 @@ CENTRES, VOTES, FREQUENT = 3, 0.1, 65_536
 SHORT = 64
 #: Classes from which on a centre is a home, sets of a block, and entries of a part of a list, on average.
 HOME, BLOCK, PART = 16, 512, 4096
-#: A shingle is counted towards the frequent ones where a slice of texts has it so often.
-OFTEN = 4
+#: A shingle is counted towards the frequent ones where a slice of texts has it so often; shingles of a slice.
+OFTEN, COUNTED = 3, 1 << 21
 
 
 def shingle_sets(texts: list[bytes], cache: dict[bytes, int], width: int = SHINGLE) -> list[np.ndarray]:
@@ -85,33 +85,53 @@ def _may_link(pairs: DataFrame, sketches: DataFrame, similar: tuple[int, int]) -
     return map_arrow(both.select("a", "b", "sketch_a", "sketch_b"), bound, "a long, b long")
 
 
-def _summaries(df: DataFrame) -> DataFrame:
-    """A row for each text: hash of the text, signature, size and sketch of its set; and rows of counts of shingles a slice has often."""
+def often(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that ``OFTEN`` sets or more have, and how many."""
+    every = np.concatenate(sets)
+    every.sort()
+    new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, int)
+    count = np.diff(np.append(new, len(every)))
+    return every[new[count >= OFTEN]], count[count >= OFTEN]
 
-    def make():
-        cache: dict[bytes, int] = {}
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = shingle_sets(as_bytes(batch.column("text")), cache)
-            every = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
-            new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, int)
-            count = np.diff(np.append(new, len(every)))
-            often, count = every[new][count >= OFTEN], count[count >= OFTEN]
-            k = len(often)
-            columns = [
-                pa.concat_arrays([batch.column("row_id"), pa.nulls(k, batch.schema.field("row_id").type)]),
-                pa.concat_arrays([batch.column("text_hash"), pa.nulls(k, pa.int64())]),
-                pa.array([_signature(s) if len(s) else None for s in sets] + often.view(np.int64).tolist(), pa.int64()),
-                pa.array([len(s) for s in sets] + count.tolist(), pa.int64()),
-                pa.array([False] * len(sets) + [True] * k, pa.bool_()),
-                pa.array([_sketch(s) if len(s) else None for s in sets] + [None] * k, pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["row_id", "text_hash", "node", "n", "is_count", "sketch"])
 
-        return step
+def _summaries(df: DataFrame) -> DataFrame:
+    """A row for each text: hash of the text, signature, size and sketch of its set; and rows of counts of shingles a slice has often.
 
+    A slice has ``COUNTED`` shingles, so that what a small share of all texts has in common is counted somewhere, however many texts there are.
+    """
     id_type = df.schema["row_id"].dataType.simpleString()
-    return map_blocks(df, "text", make, f"row_id {id_type}, text_hash long, node long, n long, is_count boolean, sketch binary")
+
+    def counts(sets: list[np.ndarray], row_id: pa.DataType) -> pa.RecordBatch:
+        shingles, count = often(sets)
+        k = len(shingles)
+        columns = [pa.nulls(k, row_id), pa.nulls(k, pa.int64()), pa.array(shingles.view(np.int64)), pa.array(count, pa.int64()), pa.array(np.ones(k, bool)), pa.nulls(k, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["row_id", "text_hash", "node", "n", "is_count", "sketch"])
+
+    def run(batches):
+        cache: dict[bytes, int] = {}
+        held, size, kind = [], 0, None
+        for batch in batches:
+            for part in blocks(batch, "text"):
+                sets = shingle_sets(as_bytes(part.column("text")), cache)
+                kind = part.schema.field("row_id").type
+                columns = [
+                    part.column("row_id"),
+                    part.column("text_hash"),
+                    pa.array([_signature(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(np.zeros(len(sets), bool)),
+                    pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["row_id", "text_hash", "node", "n", "is_count", "sketch"])
+                held += sets
+                size += sum(map(len, sets))
+                if size >= COUNTED:
+                    yield counts(held, kind)
+                    held, size = [], 0
+        if held:
+            yield counts(held, kind)
+
+    return map_arrow(df, run, f"row_id {id_type}, text_hash long, node long, n long, is_count boolean, sketch binary")
 
 
 def _prefix_rows(df: DataFrame, frequent: np.ndarray, similar: tuple[int, int]) -> DataFrame:
@@ -341,16 +361,20 @@ def searched(inner: np.ndarray, sets: list[dict[str, np.ndarray]], lists: list[d
 
 
 def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Candidate pairs (a, b) from list entries (key, inner, block, and the fields of a set); lists of one component, or of one home and not inner, are left out."""
+    """Candidate pairs (a, b) from list entries (key, inner, block, and the fields of a set); lists of one component, or of one home and not inner, are left out.
+
+    A list goes to each block that has a set in it, so sets that have long lists in common should have one block (``near_lists``).
+    """
     ends = entries.groupBy("key", "inner").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("home").alias("h0"), F.max("home").alias("h1"), F.count(F.lit(1)).alias("size")
     )
     open_ = ends.where("c0 < c1 and (inner or h0 < h1)").select("key", "inner", "size")
-    entries = checkpointed(entries.join(open_, ["key", "inner"]))
+    entries = stored(entries.join(open_, ["key", "inner"]), "entries")
     most, sets = entries.agg(F.coalesce(F.max("size"), F.lit(0)), F.approx_count_distinct("node")).first()
     slices = 1 << max(0, (most // PART).bit_length())
     spread = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(n))
-    placed = entries.withColumn("block", F.coalesce("block", spread(21, max(1, sets // BLOCK))))  # sets without a home are dealt by hash
+    bounded = F.pmod("block", F.lit(max(1, sets // BLOCK)))  # of sets without a home
+    placed = entries.withColumn("block", F.when(F.col("home") == F.col("node"), bounded).otherwise(F.col("block")))
     fields = F.struct(*_FIELDS)
     queries = placed.groupBy("key", "inner", "block").agg(F.collect_list(fields).alias("sets"))
     lists = entries.groupBy("key", "inner", spread(23, slices).alias("slice")).agg(F.collect_list(fields).alias("list"))
@@ -382,7 +406,19 @@ def _search(entries: DataFrame, similar: tuple[int, int]) -> DataFrame:
         if key is not None:
             yield result()
 
-    return map_arrow(dealt, run, "a long, b long")
+    found = stored(map_arrow(dealt, run, "a long, b long"), "candidates")
+    released(entries)
+    return found
+
+
+def near_lists(entries: DataFrame) -> DataFrame:
+    """``entries`` (key, node, size of the list, block or null) with a block for the sets that have none: that of their longest list, dealt out in parts of ``BLOCK`` sets.
+
+    So a list of m sets goes to about m / ``BLOCK`` blocks, and not to one for each of its sets.
+    """
+    longest = F.max(F.struct("size", "key")).over(Window.partitionBy("node"))
+    part = F.pmod(F.xxhash64(F.lit(21), "node"), F.ceil(F.col("longest.size") / BLOCK))
+    return entries.withColumn("longest", longest).withColumn("block", F.coalesce("block", F.xxhash64("longest.key", part))).drop("longest", "size")
 
 
 def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -406,8 +442,9 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
     frequent = counted["node"].to_numpy(np.int64).view(np.uint64)  # the most frequent one last
     same = Window.partitionBy("shingle")
     lists = _prefix_rows(df, frequent, similar).withColumns({"lo": F.min("node").over(same), "hi": F.max("node").over(same)}).where("lo < hi")
-    lists = checkpointed(lists.select("shingle", "node", "n").distinct().withColumn("size", F.count(F.lit(1)).over(same)))
-    lists = checkpointed(_hopeful_entries(lists, similar))
+    whole = stored(lists.select("shingle", "node", "n").distinct().withColumn("size", F.count(F.lit(1)).over(same)), "lists")
+    lists = stored(_hopeful_entries(whole, similar), "hopeful")
+    released(whole)
 
     # centres and homes
     fits = lambda x, y: (low * F.least(x, y) >= up * F.greatest(x, y))
@@ -430,10 +467,13 @@ def jaccard_groups(df: DataFrame, row_id: str = "doc_id", text: str = "text", si
 
     # T-occurrence search between groups
     homes = at_home.select(F.col("a").alias("node"), F.col("b").alias("home"), "block")
-    of_sets = lists.select(F.col("shingle").alias("key"), "node", "n", F.col("n").alias("d"), rest.cast("int").alias("rest"), F.lit(False).alias("inner")).join(homes, "node", "left")
-    of_sets = of_sets.withColumn("home", F.coalesce("home", "node"))
-    every = of_sets.unionByName(_unpacked(told).join(homes.select("node", "block"), "node")).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    cross = checkpointed(_may_link(_search(every, similar), sketches, similar))
+    of_sets = lists.select(F.col("shingle").alias("key"), "node", "n", F.col("n").alias("d"), rest.cast("int").alias("rest"), F.lit(False).alias("inner"), "size")
+    of_sets = near_lists(of_sets.join(homes, "node", "left").join(groups, "node", "left")).withColumn("home", F.coalesce("home", "node"))
+    every = of_sets.unionByName(_unpacked(told).join(homes.select("node", "block"), "node").join(groups, "node", "left")).withColumn("component", F.coalesce("component", "node"))
+    candidates = _search(every, similar)
+    released(lists)
+    cross = checkpointed(_may_link(candidates, sketches, similar))
+    released(candidates)
     links = links.union(_compared(cross.withColumn("at_home", F.lit(False)), classes, df, similar).where("linked").select("a", "b"))
     groups = checkpointed(components(links))
 

@@ -6,6 +6,7 @@ import itertools
 import tempfile
 import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,10 +33,40 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+@contextmanager
+def _short_lived(df: DataFrame):
+    """``df``, planned so that the files of its shuffles go as soon as an action on it ends, not when the driver happens to collect its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        yield df.select("*")
+    finally:
+        conf.set(key, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable copy of ``df`` in the shared folder, without lineage."""
+    """A reliable copy of ``df`` in the shared folder, without lineage; its shuffles leave no files."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with _short_lived(df) as own:
+        return own.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again; its shuffles leave no files."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}.parquet"
+    with _short_lived(df) as own:
+        own.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def released(*tables: DataFrame) -> None:
+    """Remove the files of ``stored`` tables that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {x.rpartition("/")[0] for x in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def star_round(edges: DataFrame) -> DataFrame:
