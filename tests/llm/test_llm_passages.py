@@ -140,3 +140,23 @@ def test_agreeing_words():
         ahead = next((k for k in range(min(len(a) - x, len(b) - y)) if a[x + k] != b[y + k]), min(len(a) - x, len(b) - y))
         back = next((k for k in range(min(x, y)) if a[x - k - 1] != b[y - k - 1]), min(x, y))
         assert (passages.agreeing(a, x, b, y), passages.agreeing(a, x, b, y, -1)) == (ahead, back)
+
+
+def test_a_common_line_does_not_bring_every_passage_to_every_slice(spark, monkeypatch):
+    """Copied texts with one line in common: a slice gets the passages that share a window with its texts, not all that have the line's anchors."""
+    monkeypatch.setattr(passages, "STREAM_BYTES", 3000)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    line = " ".join(word() for _ in range(25))
+    texts = []
+    for _ in range(40):
+        own = f"{' '.join(word() for _ in range(60))} {line} {' '.join(word() for _ in range(60))}"
+        texts += [f"{own} {word()}", f"{word()} {own}"]
+    met = []
+    meet = passages.met_by
+    monkeypatch.setattr(passages, "met_by", lambda *x: met.append(meet(*x)) or met[-1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["text_hash"]: r["n_removed"] for r in passages.recurring_passages(df).collect()}
+    assert len(got) == 80 and set(got.values()) == {145}
+    slices = met[0].select("slice").distinct().count()
+    assert slices > 10 and met[0].count() < 40 * 4 < 40 * slices

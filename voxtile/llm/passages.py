@@ -7,8 +7,8 @@ equal anchors.
 2. Texts that keep an anchor give the hashes of the windows it stands for; windows seen once are dropped.
    This confirms the recurring windows, by two independent hashes of 64 bits, and names one text for each.
 3. The runs of confirmed windows of the named texts are the passages, a table of phrases without places.
-4. The texts are dealt to slices by their smallest recurring anchor, so that texts with common passages meet, and each slice gets the passages that may occur in it, by their anchors.  It compiles the first
-   words of the passages' blocks of 18 words, shard by shard, into automata and streams its texts through each; whatever a window of 35 words shares with
+4. The texts are dealt to slices by their smallest recurring anchor, so that texts with common passages meet, and each slice gets the passages that may occur in it, by
+   their anchors, or by their windows where many passages have an anchor.  It compiles the first words of the passages' blocks of 18 words, shard by shard, into automata and streams its texts through each; whatever a window of 35 words shares with
    a passage holds a whole block, so a match of one is extended both ways, word by word, to the run that text and passage have in common.
    The words of runs of 35 words or more are removed.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import col
-from .common import as_bytes, checkpointed, documents, map_arrow, map_blocks, mix, stored, windows, words_of
+from .common import as_bytes, checkpointed, documents, map_arrow, map_blocks, mix, released, stored, windows, words_of
 from .graph import KeyFilter, maybe_in
 
 #: Words of a window and of the runs its anchor is chosen from.
@@ -37,6 +37,8 @@ WINDOW, RUN = 35, 8
 LEAD = 6
 #: Characters of the patterns that one automaton holds (each takes about 50 bytes), and bytes of the texts of a slice, which stream through its automata at once.
 SHARD_CHARS, STREAM_BYTES = 600_000, 2_000_000
+#: Passages of an anchor up to which all of them go where a text has it.
+FEW = 8
 #: One row a word run of the text: the separators of the word rule, for Spark's regular expressions.
 _GAP = r"[\x20\x09-\x0D]+"
 
@@ -334,6 +336,45 @@ def in_slices(texts: DataFrame, stream_bytes: int | None = None) -> DataFrame:
     return least.join(F.broadcast(many), "least", "left").select(*texts.columns, slice_)
 
 
+def _windows_with(df: DataFrame, key: str, width: int, run: int) -> DataFrame:
+    """``key`` and a hash of anchor and window for each different window of each text whose anchor is in the text's list."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            anchor, whole, of, _ = _windows_of(batch.column("text"), width, run)
+            run_at = _runs(anchor, of)
+            keep = np.repeat(np.isin(_of_text(anchor[run_at], of[run_at]), _listed(batch.column("anchors"))), np.diff(np.append(run_at, len(anchor))))
+            with np.errstate(over="ignore"):
+                window = mix(anchor[keep]) + whole[keep]
+            of = of[keep]
+            _, at = np.unique(_of_text(window, of), return_index=True)
+            return pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(of[at])), pa.array(window[at].view(np.int64))], [key, "window"])
+
+        return step
+
+    return map_blocks(df.select(key, "text", "anchors"), "text", make, f"{key} {df.schema[key].dataType.simpleString()}, window long")
+
+
+def met_by(placed: DataFrame, phrases: DataFrame, width: int, run: int) -> DataFrame:
+    """slice, id: the passages (id, passage, anchors) that share a window with a text of a slice (slice, text_hash, text, anchors), and a few others.
+
+    A passage that is cut off inside a common line of text has that line's anchor, and so has every other one that is, and every text with the line.
+    Anchors of more than ``FEW`` passages therefore lead to slices only by the windows that both have, not by the product of both.
+    """
+    of_phrases = phrases.select("id", F.explode("anchors").alias("anchor"))
+    crowded = checkpointed(of_phrases.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).select("anchor"))
+    of_texts = placed.select("slice", "text_hash", F.explode("anchors").alias("anchor"))
+    few = of_texts.select("slice", "anchor").distinct().join(of_phrases.join(crowded, "anchor", "left_anti"), "anchor").select("slice", "id")
+
+    def some(df: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+        own = checkpointed(entries.join(crowded, "anchor").groupBy(key).agg(F.collect_list("anchor").alias("anchors")))
+        return _windows_with(maybe_in(df, key, KeyFilter(own, key)).join(own, key), key, width, run)
+
+    texts = some(placed.select("text_hash", "text"), of_texts, "text_hash").join(placed.select("text_hash", "slice"), "text_hash").select("slice", "window").distinct()
+    many = texts.join(some(phrases.select("id", F.col("passage").alias("text")), of_phrases, "id"), "window").select("slice", "id")
+    return few.union(many).distinct()
+
+
 def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, run: int = RUN) -> DataFrame:
     """text_hash, text_check, n_removed, spans, kept: a row for each different text that holds a recurring window.
 
@@ -342,11 +383,12 @@ def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, r
     Null and empty texts, and those shorter than a window, have none.  Repeated rows recur as a whole.
     """
     docs = df.select(*_keys(col(text)), col(text).alias("text")).where("text is not null")
-    anchors = checkpointed(_anchors(docs.drop("text_check"), width, run))
+    anchors = stored(_anchors(docs.drop("text_check"), width, run), "anchors")
     times = F.sum("times").over(Window.partitionBy("anchor"))
     open_ = anchors.where("not settled").withColumn("total", times).where("total >= 2 and text_hash is not null").select("text_hash", "anchor")
     touched = anchors.where("settled").select("text_hash", "anchor").union(open_)
     touched = checkpointed(touched.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors")))
+    released(anchors)
 
     near = maybe_in(docs, "text_hash", KeyFilter(touched, "text_hash"))
     copies = near.groupBy("text_hash", "text_check").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("copies"), F.min("text").alias("text"))
@@ -358,7 +400,7 @@ def recurring_passages(df: DataFrame, text: str = "text", width: int = WINDOW, r
     phrases = stored(phrases.withColumn("id", F.md5("passage")).groupBy("id").agg(F.min("passage").alias("passage"), F.first("anchors").alias("anchors")), "passages")
 
     placed = in_slices(texts)
-    met = placed.select("slice", F.explode("anchors").alias("anchor")).distinct().join(phrases.select("id", F.explode("anchors").alias("anchor")), "anchor").select("slice", "id").distinct()
+    met = met_by(placed, phrases, width, run)
     none = F.lit(None).cast("long")
     streamed = met.join(phrases.select("id", "passage"), "id").select("slice", F.lit(False).alias("is_text"), none.alias("text_hash"), none.alias("text_check"), F.col("passage").alias("text"))
     streamed = streamed.union(placed.select("slice", F.lit(True), "text_hash", "text_check", "text"))
