@@ -4,6 +4,7 @@ import os
 import shutil
 import subprocess
 import sys
+import time
 
 import corpus_pipeline
 from voxtile.llm import jaccard_join, passages
@@ -40,3 +41,21 @@ def test_library_stands_without_the_subpackage(tmp_path):
     shutil.copytree(root, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "spark-warehouse", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and 'pipeline' not in q and not any(k.startswith('op1_') for k in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", env=os.environ | {"PYTHONPATH": ""}, check=True)
+
+
+def test_near_duplicates_leave_no_files_of_their_steps(spark, sf):
+    """Shuffles and lists of the join go when they are read, whenever the driver collects its garbage."""
+    import glob
+
+    from voxtile.operators.graph import shared_folder
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    own = lambda: {x: os.path.getsize(x) for x in files.getAllFiles().mkString(" ").split() if "shuffle" in x and os.path.exists(x)}
+    docs = corpus_pipeline.stored(spark.read.parquet(f"{sf}/documents.parquet"), "all")
+    text = docs.selectExpr("sum(octet_length(text))").first()[0]
+    had = own()
+    out = corpus_pipeline.stored(corpus_pipeline.near_duplicates(spark, docs, sf), "kept")
+    time.sleep(1)
+    assert 0 < out.count() < docs.count()
+    assert sum(v for k, v in own().items() if k not in had) < 0.2 * text
+    assert not [x for name in ("lists", "hopeful", "entries", "candidates") for x in glob.glob(f"{shared_folder(spark).removeprefix('file:')}/{name}-*")]
